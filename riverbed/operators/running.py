@@ -38,3 +38,25 @@ def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str], chunk:
     d = d.withColumn("_within", F.sum("_v").over(within))
     res = d.join(offsets, on=[*keys, "_chunk"], how="inner")
     return res.withColumn(out, F.col("_offset") + F.col("_within")).drop("_chunk", "_v", "_within", "_offset")
+
+
+def previous_value(df: DataFrame, keys: Sequence[str], order: Sequence[str], chunk: Column, value: Column,
+                   out: str) -> DataFrame:
+    """Add column ``out`` = ``value`` of the previous row of the same keys in
+    ``order`` (null for a key's first row) — a ``lag`` that survives hot keys.
+
+    Inside a (key, chunk) partition it is a plain ``lag``; a chunk's first row
+    takes the last value of the key's nearest earlier non-empty chunk, found
+    by a partial ``max_by`` per (key, chunk) and a window over that small table.
+    """
+    keys = list(keys)
+    d = df.withColumn("_chunk", chunk).withColumn("_v", value)
+    order_key = F.struct(*[F.col(c) for c in order])
+    last = d.groupBy(*keys, "_chunk").agg(F.max_by("_v", order_key).alias("_last"))
+    prev_chunk = Window.partitionBy(*keys).orderBy("_chunk")
+    carry = last.select(*keys, "_chunk", F.lag("_last").over(prev_chunk).alias("_in"))
+    w = Window.partitionBy(*keys, "_chunk").orderBy(*order)
+    d = d.withColumn("_lag", F.lag("_v").over(w)).withColumn("_first", F.row_number().over(w) == 1)
+    res = d.join(carry, on=[*keys, "_chunk"], how="inner")
+    return res.withColumn(out, F.when(F.col("_first"), F.col("_in")).otherwise(F.col("_lag"))).drop(
+        "_chunk", "_v", "_lag", "_first", "_in")
