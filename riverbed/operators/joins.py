@@ -52,14 +52,17 @@ def band_join(left: DataFrame, right: DataFrame, keys: Sequence[str], left_t: st
 
 
 def asof_join(left: DataFrame, right: DataFrame, keys: Sequence[str], left_t: str, right_t: str,
-              carry: Sequence[str], chunk_unit: str = "day") -> DataFrame:
+              carry: Sequence[str], chunk_fn=None, how: str = "left") -> DataFrame:
     """Left-outer as-of join: each left row gets ``carry`` columns of the newest
     right row with the same keys and ``right_t <= left_t`` (nulls if none), and
     that row's time as ``matched_at``.  A right row at the same instant as a
     left row counts as earlier; among right rows at one instant the last in
     ``carry`` order wins.
 
-    Skew-safe: time is cut into ``chunk_unit`` chunks; per (key, chunk) the
+    ``how="inner"`` drops left rows with no match.  ``chunk_fn`` maps the time
+    column to a monotone chunk (default: the day of a timestamp).
+
+    Skew-safe: time is cut into chunks; per (key, chunk) the
     newest right row is found by a partial aggregate, carried across chunks by
     a window over the small (key, chunk) table, and inside a chunk by a
     running ``last(ignorenulls)``.  A hot key is thus spread over its chunks.
@@ -71,7 +74,8 @@ def asof_join(left: DataFrame, right: DataFrame, keys: Sequence[str], left_t: st
                      F.lit(None).cast(right.select(rstruct.alias("r")).schema["r"].dataType).alias("_r"))
     r_ = right.select(*[F.lit(None).cast(left.schema[c].dataType).alias(c) for c in lcols if c not in keys],
                       *keys, F.col(right_t).alias("_t"), F.lit(0).alias("_side"), rstruct.alias("_r"))
-    u = l_.unionByName(r_).withColumn("_chunk", F.date_trunc(chunk_unit, F.col("_t")))
+    chunk_fn = chunk_fn or (lambda t: F.date_trunc("day", t))
+    u = l_.unionByName(r_).withColumn("_chunk", chunk_fn(F.col("_t")))
     newest = u.groupBy(*keys, "_chunk").agg(F.max_by("_r", F.when(F.col("_side") == 0, F.struct("_t", "_r"))).alias("_last"))
     before = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     carry_in = newest.select(*keys, "_chunk", F.last("_last", ignorenulls=True).over(before).alias("_in"))
@@ -80,4 +84,6 @@ def asof_join(left: DataFrame, right: DataFrame, keys: Sequence[str], left_t: st
               .filter(F.col("_side") == 1)
               .join(carry_in, on=[*keys, "_chunk"], how="inner")
               .withColumn("_m", F.coalesce("_within", "_in")))
+    if how == "inner":
+        filled = filled.filter(F.col("_m").isNotNull())
     return filled.select(*lcols, *[F.col("_m")[c].alias(c) for c in carry], F.col("_m")["matched_at"].alias("matched_at"))

@@ -60,3 +60,23 @@ def previous_value(df: DataFrame, keys: Sequence[str], order: Sequence[str], chu
     res = d.join(carry, on=[*keys, "_chunk"], how="inner")
     return res.withColumn(out, F.when(F.col("_first"), F.col("_in")).otherwise(F.col("_lag"))).drop(
         "_chunk", "_v", "_lag", "_first", "_in")
+
+
+def running_max_before(df: DataFrame, keys: Sequence[str], order: Sequence[str], chunk: Column, value: Column,
+                       out: str) -> DataFrame:
+    """Add column ``out`` = max of ``value`` over the rows of the same keys that
+    come strictly before the current row in ``order`` (null for the first).
+
+    With no keys this is the watermark seen by each arriving row; like
+    ``running_sum`` it is computed per chunk and stitched with chunk offsets,
+    so no single task sees all rows.
+    """
+    keys = list(keys)
+    d = df.withColumn("_chunk", chunk).withColumn("_v", value)
+    tops = d.groupBy(*keys, "_chunk").agg(F.max("_v").alias("_chunk_max"))
+    before = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    carry = tops.select(*keys, "_chunk", F.max("_chunk_max").over(before).alias("_in"))
+    within = Window.partitionBy(*keys, "_chunk").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    d = d.withColumn("_within", F.max("_v").over(within))
+    res = d.join(carry, on=[*keys, "_chunk"], how="inner")
+    return res.withColumn(out, F.greatest("_within", "_in")).drop("_chunk", "_v", "_within", "_in")
