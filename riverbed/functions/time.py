@@ -38,15 +38,18 @@ def from_epoch_seconds(s) -> Column:
 
 
 def to_instant(ts) -> Column:
-    """NTZ wall clock (UTC) → TIMESTAMP instant, independent of the session zone."""
-    return F.to_utc_timestamp(_c(ts).cast("timestamp"), F.current_timezone())
+    """NTZ wall clock (UTC) → TIMESTAMP instant, independent of the session zone.
+
+    The cast reads the wall clock in the session zone; shifting it back by the
+    session offset gives the instant whose UTC wall clock is the input."""
+    return F.from_utc_timestamp(_c(ts).cast("timestamp"), F.current_timezone())
 
 
 def to_wall_clock(ts) -> Column:
     """TIMESTAMP instant → NTZ wall clock in UTC, independent of the session zone."""
-    return F.from_utc_timestamp(_c(ts), F.current_timezone()).cast("timestamp_ntz")
+    return F.to_utc_timestamp(_c(ts), F.current_timezone()).cast("timestamp_ntz")
 
 
 def utc_to_zone(ts, zone: str) -> Column:
     """UTC wall clock → wall clock in ``zone`` (e.g. America/Los_Angeles)."""
-    return F.from_utc_timestamp(_c(ts).cast("timestamp_ntz").cast("string"), zone).cast("timestamp_ntz")
+    return F.convert_timezone(F.lit("UTC"), F.lit(zone), _c(ts).cast("timestamp_ntz"))
