@@ -80,3 +80,25 @@ def running_max_before(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     d = d.withColumn("_within", F.max("_v").over(within))
     res = d.join(carry, on=[*keys, "_chunk"], how="inner")
     return res.withColumn(out, F.greatest("_within", "_in")).drop("_chunk", "_v", "_within", "_in")
+
+
+def running_sums_before(df: DataFrame, keys: Sequence[str], order: Sequence[str], chunk: Column,
+                        values: dict[str, Column]) -> DataFrame:
+    """Like ``running_sum`` for several values at once, but exclusive: each row
+    sees the sums over the rows strictly before it (same chunked plan)."""
+    keys = list(keys)
+    d = df.withColumn("_chunk", chunk)
+    for n, v in values.items():
+        d = d.withColumn(f"_v_{n}", v)
+    totals = d.groupBy(*keys, "_chunk").agg(*[F.sum(f"_v_{n}").alias(f"_t_{n}") for n in values])
+    before = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(*keys, "_chunk", *[F.coalesce(F.sum(f"_t_{n}").over(before), F.lit(0)).alias(f"_o_{n}")
+                                               for n in values])
+    within = Window.partitionBy(*keys, "_chunk").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    for n in values:
+        d = d.withColumn(f"_w_{n}", F.coalesce(F.sum(f"_v_{n}").over(within), F.lit(0)))
+    res = d.join(offsets, on=[*keys, "_chunk"], how="inner")
+    for n in values:
+        res = res.withColumn(n, F.col(f"_o_{n}") + F.col(f"_w_{n}"))
+    drop = ["_chunk"] + [f"_{p}_{n}" for n in values for p in ("v", "w", "o")]
+    return res.drop(*drop)

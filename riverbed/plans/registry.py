@@ -28,6 +28,10 @@ _PLAN_MODULES = (
     "riverbed.plans.codecs_io",
     "riverbed.plans.alerts",
     "riverbed.plans.sql_forms",
+    "riverbed.plans.heartbeats",
+    "riverbed.plans.rules",
+    "riverbed.plans.udfs",
+    "riverbed.plans.travel",
     "riverbed.plans.stream_plans",
 )
 
