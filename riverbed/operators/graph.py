@@ -38,8 +38,8 @@ def pagerank_df(spark: SparkSession, edges: DataFrame, iterations: int, damping:
     """
     shared_dir(spark)
     t = transitions(edges).repartition("src").persist(StorageLevel.MEMORY_AND_DISK)
-    v = vertices(edges).select("id")
-    n = v.select(F.count(F.lit(1))).scalar()
+    v = vertices(t.select("src", "dst")).select("id").persist(StorageLevel.MEMORY_AND_DISK)
+    n = v.count()
     ranks = v.select("id", F.lit(1.0).alias("rank"))
     for i in range(1, iterations + 1):
         contrib = (t.join(ranks.withColumnRenamed("id", "src"), "src")

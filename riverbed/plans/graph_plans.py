@@ -24,9 +24,9 @@ def graph_vertices(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vertices(views.edges(spark, sf_dir))
 
 
-@query("graph_out_weight", EV + "SELECT src, round(sum(w), 2) AS out_w FROM edges GROUP BY src")
+@query("graph_out_weight", EV + "SELECT src, round(sum(w), 6) AS out_w FROM edges GROUP BY src")
 def graph_out_weight(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return out_weights(views.edges(spark, sf_dir)).withColumn("out_w", F.round("out_w", 2))
+    return out_weights(views.edges(spark, sf_dir)).withColumn("out_w", F.round("out_w", 6))
 
 
 @query("graph_transition", EV + """
@@ -61,11 +61,11 @@ EDGE_SCHEMA = T.StructType([T.StructField("src", T.StringType()), T.StructField(
                             T.StructField("w", T.DoubleType())])
 
 
-@query("scan_edges_tsv", EV + "SELECT src, dst, round(w, 2) AS w FROM edges")
+@query("scan_edges_tsv", EV + "SELECT src, dst, round(w, 6) AS w FROM edges")
 def scan_edges_tsv(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Edges written as a tab-separated file and read back with an explicit
     schema (IO6, IO16)."""
     path = scratch_path(spark, "edges-tsv")
     views.edges(spark, sf_dir).write.mode("error").option("sep", "\t").csv(path)
     back = spark.read.schema(EDGE_SCHEMA).option("sep", "\t").option("mode", "FAILFAST").csv(path)
-    return back.withColumn("w", F.round("w", 2))
+    return back.withColumn("w", F.round("w", 6))
