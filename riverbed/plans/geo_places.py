@@ -104,9 +104,21 @@ walk AS (
 SELECT cx + cy * 250 AS cell, count(*) AS n_rides FROM walk GROUP BY 1""").replace("WITH rides", "WITH RECURSIVE rides", 1))
 def geo_cells_on_way(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rides passing through each grid cell, from the cells on each ride's straight path."""
-    r = views.rides(spark, sf_dir).filter("is_start")
-    cells = r.select(F.explode(geo.cells_on_way("start_lon", "start_lat", "end_lon", "end_lat")).alias("cell"))
-    return cells.groupBy("cell").agg(F.count(F.lit(1)).alias("n_rides"))
+    r = views.rides(spark, sf_dir).filter("is_start").select(
+        geo.grid_x("start_lon").alias("x1"), geo.grid_y("start_lat").alias("y1"),
+        geo.grid_x("end_lon").alias("x2"), geo.grid_y("end_lat").alias("y2"))
+    # the walk runs per Arrow batch and is folded there into (cell, rides)
+    # partials; only those cross back to the JVM, where Spark merges them
+    part = r.mapInPandas(_cell_visit_batches, "cell long, n long")
+    return part.groupBy("cell").agg(F.sum("n").alias("n_rides"))
+
+
+def _cell_visit_batches(batches):
+    import pandas as pd
+    for b in batches:
+        if len(b):
+            cells, n = geo.cell_visits(*(b[c].to_numpy("int64") for c in ("x1", "y1", "x2", "y2")))
+            yield pd.DataFrame({"cell": cells, "n": n})
 
 
 POPULAR_THRESHOLD = 2

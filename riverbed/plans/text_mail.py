@@ -76,7 +76,11 @@ def tf_idf(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     d = docs(spark, sf_dir)
     n = table(spark, sf_dir, "documents").select(F.count(F.lit(1))).scalar()
-    j = term_frequency_df(d).join(doc_frequency_df(d), "word")
+    tf = term_frequency_df(d)
+    # each (doc, word) appears once in TF, so DF is a count over it: the text is
+    # tokenised once and the TF shuffle is reused by both sides of the join
+    df = tf.groupBy("word").agg(F.count(F.lit(1)).alias("df"))
+    j = tf.join(df, "word")
     return j.select("doc_id", "word", F.round(F.col("tf") * (n / F.col("df")), 6).alias("tf_idf"))
 
 
