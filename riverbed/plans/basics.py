@@ -172,3 +172,16 @@ def custom_tumbling_count(spark: SparkSession, sf_dir: str, size: str = "10 seco
     """Count per sensor in fixed windows whose size is a parameter (ST11)."""
     w = tumbling_agg(views.sensors(spark, sf_dir), "ts", size, ["sensor_id"], {"cnt": F.count(F.lit(1))})
     return w.select("sensor_id", "window_end", "cnt")
+
+
+@query("latest_max_lookup", SV + """
+, w AS (SELECT sensor_id, time_bucket(INTERVAL '10 seconds', ts) + INTERVAL '10 seconds' AS window_end,
+               max(temp) AS max_temp FROM sensors GROUP BY ALL)
+SELECT sensor_id, arg_max(window_end, window_end) AS window_end, arg_max(max_temp, window_end) AS max_temp
+FROM w GROUP BY sensor_id""")
+def latest_max_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per sensor, the maximum of its newest 10 s window — the value an outside
+    point lookup reads (ST24, re-aimed from queryable state to a keyed table)."""
+    w = window_max(spark, sf_dir)
+    best = F.max_by(F.struct("window_end", "max_temp"), F.col("window_end"))
+    return w.groupBy("sensor_id").agg(best.alias("b")).select("sensor_id", "b.window_end", "b.max_temp")
