@@ -33,6 +33,7 @@ _PLAN_MODULES = (
     "riverbed.plans.udfs",
     "riverbed.plans.travel",
     "riverbed.plans.stream_plans",
+    "riverbed.plans.stream_io",
 )
 
 
