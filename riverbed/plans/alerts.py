@@ -304,3 +304,84 @@ def lookup_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("sensor_id"), F.col("c_name").alias("room"))
     return s.join(c, "sensor_id", "left").select(
         "event_id", "sensor_id", "temp", F.coalesce(F.col("room"), F.lit("UNKNOWN ROOM")).alias("room"))
+
+
+ASOF_LATE_MS = 5000
+
+
+@query("asof_enrich_late", TC_SQL + f"""
+, u AS (SELECT trade_id AS event_id, trade_ts AS ts, TRUE AS is_trade FROM trades
+        UNION ALL SELECT event_id, cust_ts, FALSE FROM customers),
+arr AS (SELECT *, (epoch_us(ts) // 1000) + (event_id * 7919) % 7000 AS arrival_ms FROM u),
+wm AS (SELECT *, max(epoch_us(ts) // 1000) OVER (ORDER BY arrival_ms, event_id
+                 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - {ASOF_LATE_MS} AS wm_ms FROM arr)
+SELECT t.trade_id, t.customer_id, t.trade_ts, c.customer_info, c.cust_ts AS matched_at,
+       coalesce(epoch_us(w.ts) // 1000 < w.wm_ms, FALSE) AS late
+FROM trades t ASOF LEFT JOIN customers c ON t.customer_id = c.customer_id AND t.trade_ts >= c.cust_ts
+JOIN wm w ON w.event_id = t.trade_id AND w.is_trade""")
+def asof_enrich_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J7, first goal: trades behind the watermark (trades and customer updates
+    share one disordered arrival order, 5 s bound) are still enriched with the
+    event-time-correct customer instead of being dropped, and flagged late."""
+    trades, customers = trades_customers(spark, sf_dir)
+    u = trades.select(F.col("trade_id").alias("event_id"), F.col("trade_ts").alias("ts"), F.lit(True).alias("is_trade")) \
+        .unionByName(customers.select("event_id", F.col("cust_ts").alias("ts"), F.lit(False).alias("is_trade")))
+    seen = with_watermark_seen(disordered_arrival(u), ASOF_LATE_MS)
+    flags = seen.filter("is_trade").select(F.col("event_id").alias("trade_id"), is_late().alias("late"))
+    j = asof_join(trades, customers, ["customer_id"], "trade_ts", "cust_ts", ["customer_info"])
+    return j.join(flags, "trade_id").select("trade_id", "customer_id", "trade_ts", "customer_info", "matched_at", "late")
+
+
+REVISE_BOUND_MS = 7000   # arrival lags event time by less than this (the disorder of the input)
+
+
+@query("asof_enrich_revise", TC_SQL + """
+, ta AS (SELECT *, (epoch_us(trade_ts) // 1000) + (trade_id * 7919) % 7000 AS arr FROM trades),
+ca AS (SELECT *, (epoch_us(cust_ts) // 1000) + (event_id * 7919) % 7000 AS arr FROM customers),
+r0 AS (SELECT t.trade_id, arg_max(c.customer_info, (c.cust_ts, c.event_id)) AS info,
+              arg_max(c.event_id, (c.cust_ts, c.event_id)) AS cid
+       FROM ta t LEFT JOIN ca c ON c.customer_id = t.customer_id AND c.cust_ts <= t.trade_ts
+         AND (c.arr < t.arr OR (c.arr = t.arr AND c.event_id < t.trade_id)) GROUP BY t.trade_id),
+r1 AS (SELECT t.trade_id, c.customer_info AS info, c.event_id AS cid FROM trades t
+       ASOF LEFT JOIN customers c ON t.customer_id = c.customer_id AND t.trade_ts >= c.cust_ts)
+SELECT trade_id, 0 AS revision, info AS customer_info FROM r0
+UNION ALL
+SELECT r1.trade_id, 1, r1.info FROM r1 JOIN r0 USING (trade_id) WHERE r1.cid IS DISTINCT FROM r0.cid""")
+def asof_enrich_revise(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J7, second goal: emit each trade at its arrival with the newest customer
+    row that had arrived by then (revision 0), and a correction (revision 1)
+    when the event-time answer turns out different.
+
+    Rows older than the disorder bound have surely arrived, so revision 0 is the
+    newer of an as-of match at trade time − 7 s and the newest row inside the
+    last 7 s that arrived before the trade (a keyed 7 s band join) — exact
+    without comparing every pair of a key."""
+    return asof_revise_df(*trades_customers(spark, sf_dir))
+
+
+def asof_revise_df(trades: DataFrame, customers: DataFrame) -> DataFrame:
+    """trades(trade_id, customer_id, trade_ts), customers(customer_id, cust_ts,
+    customer_info, event_id); arrival = event time + (id·7919 mod 7000) ms."""
+    arr = lambda ts, i: epoch_millis(ts) + (F.col(i) * 7919) % 7000
+    ta = trades.withColumn("t_arr", arr("trade_ts", "trade_id"))
+    ca = customers.withColumn("c_arr", arr("cust_ts", "event_id"))
+    key = lambda: F.struct("cust_ts", "event_id")
+    old = asof_join(ta.withColumn("t_old", F.timestamp_add("MILLISECOND", F.lit(-REVISE_BOUND_MS), F.col("trade_ts"))),
+                    customers, ["customer_id"], "t_old", "cust_ts", ["customer_info", "event_id"])
+    old = old.select("trade_id", F.when(F.col("event_id").isNotNull(), F.struct(
+        F.col("matched_at").alias("cust_ts"), "event_id", "customer_info")).alias("c_old"))
+    band = band_join(ta, ca, ["customer_id"], "trade_ts", "cust_ts", -REVISE_BOUND_MS, 0)
+    band = band.filter((F.col("cust_ts") <= F.col("trade_ts")) & (
+        (F.col("c_arr") < F.col("t_arr")) | ((F.col("c_arr") == F.col("t_arr")) & (F.col("event_id") < F.col("trade_id")))))
+    recent = band.groupBy("trade_id").agg(F.max_by(F.struct("cust_ts", "event_id", "customer_info"), key()).alias("c_new"))
+    r0 = old.join(recent, "trade_id", "left").select(
+        "trade_id", F.when(F.col("c_new").isNull(), F.col("c_old")).when(F.col("c_old").isNull(), F.col("c_new"))
+        .when(F.struct("c_new.cust_ts", "c_new.event_id") > F.struct("c_old.cust_ts", "c_old.event_id"), F.col("c_new"))
+        .otherwise(F.col("c_old")).alias("r0"))
+    final = asof_join(trades, customers, ["customer_id"], "trade_ts", "cust_ts", ["customer_info", "event_id"])
+    both = r0.join(final.select("trade_id", F.col("event_id").alias("cid1"), F.col("customer_info").alias("info1")),
+                   "trade_id")
+    rev0 = both.select("trade_id", F.lit(0).alias("revision"), F.col("r0.customer_info").alias("customer_info"))
+    rev1 = both.filter(~F.col("cid1").eqNullSafe(F.col("r0.event_id"))).select(
+        "trade_id", F.lit(1).alias("revision"), F.col("info1").alias("customer_info"))
+    return rev0.unionByName(rev1)

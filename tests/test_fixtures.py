@@ -101,3 +101,34 @@ def test_distance_predicate_near_m(spark):
     df = spark.createDataFrame([(M[0], M[1]), (P[0], P[1])], "lon double, lat double")
     d = [r.d for r in df.select(geo.distance(F.lit(M[0]), F.lit(M[1]), "lon", "lat").alias("d")).collect()]
     assert d[0] < 1.0 and d[1] > 1.0
+
+
+def _brute_revise(trades, customers):
+    ms = lambda t: int(t.timestamp() * 1000)
+    arr = lambda t, i: ms(t) + (i * 7919) % 7000
+    out = []
+    for tid, cid, tts in trades:
+        mine = [c for c in customers if c[0] == cid and c[1] <= tts]
+        seen = [c for c in mine if (arr(c[1], c[3]), c[3]) < (arr(tts, tid), tid)]
+        r0 = max(seen, key=lambda c: (c[1], c[3]), default=None)
+        r1 = max(mine, key=lambda c: (c[1], c[3]), default=None)
+        out.append((tid, 0, r0[2] if r0 else None))
+        if (r0 and r0[3]) != (r1 and r1[3]):
+            out.append((tid, 1, r1[2] if r1 else None))
+    return sorted(out, key=lambda r: (r[0], r[1]))
+
+
+def test_asof_revise_against_brute_force(spark):
+    from riverbed.plans.alerts import asof_revise_df
+    base = datetime(2024, 1, 1)
+    rng = np.random.default_rng(7)
+    customers = [(int(rng.integers(0, 3)), base + timedelta(milliseconds=int(rng.integers(0, 60000))), f"c{i}", 1000 + i)
+                 for i in range(60)]
+    trades = [(i, int(rng.integers(0, 3)), base + timedelta(milliseconds=int(rng.integers(0, 60000)))) for i in range(80)]
+    t = spark.createDataFrame(trades, "trade_id long, customer_id long, trade_ts timestamp_ntz")
+    c = spark.createDataFrame(customers, "customer_id long, cust_ts timestamp_ntz, customer_info string, event_id long")
+    got = sorted(((r.trade_id, r.revision, r.customer_info) for r in asof_revise_df(t, c).collect()),
+                 key=lambda r: (r[0], r[1]))
+    want = _brute_revise(trades, customers)
+    assert any(r[1] == 1 for r in want)
+    assert got == want
