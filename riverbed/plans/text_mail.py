@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riverbed.functions.text import STOP_WORDS, email_address, month_of, words
+from riverbed.functions.text import STOP_WORDS, email_address, month_of, word_rows, words
 from riverbed.plans.oracle_views import with_views
 from riverbed.plans.registry import query
 from riverbed.sources import views
@@ -37,14 +37,12 @@ def tokenize_words(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def term_frequency_df(d: DataFrame) -> DataFrame:
     """(doc, word, count) — explode then a partial+final count."""
-    return (d.select("doc_id", F.explode(words("text")).alias("word"))
-            .groupBy("doc_id", "word").agg(F.count(F.lit(1)).alias("tf")))
+    return word_rows(d, "text", ["doc_id"]).groupBy("doc_id", "word").agg(F.count(F.lit(1)).alias("tf"))
 
 
 def doc_frequency_df(d: DataFrame) -> DataFrame:
     """(word, number of documents containing it) over distinct words per document."""
-    return (d.select(F.explode(F.array_distinct(words("text"))).alias("word"))
-            .groupBy("word").agg(F.count(F.lit(1)).alias("df")))
+    return term_frequency_df(d).groupBy("word").agg(F.count(F.lit(1)).alias("df"))
 
 
 TOKENS_SQL = f"""
@@ -79,8 +77,7 @@ def tf_idf(spark: SparkSession, sf_dir: str) -> DataFrame:
     tf = term_frequency_df(d)
     # each (doc, word) appears once in TF, so DF is a count over it: the text is
     # tokenised once and the TF shuffle is reused by both sides of the join
-    df = tf.groupBy("word").agg(F.count(F.lit(1)).alias("df"))
-    j = tf.join(df, "word")
+    j = tf.join(tf.groupBy("word").agg(F.count(F.lit(1)).alias("df")), "word")
     return j.select("doc_id", "word", F.round(F.col("tf") * (n / F.col("df")), 6).alias("tf_idf"))
 
 
