@@ -75,7 +75,11 @@ def stream_table(spark: SparkSession, df: DataFrame, time_col: str, name: str, n
 
 def flush_row(df: DataFrame, time_cols: list[str], **values) -> DataFrame:
     """One row far in the future: staged last, it moves the watermark past every
-    real row so append-mode results are complete (the tests' final watermark)."""
+    real row so append-mode results are complete (the tests' final watermark).
+
+    The row must pass every filter of the query: Catalyst pushes filters on
+    non-time columns below ``withWatermark``, so a filtered-out row never
+    reaches the watermark operator."""
     first = df.limit(1)
     sel = []
     for f in df.schema.fields:
