@@ -57,9 +57,19 @@ def _load() -> None:
                 raise
 
 
+def _shipping(fn: QueryFn) -> QueryFn:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        from riverbed.session import ship_package
+        ship_package(spark)
+        return fn(spark, sf_dir)
+    run.__name__, run.__doc__ = fn.__name__, fn.__doc__
+    return run
+
+
 def queries() -> dict[str, QueryFn]:
+    """Registered queries; each first makes the package importable on executors."""
     _load()
-    return dict(_QUERIES)
+    return {k: _shipping(f) for k, f in _QUERIES.items()}
 
 
 def oracle_sql() -> dict[str, str]:
