@@ -37,6 +37,8 @@ def pagerank_df(spark: SparkSession, edges: DataFrame, iterations: int, damping:
     executor then recomputes at most ``checkpoint_every`` iterations.
     """
     shared_dir(spark)
+    # the edge list feeds both sides of the transition join; materialise it once
+    edges = edges.checkpoint(eager=True)
     t = transitions(edges).repartition("src").persist(StorageLevel.MEMORY_AND_DISK)
     v = vertices(t.select("src", "dst")).select("id").persist(StorageLevel.MEMORY_AND_DISK)
     n = v.count()
