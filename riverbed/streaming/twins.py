@@ -102,3 +102,33 @@ def temp_jump_stream(sensors: DataFrame, ratio: float = 1.7) -> DataFrame:
         statefulProcessor=TempJumpProcessor(ratio),
         outputStructType="sensor_id long, event_id long, temp double, last_temp double",
         outputMode="Append", timeMode="None")
+
+
+def lookup_stream(sensors: DataFrame, rooms: DataFrame) -> DataFrame:
+    """Stream-static left join with a dimension table; a miss is UNKNOWN ROOM."""
+    return sensors.join(rooms, "sensor_id", "left").select(
+        "event_id", "sensor_id", "temp", F.coalesce(F.col("room"), F.lit("UNKNOWN ROOM")).alias("room"))
+
+
+def dedup_stream(events: DataFrame, keys: list[str], time_col: str, delay: str = "1 minute") -> DataFrame:
+    """Exact duplicates (same keys and event time) dropped; the watermark
+    lets Spark forget keys once no copy can still arrive."""
+    return events.withWatermark(time_col, delay).dropDuplicates([*keys, time_col])
+
+
+def window_max_stream(sensors: DataFrame, size: str = "10 seconds", delay: str = "1 minute") -> DataFrame:
+    """Per sensor windowed maximum in append mode."""
+    w = sensors.withWatermark("ts", delay).groupBy(F.window("ts", size), "sensor_id").agg(F.max("temp").alias("max_temp"))
+    return w.select("sensor_id", F.col("window.end").alias("window_end"), "max_temp")
+
+
+def running_totals_stream(sensors: DataFrame) -> DataFrame:
+    """A1 in update mode: each micro-batch re-emits the changed per-sensor totals."""
+    return sensors.groupBy("sensor_id").agg(F.sum("temp").alias("running_sum"), F.max("event_id").alias("last_event_id"))
+
+
+def latest_ride_stream(rides: DataFrame) -> DataFrame:
+    """W3 in update mode: newest event per taxi by (time, START first, ride id)."""
+    order = F.struct("event_time", (~F.col("is_start")).alias("is_end"), "ride_id")
+    return rides.groupBy("taxi_id").agg(F.max_by(F.struct("ride_id", "is_start", "event_time"), order).alias("b")).select(
+        "taxi_id", "b.ride_id", "b.is_start", "b.event_time")

@@ -100,3 +100,65 @@ def test_temp_jump_stream_transform_with_state(spark):
     ss = _stream(spark, s, "ts", "jump")
     got = _run(spark, twins.temp_jump_stream(ss), "jump")
     _same(got, alerts.temp_jump_alerts(spark, SF_SMALL))
+
+
+def _run_update(spark, sdf, name, key):
+    """Update mode through foreachBatch; the newest emission per key is the table."""
+    out, ckpt = scratch_path(spark, f"{name}-out"), scratch_path(spark, f"{name}-ckpt")
+
+    def write(batch, batch_id):
+        batch.withColumn("_batch", F.lit(batch_id)).write.mode("overwrite").parquet(f"{out}/b={batch_id}")
+    (sdf.writeStream.foreachBatch(write).option("checkpointLocation", ckpt).outputMode("update")
+     .trigger(availableNow=True).start().awaitTermination())
+    back = spark.read.parquet(out)
+    cols = [c for c in back.columns if c not in (key, "_batch", "b")]
+    return back.groupBy(key).agg(F.max_by(F.struct(*cols), "_batch").alias("r")).select(key, "r.*")
+
+
+def test_lookup_stream(spark):
+    s = views.sensors(spark, SF_SMALL)
+    from riverbed.sources.tables import table
+    rooms = table(spark, SF_SMALL, "customer").select(F.col("c_custkey").alias("sensor_id"), F.col("c_name").alias("room"))
+    got = _run(spark, twins.lookup_stream(_stream(spark, s, "ts", "look"), rooms), "look")
+    _same(got, alerts.lookup_enrich(spark, SF_SMALL))
+
+
+def test_dedup_stream_drops_replayed_copies(spark):
+    s = views.sensors(spark, SF_SMALL)
+    doubled = s.unionByName(s)                      # every reading delivered twice
+    ds = _stream(spark, doubled, "ts", "dedup", flush={"event_id": -1}, to_instants=("ts",))
+    got = _run(spark, twins.dedup_stream(ds, ["event_id"], "ts"), "dedup").filter("event_id >= 0")
+    _same(got.withColumn("ts", to_wall_clock("ts")), s)
+
+
+def test_window_max_stream(spark):
+    s = views.sensors(spark, SF_SMALL)
+    ss = _stream(spark, s, "ts", "wmax", flush={"sensor_id": -1}, to_instants=("ts",))
+    got = _run(spark, twins.window_max_stream(ss), "wmax").filter("sensor_id >= 0")
+    from riverbed.plans.basics import window_max
+    _same(got.withColumn("window_end", to_wall_clock("window_end")), window_max(spark, SF_SMALL))
+
+
+def test_running_totals_update_mode(spark):
+    s = views.sensors(spark, SF_SMALL)
+    got = _run_update(spark, twins.running_totals_stream(_stream(spark, s, "ts", "tot")), "tot", "sensor_id")
+    from riverbed.plans.basics import rolling_sum
+    last = rolling_sum(spark, SF_SMALL).groupBy("sensor_id").agg(
+        F.max_by("running_sum", "event_id").alias("running_sum"), F.max("event_id").alias("last_event_id"))
+    _same(got.withColumn("running_sum", F.round("running_sum", 6)), last)
+
+
+def test_latest_ride_update_mode(spark):
+    r = views.rides(spark, SF_SMALL)
+    got = _run_update(spark, twins.latest_ride_stream(_stream(spark, r, "event_time", "lat")), "lat", "taxi_id")
+    _same(got, ride_state.latest_per_taxi(r).drop("start_time"))
+
+
+def test_freezing_side_output_foreach_batch(spark):
+    from riverbed.streaming.sinks import split_writer
+    s = views.sensors(spark, SF_SMALL)
+    main, side, ckpt = (scratch_path(spark, n) for n in ("fz-main", "fz-side", "fz-ckpt"))
+    (_stream(spark, s, "ts", "fz").writeStream.foreachBatch(split_writer(main, side, F.col("temp") < 32.0))
+     .option("checkpointLocation", ckpt).trigger(availableNow=True).start().awaitTermination())
+    _same(spark.read.parquet(main).drop("batch_id"), s)
+    _same(spark.read.parquet(side).drop("batch_id"), s.filter(F.col("temp") < 32.0))
