@@ -14,6 +14,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor
 
 TWO_HOURS_MS = 2 * 3600 * 1000
 
@@ -61,3 +62,77 @@ def long_rides_stream(rides: DataFrame, delay: str = "1 minute") -> DataFrame:
         "ride_id", "is_start", "event_time", (F.unix_micros("event_time") / 1000).cast("long").alias("event_ms"))
     return r.groupBy("ride_id").applyInPandasWithState(
         _long_rides, OUT_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.EventTimeTimeout)
+
+
+class AsOfJoinProcessor(StatefulProcessor):
+    """J6 on a stream (``transformWithStateInPandas``, event-time timers).
+
+    Keyed by customer.  Customer rows go to a list state of (ts, info); a trade
+    waits in a pending list with a timer at its own time.  When the watermark
+    passes the timer the trade is joined with the newest customer row at or
+    before it and emitted; customer rows older than the newest one at or
+    before the watermark can no longer be chosen and are pruned, so state per
+    key stays bounded by the rows inside the watermark delay.
+    """
+
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.customers = handle.getListState("customers", "ts long, info string")
+        self.pending = handle.getListState("pending", "trade_id long, ts long")
+
+    def handleInputRows(self, key, rows, timerValues):
+        new_c, new_t = [], []
+        for pdf in rows:
+            for kind, tid, ts, info in zip(pdf["kind"], pdf["trade_id"], pdf["ts_ms"], pdf["info"]):
+                if kind == "C":
+                    new_c.append((int(ts), info))
+                else:
+                    new_t.append((int(tid), int(ts)))
+        if new_c:
+            self.customers.appendList(new_c)
+        if new_t:
+            self.pending.appendList(new_t)
+            for _tid, ts in new_t:
+                self.handle.registerTimer(ts)
+        return iter([])
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        wm = timerValues.getCurrentWatermarkInMs()
+        cust = sorted(self.customers.get()) if self.customers.exists() else []
+        pend = list(self.pending.get()) if self.pending.exists() else []
+        due = [p for p in pend if p[1] <= wm]
+        if not due:
+            return iter([])
+        out = []
+        for tid, ts in due:
+            best = None
+            for cts, info in cust:
+                if cts <= ts:
+                    best = (cts, info)
+            out.append((key[0], tid, ts, best[1] if best else None, best[0] if best else None))
+        rest = [p for p in pend if p[1] > wm]
+        self.pending.clear()
+        if rest:
+            self.pending.put(rest)
+        keep_from = max((i for i, (cts, _) in enumerate(cust) if cts <= wm), default=0)
+        self.customers.clear()
+        if cust[keep_from:]:
+            self.customers.put(cust[keep_from:])
+        return iter([pd.DataFrame(out, columns=["customer_id", "trade_id", "trade_ms", "customer_info", "matched_ms"])])
+
+    def close(self) -> None:
+        pass
+
+
+def asof_join_stream(events: DataFrame, delay: str = "1 minute") -> DataFrame:
+    """``events``: stream of (customer_id, kind 'T'|'C', trade_id, ts instant, info)."""
+    from riverbed.session import ROCKSDB_PROVIDER
+    spark = events.sparkSession
+    if spark.conf.get("spark.sql.streaming.stateStore.providerClass", "") != ROCKSDB_PROVIDER:
+        spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
+    e = events.withWatermark("ts", delay).select(
+        "customer_id", "kind", "trade_id", "ts", (F.unix_micros("ts") / 1000).cast("long").alias("ts_ms"), "info")
+    return e.groupBy("customer_id").transformWithStateInPandas(
+        statefulProcessor=AsOfJoinProcessor(),
+        outputStructType="customer_id long, trade_id long, trade_ms long, customer_info string, matched_ms long",
+        outputMode="Append", timeMode="EventTime")

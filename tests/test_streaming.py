@@ -162,3 +162,22 @@ def test_freezing_side_output_foreach_batch(spark):
      .option("checkpointLocation", ckpt).trigger(availableNow=True).start().awaitTermination())
     _same(spark.read.parquet(main).drop("batch_id"), s)
     _same(spark.read.parquet(side).drop("batch_id"), s.filter(F.col("temp") < 32.0))
+
+
+def test_asof_join_stream_with_timers(spark):
+    from riverbed.functions.time import from_epoch_millis
+    from riverbed.plans.alerts import asof_enrich, trades_customers
+    from riverbed.streaming.processors import asof_join_stream
+    trades, customers = trades_customers(spark, SF_SMALL)
+    ev = trades.select("customer_id", F.lit("T").alias("kind"), "trade_id", F.col("trade_ts").alias("ts"),
+                       F.lit(None).cast("string").alias("info")).unionByName(
+        customers.select("customer_id", F.lit("C").alias("kind"), F.lit(None).cast("long").alias("trade_id"),
+                         F.col("cust_ts").alias("ts"), F.col("customer_info").alias("info")))
+    es = _stream(spark, ev, "ts", "asof", flush={"customer_id": -1, "kind": "C"}, to_instants=("ts",))
+    got = _run(spark, asof_join_stream(es), "asof").select(
+        "trade_id", "customer_id", from_epoch_millis("trade_ms").alias("trade_ts"), "customer_info",
+        from_epoch_millis("matched_ms").alias("matched_at"))
+    want = asof_enrich(spark, SF_SMALL).select(
+        "trade_id", "customer_id", F.date_trunc("millisecond", "trade_ts").alias("trade_ts"), "customer_info",
+        F.date_trunc("millisecond", "matched_at").alias("matched_at"))
+    _same(got, want)
