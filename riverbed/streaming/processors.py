@@ -8,6 +8,7 @@ is resolved, and the watermark bounds how long unresolved state lives.
 
 from __future__ import annotations
 
+import bisect
 from collections.abc import Iterator
 
 import pandas as pd
@@ -136,3 +137,65 @@ def asof_join_stream(events: DataFrame, delay: str = "1 minute") -> DataFrame:
         statefulProcessor=AsOfJoinProcessor(),
         outputStructType="customer_id long, trade_id long, trade_ms long, customer_info string, matched_ms long",
         outputMode="Append", timeMode="EventTime")
+
+
+class RangeCountProcessor(StatefulProcessor):
+    """W1 on a stream: ``COUNT(*) OVER (PARTITION BY key ORDER BY t RANGE
+    BETWEEN <range> PRECEDING AND CURRENT ROW)``, which Spark refuses on
+    streaming input.  A row is answered once the watermark passes its time
+    (every row it can count has arrived); state keeps only the rows inside
+    the range behind the watermark plus rows not yet answered."""
+
+    def __init__(self, range_ms: int):
+        self.range_ms = range_ms
+
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.rows = handle.getListState("rows", "id long, ts long, done boolean")
+
+    def handleInputRows(self, key, rows, timerValues):
+        new = []
+        for pdf in rows:
+            new += [(int(i), int(t), False) for i, t in zip(pdf["id"], pdf["ts_ms"])]
+        if new:
+            self.rows.appendList(new)
+            for ts in {t for _, t, _ in new}:
+                self.handle.registerTimer(ts)
+        return iter([])
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        wm = timerValues.getCurrentWatermarkInMs()
+        rows = list(self.rows.get()) if self.rows.exists() else []
+        ts_sorted = sorted(t for _, t, _ in rows)
+
+        out, keep = [], []
+        for i, t, done in rows:
+            if not done and t <= wm:
+                n = bisect.bisect_right(ts_sorted, t) - bisect.bisect_left(ts_sorted, t - self.range_ms)
+                out.append((key[0], i, t, n))
+                done = True
+            if not done or t >= wm - self.range_ms:
+                keep.append((i, t, done))
+        self.rows.clear()
+        if keep:
+            self.rows.put(keep)
+        if not out:
+            return iter([])
+        return iter([pd.DataFrame(out, columns=["key", "id", "ts_ms", "cnt"])])
+
+    def close(self) -> None:
+        pass
+
+
+def range_count_stream(events: DataFrame, key: str, id_col: str, ts: str, range_ms: int,
+                       delay: str = "1 minute") -> DataFrame:
+    """``events`` is a stream with an instant ``ts`` column; returns (key, id, ts_ms, cnt)."""
+    from riverbed.session import ROCKSDB_PROVIDER
+    spark = events.sparkSession
+    if spark.conf.get("spark.sql.streaming.stateStore.providerClass", "") != ROCKSDB_PROVIDER:
+        spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
+    e = events.withWatermark(ts, delay).select(
+        F.col(key).alias("key"), F.col(id_col).alias("id"), ts, (F.unix_micros(ts) / 1000).cast("long").alias("ts_ms"))
+    return e.groupBy("key").transformWithStateInPandas(
+        statefulProcessor=RangeCountProcessor(range_ms), outputStructType="key long, id long, ts_ms long, cnt long",
+        outputMode="Append", timeMode="EventTime")

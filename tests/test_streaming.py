@@ -181,3 +181,17 @@ def test_asof_join_stream_with_timers(spark):
         "trade_id", "customer_id", F.date_trunc("millisecond", "trade_ts").alias("trade_ts"), "customer_info",
         F.date_trunc("millisecond", "matched_at").alias("matched_at"))
     _same(got, want)
+
+
+def test_over_range_count_stream(spark):
+    from riverbed.functions import geo
+    from riverbed.plans.sql_forms import sql_over_range_count
+    from riverbed.streaming.processors import range_count_stream
+    r = views.rides(spark, SF_SMALL)
+    starts = r.filter(F.col("is_start") & geo.in_nyc("start_lon", "start_lat")).select(
+        "ride_id", geo.grid_cell("start_lon", "start_lat").cast("long").alias("cell"), "event_time")
+    ss = _stream(spark, starts, "event_time", "over", flush={"ride_id": -1, "cell": -1}, to_instants=("event_time",))
+    got = _run(spark, range_count_stream(ss, "cell", "ride_id", "event_time", 10 * 60 * 1000), "over").filter("id >= 0")
+    want = sql_over_range_count(spark, SF_SMALL)
+    _same(got.select(F.col("id").alias("ride_id"), F.col("key").alias("cell"), "cnt"),
+          want.select("ride_id", F.col("cell").cast("long").alias("cell"), "cnt"))
