@@ -107,8 +107,11 @@ def geo_cells_on_way(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = views.rides(spark, sf_dir).filter("is_start").select(
         geo.grid_x("start_lon").alias("x1"), geo.grid_y("start_lat").alias("y1"),
         geo.grid_x("end_lon").alias("x2"), geo.grid_y("end_lat").alias("y2"))
-    # the walk runs per Arrow batch and is folded there into (cell, rides)
-    # partials; only those cross back to the JVM, where Spark merges them
+    # The walk is hundreds of steps per ride: the narrow (4 ints) input is dealt
+    # round-robin over all cores first, so uneven input files do not leave one
+    # Python worker with most of the CPU work.  Each Arrow batch is folded into
+    # (cell, rides) partials; only those cross back and Spark merges them.
+    r = r.repartition(spark.sparkContext.defaultParallelism)
     part = r.mapInPandas(_cell_visit_batches, "cell long, n long")
     return part.groupBy("cell").agg(F.sum("n").alias("n_rides"))
 

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import udtf
 
-from riverbed.functions.geo import DELTA_LAT, DELTA_LON, LAT_NORTH, LON_WEST, walk_cells
+from riverbed.functions.geo import DELTA_LAT, DELTA_LON, LAT_NORTH, LON_WEST, walk_lengths
 from riverbed.plans import basics  # noqa: F401  (registers flatmap_split, whose oracle U2 shares)
 from riverbed.plans.geo_places import D_GX, D_GY, RV
 from riverbed.plans.oracle_views import with_views
@@ -32,8 +32,7 @@ def cells_on_way_count(lon1: pd.Series, lat1: pd.Series, lon2: pd.Series, lat2:
     """Number of grid cells on the straight path between two points (vectorised)."""
     gx = lambda lon: np.floor((abs(LON_WEST) - np.abs(lon.to_numpy(np.float64))) / DELTA_LON).astype(np.int64)
     gy = lambda lat: np.floor((LAT_NORTH - lat.to_numpy(np.float64)) / DELTA_LAT).astype(np.int64)
-    cells = walk_cells(gx(lon1), gy(lat1), gx(lon2), gy(lat2))
-    return pd.Series([len(c) for c in cells], dtype="int64")
+    return pd.Series(walk_lengths(gx(lon1), gy(lat1), gx(lon2), gy(lat2)), dtype="int64")
 
 
 WALK_SQL = (RV + f"""
