@@ -6,7 +6,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riverbed.session import shared_dir
+from riverbed.session import materialize
 
 
 def vertices(edges: DataFrame, initial: float = 1.0) -> DataFrame:
@@ -32,13 +32,12 @@ def pagerank_df(spark: SparkSession, edges: DataFrame, iterations: int, damping:
 
     The transition table is hash-partitioned by source once and kept
     (memory and disk), so every iteration's join reuses its partitioning and
-    only the rank vector moves.  Ranks are checkpointed to the shared
-    checkpoint folder every few iterations to cut the lineage; a lost
-    executor then recomputes at most ``checkpoint_every`` iterations.
+    only the rank vector moves.  Ranks are written to the shared checkpoint
+    folder every few iterations to cut the lineage; a lost executor then
+    recomputes at most ``checkpoint_every`` iterations.
     """
-    shared_dir(spark)
     # the edge list feeds both sides of the transition join; materialise it once
-    edges = edges.checkpoint(eager=True)
+    edges = materialize(edges, "pagerank-edges")
     t = transitions(edges).repartition("src").persist(StorageLevel.MEMORY_AND_DISK)
     v = vertices(t.select("src", "dst")).select("id").persist(StorageLevel.MEMORY_AND_DISK)
     n = v.count()
@@ -49,5 +48,5 @@ def pagerank_df(spark: SparkSession, edges: DataFrame, iterations: int, damping:
         ranks = v.join(contrib.withColumnRenamed("dst", "id"), "id", "left").select(
             "id", ((1 - damping) / n + damping * F.coalesce(F.col("s"), F.lit(0.0))).alias("rank"))
         if i % checkpoint_every == 0 and i < iterations:
-            ranks = ranks.checkpoint(eager=True)
+            ranks = materialize(ranks, f"pagerank-ranks-{i}")
     return ranks

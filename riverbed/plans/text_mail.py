@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from riverbed.functions.text import STOP_WORDS, email_address, month_of, word_rows, words
 from riverbed.plans.oracle_views import with_views
 from riverbed.plans.registry import query
-from riverbed.session import shared_dir
+from riverbed.session import materialize
 from riverbed.sources import views
 from riverbed.sources.tables import table
 
@@ -76,12 +76,11 @@ def tf_idf(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = docs(spark, sf_dir)
     n = table(spark, sf_dir, "documents").select(F.count(F.lit(1))).scalar()
     # Tokenising is the costly step and the planner does not share it between
-    # the two sides of the join, so TF is materialised once (a reliable
-    # checkpoint in the shared folder) and both sides read it.  Each (doc, word)
-    # appears once in TF, so DF is a count over it — a partial aggregate, so a
-    # word found in every document is still one row per map task.
-    shared_dir(spark)
-    tf = term_frequency_df(d).checkpoint(eager=True)
+    # the two sides of the join, so TF is written once to the shared folder and
+    # both sides read it.  Each (doc, word) appears once in TF, so DF is a count
+    # over it — a partial aggregate, so a word found in every document is still
+    # one row per map task.
+    tf = materialize(term_frequency_df(d), "tf")
     j = tf.join(tf.groupBy("word").agg(F.count(F.lit(1)).alias("df")), "word")
     return j.select("doc_id", "word", F.round(F.col("tf") * (n / F.col("df")), 6).alias("tf_idf"))
 

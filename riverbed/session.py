@@ -92,3 +92,15 @@ def ship_package(spark: SparkSession) -> None:
                     z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
     sc.addPyFile(zpath)
     _SHIPPED.add(app)
+
+
+def materialize(df, name: str):
+    """Write ``df`` once as parquet under the shared folder and read it back.
+
+    Used where a plan would otherwise be computed twice (both sides of a join)
+    or where an iteration's lineage must be cut.  Unlike ``checkpoint()`` on an
+    uncached plan, the plan runs once; the files survive executor loss."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("error").parquet(path)
+    return spark.read.parquet(path)
