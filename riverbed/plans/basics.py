@@ -98,7 +98,8 @@ def high_temp_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = views.sensors(spark, sf_dir).select("event_id", "sensor_id", "ts", "temp")
     hot = F.when(F.col("temp") > 100.0, 1).otherwise(0).cast("bigint")
     r = running_sum(s, ["sensor_id"], ["ts", "event_id"], day_chunk(), hot, "key_count")
-    r = running_sum(r, [], ["ts", "event_id"], day_chunk(), hot, "total_count")
+    # no key: hour chunks, so even a day holding a third of the rows is split 24 ways
+    r = running_sum(r, [], ["ts", "event_id"], F.date_trunc("hour", "ts"), hot, "total_count")
     return r.select("event_id", "sensor_id", "key_count", "total_count")
 
 
