@@ -1,5 +1,10 @@
 """Custom stateful operators for Structured Streaming.
 
+Processors that replay a key's rows in order hold that key's rows of one
+micro-batch in memory; the trigger's size limit (files or offsets per
+trigger) bounds that, not the key's total volume, which stays in the state
+store.
+
 ``long_rides_stream``: per ride id, a START waits for its END; an event-time
 timeout at start + 2 h emits the START if no END came in time (an END may
 arrive first).  State per key is one small row; a key is removed as soon as it
@@ -127,10 +132,7 @@ class AsOfJoinProcessor(StatefulProcessor):
 
 def asof_join_stream(events: DataFrame, delay: str = "1 minute") -> DataFrame:
     """``events``: stream of (customer_id, kind 'T'|'C', trade_id, ts instant, info)."""
-    from riverbed.session import ROCKSDB_PROVIDER
-    spark = events.sparkSession
-    if spark.conf.get("spark.sql.streaming.stateStore.providerClass", "") != ROCKSDB_PROVIDER:
-        spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
+    _with_rocksdb(events.sparkSession)
     e = events.withWatermark("ts", delay).select(
         "customer_id", "kind", "trade_id", "ts", (F.unix_micros("ts") / 1000).cast("long").alias("ts_ms"), "info")
     return e.groupBy("customer_id").transformWithStateInPandas(
@@ -190,12 +192,87 @@ class RangeCountProcessor(StatefulProcessor):
 def range_count_stream(events: DataFrame, key: str, id_col: str, ts: str, range_ms: int,
                        delay: str = "1 minute") -> DataFrame:
     """``events`` is a stream with an instant ``ts`` column; returns (key, id, ts_ms, cnt)."""
-    from riverbed.session import ROCKSDB_PROVIDER
-    spark = events.sparkSession
-    if spark.conf.get("spark.sql.streaming.stateStore.providerClass", "") != ROCKSDB_PROVIDER:
-        spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
+    _with_rocksdb(events.sparkSession)
     e = events.withWatermark(ts, delay).select(
         F.col(key).alias("key"), F.col(id_col).alias("id"), ts, (F.unix_micros(ts) / 1000).cast("long").alias("ts_ms"))
     return e.groupBy("key").transformWithStateInPandas(
         statefulProcessor=RangeCountProcessor(range_ms), outputStructType="key long, id long, ts_ms long, cnt long",
         outputMode="Append", timeMode="EventTime")
+
+
+class HeartbeatSessionProcessor(StatefulProcessor):
+    """ST14 per (instance, product, customer): the newest accepted heartbeat time
+    in value state; a heartbeat not newer than it is ignored, a newer one emits
+    the seconds since the previous one.  Rows of a micro-batch are taken in
+    arrival (event id) order."""
+
+    def init(self, handle) -> None:
+        self.last = handle.getValueState("last", "ts_s long")
+
+    def handleInputRows(self, key, rows, timerValues):
+        batch = pd.concat(list(rows)).sort_values("event_id")
+        last = self.last.get()[0] if self.last.exists() else None
+        out = []
+        for eid, ts in zip(batch["event_id"], batch["ts_s"]):
+            ts = int(ts)
+            if last is None:
+                last = ts
+            elif ts > last:
+                out.append((*key, int(eid), ts, ts - last))
+                last = ts
+        self.last.update((last,))
+        if out:
+            yield pd.DataFrame(out, columns=["instance_id", "product_id", "customer_id", "event_id", "ts_s", "session_s"])
+
+    def close(self) -> None:
+        pass
+
+
+class TravelTimeProcessor(StatefulProcessor):
+    """ST25 per (destination cell, direction bucket): running Σxy, Σx², n of
+    finished rides in value state; each START is answered with the model as it
+    stands (−1 below two points).  Rows of a micro-batch are replayed in event
+    order, START before END at equal times."""
+
+    def init(self, handle) -> None:
+        self.model = handle.getValueState("model", "sxy double, sxx double, n long")
+
+    def handleInputRows(self, key, rows, timerValues):
+        batch = pd.concat(list(rows)).sort_values(["event_ms", "is_end", "ride_id"])
+        sxy, sxx, n = self.model.get() if self.model.exists() else (0.0, 0.0, 0)
+        out = []
+        for rid, is_end, x, y in zip(batch["ride_id"], batch["is_end"], batch["x"], batch["y"]):
+            if is_end:
+                sxy, sxx, n = sxy + x * y, sxx + x * x, n + 1
+            else:
+                pred = -1 if n < 2 else (0 if sxx == 0 else int(round(sxy / sxx * x, 6)))
+                out.append((int(rid), *key, pred))
+        self.model.update((float(sxy), float(sxx), int(n)))
+        if out:
+            yield pd.DataFrame(out, columns=["ride_id", "cell", "bucket", "predicted"])
+
+    def close(self) -> None:
+        pass
+
+
+def _with_rocksdb(spark) -> None:
+    from riverbed.session import ROCKSDB_PROVIDER
+    if spark.conf.get("spark.sql.streaming.stateStore.providerClass", "") != ROCKSDB_PROVIDER:
+        spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
+
+
+def heartbeat_sessions_stream(beats: DataFrame) -> DataFrame:
+    """``beats``: stream of (instance_id, product_id, customer_id, event_id, ts_s)."""
+    _with_rocksdb(beats.sparkSession)
+    return beats.groupBy("instance_id", "product_id", "customer_id").transformWithStateInPandas(
+        statefulProcessor=HeartbeatSessionProcessor(),
+        outputStructType="instance_id long, product_id string, customer_id long, event_id long, ts_s long, "
+                         "session_s long", outputMode="Append", timeMode="None")
+
+
+def travel_time_stream(rides: DataFrame) -> DataFrame:
+    """``rides``: stream of (ride_id, is_end, event_ms, cell, bucket, x, y)."""
+    _with_rocksdb(rides.sparkSession)
+    return rides.groupBy("cell", "bucket").transformWithStateInPandas(
+        statefulProcessor=TravelTimeProcessor(),
+        outputStructType="ride_id long, cell int, bucket int, predicted int", outputMode="Append", timeMode="None")

@@ -195,3 +195,31 @@ def test_over_range_count_stream(spark):
     want = sql_over_range_count(spark, SF_SMALL)
     _same(got.select(F.col("id").alias("ride_id"), F.col("key").alias("cell"), "cnt"),
           want.select("ride_id", F.col("cell").cast("long").alias("cell"), "cnt"))
+
+
+def test_heartbeat_sessions_stream(spark):
+    from riverbed.functions.time import epoch_millis
+    from riverbed.plans.heartbeats import instance_sessions
+    from riverbed.streaming.processors import heartbeat_sessions_stream
+    b = views.beats(spark, SF_SMALL).select("instance_id", "product_id", "customer_id", "event_id",
+                                             F.floor(epoch_millis("ts") / 1000).alias("ts_s"), "ts")
+    bs = _stream(spark, b, "ts", "beats").drop("ts")
+    got = _run(spark, heartbeat_sessions_stream(bs), "beats")
+    _same(got, instance_sessions(spark, SF_SMALL))
+
+
+def test_travel_time_stream(spark):
+    from riverbed.functions import geo
+    from riverbed.functions.time import epoch_millis, minutes_between
+    from riverbed.plans.geo_places import cleansed
+    from riverbed.plans.travel import travel_time_prediction
+    from riverbed.streaming.processors import travel_time_stream
+    r = cleansed(views.rides(spark, SF_SMALL)).select(
+        "ride_id", (~F.col("is_start")).alias("is_end"), "event_time", epoch_millis("event_time").alias("event_ms"),
+        geo.grid_cell("end_lon", "end_lat").alias("cell"),
+        (geo.direction("start_lon", "start_lat", "end_lon", "end_lat") / 45).cast("int").alias("bucket"),
+        geo.distance("start_lon", "start_lat", "end_lon", "end_lat").alias("x"),
+        F.coalesce(minutes_between("start_time", "end_time"), F.lit(0.0)).alias("y"))
+    rs = _stream(spark, r, "event_time", "travel").drop("event_time")
+    got = _run(spark, travel_time_stream(rs), "travel")
+    _same(got, travel_time_prediction(spark, SF_SMALL))
