@@ -55,8 +55,10 @@ def alert_interval_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Matched clicks counted per client in the rule's own window [begin, end) cut
     to whole seconds (ST12)."""
     m = active_matches(spark, sf_dir)
-    return m.groupBy("client_id", F.date_trunc("second", "begin_ts").alias("window_begin"),
-                     F.date_trunc("second", "end_ts").alias("window_end")).agg(F.count(F.lit(1)).alias("cnt"))
+    # date_trunc yields a session-zone TIMESTAMP; keep the UTC wall clock type
+    sec = lambda c: F.date_trunc("second", c).cast("timestamp_ntz")
+    return m.groupBy("client_id", sec("begin_ts").alias("window_begin"),
+                     sec("end_ts").alias("window_end")).agg(F.count(F.lit(1)).alias("cnt"))
 
 
 # fixed values: (first shape, second shape) rule pairs over the event kinds
@@ -108,7 +110,7 @@ def early_fire_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = views.sensors(spark, sf_dir)
     end = F.window("ts", f"{FIRE_WINDOW_S} seconds").end
     s = s.select("sensor_id", end.alias("window_end"),
-                 F.timestamp_add("SECOND", F.lit(1), F.date_trunc("second", "ts")).alias("first_tick"))
+                 F.timestamp_add("SECOND", F.lit(1), F.date_trunc("second", "ts").cast("timestamp_ntz")).alias("first_tick"))
     ticks = s.select("sensor_id", "window_end", F.explode(
         F.sequence("first_tick", "window_end", F.expr("INTERVAL 1 SECOND"))).alias("tick"))
     return ticks.groupBy("sensor_id", "window_end", "tick").agg(F.count(F.lit(1)).alias("cnt"))
