@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from riverbed.session import spread
 from riverbed.sources.tables import table
 
 
@@ -102,7 +103,7 @@ def edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer are left to the planner's size-checked broadcast threshold.
     The aggregate is partial (map-side) before the shuffle on (src, dst).
     """
-    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey", "l_extendedprice", "l_discount")
+    li = spread(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey", "l_extendedprice", "l_discount"))
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
