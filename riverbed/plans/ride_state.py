@@ -14,6 +14,7 @@ from riverbed.operators.running import running_sum
 from riverbed.plans.geo_places import D_DIST, D_IN_NYC, cleansed
 from riverbed.plans.oracle_views import with_views
 from riverbed.plans.registry import query
+from riverbed.session import spread
 from riverbed.sources import views
 from riverbed.sources.tables import table
 
@@ -162,7 +163,7 @@ def trips_to_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each trip (order line: ordered → shipped) becomes a START and an END event,
     numbered in time order (IO8, SO2).  The global number is a prefix count by
     day chunks, not a single-partition ``row_number``."""
-    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate")
+    li = spread(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate"))
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
     trips = li.join(o, li.l_orderkey == o.o_orderkey).drop("o_orderkey")
     kinds = F.array(
