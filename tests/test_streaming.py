@@ -223,3 +223,17 @@ def test_travel_time_stream(spark):
     rs = _stream(spark, r, "event_time", "travel").drop("event_time")
     got = _run(spark, travel_time_stream(rs), "travel")
     _same(got, travel_time_prediction(spark, SF_SMALL))
+
+
+def test_disordered_arrival_keeps_event_time_answers(spark):
+    """Rows arrive up to 7 s out of event-time order (staged by arrival time);
+    with a 10 s watermark delay the windowed answer equals the batch one."""
+    from riverbed.plans.basics import window_max
+    s = views.sensors(spark, SF_SMALL)
+    arrived = s.withColumn("arrival", F.timestamp_add("MILLISECOND", (F.col("event_id") * 7919) % 7000, F.col("ts")))
+    path = scratch_path(spark, "disorder")
+    stage_files(arrived, path, "arrival", N_FILES)
+    flush_row(arrived, ["ts", "arrival"], sensor_id=-1).write.mode("append").parquet(path)
+    st = file_stream(spark, path, arrived.schema).drop("arrival").withColumn("ts", to_instant("ts"))
+    got = _run(spark, twins.window_max_stream(st, delay="10 seconds"), "disorder").filter("sensor_id >= 0")
+    _same(got.withColumn("window_end", to_wall_clock("window_end")), window_max(spark, SF_SMALL))
