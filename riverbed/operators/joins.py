@@ -10,7 +10,13 @@ form all pairs of a key:
   filter.  Pairs are bounded by the band, not by the key's size.
 * ``asof_join``: for each left row, the newest right row of the same key with
   ``right_t <= left_t``.  Done by a union of both sides and a running
-  ``last(..., ignorenulls)`` over (key, time) — one sort per key, no pairs.
+  ``last(..., ignorenulls)`` inside (key, time chunk) partitions, with the
+  newest right row of earlier chunks carried in from a small per-chunk
+  table — no pairs, and a hot key is split over its chunks.
+
+``windows.top1_per_group`` and the ``running`` module follow the same rule:
+partial aggregates before every shuffle, and per-key sequences computed per
+(key, chunk) rather than per key.
 """
 
 from __future__ import annotations
