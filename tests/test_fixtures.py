@@ -132,3 +132,22 @@ def test_asof_revise_against_brute_force(spark):
     want = _brute_revise(trades, customers)
     assert any(r[1] == 1 for r in want)
     assert got == want
+
+
+def test_rolling_sum_literal_case(spark):
+    """(1,2,2) (2,3,1) (2,2,4) (1,5,3): key field 0, summed field 1, in arrival order."""
+    from riverbed.operators.running import running_sum
+    rows = [(0, 1, 2, 2), (1, 2, 3, 1), (2, 2, 2, 4), (3, 1, 5, 3)]
+    df = spark.createDataFrame(rows, "seq long, k long, a long, b long")
+    got = sorted((r.seq, r.s) for r in running_sum(df, ["k"], ["seq"], F.lit(0), F.col("a"), "s").collect())
+    assert got == [(0, 2), (1, 3), (2, 5), (3, 7)]
+
+
+def test_thresholds_last_rule_wins(spark):
+    """(sensor_1, 5.0) (sensor_2, 2.0) (sensor_1, 1.2), default 4.0: the newest rule per id."""
+    from riverbed.operators.windows import top1_per_group
+    rules = spark.createDataFrame([(0, "sensor_1", 5.0), (1, "sensor_2", 2.0), (2, "sensor_1", 1.2)],
+                                  "seq long, id string, threshold double")
+    latest = top1_per_group(rules.withColumn("neg", -F.col("seq")), ["id"], "seq", "neg", ["threshold"])
+    got = sorted((r.id, r.threshold) for r in latest.collect())
+    assert got == [("sensor_1", 1.2), ("sensor_2", 2.0)]
