@@ -65,3 +65,26 @@ def split_writer(main_path: str, side_path: str, predicate):
         batch.write.mode("overwrite").parquet(os.path.join(main_path, f"batch_id={batch_id}"))
         batch.filter(predicate).write.mode("overwrite").parquet(os.path.join(side_path, f"batch_id={batch_id}"))
     return write
+
+
+def late_split_writer(main_path: str, late_path: str, state_path: str, ts_col: str, delay_ms: int):
+    """ST8 on a stream: rows behind the watermark go to a side output instead of
+    being dropped.  The watermark is batch-granular like Spark's own: the
+    largest event time of all earlier micro-batches minus ``delay_ms``, kept as
+    a one-row snapshot per batch id (``v=N``) in the shared folder, so a
+    replayed batch reads the same watermark and rewrites the same outputs."""
+    from riverbed.functions.time import epoch_millis
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        prev_path = os.path.join(state_path, f"v={batch_id - 1}")
+        prev = spark.read.parquet(prev_path).first()["max_ms"] if batch_id > 0 and _exists(spark, prev_path) else None
+        ms = epoch_millis(ts_col)
+        late = (ms < F.lit(prev - delay_ms)) if prev is not None else F.lit(False)
+        batch.filter(~late).write.mode("overwrite").parquet(os.path.join(main_path, f"batch_id={batch_id}"))
+        batch.filter(late).write.mode("overwrite").parquet(os.path.join(late_path, f"batch_id={batch_id}"))
+        top = batch.agg(F.max(ms).alias("m")).first()["m"]
+        new = max(v for v in (prev, top) if v is not None) if (prev is not None or top is not None) else None
+        spark.createDataFrame([(new,)], "max_ms long").write.mode("overwrite").parquet(
+            os.path.join(state_path, f"v={batch_id}"))
+    return write
