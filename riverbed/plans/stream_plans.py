@@ -17,7 +17,7 @@ from riverbed.streaming.files import file_stream, flush_row, stage_files
 from riverbed.streaming.processors import long_rides_stream
 from riverbed.streaming.sinks import latest_snapshot, replay_safe_writer, upsert_writer
 
-N_FILES = 8
+N_FILES = 4
 SENTINEL = -1
 
 
