@@ -94,3 +94,34 @@ def replay_safe_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = _run(st, spark, "replay", foreach=replay_safe_writer)
     replay_safe_writer(out)(spark.read.schema(s.schema).parquet(files[0]), 0)
     return spark.read.parquet(out).select("event_id", "sensor_id", "ts", "temp")
+
+
+@query("cep_long_rides_stream", with_views("rides") + """
+SELECT * FROM rides s WHERE s.is_start AND NOT EXISTS (
+  SELECT 1 FROM rides e WHERE NOT e.is_start AND e.ride_id = s.ride_id
+  AND e.event_time < s.start_time + INTERVAL '2 hours')""")
+def cep_long_rides_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ST17 as a built-in stream-stream left outer join: a START meets its END
+    only if the END comes within two hours; once the watermark passes that
+    bound Spark emits the START with a null partner — the timed-out pattern.
+    JVM-side state, no Python.  Sentinel START and END rows at a far time move
+    both sides' watermarks (each side's filter is pushed below its watermark)."""
+    r = views.rides(spark, sf_dir)
+    times = ["event_time", "start_time", "end_time"]
+    flush = flush_row(r, times, ride_id=SENTINEL, is_start=True).unionByName(
+        flush_row(r, times, ride_id=SENTINEL - 1, is_start=False))
+    path = scratch_path(spark, "cep-src")
+    stage_files(r, path, "event_time", N_FILES)
+    flush.write.mode("append").parquet(path)
+    s = file_stream(spark, path, r.schema)
+    for c in times:
+        s = s.withColumn(c, to_instant(c))
+    s = s.withWatermark("event_time", "1 minute")
+    starts = s.filter("is_start")
+    ends = s.filter(~F.col("is_start")).select(F.col("ride_id").alias("e_id"), F.col("event_time").alias("e_time"))
+    cond = ((F.col("ride_id") == F.col("e_id")) & (F.col("e_time") >= F.col("event_time"))
+            & (F.col("e_time") < F.col("event_time") + F.expr("INTERVAL 2 HOURS")))
+    timed_out = starts.join(ends, cond, "left_outer").filter(F.col("e_id").isNull()).drop("e_id", "e_time")
+    out = _run(timed_out, spark, "cep")
+    back = spark.read.parquet(out).filter(F.col("ride_id") >= 0)
+    return back.select(*[to_wall_clock(c).alias(c) if c in times else F.col(c) for c in r.columns])
