@@ -102,3 +102,38 @@ def running_sums_before(df: DataFrame, keys: Sequence[str], order: Sequence[str]
         res = res.withColumn(n, F.col(f"_o_{n}") + F.col(f"_w_{n}"))
     drop = ["_chunk"] + [f"_{p}_{n}" for n in values for p in ("v", "w", "o")]
     return res.drop(*drop)
+
+
+def gap_sessions(df: DataFrame, keys: Sequence[str], order: Sequence[str], time_col: str, chunk: Column,
+                 gap_ms: int, out: str = "session") -> DataFrame:
+    """Add ``out`` = session number per key: a new session starts at a key's
+    first row and wherever the time since the previous row exceeds ``gap_ms``.
+
+    One shuffle of the detail rows, by (key, chunk): flags and their running
+    count inside the chunk, plus a per-chunk summary (first/last time, flags
+    after the first row) that is a partial aggregate over the same
+    partitioning.  A window over the small (key, chunk) table decides whether
+    each chunk's first row opens a session (gap to the previous chunk's last
+    row) and the session offset of each chunk; a join brings it back.
+    """
+    keys = list(keys)
+    t = F.col(time_col)
+    d = df.withColumn("_chunk", chunk)
+    w = Window.partitionBy(*keys, "_chunk").orderBy(*order)
+    prev = F.lag(time_col).over(w)
+    gap = F.timestamp_diff("MILLISECOND", prev, t)
+    d = d.withColumn("_first", F.row_number().over(w) == 1) \
+         .withColumn("_new", F.when(prev.isNotNull() & (gap > gap_ms), 1).otherwise(0))
+    d = d.withColumn("_cum", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    summary = d.groupBy(*keys, "_chunk").agg(
+        F.min(t).alias("_t0"), F.max(t).alias("_t1"), F.sum("_new").alias("_n_inner"))
+    by_chunk = Window.partitionBy(*keys).orderBy("_chunk")
+    prev_last = F.lag("_t1").over(by_chunk)
+    opens = F.when(prev_last.isNull() | (F.timestamp_diff("MILLISECOND", prev_last, F.col("_t0")) > gap_ms), 1) \
+             .otherwise(0)
+    summary = summary.withColumn("_opens", opens).withColumn("_total", F.col("_n_inner") + F.col("_opens"))
+    summary = summary.withColumn(
+        "_offset", F.coalesce(F.sum("_total").over(by_chunk.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    res = d.join(summary.select(*keys, "_chunk", "_opens", "_offset"), [*keys, "_chunk"])
+    return res.withColumn(out, (F.col("_offset") + F.col("_opens") + F.col("_cum")).cast("bigint")).drop(
+        "_chunk", "_first", "_new", "_cum", "_opens", "_offset")

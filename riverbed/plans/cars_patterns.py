@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riverbed.operators.late import disordered_arrival, is_late, with_watermark_seen
-from riverbed.operators.running import previous_value, running_sum
+from riverbed.operators.running import gap_sessions, running_sum
 from riverbed.plans.oracle_views import with_views
 from riverbed.plans.registry import query
 from riverbed.sources import views
@@ -52,13 +52,11 @@ def driving_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per car, sessions separated by more than 6 h without events, with segment measures (ST7).
 
     Same grouping as ``session_window(event_time, '6 hours')`` (rows exactly
-    one gap apart stay together), written as islands so a hot car splits by day.
+    one gap apart stay together), written as islands so a hot car splits by
+    day: ``gap_sessions`` shuffles the detail rows once.
     """
-    c = views.cars(spark, sf_dir)
-    c = previous_value(c, ["car_id"], ["event_time", "id"], _day(), F.col("event_time"), "prev_time")
-    gap = F.timestamp_diff("MILLISECOND", F.col("prev_time"), F.col("event_time"))
-    c = c.withColumn("new_s", F.when(F.col("prev_time").isNull() | (gap > SESSION_GAP_MS), 1).otherwise(0).cast("bigint"))
-    c = running_sum(c, ["car_id"], ["event_time", "id"], _day(), F.col("new_s"), "session")
+    c = gap_sessions(views.cars(spark, sf_dir), ["car_id"], ["event_time", "id"], "event_time", _day(),
+                     SESSION_GAP_MS)
     return segment_measures(c, ["car_id", "session"]).drop("session")
 
 

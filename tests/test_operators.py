@@ -99,3 +99,23 @@ def test_band_join_inner_semi_anti(spark):
     assert {r[0] for r in _rows(band_join(l_df, r_df, ["k"], "lt", "rt", lo, hi, "left_semi", "lid"), ["lid"])} == matched
     assert {r[0] for r in _rows(band_join(l_df, r_df, ["k"], "lt", "rt", lo, hi, "left_anti", "lid"), ["lid"])} == \
         {lid for lid, _, _ in left} - matched
+
+
+def test_gap_sessions_matches_brute_force(spark):
+    from riverbed.operators.running import gap_sessions
+    rng = np.random.default_rng(8)
+    rows = [(i, int(k), BASE + timedelta(minutes=int(rng.integers(0, 4000))))
+            for i, k in enumerate(np.where(rng.random(300) < 0.7, 0, rng.integers(1, 4, 300)))]
+    df = spark.createDataFrame(rows, "id long, k long, t timestamp_ntz")
+    gap_ms = 30 * 60 * 1000
+    got = _rows(gap_sessions(df, ["k"], ["t", "id"], "t", F.date_trunc("hour", "t"), gap_ms), ["id", "session"])
+    want = []
+    for k in {r[1] for r in rows}:
+        mine = sorted((r for r in rows if r[1] == k), key=lambda r: (r[2], r[0]))
+        sess, last = 0, None
+        for i, _, t in mine:
+            if last is None or (t - last).total_seconds() * 1000 > gap_ms:
+                sess += 1
+            want.append((i, sess))
+            last = t
+    assert got == sorted(want)
