@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riverbed.functions.time import epoch_millis
-from riverbed.operators.running import previous_value, running_max_before
+from riverbed.operators.running import running_max_before
 from riverbed.plans.oracle_views import with_views
 from riverbed.plans.registry import query
 from riverbed.sources import views
@@ -31,13 +31,14 @@ def instance_sessions_df(beats: DataFrame) -> DataFrame:
     """Heartbeats in arrival order (event id); a beat not newer than the newest
     seen so far is ignored; each accepted beat after the first yields the time
     since the previous accepted one, in seconds."""
+    # A beat is accepted exactly when it raises the key's maximum, so the
+    # previous accepted beat is the running maximum of all earlier beats: one
+    # chunked running max, no second pass over the accepted rows.
     chunk = F.floor(F.col("event_id") / 4096)
     b = beats.withColumn("ts_s", F.floor(epoch_millis("ts") / 1000))
     b = running_max_before(b, KEYS, ["event_id"], chunk, F.col("ts_s"), "prev_max")
-    acc = b.filter(F.col("prev_max").isNull() | (F.col("ts_s") > F.col("prev_max")))
-    acc = previous_value(acc, KEYS, ["event_id"], chunk, F.col("ts_s"), "prev_ts")
-    return acc.filter(F.col("prev_ts").isNotNull()).select(
-        *KEYS, "event_id", "ts_s", (F.col("ts_s") - F.col("prev_ts")).alias("session_s"))
+    return b.filter(F.col("prev_max").isNotNull() & (F.col("ts_s") > F.col("prev_max"))).select(
+        *KEYS, "event_id", "ts_s", (F.col("ts_s") - F.col("prev_max")).alias("session_s"))
 
 
 @query("instance_sessions", SESSIONS_SQL + "SELECT * FROM sessions")
