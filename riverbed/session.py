@@ -73,24 +73,20 @@ _SHIPPED: set[str] = set()
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Make ``riverbed`` importable by Python workers (pandas UDFs, mapInPandas,
-    stateful processors are pickled by reference).  The package is zipped once
-    per application into the shared folder and added with ``addPyFile``, which
-    distributes it to every executor, including ones started later."""
+    """Make ``riverbed`` importable by Python workers (functions given to
+    ``mapInArrow``, pandas UDFs and stateful processors are pickled by
+    reference).  Once per application the driver zips the package in a folder
+    of its own and hands it to ``addPyFile``, which sends it to every executor,
+    later ones too; no executor reads the driver's folder, and the shared
+    folder may be in any store."""
     sc = spark.sparkContext
     app = sc.applicationId
     if app in _SHIPPED:
         return
-    import zipfile
+    import shutil
     pkg = os.path.dirname(os.path.abspath(__file__))
-    zpath = os.path.join(shared_dir(spark), f"riverbed-{app}-{uuid.uuid4().hex[:8]}.zip")
-    with zipfile.ZipFile(zpath, "w", zipfile.ZIP_DEFLATED) as z:
-        for root, _dirs, files in os.walk(pkg):
-            for f in files:
-                if f.endswith(".py"):
-                    full = os.path.join(root, f)
-                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
-    sc.addPyFile(zpath)
+    base = os.path.join(tempfile.mkdtemp(prefix="riverbed-pkg-"), "riverbed-" + uuid.uuid4().hex[:8])
+    sc.addPyFile(shutil.make_archive(base, "zip", os.path.dirname(pkg), os.path.basename(pkg)))
     _SHIPPED.add(app)
 
 
