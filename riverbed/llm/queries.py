@@ -6,11 +6,12 @@ whole table and derives the contract's columns from the operator's output.
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from riverbed.llm import minhash, substring_dedup
+from riverbed.llm import bpe, fingerprints, langid, licences, minhash, mixing, packing, secrets, substring_dedup, topk
 
-WORD = r"[^\x20\x09-\x0D]+"
+VOCABULARY, PATTERN = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,6 +24,49 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def op2_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five highest inner products of every fiftieth vector against all others."""
+    vectors = topk.quantised(_table(spark, sf_dir, "embeddings"))
+    return topk.top_k(vectors, vectors.filter("vec_id % 50 = 0"), k=5)
+
+
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as packed rows of 2,048 token ids."""
+    return packing.pack_tokens(_table(spark, sf_dir, "documents"), VOCABULARY, PATTERN)
+
+
+def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document."""
+    return secrets.digest(secrets.find_secrets(_table(spark, sf_dir, "documents")))
+
+
+def op5_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence passages of every document."""
+    return licences.find_licences(_table(spark, sf_dir, "documents"))
+
+
+def op6_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned outside the held-out fold."""
+    docs = _table(spark, sf_dir, "documents")
+    return langid.identify(docs, langid.learn(docs))
+
+
+def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of every document and the bytes they decode to, as hashes."""
+    out = bpe.encode(_table(spark, sf_dir, "documents"), VOCABULARY, PATTERN)
+    return out.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+
+
+def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and of its edited text."""
+    return fingerprints.fingerprint_documents(_table(spark, sf_dir, "documents"))
+
+
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that the mix of all sources takes of every document."""
+    return mixing.mix(_table(spark, sf_dir, "documents")).drop("copies")
+
+
 def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components at four-word shingles and similarity 0.8."""
     out = minhash.near_duplicates(_table(spark, sf_dir, "documents"), width=4, percent=80)
@@ -64,11 +108,49 @@ SELECT doc_id, len(g)::BIGINT AS n_shingles, component_id, doc_id IS NOT DISTINC
 FROM s JOIN m USING (rid)
 """
 
-QUERIES = {
-    "op1_substring_dedup": op1_substring_dedup,
-    "op10_minhash": op10_minhash,
-}
+_OP2_SQL = r"""
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+q AS (SELECT DISTINCT vec_id, v FROM v WHERE vec_id % 50 = 0),
+s AS (SELECT q.vec_id AS query_id, q.v AS qv, v.vec_id, list_dot_product(q.v, v.v)::BIGINT AS score
+  FROM q JOIN v ON q.vec_id <> v.vec_id)
+SELECT query_id, rank, vec_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id, qv ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s)
+WHERE rank <= 5
+"""
+
+_OP9_SQL = r"""
+WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
+    (('0x' || substr(md5(coalesce(doc_id::VARCHAR, 'null') || '|' || md5(coalesce(text, ''))), 1, 12))::BIGINT::DOUBLE
+      + 0.5) / 281474976710656.0 AS u FROM documents),
+z AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
+w AS (SELECT *, 2 * source_size::DOUBLE AS cap,
+    [5.0, 2.0, 1.0][((row_number() OVER (ORDER BY source COLLATE "C" NULLS LAST) - 1) % 3 + 1)::INTEGER]::DOUBLE AS w,
+    1.5 * sum(source_size::DOUBLE) OVER () AS budget FROM z),
+l AS (SELECT *, (budget - coalesce(sum(cap) OVER b, 0)) / (sum(w) OVER () - coalesce(sum(w) OVER b, 0)) AS level
+  FROM w WINDOW b AS (ORDER BY cap / w, source COLLATE "C" NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+f AS (SELECT *, cap <= w * level AS is_full FROM l),
+t AS (SELECT source, source_size, CASE WHEN is_full THEN cap
+    ELSE w * (SELECT arg_min(level, cap / w) FROM f WHERE NOT is_full) END AS target FROM f),
+r AS (SELECT *, CASE WHEN source_size > 0 THEN target / source_size ELSE 0.0 END AS due FROM t),
+p AS (SELECT d.doc_id, d.size, d.u, r.source, r.source_size, r.target, floor(due)::BIGINT AS whole, due - floor(due) AS p,
+    target - (floor(due)::BIGINT * source_size)::DOUBLE AS need
+  FROM d JOIN r ON d.source IS NOT DISTINCT FROM r.source),
+q AS (SELECT *, CASE WHEN p > 0 THEN (u / (1.0 - u)) * ((1.0 - p) / p) END AS q FROM p),
+k AS (SELECT *, floor(q / (q + 1.0) * 4294967296.0)::BIGINT AS rnk FROM q),
+c AS (SELECT *, sum(size) OVER (PARTITION BY source ORDER BY rnk) AS upto,
+    sum(size) OVER (PARTITION BY source, rnk) AS s FROM k)
+SELECT doc_id, size, source_size, target,
+  (size * (whole + CASE WHEN p > 0 AND 2 * upto - s <= 2 * need THEN 1 ELSE 0 END))::BIGINT AS taken FROM c
+"""
+
+QUERIES = {f.__name__: f for f in (
+    op1_substring_dedup, op2_topk, op3_packing, op4_secrets, op5_licences, op6_langid, op7_bpe, op8_fingerprints,
+    op9_mixing, op10_minhash)}
 ORACLE = {
     "op1_substring_dedup": _OP1_SQL,
+    "op2_topk": _OP2_SQL,
+    "op9_mixing": _OP9_SQL,
     "op10_minhash": _OP10_SQL,
 }
