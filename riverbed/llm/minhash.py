@@ -11,10 +11,22 @@ and at 0.85 with 2e-8.
 
 Links are confirmed on the full sets.  Equal sets are one *class* from the
 start, so copies cost one partial aggregate.  Inside a bucket not all pairs are
-formed: every class is first compared with one hub, and only classes that are
-still in different components afterwards are compared with each other.  A
-bucket whose members all reach one component needs nothing more, and no link
-that could change a component is skipped.
+formed.  Each bucket has a hub, its class with the most bucket mates; every
+member is compared with it (a *star*), which joins most of a group of copies.
+Of two members that are still in different components, only pairs that can
+possibly be linked are compared.  Relative to the hub, member x has ``common``
+elements and some additions; additions that more than ``MANY`` members of the
+star share count as common too.  Two members then share at most
+``min(common) + shared additions``.  So a linked pair either
+
+* reaches the threshold with ``min(common)`` alone: it is found by joining on
+  star and size, as the bound leaves a narrow range of sizes; or
+* shares a rare addition: it is found by joining on star and addition, each
+  member with its rarest additions only, as many as a link must hit once
+  (prefix filtering); such an addition has at most ``MANY`` members.
+
+Both bounds are exact, so no link that could join two components is skipped and
+the work stays linear in the size of a group.
 """
 
 from __future__ import annotations
@@ -33,6 +45,8 @@ from riverbed.session import materialize
 
 BANDS, ROWS = 24, 4
 PLACES = 1 << 16
+#: An addition that more members of a star share counts as part of its hub.
+MANY = 64
 #: Keys sent to every executor instead of shuffling whole texts; beyond it the texts are shuffled.
 BROADCAST_KEYS = 1_000_000
 _CIRCLE = np.random.Generator(np.random.PCG64(977)).permutation(PLACES).astype(np.uint16)
@@ -114,6 +128,60 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             .filter(100 * both >= percent * (F.size("x") + F.size("y") - both)).select("a", "b"))
 
 
+def _stars(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """Every member of a bucket against the bucket's hub: ``hub, node, n, hub_n,
+    common, added``, each pair once."""
+    score = members.groupBy("node").agg(F.sum("mates").alias("score"))
+    hubs = members.join(score, "node").groupBy("band").agg(F.max(F.struct("score", "node", "n")).alias("top"))
+    hubs = materialize(hubs.select("band", F.col("top.node").alias("hub"), F.col("top.n").alias("hub_n")), "hubs")
+    pairs = members.join(hubs, "band").filter("node <> hub").select("hub", "node", "n", "hub_n").distinct()
+    one = sets.select("node", F.col("items").alias("x"))
+    two = sets.select(F.col("node").alias("hub"), F.col("items").alias("y"))
+    return materialize(pairs.join(one, "node").join(two, "hub").select(
+        "hub", "node", "n", "hub_n", F.size(F.array_intersect("x", "y")).alias("common"),
+        F.array_except("x", "y").alias("added")), "stars")
+
+
+def _possible(stars: DataFrame, label: DataFrame, percent: int) -> DataFrame:
+    """Pairs a, b of one star, in different components, that can be linked."""
+    own = label.select("node", "root")
+    other = label.select(F.col("node").alias("hub"), F.col("root").alias("hub_root"))
+    rows = stars.join(own, "node", "left").join(other, "hub", "left").select(
+        "hub", "node", "n", "common", "added", F.coalesce("root", "node").alias("root"),
+        F.coalesce("hub_root", "hub").alias("hub_root"))
+    rows = materialize(rows, "placed")
+    open_ = materialize(rows.filter("root <> hub_root").select("hub").distinct(), "open")
+    rows = rows.join(open_, "hub", "left_semi")
+    items = rows.select("hub", "node", F.explode("added").alias("item"))
+    often = items.groupBy("hub", "item").agg(F.count("*").alias("f")).filter("f > 1")
+    known = items.join(often, ["hub", "item"]).groupBy("hub", "node").agg(
+        F.sum((F.col("f") > MANY).cast("int")).alias("hot"),
+        F.sort_array(F.collect_list(F.when(F.col("f") <= MANY, F.struct("f", "item")))).alias("rare"))
+    rows = rows.drop("added").join(known, ["hub", "node"], "left")
+    rows = rows.withColumn("common", F.col("common") + F.coalesce("hot", F.lit(0)))
+    must = F.greatest(F.lit(1), F.ceil((percent * F.col("n") - 100 * F.col("common")) / 100))
+    rows = materialize(rows.select("hub", "node", "n", "common", "root", "hub_root", F.slice(
+        "rare", F.lit(1), F.greatest(F.lit(0), F.size("rare") - must + 1).cast("int")).alias("rare")), "bounded")
+
+    def side(of: DataFrame, tag: str, keys: list[str]) -> DataFrame:
+        return of.select(*keys, *[F.col(c).alias(c + tag) for c in ("node", "n", "common", "root")])
+
+    listed = rows.filter("size(rare) > 0").withColumn("item", F.explode("rare.item"))
+    keys = ["hub", "item"]
+    shared = (side(listed, "1", keys).join(side(listed, "2", keys).withColumnRenamed("n2", "m"), keys)
+              .filter("root1 < root2").filter(_alike("n1", "m", percent)))
+    low = F.ceil(percent * F.col("n") / 100)
+    high = F.floor((100 + percent) * F.col("common") / percent) - F.col("n")
+    apart = rows.filter("root <> hub_root").withColumn(
+        "m", F.explode(F.when(low <= high, F.sequence(low.cast("long"), high.cast("long")))))
+    keys = ["hub", "m"]
+    alone = (side(apart, "1", keys).join(side(rows.withColumn("m", F.col("n")), "2", keys), keys)
+             .filter("root1 <> root2")
+             .filter((100 + percent) * F.least("common1", "common2") >= percent * (F.col("n1") + F.col("m"))))
+    pair = [F.least("node1", "node2").alias("a"), F.greatest("node1", "node2").alias("b")]
+    return shared.select(*pair).unionByName(alone.select(*pair)).distinct()
+
+
 def _alike(n: str, m: str, percent: int):
     """Sizes that a link allows: the smaller set holds the intersection, the larger lies in the union."""
     return 100 * F.least(n, m) >= percent * F.greatest(n, m)
@@ -136,14 +204,14 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
     rows = materialize(base.mapInArrow(
         _sign(width), "doc_id long, k1 long, k2 long, n long, node binary, bands array<long>"), "signatures")
     some = rows.filter("n > 0")
-    bucketed = some.groupBy("node").agg(F.first("n").alias("n"), F.first("bands").alias("bands")).select(
-        "node", "n", F.explode("bands").alias("band"))
-    shared = some.select("node", F.explode("bands").alias("band")).distinct().groupBy("band").agg(
-        F.count("*").alias("c")).filter("c > 1").select("band")
-    members = materialize(bucketed.join(shared, "band", "left_semi"), "buckets")
-
-    reps = some.groupBy("node").agg(F.min(F.struct("k1", "k2")).alias("one"), F.min("doc_id").alias("least"))
-    wanted = materialize(reps.join(members.select("node").distinct(), "node", "left_semi").select("node", "one.*"),
+    classes = materialize(some.groupBy("node").agg(
+        F.first("n").alias("n"), F.first("bands").alias("bands"), F.min(F.struct("k1", "k2")).alias("one"),
+        F.min("doc_id").alias("least")), "classes")
+    bucketed = classes.select("node", "n", F.explode("bands").alias("band"))
+    shared = bucketed.groupBy("band").agg(F.count("*").alias("mates")).filter("mates > 1")
+    members = materialize(bucketed.join(shared, "band"), "buckets")
+
+    wanted = materialize(classes.join(members.select("node").distinct(), "node", "left_semi").select("node", "one.*"),
                          "wanted")
     if wanted.count() <= BROADCAST_KEYS:
         wanted = F.broadcast(wanted)
@@ -151,24 +219,13 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
                        .mapInArrow(_sets(width), "node binary, items array<long>")
                        .dropDuplicates(["node"]), "sets")
 
-    hubs = members.groupBy("band").agg(F.min(F.struct("node", "n")).alias("hub"))
-    stars = (members.join(hubs, "band").filter("node <> hub.node").filter(_alike("n", "hub.n", percent))
-             .groupBy("node").agg(F.min("hub.node").alias("hub")))
-    first = materialize(_confirmed(stars.select(F.col("hub").alias("a"), F.col("node").alias("b")), sets, percent),
-                        "links")
-    label = connected_components(first)
-
-    placed = members.join(label, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    open_ = placed.groupBy("band").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).filter("r0 <> r1")
-    open_ = placed.join(open_.select("band"), "band", "left_semi")
-    left = open_.select("band", F.col("node").alias("a"), F.col("n").alias("na"), F.col("root").alias("ra"))
-    right = open_.select("band", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("root").alias("rb"))
-    pairs = (left.join(right, "band").filter("ra < rb").filter(_alike("na", "nb", percent))
-             .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-    links = first.unionByName(_confirmed(pairs, sets, percent))
-    label = connected_components(links)
-
-    classes = reps.join(label, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    stars = _stars(members, sets)
+    first = stars.filter(100 * F.col("common") >= percent * (F.col("n") + F.col("hub_n") - F.col("common")))
+    first = first.select(F.col("hub").alias("a"), F.col("node").alias("b"))
+    pairs = _possible(stars, connected_components(first), percent)
+    label = connected_components(first.unionByName(_confirmed(pairs, sets, percent)))
+
+    classes = classes.select("node", "least").join(label, "node", "left").withColumn("root", F.coalesce("root", "node"))
     group = classes.groupBy("root").agg(F.min("least").alias("component_id"))
     of_class = classes.join(group, "root").select("node", "component_id")
     linked = some.select("doc_id", "n", "node").join(of_class, "node").select("doc_id", "n", "component_id", "node")
