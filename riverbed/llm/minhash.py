@@ -98,15 +98,15 @@ def _class_name(names: np.ndarray) -> bytes | None:
 def _sign(width: int):
     def run(batches):
         for batch in batches:
-            n, node, bands = [], [], []
+            n, name, bands = [], [], []
             for names in _each(batch, "text", width):
                 n.append(len(names))
-                node.append(_class_name(names))
+                name.append(_class_name(names))
                 bands.append(band_names(signature(names)).view(np.int64) if len(names) else None)
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(c) for c in ("doc_id", "k1", "k2")), pa.array(n, pa.int64()),
-                 pa.array(node, pa.binary()), pa.array(bands, pa.list_(pa.int64()))],
-                names=["doc_id", "k1", "k2", "n", "node", "bands"])
+                 pa.array(name, pa.binary()), pa.array(bands, pa.list_(pa.int64()))],
+                names=["doc_id", "k1", "k2", "n", "name", "bands"])
     return run
 
 
@@ -115,16 +115,23 @@ def _sets(width: int):
         for batch in batches:
             sets = [x.view(np.int64) for x in _each(batch, "text", width)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("node"), pa.array(sets, pa.list_(pa.int64()))], names=["node", "items"])
+                [batch.column("node"), batch.column("again"), pa.array(sets, pa.list_(pa.int64()))],
+                names=["node", "again", "items"])
     return run
 
 
+def _small(keys: DataFrame) -> DataFrame:
+    """A table of keys, broadcast if its rows are counted to be few."""
+    return F.broadcast(keys) if keys.count() <= BROADCAST_KEYS else keys
+
+
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs a, b whose full sets have 100 * intersection >= percent * union."""
     one = sets.select(F.col("node").alias("a"), F.col("items").alias("x"))
     two = sets.select(F.col("node").alias("b"), F.col("items").alias("y"))
     both = F.size(F.array_intersect("x", "y"))
-    return (pairs.join(one, "a").join(two, "b")
+    pairs = materialize(pairs, "pairs")
+    return (_small(pairs).join(one, "a").join(two.join(_small(pairs.select("b").distinct()), "b", "left_semi"), "b")
             .filter(100 * both >= percent * (F.size("x") + F.size("y") - both)).select("a", "b"))
 
 
@@ -135,9 +142,11 @@ def _stars(members: DataFrame, sets: DataFrame) -> DataFrame:
     hubs = members.join(score, "node").groupBy("band").agg(F.max(F.struct("score", "node", "n")).alias("top"))
     hubs = materialize(hubs.select("band", F.col("top.node").alias("hub"), F.col("top.n").alias("hub_n")), "hubs")
     pairs = members.join(hubs, "band").filter("node <> hub").select("hub", "node", "n", "hub_n").distinct()
+    pairs = materialize(pairs, "pairs")
     one = sets.select("node", F.col("items").alias("x"))
     two = sets.select(F.col("node").alias("hub"), F.col("items").alias("y"))
-    return materialize(pairs.join(one, "node").join(two, "hub").select(
+    two = two.join(_small(pairs.select("hub").distinct()), "hub", "left_semi")
+    return materialize(_small(pairs).join(one, "node").join(two, "hub").select(
         "hub", "node", "n", "hub_n", F.size(F.array_intersect("x", "y")).alias("common"),
         F.array_except("x", "y").alias("added")), "stars")
 
@@ -189,7 +198,7 @@ def _alike(n: str, m: str, percent: int):
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id",
                     text_col: str = "text") -> DataFrame:
-    """Per row: ``doc_id, n_shingles, component_id, kept`` and its class ``node``.
+    """Per row: ``doc_id, n_shingles, component_id, kept``.
 
     component_id is the least id reachable over links; kept is true where the
     row's id is that id.  Null, empty and blank texts have no shingles and are
@@ -202,22 +211,23 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
     k1, k2 = row_key(F.col(id_col), F.col(text_col))
     base = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), k1.alias("k1"), k2.alias("k2"))
     rows = materialize(base.mapInArrow(
-        _sign(width), "doc_id long, k1 long, k2 long, n long, node binary, bands array<long>"), "signatures")
+        _sign(width), "doc_id long, k1 long, k2 long, n long, name binary, bands array<long>"), "signatures")
     some = rows.filter("n > 0")
-    classes = materialize(some.groupBy("node").agg(
+    # written once, so the short numbers that stand for classes from here on are fixed
+    classes = materialize(some.groupBy("name").agg(
         F.first("n").alias("n"), F.first("bands").alias("bands"), F.min(F.struct("k1", "k2")).alias("one"),
-        F.min("doc_id").alias("least")), "classes")
+        F.min("doc_id").alias("least")).withColumn("node", F.monotonically_increasing_id()), "classes")
     bucketed = classes.select("node", "n", F.explode("bands").alias("band"))
     shared = bucketed.groupBy("band").agg(F.count("*").alias("mates")).filter("mates > 1")
     members = materialize(bucketed.join(shared, "band"), "buckets")
 
-    wanted = materialize(classes.join(members.select("node").distinct(), "node", "left_semi").select("node", "one.*"),
+    again = some.groupBy("k1", "k2").agg(F.count("*").alias("times"))
+    wanted = classes.join(members.select("node").distinct(), "node", "left_semi").select("node", "one.*")
+    wanted = materialize(wanted.join(again, ["k1", "k2"]).select("node", "k1", "k2", (F.col("times") > 1).alias("again")),
                          "wanted")
-    if wanted.count() <= BROADCAST_KEYS:
-        wanted = F.broadcast(wanted)
-    sets = materialize(base.select("k1", "k2", "text").join(wanted, ["k1", "k2"]).select("node", "text")
-                       .mapInArrow(_sets(width), "node binary, items array<long>")
-                       .dropDuplicates(["node"]), "sets")
+    sets = materialize(base.select("k1", "k2", "text").join(_small(wanted), ["k1", "k2"]).select("node", "again", "text")
+                       .mapInArrow(_sets(width), "node long, again boolean, items array<long>"), "sets")
+    sets = sets.filter("not again").unionByName(sets.filter("again").dropDuplicates(["node"])).drop("again")
 
     stars = _stars(members, sets)
     first = stars.filter(100 * F.col("common") >= percent * (F.col("n") + F.col("hub_n") - F.col("common")))
@@ -225,14 +235,15 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
     pairs = _possible(stars, connected_components(first), percent)
     label = connected_components(first.unionByName(_confirmed(pairs, sets, percent)))
 
-    classes = classes.select("node", "least").join(label, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    group = classes.groupBy("root").agg(F.min("least").alias("component_id"))
-    of_class = classes.join(group, "root").select("node", "component_id")
-    linked = some.select("doc_id", "n", "node").join(of_class, "node").select("doc_id", "n", "component_id", "node")
-    alone = rows.filter("n = 0").select("doc_id", "n", F.col("doc_id").alias("component_id"), "node")
+    placed = classes.select("name", "node", "least").join(label, "node", "left")
+    placed = placed.withColumn("root", F.coalesce("root", "node"))
+    group = placed.groupBy("root").agg(F.min("least").alias("component_id"))
+    of_class = placed.join(group, "root").select("name", "component_id")
+    linked = some.select("doc_id", "n", "name").join(of_class, "name").select("doc_id", "n", "component_id")
+    alone = rows.filter("n = 0").select("doc_id", "n", F.col("doc_id").alias("component_id"))
     return linked.unionByName(alone).select(
         "doc_id", F.col("n").alias("n_shingles"), "component_id",
-        F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"), "node")
+        F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
 def keep_one(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id",
