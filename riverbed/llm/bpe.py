@@ -27,14 +27,14 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riverbed.llm.frames import ready
+from riverbed.llm.frames import parts, ready
 
 #: Characters a match of the pattern may look at past its end.
 LOOK = 3
 #: Leaves of the trees: characters of a text, bytes of a piece, tokens to decode.
 TEXT_LEAF, PIECE_LEAF, TOKEN_LEAF = 1 << 14, 32, 1 << 14
-#: Entries kept for repeated pieces and token pairs before a worker starts afresh.
-MEMORY = 1 << 19
+#: Repeated pieces and token pairs that a worker remembers, in each of two generations.
+MEMORY = 1 << 16
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -44,16 +44,23 @@ def load_ranks(path: str) -> dict[bytes, int]:
 
 
 class Pieces(dict):
-    """Token ids by piece, worked out on first use."""
+    """Results by piece, worked out on first use.  When full, the young entries
+    become the old ones; an old entry that is used again becomes young."""
 
     def __init__(self, work):
         super().__init__()
-        self.work = work
+        self.work, self.old = work, {}
 
     def __missing__(self, piece):
+        out = self.old.get(piece)
+        if out is None:
+            out = self.work(piece)
+            if len(piece) > PIECE_LEAF:
+                return out
         if len(self) >= MEMORY:
+            self.old = dict(self)
             self.clear()
-        out = self[piece] = self.work(piece)
+        self[piece] = out
         return out
 
 
@@ -186,7 +193,7 @@ def _encode(ranks, pattern: str):
     def run(batches):
         bpe = bpe_for(ranks, pattern)
         names = [str(i) for i in range(max(bpe.bytes, default=-1) + 1)]
-        for batch in batches:
+        for batch in parts(batches):
             rows = []
             for x in batch.column("text"):
                 ids = bpe.encode(x.as_py() or "")
@@ -221,7 +228,7 @@ def _decode(ranks, pattern: str):
     def run(batches):
         import numpy as np
         bpe = bpe_for(ranks, pattern)
-        for batch in batches:
+        for batch in parts(batches):
             out = [bpe.decode(np.frombuffer(x.as_py() or b"", "<i4").tolist()) for x in batch.column("ids")]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(out, pa.binary())],
                                              names=["doc_id", "bytes"])

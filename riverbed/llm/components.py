@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riverbed.session import materialize
+from riverbed.llm.frames import materialize
 
 
 def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:

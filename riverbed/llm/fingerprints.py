@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riverbed.llm.frames import ready
+from riverbed.llm.frames import parts, ready
 
 PRIMES, BASES = (2147483647, 2147483629), (131071 * 7 + 4, 524287 * 3 + 2)
 #: Rows of a chunk of neighbouring ids, and most chunks (then chunks grow).
@@ -105,7 +105,7 @@ def _walk(batches):
     """Rows of a chunk come in order, its last one followed by a row with ``mark``
     that holds the next chunk's first text."""
     held = None
-    for batch in batches:
+    for batch in parts(batches):
         rows = []
         for doc, text, mark in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(),
                                    batch.column("mark").to_pylist(), strict=True):

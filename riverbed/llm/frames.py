@@ -5,7 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riverbed.session import ship_package
+from riverbed import session
+
+#: Rows sent to a Python worker at a time while a table is written; texts are long.
+BATCH_ROWS = 1000
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def fresh(df: DataFrame, *names: str) -> list[str]:
@@ -31,5 +35,24 @@ def row_key(id_col: Column, text_col: Column) -> list[Column]:
 
 def ready(df: DataFrame) -> DataFrame:
     """Make the package importable by the Python workers of this session."""
-    ship_package(df.sparkSession)
+    session.ship_package(df.sparkSession)
     return df
+
+
+def parts(batches, rows: int = 512):
+    """Arrow batches in runs of at most ``rows`` rows, so results don't pile up."""
+    for batch in batches:
+        for i in range(0, batch.num_rows, rows):
+            yield batch.slice(i, rows)
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once to the shared folder and read it back, with small Arrow
+    batches meanwhile, so that executors hold few long texts at a time."""
+    conf = df.sparkSession.conf
+    was = conf.get(_BATCH)
+    conf.set(_BATCH, str(min(int(was), BATCH_ROWS) if int(was) > 0 else BATCH_ROWS))
+    try:
+        return session.materialize(df, name)
+    finally:
+        conf.set(_BATCH, was)

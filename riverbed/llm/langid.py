@@ -16,8 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from riverbed.llm.frames import ready
-from riverbed.session import materialize
+from riverbed.llm.frames import materialize, parts, ready
 
 #: Length of a profile, and labelled documents that a language's profile is learned from.
 PROFILE, SAMPLE = 300, 1000
@@ -121,7 +120,7 @@ def learn(docs: DataFrame, sample: int = SAMPLE, length: int = PROFILE, id_col:
 
 def _predict(profiles: Profiles):
     def run(batches):
-        for batch in batches:
+        for batch in parts(batches):
             got = [profiles.predict(x.as_py()) for x in batch.column("text")]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("held_out"), pa.array([g[0] for g in got], pa.string()),
@@ -143,7 +142,7 @@ def identify(docs: DataFrame, profiles: Profiles, id_col: str = "doc_id", text_c
 
 def _known(profiles: Profiles, text: str, least: float):
     def run(batches):
-        for batch in batches:
+        for batch in parts(batches):
             got = [profiles.predict(x.as_py()) for x in batch.column(text)]
             yield batch.filter(pa.array([g[0] != UNKNOWN and g[1] >= least for g in got], pa.bool_()))
     return run

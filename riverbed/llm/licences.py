@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riverbed.llm.frames import ready
+from riverbed.llm.frames import parts, ready
 
 # Wording of common licence notices, by SPDX identifier.
 TEMPLATES = (
@@ -116,7 +116,7 @@ def _scan(templates, least: float):
         known = Templates(templates, least)
         kind = pa.list_(pa.struct([("first_line", pa.int32()), ("end_line", pa.int32()), ("licence", pa.string()),
                                    ("dice", pa.float64())]))
-        for batch in batches:
+        for batch in parts(batches):
             rows = [[{"first_line": a, "end_line": b, "licence": n, "dice": d} for a, b, n, d in known.find(x.as_py() or "")]
                     for x in batch.column("text")]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(rows, kind)], names=["doc_id", "found"])

@@ -39,9 +39,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riverbed.llm.components import connected_components
-from riverbed.llm.frames import fresh, ready, row_key
+from riverbed.llm.frames import fresh, materialize, ready, row_key
 from riverbed.llm.words import U64, Words, mix, row_slices, text_bytes
-from riverbed.session import materialize
 
 BANDS, ROWS = 24, 4
 PLACES = 1 << 16
@@ -86,9 +85,11 @@ def band_names(sig: np.ndarray) -> np.ndarray:
 
 
 def _each(batch: pa.RecordBatch, text: str, width: int):
+    """Runs of rows of a batch with their sets."""
     data, offs = text_bytes(batch.column(text))
     for lo, hi in row_slices(offs):
-        yield from shingle_sets(Words(data[offs[lo]:offs[hi]], offs[lo:hi + 1] - offs[lo], lower=True), width)
+        words = Words(data[offs[lo]:offs[hi]], offs[lo:hi + 1] - offs[lo], lower=True)
+        yield batch.slice(lo, hi - lo), shingle_sets(words, width)
 
 
 def _class_name(names: np.ndarray) -> bytes | None:
@@ -98,25 +99,27 @@ def _class_name(names: np.ndarray) -> bytes | None:
 def _sign(width: int):
     def run(batches):
         for batch in batches:
-            n, name, bands = [], [], []
-            for names in _each(batch, "text", width):
-                n.append(len(names))
-                name.append(_class_name(names))
-                bands.append(band_names(signature(names)).view(np.int64) if len(names) else None)
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in ("doc_id", "k1", "k2")), pa.array(n, pa.int64()),
-                 pa.array(name, pa.binary()), pa.array(bands, pa.list_(pa.int64()))],
-                names=["doc_id", "k1", "k2", "n", "name", "bands"])
+            for rows, sets in _each(batch, "text", width):
+                n, name, bands = [], [], []
+                for names in sets:
+                    n.append(len(names))
+                    name.append(_class_name(names))
+                    bands.append(band_names(signature(names)).view(np.int64) if len(names) else None)
+                yield pa.RecordBatch.from_arrays(
+                    [*(rows.column(c) for c in ("doc_id", "k1", "k2")), pa.array(n, pa.int64()),
+                     pa.array(name, pa.binary()), pa.array(bands, pa.list_(pa.int64()))],
+                    names=["doc_id", "k1", "k2", "n", "name", "bands"])
     return run
 
 
 def _sets(width: int):
     def run(batches):
         for batch in batches:
-            sets = [x.view(np.int64) for x in _each(batch, "text", width)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("node"), batch.column("again"), pa.array(sets, pa.list_(pa.int64()))],
-                names=["node", "again", "items"])
+            for rows, sets in _each(batch, "text", width):
+                yield pa.RecordBatch.from_arrays(
+                    [rows.column("node"), rows.column("again"),
+                     pa.array([x.view(np.int64) for x in sets], pa.list_(pa.int64()))],
+                    names=["node", "again", "items"])
     return run
 
 
@@ -207,6 +210,10 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
     component and its rows are kept.  Repeated rows are separate documents of
     one class and share the flag.  Columns other than the two named are
     ignored.  An empty table gives an empty result."""
+    return _components(docs, width, percent, id_col, text_col).drop("k1", "k2")
+
+
+def _components(docs: DataFrame, width: int, percent: int, id_col: str, text_col: str) -> DataFrame:
     docs = ready(docs)
     k1, k2 = row_key(F.col(id_col), F.col(text_col))
     base = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), k1.alias("k1"), k2.alias("k2"))
@@ -239,11 +246,12 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
     placed = placed.withColumn("root", F.coalesce("root", "node"))
     group = placed.groupBy("root").agg(F.min("least").alias("component_id"))
     of_class = placed.join(group, "root").select("name", "component_id")
-    linked = some.select("doc_id", "n", "name").join(of_class, "name").select("doc_id", "n", "component_id")
-    alone = rows.filter("n = 0").select("doc_id", "n", F.col("doc_id").alias("component_id"))
+    linked = some.select("doc_id", "n", "name", "k1", "k2").join(of_class, "name").select(
+        "doc_id", "n", "component_id", "k1", "k2")
+    alone = rows.filter("n = 0").select("doc_id", "n", F.col("doc_id").alias("component_id"), "k1", "k2")
     return linked.unionByName(alone).select(
         "doc_id", F.col("n").alias("n_shingles"), "component_id",
-        F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+        F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"), "k1", "k2")
 
 
 def keep_one(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id",
@@ -252,8 +260,7 @@ def keep_one(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "
     row with the least id stays (one row of it, if the row is repeated).  Rows
     without words all stay, but repeated ones.  Edge cases as in ``near_duplicates``."""
     key = fresh(docs, "_k1", "_k2")
-    kept = near_duplicates(docs, width, percent, id_col, text_col).filter("kept")
+    kept = _components(docs, width, percent, id_col, text_col).filter("kept")
+    kept = kept.select(F.col("k1").alias(key[0]), F.col("k2").alias(key[1]))
     texts = ready(docs).withColumns(dict(zip(key, row_key(F.col(id_col), F.col(text_col)), strict=True)))
-    ids = kept.select("doc_id").distinct()
-    out = texts.join(ids, texts[id_col].eqNullSafe(ids["doc_id"]), "left_semi")
-    return out.dropDuplicates([id_col, *key]).drop(*key)
+    return texts.join(kept, key, "left_semi").dropDuplicates(key).select(*docs.columns)

@@ -18,8 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from riverbed.llm.frames import fresh, ready
-from riverbed.session import materialize
+from riverbed.llm.frames import fresh, materialize, ready
 
 WEIGHTS, SHARE, MOST_COPIES = (5, 2, 1), 1.5, 2
 #: Bits of a rank, and of one round's digit.

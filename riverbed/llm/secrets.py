@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riverbed.llm.frames import ready
+from riverbed.llm.frames import parts, ready
 
 #: kind; lead and body as regular expressions over bytes; least body bytes of a
 #: finding (a shorter match is passed over whole and not reported).
@@ -279,7 +279,7 @@ def _scan(rules):
     def run(batches):
         scanner = Scanner(rules)
         kinds = [r.kind for r in scanner.rules]
-        for batch in batches:
+        for batch in parts(batches):
             spans = [_code_points(d, scanner.spans(d)) for d in _texts(batch.column("text"))]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"),
@@ -314,7 +314,7 @@ def digest(found: DataFrame, base=BASE) -> DataFrame:
 def _mask(rules, text: str, count: str | None):
     def run(batches):
         scanner = Scanner(rules)
-        for batch in batches:
+        for batch in parts(batches):
             old = batch.column(text).to_pylist()
             new = []
             for x in old:

@@ -35,9 +35,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riverbed.llm.frames import ready, row_key
+from riverbed.llm.frames import materialize, ready, row_key
 from riverbed.llm.words import U64, Words, mix, row_slices, text_bytes
-from riverbed.session import materialize
 
 #: Words on either side that can decide whether a symbol boundary stands.
 REACH = 7

@@ -22,8 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from riverbed.llm.frames import ready
-from riverbed.session import materialize
+from riverbed.llm.frames import materialize, ready
 
 #: Vectors and queries in a block.
 BLOCK, QUERY_BLOCK = 4096, 256

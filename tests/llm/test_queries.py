@@ -1,0 +1,39 @@
+"""Registered queries of the subpackage against their DuckDB SQL, and the pipeline."""
+
+import pytest
+
+import corpus_pipeline
+from riverbed.llm import queries
+from tests.conftest import SF_SMALL
+from tools.oracle_check import canon_rows, duck
+
+
+@pytest.mark.parametrize("key", sorted(queries.ORACLE))
+def test_query_matches_sql(spark, key):
+    mine = queries.QUERIES[key](spark, SF_SMALL).toPandas()
+    theirs = duck(SF_SMALL).execute(queries.ORACLE[key]).df()
+    assert sorted(mine.columns) == sorted(theirs.columns)
+    assert canon_rows(mine) == canon_rows(theirs)
+
+
+@pytest.mark.parametrize("key", sorted(set(queries.QUERIES) - set(queries.ORACLE)))
+def test_query_returns_rows(spark, key):
+    assert queries.QUERIES[key](spark, SF_SMALL).count() > 0
+
+
+def test_pipeline_stages(spark):
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = corpus_pipeline.materialize(stage(spark, docs, SF_SMALL), name)
+        assert out.columns == docs.columns
+        assert out.join(docs, "doc_id", "left_anti").count() == 0
+        docs = out
+    ids = corpus_pipeline.STAGES[-1][1](spark, docs, SF_SMALL)
+    assert ids.count() == docs.count()
+
+
+def test_pipeline_of_nothing(spark):
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").filter("false")
+    for name, stage in corpus_pipeline.STAGES:
+        docs = corpus_pipeline.materialize(stage(spark, docs, SF_SMALL), name)
+        assert docs.count() == 0
