@@ -20,6 +20,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
+from array import array
 from itertools import chain
 
 import pyarrow as pa
@@ -32,9 +33,11 @@ from riverbed.llm.frames import parts, ready
 #: Characters a match of the pattern may look at past its end.
 LOOK = 3
 #: Leaves of the trees: characters of a text, bytes of a piece, tokens to decode.
-TEXT_LEAF, PIECE_LEAF, TOKEN_LEAF = 1 << 14, 32, 1 << 14
+TEXT_LEAF, PIECE_LEAF, TOKEN_LEAF = 1 << 14, 6, 1 << 14
+#: Bytes from which a piece isn't remembered and is merged with a heap.
+LONG = 64
 #: Repeated pieces and token pairs that a worker remembers, in each of two generations.
-MEMORY = 1 << 16
+MEMORY = 1 << 17
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -55,7 +58,7 @@ class Pieces(dict):
         out = self.old.get(piece)
         if out is None:
             out = self.work(piece)
-            if len(piece) > PIECE_LEAF:
+            if len(piece) > LONG:
                 return out
         if len(self) >= MEMORY:
             self.old = dict(self)
@@ -70,12 +73,13 @@ class Bpe:
         self.bytes = {i: b for b, i in ranks.items()}
         self.split = regex.compile(pattern).findall
         self.pieces = Pieces(lambda p: tuple(self.encode_piece(p.encode())))
-        self.pairs = Pieces(lambda p: self.merge(self.bytes[p[0]] + self.bytes[p[1]]) == list(p))
+        self.leaves = Pieces(lambda p: tuple(self.merge(p)))
+        self.pairs = Pieces(lambda p: tuple(self.merge(self.bytes[p[0]] + self.bytes[p[1]])))
 
     def merge(self, data: bytes) -> list[int]:
         """Leaf: join the pair of lowest rank, the leftmost first, while there is one."""
         ranks = self.ranks
-        if len(data) > 2 * PIECE_LEAF:
+        if len(data) > LONG:
             return self._merge_long(data)
         parts = [data[i:i + 1] for i in range(len(data))]
         get, none = ranks.get, len(ranks) << 1
@@ -117,20 +121,27 @@ class Bpe:
 
     def _halves(self, data: bytes) -> list[int]:
         if len(data) <= PIECE_LEAF:
-            return self.merge(data)
+            return list(self.leaves[data])
         mid = len(data) // 2
         return self.join_tokens(self._halves(data[:mid]), self._halves(data[mid:]))
 
+    def _holds(self, a: int, b: int) -> bool:
+        """Whether two tokens in a row are the encoding of their own bytes."""
+        return self.pairs[a, b] == (a, b)
+
     def join_tokens(self, left: list[int], right: list[int]) -> list[int]:
         """The encoding of two neighbouring byte strings of one piece."""
         wide = 1
-        while True:
+        while left and right:
             i, j = max(len(left) - wide, 0), min(wide, len(right))
-            new = self.merge(b"".join(map(self.bytes.__getitem__, chain(left[i:], right[:j]))))
-            if (i == 0 or not new or self.pairs[left[i - 1], new[0]]) and (
-                    j == len(right) or not new or self.pairs[new[-1], right[j]]):
+            if wide == 1:
+                new = list(self.pairs[left[-1], right[0]])
+            else:
+                new = self.merge(b"".join(map(self.bytes.__getitem__, chain(left[i:], right[:j]))))
+            if (i == 0 or self._holds(left[i - 1], new[0])) and (j == len(right) or self._holds(new[-1], right[j])):
                 return left[:i] + new + right[j:]
             wide *= 2
+        return left + right
 
     def encode_piece(self, data: bytes) -> list[int]:
         """A whole piece in the vocabulary is one token, any other is merged."""
@@ -189,7 +200,7 @@ def bpe_for(ranks, pattern: str) -> Bpe:
     return _MADE[key]
 
 
-def _encode(ranks, pattern: str):
+def _encode(ranks, pattern: str, with_ids: bool):
     def run(batches):
         bpe = bpe_for(ranks, pattern)
         names = [str(i) for i in range(max(bpe.bytes, default=-1) + 1)]
@@ -198,9 +209,8 @@ def _encode(ranks, pattern: str):
             for x in batch.column("text"):
                 ids = bpe.encode(x.as_py() or "")
                 rows.append((len(ids), hashlib.sha256(" ".join(map(names.__getitem__, ids)).encode()).hexdigest(),
-                             hashlib.sha256(bpe.decode(ids)).hexdigest(), pa.array(ids, pa.int32()).buffers()[1]))
+                             hashlib.sha256(bpe.decode(ids)).hexdigest(), array("i", ids).tobytes() if with_ids else None))
             count, sha, back, raw = zip(*rows, strict=True) if rows else ((), (), (), ())
-            raw = [b.to_pybytes()[:4 * n] if b is not None else b"" for b, n in zip(raw, count, strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(count, pa.int64()), pa.array(sha, pa.string()),
                  pa.array(back, pa.string()), pa.array(raw, pa.binary())],
@@ -208,10 +218,11 @@ def _encode(ranks, pattern: str):
     return run
 
 
-def encode(docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def encode(docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "doc_id", text_col: str = "text",
+           with_ids: bool = True) -> DataFrame:
     """Per row ``doc_id, n_tokens, ids_sha256, decoded_sha256, ids``: the token ids
     (little-endian int32) of the whole text, the hash of the ids in decimal and
-    of the bytes that decoding them gives.
+    of the bytes that decoding them gives (``with_ids`` false: ids is null).
 
     ``vocabulary`` is a file of ranks that the driver reads and broadcasts (its
     size is that of the file: under 1 MB).  Special tokens in a text are
@@ -220,7 +231,7 @@ def encode(docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "doc_id
     No rows: an empty table."""
     ranks = docs.sparkSession.sparkContext.broadcast(load_ranks(vocabulary))
     return ready(docs).select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(
-        _encode(ranks, pattern),
+        _encode(ranks, pattern, with_ids),
         "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, ids binary")
 
 

@@ -53,7 +53,7 @@ def op6_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of every document and the bytes they decode to, as hashes."""
-    out = bpe.encode(_table(spark, sf_dir, "documents"), VOCABULARY, PATTERN)
+    out = bpe.encode(_table(spark, sf_dir, "documents"), VOCABULARY, PATTERN, with_ids=False)
     return out.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
