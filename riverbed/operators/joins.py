@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riverbed.functions.time import epoch_millis
+from riverbed.operators.running import join_back
 
 
 def band_join(left: DataFrame, right: DataFrame, keys: Sequence[str], left_t: str, right_t: str,
@@ -75,6 +76,9 @@ def asof_join(left: DataFrame, right: DataFrame, keys: Sequence[str], left_t: st
     """
     keys = list(keys)
     lcols = list(left.columns)
+    # a null key or time matches nothing; left rows that have one stay, unmatched
+    for c in [*keys, right_t]:
+        right = right.filter(F.col(c).isNotNull())
     rstruct = F.struct(F.col(right_t).alias("matched_at"), *[F.col(c) for c in carry])
     l_ = left.select(*lcols, F.col(left_t).alias("_t"), F.lit(1).alias("_side"),
                      F.lit(None).cast(right.select(rstruct.alias("r")).schema["r"].dataType).alias("_r"))
@@ -87,9 +91,8 @@ def asof_join(left: DataFrame, right: DataFrame, keys: Sequence[str], left_t: st
     carry_in = newest.select(*keys, "_chunk", F.last("_last", ignorenulls=True).over(before).alias("_in"))
     w = Window.partitionBy(*keys, "_chunk").orderBy("_t", "_side", "_r").rowsBetween(Window.unboundedPreceding, 0)
     filled = (u.withColumn("_within", F.last("_r", ignorenulls=True).over(w))
-              .filter(F.col("_side") == 1)
-              .join(carry_in, on=[*keys, "_chunk"], how="inner")
-              .withColumn("_m", F.coalesce("_within", "_in")))
+              .filter(F.col("_side") == 1))
+    filled = join_back(filled, carry_in, [*keys, "_chunk"]).withColumn("_m", F.coalesce("_within", "_in"))
     if how == "inner":
         filled = filled.filter(F.col("_m").isNotNull())
     return filled.select(*lcols, *[F.col("_m")[c].alias(c) for c in carry], F.col("_m")["matched_at"].alias("matched_at"))

@@ -23,6 +23,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def join_back(detail: DataFrame, small: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Detail rows with the columns of their (key, chunk) row.  Null keys and null
+    chunks (rows without a time) are groups like any other: no row is lost."""
+    other = small.select(*[F.col(c).alias(f"_on_{c}") for c in on], *[c for c in small.columns if c not in on])
+    cond = [F.col(c).eqNullSafe(F.col(f"_on_{c}")) for c in on]
+    return detail.join(other, cond, "inner").drop(*[f"_on_{c}" for c in on])
+
+
 def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str], chunk: Column, value: Column,
                 out: str) -> DataFrame:
     """Add column ``out`` = sum of ``value`` over rows of the same keys up to and
@@ -36,7 +44,7 @@ def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str], chunk:
                             F.coalesce(F.sum("_chunk_total").over(before), F.lit(0)).alias("_offset"))
     within = Window.partitionBy(*keys, "_chunk").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     d = d.withColumn("_within", F.sum("_v").over(within))
-    res = d.join(offsets, on=[*keys, "_chunk"], how="inner")
+    res = join_back(d, offsets, [*keys, "_chunk"])
     return res.withColumn(out, F.col("_offset") + F.col("_within")).drop("_chunk", "_v", "_within", "_offset")
 
 
@@ -57,7 +65,7 @@ def previous_value(df: DataFrame, keys: Sequence[str], order: Sequence[str], chu
     carry = last.select(*keys, "_chunk", F.lag("_last").over(prev_chunk).alias("_in"))
     w = Window.partitionBy(*keys, "_chunk").orderBy(*order)
     d = d.withColumn("_lag", F.lag("_v").over(w)).withColumn("_first", F.row_number().over(w) == 1)
-    res = d.join(carry, on=[*keys, "_chunk"], how="inner")
+    res = join_back(d, carry, [*keys, "_chunk"])
     return res.withColumn(out, F.when(F.col("_first"), F.col("_in")).otherwise(F.col("_lag"))).drop(
         "_chunk", "_v", "_lag", "_first", "_in")
 
@@ -78,7 +86,7 @@ def running_max_before(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     carry = tops.select(*keys, "_chunk", F.max("_chunk_max").over(before).alias("_in"))
     within = Window.partitionBy(*keys, "_chunk").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     d = d.withColumn("_within", F.max("_v").over(within))
-    res = d.join(carry, on=[*keys, "_chunk"], how="inner")
+    res = join_back(d, carry, [*keys, "_chunk"])
     return res.withColumn(out, F.greatest("_within", "_in")).drop("_chunk", "_v", "_within", "_in")
 
 
@@ -97,7 +105,7 @@ def running_sums_before(df: DataFrame, keys: Sequence[str], order: Sequence[str]
     within = Window.partitionBy(*keys, "_chunk").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     for n in values:
         d = d.withColumn(f"_w_{n}", F.coalesce(F.sum(f"_v_{n}").over(within), F.lit(0)))
-    res = d.join(offsets, on=[*keys, "_chunk"], how="inner")
+    res = join_back(d, offsets, [*keys, "_chunk"])
     for n in values:
         res = res.withColumn(n, F.col(f"_o_{n}") + F.col(f"_w_{n}"))
     drop = ["_chunk"] + [f"_{p}_{n}" for n in values for p in ("v", "w", "o")]
@@ -134,6 +142,6 @@ def gap_sessions(df: DataFrame, keys: Sequence[str], order: Sequence[str], time_
     summary = summary.withColumn("_opens", opens).withColumn("_total", F.col("_n_inner") + F.col("_opens"))
     summary = summary.withColumn(
         "_offset", F.coalesce(F.sum("_total").over(by_chunk.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    res = d.join(summary.select(*keys, "_chunk", "_opens", "_offset"), [*keys, "_chunk"])
+    res = join_back(d, summary.select(*keys, "_chunk", "_opens", "_offset"), [*keys, "_chunk"])
     return res.withColumn(out, (F.col("_offset") + F.col("_opens") + F.col("_cum")).cast("bigint")).drop(
         "_chunk", "_first", "_new", "_cum", "_opens", "_offset")

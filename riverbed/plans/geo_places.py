@@ -10,7 +10,6 @@ from riverbed.operators.joins import band_join
 from riverbed.operators.windows import sliding_agg
 from riverbed.plans.oracle_views import with_views
 from riverbed.plans.registry import query
-from riverbed.session import spread
 from riverbed.sources import views
 
 RV = with_views("rides")
@@ -108,10 +107,8 @@ def geo_cells_on_way(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = views.rides(spark, sf_dir).filter("is_start").select(
         geo.grid_x("start_lon").alias("x1"), geo.grid_y("start_lat").alias("y1"),
         geo.grid_x("end_lon").alias("x2"), geo.grid_y("end_lat").alias("y2"))
-    # The walk is hundreds of steps per ride: a narrow scan is dealt over all
-    # cores first (``spread``).  Each Arrow batch is folded into (cell, rides)
-    # partials; only those cross back and Spark merges them.
-    r = spread(r)
+    # Each Arrow batch is folded into (cell, rides) partials; only those cross
+    # back and Spark merges them.
     part = r.mapInPandas(_cell_visit_batches, "cell long, n long")
     return part.groupBy("cell").agg(F.sum("n").alias("n_rides"))
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from riverbed.functions.text import STOP_WORDS, email_address, month_of, word_rows, words
 from riverbed.plans.oracle_views import with_views
 from riverbed.plans.registry import query
-from riverbed.session import materialize, spread
+from riverbed.session import materialize
 from riverbed.sources import views
 from riverbed.sources.tables import table
 
@@ -23,8 +23,8 @@ D_EMAIL = "left(split_part({s}, '<', -1), length(split_part({s}, '<', -1)) - 1)"
 
 
 def docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(doc_id, text), spread over the cores before tokenising if the scan is narrow."""
-    return spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    """(doc_id, text) of all documents."""
+    return table(spark, sf_dir, "documents").select("doc_id", "text")
 
 
 @query("tokenize_words", f"""

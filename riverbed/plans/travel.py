@@ -20,12 +20,12 @@ def travel_time_df(rides: DataFrame) -> DataFrame:
     sums Σxy, Σx², n over the END rows of the same (cell, bucket) strictly before
     each START (START sorts before END at equal times).  Prediction truncated
     to int after rounding to 6 digits (so summation order cannot move a value
-    across an integer); −1 while the model has fewer than two points; 0 when Σx² = 0 (the
-    slope is NaN and Java's int cast gives 0)."""
+    across an integer); −1 while the model has fewer than two points or when Σx² = 0
+    (no slope).  The bucket is the direction from the end back to the start."""
     r = cleansed(rides).select(
         "ride_id", "is_start", "event_time",
         geo.grid_cell("end_lon", "end_lat").alias("cell"),
-        (geo.direction("start_lon", "start_lat", "end_lon", "end_lat") / 45).cast("int").alias("bucket"),
+        (geo.direction("end_lon", "end_lat", "start_lon", "start_lat") / 45).cast("int").alias("bucket"),
         geo.distance("start_lon", "start_lat", "end_lon", "end_lat").alias("x"),
         F.when(~F.col("is_start"), minutes_between("start_time", "end_time")).alias("y"))
     is_end = ~F.col("is_start")
@@ -36,7 +36,7 @@ def travel_time_df(rides: DataFrame) -> DataFrame:
          "sxx": F.when(is_end, F.col("x") * F.col("x")).otherwise(0.0),
          "n": F.when(is_end, 1).otherwise(0).cast("bigint")})
     pred = (F.when(F.col("n") < 2, F.lit(-1))
-            .when(F.col("sxx") == 0, F.lit(0))
+            .when(F.col("sxx") == 0, F.lit(-1))
             .otherwise(F.round(F.col("sxy") / F.col("sxx") * F.col("x"), 6).cast("int")))
     return s.filter("is_start").select("ride_id", "cell", "bucket", pred.alias("predicted"))
 
@@ -45,7 +45,7 @@ def travel_time_df(rides: DataFrame) -> DataFrame:
 , c AS (SELECT * FROM rides WHERE {D_IN_NYC.format(lon="start_lon", lat="start_lat")}
                                AND {D_IN_NYC.format(lon="end_lon", lat="end_lat")}),
 p AS (SELECT ride_id, is_start, event_time, {D_CELL.format(lon="end_lon", lat="end_lat")} AS cell,
-        CAST(trunc((CAST(trunc(degrees(atan2(end_lat - start_lat, (end_lon - start_lon) * cos(start_lat)))) AS INTEGER) + 179)
+        CAST(trunc((CAST(trunc(degrees(atan2(start_lat - end_lat, (start_lon - end_lon) * cos(end_lat)))) AS INTEGER) + 179)
                    / 45e0) AS INTEGER) AS bucket,
         {D_DIST.format(lon1="start_lon", lat1="start_lat", lon2="end_lon", lat2="end_lat")} AS x,
         CASE WHEN NOT is_start THEN ((epoch_us(end_time) - epoch_us(start_time)) // 1000) / 60000e0 END AS y FROM c),
@@ -55,7 +55,7 @@ s AS (SELECT *, coalesce(sum(CASE WHEN NOT is_start THEN x * y ELSE 0e0 END) OVE
       FROM p WINDOW w AS (PARTITION BY cell, bucket ORDER BY event_time, NOT is_start, ride_id
                           ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
 SELECT ride_id, cell, bucket,
-       CASE WHEN n < 2 THEN -1 WHEN sxx = 0 THEN 0 ELSE CAST(trunc(round(sxy / sxx * x, 6)) AS INTEGER) END AS predicted
+       CASE WHEN n < 2 THEN -1 WHEN sxx = 0 THEN -1 ELSE CAST(trunc(round(sxy / sxx * x, 6)) AS INTEGER) END AS predicted
 FROM s WHERE is_start""")
 def travel_time_prediction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return travel_time_df(views.rides(spark, sf_dir))

@@ -101,14 +101,3 @@ def materialize(df, name: str):
     df.write.mode("error").parquet(path)
     return spark.read.parquet(path)
 
-
-def spread(df):
-    """Deal rows round-robin over all cores when the input has fewer partitions
-    than the cluster has cores — e.g. a small file stored as one row group,
-    which a scan reads in a single task.  Used before CPU-heavy per-row stages
-    (tokenising long texts, path walks).  On large inputs the scan's own splits
-    already cover the cluster and this is a no-op, so no shuffle is added."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df

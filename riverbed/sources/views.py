@@ -12,7 +12,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riverbed.session import spread
 from riverbed.sources.tables import table
 
 
@@ -98,18 +97,17 @@ def edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Revenue flowing from supplier nation to customer nation.
 
     lineitem ⋈ orders is the only big join: both sides shuffle on the order
-    key (or AQE turns it into a broadcast when orders is small).  ``nation``
-    has 25 rows by definition, so broadcasting it is size-safe; supplier and
-    customer are left to the planner's size-checked broadcast threshold.
+    key (or AQE turns it into a broadcast when orders is small).  Nation,
+    supplier and customer are left to the planner's size-checked threshold.
     The aggregate is partial (map-side) before the shuffle on (src, dst).
     """
-    li = spread(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey", "l_extendedprice", "l_discount"))
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey", "l_extendedprice", "l_discount")
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    sn = F.broadcast(n.select(F.col("n_nationkey").alias("sk"), F.col("n_name").alias("src")))
-    cn = F.broadcast(n.select(F.col("n_nationkey").alias("ck"), F.col("n_name").alias("dst")))
+    sn = n.select(F.col("n_nationkey").alias("sk"), F.col("n_name").alias("src"))
+    cn = n.select(F.col("n_nationkey").alias("ck"), F.col("n_name").alias("dst"))
     j = (li.join(o, li.l_orderkey == o.o_orderkey)
          .join(c, F.col("o_custkey") == c.c_custkey)
          .join(s, F.col("l_suppkey") == s.s_suppkey)

@@ -231,7 +231,7 @@ class HeartbeatSessionProcessor(StatefulProcessor):
 class TravelTimeProcessor(StatefulProcessor):
     """ST25 per (destination cell, direction bucket): running Σxy, Σx², n of
     finished rides in value state; each START is answered with the model as it
-    stands (−1 below two points).  Rows of a micro-batch are replayed in event
+    stands (−1 below two points or without a slope).  Rows of a micro-batch are replayed in event
     order, START before END at equal times."""
 
     def init(self, handle) -> None:
@@ -245,7 +245,7 @@ class TravelTimeProcessor(StatefulProcessor):
             if is_end:
                 sxy, sxx, n = sxy + x * y, sxx + x * x, n + 1
             else:
-                pred = -1 if n < 2 else (0 if sxx == 0 else int(round(sxy / sxx * x, 6)))
+                pred = -1 if n < 2 or sxx == 0 else int(round(sxy / sxx * x, 6))
                 out.append((int(rid), *key, pred))
         self.model.update((float(sxy), float(sxx), int(n)))
         if out:

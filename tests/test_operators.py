@@ -119,3 +119,19 @@ def test_gap_sessions_matches_brute_force(spark):
             want.append((i, sess))
             last = t
     assert got == sorted(want)
+
+
+def test_null_keys_and_times_keep_their_rows(spark):
+    from pyspark.sql import functions as F
+
+    from riverbed.operators import joins, running
+    rows = [("a", 1, 1.0), ("a", 2, 2.0), (None, 1, 4.0), (None, 2, 8.0), ("b", None, 16.0)]
+    df = spark.createDataFrame(rows, "k string, t long, v double")
+    chunk = F.floor(F.col("t") / 2)
+    got = running.running_sum(df, ["k"], ["t"], chunk, F.col("v"), "s").collect()
+    assert sorted((r["v"], r["s"]) for r in got) == [(1, 1), (2, 3), (4, 4), (8, 12), (16, 16)]
+    got = running.previous_value(df, ["k"], ["t"], chunk, F.col("v"), "p").collect()
+    assert sorted((r["v"], r["p"]) for r in got) == [(1, None), (2, 1), (4, None), (8, 4), (16, None)]
+    right = df.select("k", F.col("t").alias("rt"), F.col("v").alias("w"))
+    got = joins.asof_join(df, right, ["k"], "t", "rt", ["w"], chunk_fn=lambda t: F.floor(t / 2)).collect()
+    assert sorted((r["v"], r["w"]) for r in got) == [(1, 1), (2, 2), (4, None), (8, None), (16, None)]
