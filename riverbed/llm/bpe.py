@@ -50,9 +50,9 @@ class Pieces(dict):
     """Results by piece, worked out on first use.  When full, the young entries
     become the old ones; an old entry that is used again becomes young."""
 
-    def __init__(self, work):
+    def __init__(self, work, most: int = MEMORY):
         super().__init__()
-        self.work, self.old = work, {}
+        self.work, self.most, self.old = work, most, {}
 
     def __missing__(self, piece):
         out = self.old.get(piece)
@@ -60,7 +60,7 @@ class Pieces(dict):
             out = self.work(piece)
             if len(piece) > LONG:
                 return out
-        if len(self) >= MEMORY:
+        if len(self) >= self.most:
             self.old = dict(self)
             self.clear()
         self[piece] = out
@@ -68,13 +68,13 @@ class Pieces(dict):
 
 
 class Bpe:
-    def __init__(self, ranks: dict[bytes, int], pattern: str):
+    def __init__(self, ranks: dict[bytes, int], pattern: str, memory: int = MEMORY):
         self.ranks = ranks
         self.bytes = {i: b for b, i in ranks.items()}
         self.split = regex.compile(pattern).findall
-        self.pieces = Pieces(lambda p: tuple(self.encode_piece(p.encode())))
-        self.leaves = Pieces(lambda p: tuple(self.merge(p)))
-        self.pairs = Pieces(lambda p: tuple(self.merge(self.bytes[p[0]] + self.bytes[p[1]])))
+        self.pieces = Pieces(lambda p: tuple(self.encode_piece(p.encode())), memory)
+        self.leaves = Pieces(lambda p: tuple(self.merge(p)), memory)
+        self.pairs = Pieces(lambda p: tuple(self.merge(self.bytes[p[0]] + self.bytes[p[1]])), memory)
 
     def merge(self, data: bytes) -> list[int]:
         """Leaf: join the pair of lowest rank, the leftmost first, while there is one."""
@@ -190,19 +190,19 @@ class Bpe:
 _MADE: dict[tuple, Bpe] = {}
 
 
-def bpe_for(ranks, pattern: str) -> Bpe:
+def bpe_for(ranks, pattern: str, memory: int = MEMORY) -> Bpe:
     """One encoder per worker process and vocabulary, so that its memory is used
     by later tasks.  ``ranks``: a broadcast of the ranks."""
-    key = (ranks.id if hasattr(ranks, "id") else id(ranks), pattern)
+    key = (ranks.id if hasattr(ranks, "id") else id(ranks), pattern, memory)
     if key not in _MADE:
         _MADE.clear()
-        _MADE[key] = Bpe(ranks.value, pattern)
+        _MADE[key] = Bpe(ranks.value, pattern, memory)
     return _MADE[key]
 
 
-def _encode(ranks, pattern: str, with_ids: bool):
+def _encode(ranks, pattern: str, with_ids: bool, memory: int):
     def run(batches):
-        bpe = bpe_for(ranks, pattern)
+        bpe = bpe_for(ranks, pattern, memory)
         names = [str(i) for i in range(max(bpe.bytes, default=-1) + 1)]
         for batch in parts(batches):
             rows = []
@@ -219,10 +219,11 @@ def _encode(ranks, pattern: str, with_ids: bool):
 
 
 def encode(docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "doc_id", text_col: str = "text",
-           with_ids: bool = True) -> DataFrame:
+           with_ids: bool = True, memory: int = MEMORY) -> DataFrame:
     """Per row ``doc_id, n_tokens, ids_sha256, decoded_sha256, ids``: the token ids
     (little-endian int32) of the whole text, the hash of the ids in decimal and
     of the bytes that decoding them gives (``with_ids`` false: ids is null).
+    ``memory`` bounds what a worker remembers; it changes the speed, not the result.
 
     ``vocabulary`` is a file of ranks that the driver reads and broadcasts (its
     size is that of the file: under 1 MB).  Special tokens in a text are
@@ -231,7 +232,7 @@ def encode(docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "doc_id
     No rows: an empty table."""
     ranks = docs.sparkSession.sparkContext.broadcast(load_ranks(vocabulary))
     return ready(docs).select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(
-        _encode(ranks, pattern, with_ids),
+        _encode(ranks, pattern, with_ids, memory),
         "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, ids binary")
 
 
