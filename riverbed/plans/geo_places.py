@@ -77,48 +77,35 @@ def geo_direction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return r.select("ride_id", "is_start", geo.direction("start_lon", "start_lat", "end_lon", "end_lat").alias("direction"))
 
 
-@query("geo_cells_on_way", (RV + f"""
-, seg AS (
+# A cell (i columns, j rows from the western end) is on the line when the line
+# neither passes above it before its left edge nor below it after its right edge,
+# with 0.05 of a cell left to the corners: tested for every cell of the bounding
+# box of every distinct segment.
+ON_WAY_SQL = RV + f"""
+, ride AS (
   SELECT ride_id, {D_GX.format(lon="start_lon")} AS x1, {D_GY.format(lat="start_lat")} AS y1,
          {D_GX.format(lon="end_lon")} AS x2, {D_GY.format(lat="end_lat")} AS y2 FROM rides WHERE is_start),
-ends AS (
-  SELECT ride_id, sx, sy, ex, ey, (ey - sy) / ((ex - sx) + 0.00000001e0) AS slope, (ex - sx) + abs(ey - sy) AS n FROM (
-    SELECT ride_id, CASE WHEN x1 <= x2 THEN x1 ELSE x2 END AS sx, CASE WHEN x1 <= x2 THEN y1 ELSE y2 END AS sy,
-           CASE WHEN x1 <= x2 THEN x2 ELSE x1 END AS ex, CASE WHEN x1 <= x2 THEN y2 ELSE y1 END AS ey FROM seg)),
-walk AS (
-  SELECT ride_id, 0 AS k, sx AS cx, sy AS cy FROM ends
-  UNION ALL
-  SELECT ride_id, k + 1,
-    CASE WHEN near OR across THEN cx + 1 ELSE cx END,
-    CASE WHEN near THEN cy + dy WHEN across THEN cy ELSE cy + dy END
-  FROM (
-    SELECT w.ride_id, w.k, w.cx, w.cy, e.ex, e.ey, e.n,
-      (yl > w.cy - 0.05e0 AND yl < w.cy + 0.05e0) AS near,
-      CASE WHEN e.slope > 0 THEN yl < w.cy ELSE yl > w.cy END AS across,
-      CASE WHEN e.slope > 0 THEN 1 ELSE -1 END AS dy
-    FROM walk w JOIN ends e USING (ride_id),
-    LATERAL (SELECT CASE WHEN e.slope > 0 THEN (w.cx - e.sx + 0.5e0) * e.slope + e.sy - 0.5e0
-                         ELSE (w.cx - e.sx + 0.5e0) * e.slope + e.sy + 0.5e0 END AS yl)
-    WHERE (w.cx < e.ex OR w.cy <> e.ey) AND w.k < e.n)
-)
-SELECT cx + cy * 250 AS cell, count(*) AS n_rides FROM walk GROUP BY 1""").replace("WITH rides", "WITH RECURSIVE rides", 1))
+seg AS (
+  SELECT x1, y1, x2, y2, list(ride_id) AS ride_ids, least(x1, x2) AS x0, CASE WHEN x1 <= x2 THEN y1 ELSE y2 END AS y0,
+         abs(x2 - x1) AS w, abs(y2 - y1) AS d, CASE WHEN (x1 <= x2) = (y1 <= y2) THEN 1 ELSE -1 END AS up,
+         abs(y2 - y1) / (abs(x2 - x1) + 0.00000001e0) AS s
+  FROM ride GROUP BY ALL),
+box AS (SELECT seg.*, i, j FROM seg, LATERAL (SELECT unnest(range(0, w + 1)) AS i),
+               LATERAL (SELECT unnest(range(0, d + 1)) AS j)),
+on_way AS (
+  SELECT ride_ids, x0 + i + (y0 + up * j) * 250 AS cell FROM box
+  WHERE (i = 0 OR (i - 0.5e0) * s <= j + 0.45e0)
+    AND (i = w OR (i + 0.5e0) * s > j - 0.45e0 OR (i = 0 AND j = 0) OR (i > 0 AND (i - 0.5e0) * s > j - 0.55e0)))
+"""
+
+
+@query("geo_cells_on_way", ON_WAY_SQL + """
+SELECT cell, CAST(sum(len(ride_ids)) AS BIGINT) AS n_rides FROM on_way GROUP BY cell""")
 def geo_cells_on_way(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rides passing through each grid cell, from the cells on each ride's straight path."""
-    r = views.rides(spark, sf_dir).filter("is_start").select(
-        geo.grid_x("start_lon").alias("x1"), geo.grid_y("start_lat").alias("y1"),
-        geo.grid_x("end_lon").alias("x2"), geo.grid_y("end_lat").alias("y2"))
-    # Each Arrow batch is folded into (cell, rides) partials; only those cross
-    # back and Spark merges them.
-    part = r.mapInPandas(_cell_visit_batches, "cell long, n long")
-    return part.groupBy("cell").agg(F.sum("n").alias("n_rides"))
-
-
-def _cell_visit_batches(batches):
-    import pandas as pd
-    for b in batches:
-        if len(b):
-            cells, n = geo.cell_visits(*(b[c].to_numpy("int64") for c in ("x1", "y1", "x2", "y2")))
-            yield pd.DataFrame({"cell": cells, "n": n})
+    r = views.rides(spark, sf_dir).filter("is_start")
+    cells = r.select(F.explode(geo.cells_on_way("start_lon", "start_lat", "end_lon", "end_lat")).alias("cell"))
+    return cells.groupBy("cell").agg(F.count(F.lit(1)).alias("n_rides"))
 
 
 POPULAR_THRESHOLD = 2

@@ -19,9 +19,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import udtf
 
-from riverbed.functions.geo import DELTA_LAT, DELTA_LON, LAT_NORTH, LON_WEST, walk_lengths
+from riverbed.functions.geo import CORNER, DELTA_LAT, DELTA_LON, LAT_NORTH, LON_WEST, SLOPE_EPS
 from riverbed.plans import basics  # noqa: F401  (registers flatmap_split, whose oracle U2 shares)
-from riverbed.plans.geo_places import D_GX, D_GY, RV
+from riverbed.plans.geo_places import ON_WAY_SQL
 from riverbed.plans.oracle_views import with_views
 from riverbed.plans.registry import _ORACLE, query
 from riverbed.sources import views
@@ -29,39 +29,33 @@ from riverbed.sources import views
 
 @F.pandas_udf(T.LongType())
 def cells_on_way_count(lon1: pd.Series, lat1: pd.Series, lon2: pd.Series, lat2: pd.Series) -> pd.Series:
-    """Number of grid cells on the straight path between two points (vectorised)."""
-    gx = lambda lon: np.floor((abs(LON_WEST) - np.abs(lon.to_numpy(np.float64))) / DELTA_LON).astype(np.int64)
-    gy = lambda lat: np.floor((LAT_NORTH - lat.to_numpy(np.float64)) / DELTA_LAT).astype(np.int64)
-    return pd.Series(walk_lengths(gx(lon1), gy(lat1), gx(lon2), gy(lat2)), dtype="int64")
-
-
-WALK_SQL = (RV + f"""
-, seg AS (
-  SELECT ride_id, {D_GX.format(lon="start_lon")} AS x1, {D_GY.format(lat="start_lat")} AS y1,
-         {D_GX.format(lon="end_lon")} AS x2, {D_GY.format(lat="end_lat")} AS y2 FROM rides WHERE is_start),
-ends AS (
-  SELECT ride_id, sx, sy, ex, ey, (ey - sy) / ((ex - sx) + 0.00000001e0) AS slope, (ex - sx) + abs(ey - sy) AS n FROM (
-    SELECT ride_id, CASE WHEN x1 <= x2 THEN x1 ELSE x2 END AS sx, CASE WHEN x1 <= x2 THEN y1 ELSE y2 END AS sy,
-           CASE WHEN x1 <= x2 THEN x2 ELSE x1 END AS ex, CASE WHEN x1 <= x2 THEN y2 ELSE y1 END AS ey FROM seg)),
-walk AS (
-  SELECT ride_id, 0 AS k, sx AS cx, sy AS cy FROM ends
-  UNION ALL
-  SELECT ride_id, k + 1, CASE WHEN near OR across THEN cx + 1 ELSE cx END,
-    CASE WHEN near THEN cy + dy WHEN across THEN cy ELSE cy + dy END
-  FROM (
-    SELECT w.ride_id, w.k, w.cx, w.cy, (yl > w.cy - 0.05e0 AND yl < w.cy + 0.05e0) AS near,
-      CASE WHEN e.slope > 0 THEN yl < w.cy ELSE yl > w.cy END AS across, CASE WHEN e.slope > 0 THEN 1 ELSE -1 END AS dy
-    FROM walk w JOIN ends e USING (ride_id),
-    LATERAL (SELECT CASE WHEN e.slope > 0 THEN (w.cx - e.sx + 0.5e0) * e.slope + e.sy - 0.5e0
-                         ELSE (w.cx - e.sx + 0.5e0) * e.slope + e.sy + 0.5e0 END AS yl)
-    WHERE (w.cx < e.ex OR w.cy <> e.ey) AND w.k < e.n))
-SELECT ride_id, count(*) AS n_cells FROM walk GROUP BY ride_id""").replace("WITH rides", "WITH RECURSIVE rides", 1)
-
-
-@query("udf_scalar", WALK_SQL)
+    """Number of grid cells on the straight path between two points: all columns
+    of a batch's paths side by side, summed per path (null coordinates: null)."""
+    pts = pd.DataFrame({"a": lon1, "b": lat1, "c": lon2, "d": lat2}).astype("float64")
+    known = pts.notna().all(axis=1).to_numpy()
+    out = pd.array([None] * len(pts), dtype="Int64")
+    a, b, c, e = pts[known].to_numpy().T
+    gx = lambda lon: np.floor((abs(LON_WEST) - np.abs(lon)) / DELTA_LON)
+    gy = lambda lat: np.floor((LAT_NORTH - lat) / DELTA_LAT)
+    w, d = np.abs(gx(a) - gx(c)).astype(np.int64), np.abs(gy(b) - gy(e))
+    slope = d / (w + SLOPE_EPS)
+    row = np.repeat(np.arange(len(w)), w + 1)
+    start = np.cumsum(w + 1) - (w + 1)
+    i = np.arange(len(row)) - start[row]
+    first = np.where(i == 0, 0, np.ceil((i - 0.5) * slope[row] - 0.5 + CORNER))
+    last = np.where(i == w[row], d[row],
+                    np.maximum(first, np.floor((i + 0.5) * slope[row] - 0.5 - CORNER) + 1))
+    if len(w):
+        out[known] = np.add.reduceat(last - first + 1, start).astype(np.int64)
+    return pd.Series(out)
+
+
+@query("udf_scalar", ON_WAY_SQL + """
+SELECT unnest(ride_ids) AS ride_id, n_cells FROM (
+  SELECT ride_ids, count(*) AS n_cells FROM on_way GROUP BY ride_ids)""")
 def udf_scalar(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A scalar function class registered by name and called from SQL (U1): the
-    path walk needs a loop, so it is an Arrow-batched pandas UDF."""
+    """A scalar function class registered by name and called from SQL (U1): an
+    Arrow-batched pandas UDF over the columns of each path."""
     spark.udf.register("cells_on_way_count", cells_on_way_count)
     views.rides(spark, sf_dir).createOrReplaceTempView("rides")
     return spark.sql("""SELECT ride_id, cells_on_way_count(start_lon, start_lat, end_lon, end_lat) AS n_cells
