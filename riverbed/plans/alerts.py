@@ -57,19 +57,24 @@ def temp_jump_alerts_ttl(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("dynamic_threshold_alerts", with_views("sensors", "thresholds") + f"""
+, rule AS (SELECT id, set_at, arg_max(threshold, rule_id) AS threshold FROM thresholds GROUP BY ALL)
 SELECT s.sensor_id, s.event_id, s.temp, s.last_temp FROM (
   SELECT *, lag(temp) OVER (PARTITION BY sensor_id ORDER BY event_id) AS last_temp FROM sensors) s
-LEFT JOIN thresholds t ON t.id = s.sensor_id AND t.set_at <= s.ts
-WHERE s.last_temp > 0 AND s.temp / s.last_temp > coalesce(t.threshold, {DEFAULT_THRESHOLD}e0)""")
+ASOF LEFT JOIN rule t ON t.id = s.sensor_id AND s.ts >= t.set_at
+WHERE s.last_temp > 0
+  AND s.temp / s.last_temp > CASE WHEN t.threshold >= 1e0 THEN t.threshold ELSE {DEFAULT_THRESHOLD}e0 END""")
 def dynamic_threshold_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ratio alert whose threshold comes from a rule table: a sensor's rule once
-    set, the default 4.0 before that or without one (J9).  The rule table has
-    one row per sensor, so it is joined on the key (AQE broadcasts it when its
-    measured size is small) rather than broadcast blindly."""
-    d = with_last_temp(views.sensors(spark, sf_dir))
-    t = views.thresholds(spark, sf_dir)
-    j = d.join(t, (t["id"] == d["sensor_id"]) & (t["set_at"] <= d["ts"]), "left")
-    thr = F.coalesce(F.col("threshold"), F.lit(DEFAULT_THRESHOLD))
+    return threshold_alerts(with_last_temp(views.sensors(spark, sf_dir)), views.thresholds(spark, sf_dir))
+
+
+def threshold_alerts(readings: DataFrame, rules: DataFrame) -> DataFrame:
+    """Ratio alert whose threshold comes from a stream of rule updates (J9): each
+    reading meets the newest update of its sensor; an update below 1.0 removes
+    the rule, and without a rule the default 4.0 holds.  An as-of join on the
+    rule history, so earlier readings keep the rule of their own time."""
+    r = rules.select(F.col("id").alias("sensor_id"), "rule_id", "threshold", "set_at")
+    j = asof_join(readings, r, ["sensor_id"], "ts", "set_at", ["rule_id", "threshold"])
+    thr = F.when(F.col("threshold") >= 1.0, F.col("threshold")).otherwise(F.lit(DEFAULT_THRESHOLD))
     return j.filter((F.col("last_temp") > 0) & (F.col("temp") / F.col("last_temp") > thr)).select(
         "sensor_id", "event_id", "temp", "last_temp")
 

@@ -84,54 +84,75 @@ def scan_delimited_mails(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ARCHIVE_SEP = "From dev-return"
+# fixed value: the time format of the delimited mail records an archive is turned into
+ARCHIVE_TIME = "yyyy-MM-dd-HH:mm:ss"
 
 
 def render_archive(mails: DataFrame) -> DataFrame:
-    """Mails as an mbox-like archive: one record per mail, headers, blank line, body."""
-    date_hdr = F.concat(F.date_format("sent", "EEE, d MMM yyyy HH:mm:ss"), F.lit(" +0000"))
+    """Mails as an archive: a first line that ends in the delivery time, headers
+    (names in the case of different mailers), an empty line, the body with a
+    soft line break after its tenth character in every other mail."""
+    part = F.split("message_id", "-")
+    shout = part[1].cast("int") % 2 == 1
+    name = lambda n: F.when(shout, F.lit(n.upper() + ": ")).otherwise(F.lit(n + ": "))
+    line_time = F.concat(F.date_format("sent", "EEE MMM "), F.lpad(F.date_format("sent", "d"), 2, " "),
+                         F.date_format("sent", " HH:mm:ss yyyy"))
     reply_hdr = F.when(F.col("reply_to") == "null", F.lit("")).otherwise(
-        F.concat(F.lit("In-Reply-To: <"), F.col("reply_to"), F.lit(">\n")))
+        F.concat(name("In-Reply-To"), F.col("reply_to"), F.lit("\n")))
+    body = F.when(shout, F.concat(F.substring("body", 1, 10), F.lit("=\n"), F.expr("substring(body, 11)"))
+                  ).otherwise(F.col("body"))
     rec = F.concat(
-        F.lit("-"), F.col("message_id"), F.lit("@example.org\n"),
-        F.lit("From: "), F.col("sender"), F.lit("\n"),
-        F.lit("Subject: thread "), F.split("message_id", "-")[0], F.lit("\n"),
-        F.lit("Date: "), date_hdr, F.lit("\n"),
-        F.lit("Message-ID: <"), F.col("message_id"), F.lit(">\n"), reply_hdr,
-        F.lit("\n"), F.col("body"), F.lit("\n"))
+        F.lit("-"), F.col("message_id"), F.lit("@example.org "), line_time, F.lit("\n"),
+        name("From"), F.col("sender"), F.lit("\n"), name("Subject"), F.lit("thread "), part[0], F.lit("\n"),
+        name("Message-ID"), F.col("message_id"), F.lit("\n"), reply_hdr, F.lit("\n"), body, F.lit("\n"))
     return mails.select(rec.alias("value"))
 
 
 def parse_archive(records: DataFrame) -> DataFrame:
-    """Archive records → (message id, time, sender, subject, body, reply-to) (IO7).
-
-    Headers by multi-line regex, the weekday stripped before parsing the date
-    (Spark ≥ 3 rejects ``EEE`` in parse patterns), soft line breaks (``=`` at a
-    line end) unwrapped, records with a missing field or a field delimiter
-    inside dropped, reply-to defaulting to "null", then one record per id.
+    """Archive records (cut before each ``From dev-return``) → (message id, time,
+    sender, subject, body, reply-to), one per message id (IO7).
+
+    The time is the last 24 characters of the first line.  Header names are
+    read in either case, the last of a name counts, and a header takes the rest
+    of its line.  The body begins with the first blank line (kept); each line
+    ends in a line feed, but for a soft break (``=`` at the end), which joins it
+    to the next.  Records without a readable time, id, sender, subject or body,
+    or with a delimiter inside a field, are left out; reply-to defaults to
+    "null".  Of records with one id the least stays.
     """
-    v = F.col("value")
-    hdr = lambda name: F.regexp_extract(v, f"(?m)^{name}: (.*)$", 1)
-    date_txt = F.regexp_replace(hdr("Date"), "^[A-Za-z]{3}, ", "")
-    sent = F.to_timestamp_ntz(F.regexp_replace(date_txt, " \\+0000$", ""), F.lit("d MMM yyyy HH:mm:ss"))
-    body = F.regexp_replace(F.regexp_extract(v, "(?s)\\n\\n(.*)\\n$", 1), "=\\n", "")
-    reply = F.regexp_extract(v, "(?m)^In-Reply-To: <(.*)>$", 1)
-    out = records.filter(F.length(v) > 0).select(
-        F.regexp_extract(v, "(?m)^Message-ID: <(.*)>$", 1).alias("message_id"),
-        F.date_format(sent, codecs.TIME_FORMAT).alias("time"), hdr("From").alias("sender"),
-        hdr("Subject").alias("subject"), body.alias("body"),
-        F.when(F.length(reply) > 0, reply).otherwise(F.lit("null")).alias("reply_to"))
+    lines = F.split(F.regexp_replace(F.concat(F.lit(ARCHIVE_SEP), F.col("value")), "\\n+$", ""), "\n")
+    # 0 without a blank line; the slices are then of no use but must stay valid
+    blank = F.array_position(F.transform(F.col("_lines"), lambda x: x.rlike("^[\\x00-\\x20]*$")), True).cast("int")
+    first = F.col("_lines")[0]
+
+    def header(name: str):
+        found = F.filter(F.col("_head"), lambda x: F.startswith(F.lower(x), F.lit(name + ": ")))
+        return F.try_element_at(
+            F.transform(found, lambda x: F.substring(x, len(name) + 3, 1 << 30)), F.lit(-1))
+
+    stamp = F.regexp_extract(F.regexp_replace(F.substring(first, -24, 24), "\\s+", " "), "^[A-Za-z]{3} (.*)$", 1)
+    body = F.array_join(F.transform(
+        F.slice(F.col("_lines"), F.greatest(F.col("_blank"), F.lit(1)), F.size("_lines")),
+        lambda x: F.when(F.endswith(x, F.lit("=")), F.regexp_replace(x, "=$", "")).otherwise(F.concat(x, F.lit("\n")))), "")
+    out = (records.filter(F.length("value") > 0).select(lines.alias("_lines")).withColumn("_blank", blank)
+           .filter((F.col("_blank") > 1) & (F.length(first) >= 24))
+           .withColumn("_head", F.slice(F.col("_lines"), F.lit(2), F.greatest(F.col("_blank") - 2, F.lit(0))))
+           .select(header("message-id").alias("message_id"),
+                   F.date_format(F.try_to_timestamp(stamp, F.lit("MMM d HH:mm:ss yyyy")), ARCHIVE_TIME).alias("time"),
+                   header("from").alias("sender"), header("subject").alias("subject"), body.alias("body"),
+                   F.coalesce(header("in-reply-to"), F.lit("null")).alias("reply_to")))
     fields = ["message_id", "time", "sender", "subject", "body", "reply_to"]
     complete = F.lit(True)
     for c in fields:
-        complete = complete & F.col(c).isNotNull() & (F.length(c) > 0) \
+        complete = complete & F.col(c).isNotNull() \
             & ~F.col(c).contains(codecs.MAIL_FIELD_DELIM) & ~F.col(c).contains(codecs.MAIL_RECORD_DELIM)
-    first = F.min_by(F.struct(*fields[1:]), F.struct(*fields[1:]))
-    return out.filter(complete).groupBy("message_id").agg(first.alias("r")).select("message_id", "r.*")
+    kept = F.min_by(F.struct(*fields[1:]), F.struct(*fields[1:]))
+    return out.filter(complete).groupBy("message_id").agg(kept.alias("r")).select("message_id", "r.*")
 
 
 @query("mail_archive_to_records", with_views("mails") + """
-SELECT message_id, strftime(sent, '%Y-%m-%d %H:%M:%S') AS time, sender, 'thread ' || split_part(message_id, '-', 1) AS subject,
-       replace(body, '=' || chr(10), '') AS body, reply_to FROM mails""")
+SELECT message_id, strftime(sent, '%Y-%m-%d-%H:%M:%S') AS time, sender, 'thread ' || split_part(message_id, '-', 1) AS subject,
+       chr(10) || replace(body, '=' || chr(10), '') || chr(10) AS body, reply_to FROM mails""")
 def mail_archive_to_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Archive text rendered from the mails, split on the archive's record marker
     and parsed back into records (IO7)."""

@@ -45,8 +45,8 @@ SELECT event_id, ts, user_id % 20 AS client_id, event_id % 4 AS publisher_id, ev
 SELECT event_id AS alert_use_id, user_id % 20 AS client_id, event_id % 3 + 1 AS entity_type_id, event_id % 4 AS entity_id,
  ts AS begin_ts, ts + 6 * INTERVAL '1' HOUR AS end_ts FROM events WHERE event_type = 'signup' AND event_id % 10 = 0""",
     "thresholds": """
-SELECT user_id AS id, 1e0 + (user_id % 5) AS threshold, max(ts) AS set_at FROM events
- WHERE event_type = 'view' AND user_id % 3 = 0 GROUP BY user_id""",
+SELECT user_id AS id, event_id AS rule_id, 0.5e0 + (event_id % 5) AS threshold, ts AS set_at FROM events
+ WHERE event_type = 'view' AND user_id % 3 = 0""",
 }
 
 

@@ -5,7 +5,7 @@ predicates.  Streaming twins live in ``riverbed.streaming``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from riverbed.functions import geo
@@ -14,6 +14,7 @@ from riverbed.operators.running import running_sum
 from riverbed.plans.geo_places import D_DIST, D_IN_NYC, cleansed
 from riverbed.plans.oracle_views import with_views
 from riverbed.plans.registry import query
+from riverbed.session import materialize
 from riverbed.sources import views
 from riverbed.sources.tables import table
 
@@ -149,31 +150,68 @@ def rolling_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return r.select("ride_id", "driver_id", "ride_count")
 
 
-@query("trips_to_events", """
+TRIPS_SQL = """
 WITH trips AS (
-  SELECT l_orderkey, l_linenumber, o_orderdate, l_shipdate FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
-ev AS (
-  SELECT l_orderkey, l_linenumber, 'START' AS event_type, o_orderdate AS event_time FROM trips
-  UNION ALL
-  SELECT l_orderkey, l_linenumber, 'END', l_shipdate FROM trips)
-SELECT CAST(row_number() OVER (ORDER BY event_time, event_type = 'END', l_orderkey, l_linenumber) AS BIGINT) AS seq,
-       l_orderkey, l_linenumber, event_type, event_time FROM ev""")
-def trips_to_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each trip (order line: ordered → shipped) becomes a START and an END event,
-    numbered in time order (IO8, SO2).  The global number is a prefix count by
-    day chunks, not a single-partition ``row_number``."""
-    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate")
+  SELECT CAST(row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_shipdate, l_extendedprice, l_discount, l_tax,
+                                          l_linestatus) AS BIGINT) AS seq, l_orderkey, l_linenumber,
+         l_extendedprice, l_discount, l_tax, l_linestatus, o_orderdate, l_shipdate
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey)
+"""
+
+
+def numbered_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trips (order lines: ordered → shipped) with their line number in the input,
+    which is ordered by order and line, and by the trip itself where those repeat.
+
+    The input is cut into ranges sized by Spark's range partitioner and written
+    once; a range's rows carry their place in it, and a table of one row per
+    range gives the offsets, so no task numbers more than its own range.
+    """
+    order = ["l_orderkey", "l_linenumber", "l_shipdate", "l_extendedprice", "l_discount", "l_tax", "l_linestatus"]
+    li = table(spark, sf_dir, "lineitem").select(*order)
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
     trips = li.join(o, li.l_orderkey == o.o_orderkey).drop("o_orderkey")
+    placed = materialize(
+        trips.repartitionByRange(*order).sortWithinPartitions(*order)
+        .withColumn("_place", F.monotonically_increasing_id()), "trips")
+    # the id holds the partition above 33 bits of row position
+    placed = placed.withColumn("_range", F.shiftright("_place", 33)) \
+        .withColumn("_place", F.col("_place").bitwiseAND(F.lit((1 << 33) - 1)))
+    sizes = placed.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    return placed.join(offsets, "_range").withColumn("seq", F.col("_before") + F.col("_place") + 1).drop(
+        "_range", "_place", "_before")
+
+
+@query("trips_to_events", TRIPS_SQL + """
+SELECT seq, l_orderkey, l_linenumber, 'START' AS event_type, o_orderdate AS event_time,
+       TIMESTAMP '1970-01-01 00:00:00' AS other_time FROM trips
+UNION ALL
+SELECT seq, l_orderkey, l_linenumber, 'END', l_shipdate, o_orderdate FROM trips""")
+def trips_to_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each trip becomes a START event (its end time still the epoch) and an END
+    event (with its start time), both with the number of the trip's input line,
+    sorted by time (IO8, SO2)."""
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    time = lambda c: F.col(c).cast("timestamp_ntz")
     kinds = F.array(
-        F.struct(F.lit("START").alias("event_type"), F.col("o_orderdate").alias("event_time")),
-        F.struct(F.lit("END").alias("event_type"), F.col("l_shipdate").alias("event_time")))
-    ev = trips.select("l_orderkey", "l_linenumber", F.explode(kinds).alias("e")).select(
-        "l_orderkey", "l_linenumber", "e.event_type", "e.event_time")
-    ev = ev.withColumn("_is_end", F.col("event_type") == "END")
-    r = running_sum(ev, [], ["event_time", "_is_end", "l_orderkey", "l_linenumber"],
-                    F.date_trunc("day", "event_time"), F.lit(1).cast("bigint"), "seq")
-    return r.select("seq", "l_orderkey", "l_linenumber", "event_type", "event_time")
+        F.struct(F.lit("START").alias("event_type"), time("o_orderdate").alias("event_time"), epoch.alias("other_time")),
+        F.struct(F.lit("END").alias("event_type"), time("l_shipdate").alias("event_time"),
+                 time("o_orderdate").alias("other_time")))
+    ev = numbered_trips(spark, sf_dir).select("seq", "l_orderkey", "l_linenumber", F.explode(kinds).alias("e"))
+    return ev.select("seq", "l_orderkey", "l_linenumber", "e.*").orderBy("event_time", "other_time", "seq")
+
+
+@query("trips_to_fares", TRIPS_SQL + """
+SELECT seq, l_orderkey, l_linenumber, o_orderdate AS start_time, l_linestatus AS payment_type, l_tax AS tip,
+       l_discount AS tolls, l_extendedprice AS total_fare FROM trips""")
+def trips_to_fares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fare form of the same input lines, numbered alike and left in input order (IO8)."""
+    return numbered_trips(spark, sf_dir).select(
+        "seq", "l_orderkey", "l_linenumber", F.col("o_orderdate").alias("start_time"),
+        F.col("l_linestatus").alias("payment_type"), F.col("l_tax").alias("tip"), F.col("l_discount").alias("tolls"),
+        F.col("l_extendedprice").alias("total_fare"))
 
 
 # fixed values: the ad-hoc predicates of the reference's query test, as SQL text over a

@@ -6,55 +6,91 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riverbed.operators.joins import asof_join, band_join
+from riverbed.operators.joins import asof_join
 from riverbed.plans.oracle_views import with_views
 from riverbed.plans.registry import query
 from riverbed.sources import views
 from riverbed.sources.tables import table
 
-RULE_SPAN_MS = 6 * 3600 * 1000
-
-MATCH_SQL = with_views("clicks", "alert_rules") + """
-, u AS (SELECT event_id, ts, client_id, 1 AS entity_type_id, publisher_id AS entity_id FROM clicks
-        UNION ALL SELECT event_id, ts, client_id, 2, offer_id FROM clicks
-        UNION ALL SELECT event_id, ts, client_id, 3, coalesce(campaign_id, 0) FROM clicks),
-m AS (SELECT u.event_id, u.entity_type_id, u.ts, u.client_id,
-             arg_min(r.alert_use_id, (r.begin_ts, r.alert_use_id)) AS alert_use_id
-      FROM u JOIN alert_rules r ON r.client_id = u.client_id AND r.entity_type_id = u.entity_type_id
-        AND r.entity_id = u.entity_id AND r.begin_ts <= u.ts AND u.ts < r.end_ts GROUP BY ALL)
+MATCH_SQL = with_views("clicks", "alert_rules").replace("WITH ", "WITH RECURSIVE ", 1) + """
+, first_rule AS (
+  SELECT client_id, entity_type_id, entity_id, begin_ts, min(alert_use_id) AS alert_use_id,
+         arg_min(end_ts, alert_use_id) AS end_ts FROM alert_rules GROUP BY ALL),
+linked AS (
+  SELECT r.*, n.alert_use_id AS next_id FROM first_rule r ASOF LEFT JOIN first_rule n
+    ON n.client_id = r.client_id AND n.entity_type_id = r.entity_type_id AND n.entity_id = r.entity_id
+    AND r.end_ts <= n.begin_ts),
+held AS (
+  SELECT l.* FROM linked l JOIN (
+    SELECT client_id, entity_type_id, entity_id, min(begin_ts) AS begin_ts FROM first_rule GROUP BY ALL)
+    USING (client_id, entity_type_id, entity_id, begin_ts)
+  UNION ALL
+  SELECT l.* FROM held h JOIN linked l ON l.alert_use_id = h.next_id),
+u AS (SELECT event_id, ts, client_id, 1 AS entity_type_id, publisher_id AS entity_id FROM clicks
+      UNION ALL SELECT event_id, ts, client_id, 2, offer_id FROM clicks
+      UNION ALL SELECT event_id, ts, client_id, 3, coalesce(campaign_id, 0) FROM clicks),
+m AS (SELECT u.event_id, u.entity_type_id, u.ts, u.client_id, r.alert_use_id, r.begin_ts, r.end_ts
+      FROM u JOIN held r ON r.client_id = u.client_id AND r.entity_type_id = u.entity_type_id
+        AND r.entity_id = u.entity_id AND r.begin_ts <= u.ts AND u.ts < r.end_ts)
 """
 
+RULE_KEY = ["client_id", "entity_type_id", "entity_id"]
+
+
+def held_rules(rules: DataFrame) -> DataFrame:
+    """The rules a key really holds: a rule arriving (at its begin) while the key
+    still holds one is dropped for good; a rule that begins when the held one
+    ends is taken.  Of rules arriving together the least id is first.
+
+    Which rule is dropped depends on the one held before it, so a key's rules
+    are read in order, as a stream of sorted Arrow batches with the end of the
+    held rule as the only state.  Rules without a begin or an end are left out.
+    """
+    known = rules.filter(F.col("begin_ts").isNotNull() & F.col("end_ts").isNotNull())
+    ordered = known.repartition(*RULE_KEY).sortWithinPartitions(*RULE_KEY, "begin_ts", "alert_use_id")
+    return ordered.mapInPandas(_held_batches, known.schema)
+
+
+def _held_batches(batches):
+    key, until = None, None
+    for b in batches:
+        keep = []
+        for *k, begin, end in b[[*RULE_KEY, "begin_ts", "end_ts"]].astype(object).where(
+                b[[*RULE_KEY, "begin_ts", "end_ts"]].notna(), None).itertuples(index=False, name=None):
+            taken = k != key or begin >= until
+            if taken:
+                key, until = k, end
+            keep.append(taken)
+        yield b[keep]
+
 
-def active_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+def active_matches(clicks: DataFrame, rules: DataFrame) -> DataFrame:
     """Each click fans out to its three (entity type, id) pairs (null id → 0) and
-    meets the open rules of the same client and entity: a keyed band join on
-    the rule's begin time, then the rule's end checked exactly; the first rule
-    (earliest begin, then id) per click and type wins."""
-    c = views.clicks(spark, sf_dir)
-    u = c.select("event_id", "ts", "client_id", F.expr(
-        "stack(3, 1, publisher_id, 2, offer_id, 3, coalesce(campaign_id, 0)) AS (entity_type_id, entity_id)"))
-    r = views.alert_rules(spark, sf_dir).withColumn("entity_type_id", F.col("entity_type_id").cast("int"))
-    u = u.withColumn("entity_type_id", F.col("entity_type_id").cast("int"))
-    j = band_join(u, r, ["client_id", "entity_type_id", "entity_id"], "ts", "begin_ts", -RULE_SPAN_MS, 0)
-    j = j.filter(F.col("ts") < F.col("end_ts"))
-    first = F.min_by(F.struct("alert_use_id", "begin_ts", "end_ts"), F.struct("begin_ts", "alert_use_id"))
-    return j.groupBy("event_id", "entity_type_id", "ts", "client_id").agg(first.alias("r")).select(
-        "event_id", "entity_type_id", "ts", "client_id", "r.alert_use_id", "r.begin_ts", "r.end_ts")
-
-
-@query("active_alert_filter", MATCH_SQL + "SELECT * FROM m")
+    meets the rule its key holds at that time: an as-of join with the held
+    rules, which don't overlap, then the rule's end checked."""
+    u = clicks.select("event_id", "ts", "client_id", F.expr(
+        "stack(3, 1, coalesce(publisher_id, 0), 2, coalesce(offer_id, 0), 3, coalesce(campaign_id, 0))"
+        " AS (entity_type_id, entity_id)"))
+    r = held_rules(rules.withColumn("entity_type_id", F.col("entity_type_id").cast("int")))
+    j = asof_join(u, r, RULE_KEY, "ts", "begin_ts", ["alert_use_id", "end_ts"], how="inner")
+    return j.filter(F.col("ts") < F.col("end_ts")).select(
+        "event_id", "entity_type_id", "ts", "client_id", "alert_use_id",
+        F.col("matched_at").alias("begin_ts"), "end_ts")
+
+
+@query("active_alert_filter", MATCH_SQL + "SELECT * EXCLUDE (begin_ts, end_ts) FROM m")
 def active_alert_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return active_matches(spark, sf_dir).drop("begin_ts", "end_ts")
+    return active_matches(views.clicks(spark, sf_dir), views.alert_rules(spark, sf_dir)).drop("begin_ts", "end_ts")
 
 
 @query("alert_interval_counts", MATCH_SQL + """
-SELECT m.client_id, date_trunc('second', r.begin_ts) AS window_begin, date_trunc('second', r.end_ts) AS window_end,
+SELECT client_id, date_trunc('second', begin_ts) AS window_begin, date_trunc('second', end_ts) AS window_end,
        count(*) AS cnt
-FROM m JOIN alert_rules r USING (alert_use_id) GROUP BY ALL""")
+FROM m GROUP BY ALL""")
 def alert_interval_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Matched clicks counted per client in the rule's own window [begin, end) cut
     to whole seconds (ST12)."""
-    m = active_matches(spark, sf_dir)
+    m = active_matches(views.clicks(spark, sf_dir), views.alert_rules(spark, sf_dir))
     # date_trunc yields a session-zone TIMESTAMP; keep the UTC wall clock type
     sec = lambda c: F.date_trunc("second", c).cast("timestamp_ntz")
     return m.groupBy("client_id", sec("begin_ts").alias("window_begin"),

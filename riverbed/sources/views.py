@@ -134,8 +134,8 @@ def alert_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def thresholds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every rule update in the order it was set; a threshold below 1 removes the rule."""
     ev = table(spark, sf_dir, "events")
-    return (ev.filter((F.col("event_type") == "view") & (F.col("user_id") % 3 == 0))
-            .groupBy(F.col("user_id").alias("id"))
-            .agg(F.max("ts").alias("set_at"))
-            .select("id", (F.lit(1.0) + (F.col("id") % 5)).alias("threshold"), "set_at"))
+    return ev.filter((F.col("event_type") == "view") & (F.col("user_id") % 3 == 0)).select(
+        F.col("user_id").alias("id"), F.col("event_id").alias("rule_id"),
+        (F.lit(0.5) + (F.col("event_id") % 5)).alias("threshold"), F.col("ts").alias("set_at"))

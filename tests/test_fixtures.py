@@ -143,11 +143,91 @@ def test_rolling_sum_literal_case(spark):
     assert got == [(0, 2), (1, 3), (2, 5), (3, 7)]
 
 
-def test_thresholds_last_rule_wins(spark):
-    """(sensor_1, 5.0) (sensor_2, 2.0) (sensor_1, 1.2), default 4.0: the newest rule per id."""
-    from riverbed.operators.windows import top1_per_group
-    rules = spark.createDataFrame([(0, "sensor_1", 5.0), (1, "sensor_2", 2.0), (2, "sensor_1", 1.2)],
-                                  "seq long, id string, threshold double")
-    latest = top1_per_group(rules.withColumn("neg", -F.col("seq")), ["id"], "seq", "neg", ["threshold"])
-    got = sorted((r.id, r.threshold) for r in latest.collect())
-    assert got == [("sensor_1", 1.2), ("sensor_2", 2.0)]
+def _at(minute):
+    import datetime
+    return datetime.datetime(2024, 1, 1) + datetime.timedelta(minutes=minute)
+
+
+def test_threshold_history_and_removal(spark):
+    """(sensor_1, 5.0), then 1.2, then 0.5 (removes), default 4.0: a reading meets
+    the rule of its own time."""
+    from riverbed.plans.alerts import threshold_alerts
+    rules = spark.createDataFrame([("s1", 0, 5.0, _at(0)), ("s1", 1, 1.2, _at(20)), ("s1", 2, 0.5, _at(40))],
+                                  "id string, rule_id long, threshold double, set_at timestamp_ntz")
+    reads = spark.createDataFrame(
+        [("s1", 1, _at(10), 45.0, 10.0), ("s1", 2, _at(20), 13.0, 10.0), ("s1", 3, _at(50), 39.0, 10.0),
+         ("s1", 4, _at(51), 41.0, 10.0), ("s2", 5, _at(51), 41.0, 10.0), ("s2", 6, _at(52), 39.0, 10.0)],
+        "sensor_id string, event_id long, ts timestamp_ntz, temp double, last_temp double")
+    assert sorted(r.event_id for r in threshold_alerts(reads, rules).collect()) == [2, 4, 5]
+
+
+def test_held_rules_drop_arrivals_for_good(spark):
+    """A rule arriving while its key is held never comes back; one that begins as
+    the held one ends is taken."""
+    from riverbed.plans.rules import active_matches
+    rules = spark.createDataFrame(
+        [(1, 7, 1, 3, _at(0), _at(60)), (2, 7, 1, 3, _at(30), _at(90)), (3, 7, 1, 3, _at(60), _at(70)),
+         (4, 7, 1, 9, _at(30), _at(90))],
+        "alert_use_id long, client_id long, entity_type_id int, entity_id long, begin_ts timestamp_ntz, end_ts timestamp_ntz")
+    clicks = spark.createDataFrame(
+        [(10, _at(0), 7, 3, None, None), (11, _at(65), 7, 3, None, None), (12, _at(80), 7, 3, None, None),
+         (13, _at(80), 7, 9, None, None)],
+        "event_id long, ts timestamp_ntz, client_id long, publisher_id long, offer_id long, campaign_id long")
+    assert sorted((r.event_id, r.alert_use_id) for r in active_matches(clicks, rules).collect()) == [
+        (10, 1), (11, 3), (13, 4)]
+
+
+def test_mail_archive_literal(spark):
+    """Header names in any case, soft breaks, and records left out for a bad time,
+    a missing subject, a delimiter in a field or no body."""
+    from riverbed.plans.codecs_io import parse_archive
+    def mail(first, *lines):
+        return ("-" + first + "\n" + "\n".join(lines) + "\n",)
+    when = "1@example.org Tue Mar  5 23:04:09 2013"
+    rows = [
+        mail(when, "SUBJECT: a", "from: A <a@x>", "Message-id: <1>", "Date: Tue, 5 Mar 2013 16:04:09 -0700", "",
+             "long li=", "ne", "end"),
+        mail(when, "Subject: old", "Subject: b", "From: B", "Message-ID: <2>", "In-Reply-To: <1>", " ", "x"),
+        mail("1@example.org Tue Foo  5 23:04:09 2013", "Subject: c", "From: C", "Message-ID: <3>", "", "x"),
+        mail(when, "From: D", "Message-ID: <4>", "", "x"),
+        mail(when, "Subject: e#|#e", "From: E", "Message-ID: <5>", "", "x"),
+        mail(when, "Subject: f", "From: F", "Message-ID: <6>", ""),
+        mail(when, "Subject: g", "From: G", "", "Message-ID: <7>"),
+    ]
+    got = sorted(tuple(r) for r in parse_archive(spark.createDataFrame(rows, "value string")).collect())
+    assert got == [
+        ("<1>", "2013-03-05-23:04:09", "A <a@x>", "a", "\nlong line\nend\n", "null"),
+        ("<2>", "2013-03-05-23:04:09", "B", "b", " \nx\n", "<1>"),
+    ]
+
+
+def test_cells_on_way_against_predicate(spark):
+    """Random segments against a test of every cell of the bounding box; null
+    coordinates give null; both directions agree; the UDF counts alike."""
+    import random
+
+    from riverbed.functions import geo
+    from riverbed.plans.udfs import cells_on_way_count
+    rng = random.Random(5)
+    pt = lambda: (geo.LON_WEST + (rng.randrange(12) + 0.5) * geo.DELTA_LON,
+                  geo.LAT_NORTH - (rng.randrange(12) + 0.5) * geo.DELTA_LAT)
+    rows = [(i, *pt(), *pt()) for i in range(300)]
+    df = spark.createDataFrame(rows + [(300, None, 40.6, -74.0, 40.6)], "id long, a double, b double, c double, d double")
+    got = df.select("id", geo.grid_x("a").alias("x1"), geo.grid_y("b").alias("y1"), geo.grid_x("c").alias("x2"),
+                    geo.grid_y("d").alias("y2"), geo.cells_on_way("a", "b", "c", "d").alias("there"),
+                    geo.cells_on_way("c", "d", "a", "b").alias("back"),
+                    cells_on_way_count("a", "b", "c", "d").alias("n")).collect()
+    for r in got:
+        if r.id == 300:
+            assert r.there is None and r.n is None
+            continue
+        (x0, y0), (x1, y1) = sorted([(r.x1, r.y1), (r.x2, r.y2)], key=lambda p: p[0]) if r.x1 != r.x2 else \
+            [(r.x1, r.y1), (r.x2, r.y2)]
+        w, d, up = x1 - x0, abs(y1 - y0), 1 if y1 >= y0 else -1
+        s = d / (w + 1e-8)
+        want = {x0 + i + (y0 + up * j) * 250 for i in range(w + 1) for j in range(d + 1)
+                if (i == 0 or (i - 0.5) * s <= j + 0.45)
+                and (i == w or (i + 0.5) * s > j - 0.45 or (i == 0 and j == 0) or (i > 0 and (i - 0.5) * s > j - 0.55))}
+        assert set(r.there) == want and len(r.there) == len(want) == r.n
+        assert w == 0 or sorted(r.back) == sorted(r.there)
+
