@@ -94,10 +94,13 @@ class Templates:
                     zip(words, words[1:], strict=False)):
                 run, j = [], i
                 while j < len(lines):
-                    run += _WORDS(lines[j].lower())
+                    more = _WORDS(lines[j].lower())
+                    run += more
                     if len(run) - 1 > self.most:
                         break
                     j += 1
+                    if not more:
+                        continue
                     grams = Counter(zip(run, run[1:], strict=False)) if len(run) > 1 else Counter((w,) for w in run)
                     got = self.best(grams)
                     if got[0] > top[0]:

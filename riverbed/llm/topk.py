@@ -10,8 +10,9 @@ below the k-th best lower bound can't be members; when few are left, or no
 segment is, the rest are scored exactly from the whole vectors.  There is no
 other stop.
 
-Spark packs vectors into blocks by hash, sends each query block to every vector
-block by an equi-join on block number, and keeps k rows per query and block
+Spark packs vectors into blocks of like size, sends each query block to every vector
+block by an equi-join on block number (a task indexes a block once for all query blocks
+that follow each other), and keeps k rows per query and block
 before one last ranking.  Neither side is collected or broadcast.
 """
 
@@ -80,15 +81,20 @@ class ImpactIndex:
 
 def _search(k: int):
     def run(batches):
+        held, index = None, None
         for batch in batches:
             for i in range(batch.num_rows):
                 row = batch.slice(i, 1)
-                q, v = _matrix(row.column("qv").flatten()), _matrix(row.column("vv").flatten())
-                width = max(q.shape[1], v.shape[1])
-                q, v = (np.pad(m, ((0, 0), (0, width - m.shape[1]))) for m in (q, v))
+                block = row.column("block")[0].as_py()
+                if index is None or block != held:
+                    held, index = block, ImpactIndex(_matrix(row.column("vv").flatten()))
+                # components that no vector of the block has add nothing to a score
+                width = index.vectors.shape[1]
+                q = _matrix(row.column("qv").flatten())[:, :width]
+                q = np.pad(q, ((0, 0), (0, width - q.shape[1])))
                 qid, vid = (row.column(c).flatten().to_numpy() for c in ("qid", "vid"))
                 key = row.column("qkey").flatten().to_numpy()
-                at, who, score = ImpactIndex(v).search(q, k, qid[:, None] == vid[None, :])
+                at, who, score = index.search(q, k, qid[:, None] == vid[None, :])
                 order = np.lexsort((vid[who], -score, at))
                 at, who, score = at[order], who[order], score[order]
                 rank = np.arange(len(at)) - np.searchsorted(at, at)
@@ -124,7 +130,8 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
     must fit in 53 bits.  No queries or no vectors: an empty table."""
     vectors = materialize(ready(vectors), "vectors")
     blocks = max(1, -(-vectors.count() // BLOCK))
-    v = (vectors.withColumn("block", F.pmod(F.xxhash64("vec_id", "vec"), F.lit(blocks)))
+    # by place in the written table, so that many equal rows spread like any others
+    v = (vectors.withColumn("block", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(blocks)))
          .groupBy("block").agg(F.collect_list(F.struct("vec_id", "vec")).alias("m"))
          .select("block", F.col("m.vec_id").alias("vid"), F.col("m.vec").alias("vv")))
     asked = queries.dropDuplicates(["vec_id", "vec"]).withColumn("qkey", F.xxhash64("vec_id", "vec"))
@@ -134,7 +141,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
          .groupBy("part").agg(F.collect_list(F.struct("vec_id", "qkey", "vec")).alias("m"))
          .select(F.col("m.vec_id").alias("qid"), F.col("m.qkey").alias("qkey"), F.col("m.vec").alias("qv"),
                  F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("block")))
-    best = q.join(v, "block").select("qid", "qkey", "qv", "vid", "vv").mapInArrow(
+    best = q.join(v, "block").select("block", "qid", "qkey", "qv", "vid", "vv").mapInArrow(
         _search(k), "qkey long, query_id long, vec_id long, score long")
     order = Window.partitionBy("query_id", "qkey").orderBy(F.desc("score"), "vec_id")
     return (best.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)

@@ -142,6 +142,23 @@ def test_top_k(spark):
     assert topk.top_k(vectors.filter("false"), vectors).count() == 0
 
 
+def test_top_k_of_many_equal_rows(spark, monkeypatch):
+    """Equal rows fill no block of their own, and each of them can be in a result."""
+    monkeypatch.setattr(topk, "BLOCK", 50)
+    rows = [(7, [3, 4])] * 400 + [(i, [i % 5, 1]) for i in range(100, 400)]
+    vectors = spark.createDataFrame(rows, "vec_id long, vec array<long>")
+    search = topk.ImpactIndex
+
+    class Seen(search):
+        def __init__(self, v):
+            assert len(v) < 150
+            super().__init__(v)
+    monkeypatch.setattr(topk, "ImpactIndex", Seen)
+    got = topk.top_k(vectors, vectors.filter("vec_id in (100, 104)")).collect()
+    assert sorted((r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in got) == [
+        *((100, k, 7, 4) for k in range(1, 6)), *((104, k, 104 + 5 * k, 17) for k in range(1, 6))]
+
+
 def test_top_k_index_stops_early_and_right():
     r = np.random.default_rng(2)
     vectors = np.vstack((r.integers(-30, 30, (500, 16)), r.integers(-200, 200, (3, 16))))
@@ -188,6 +205,8 @@ def test_licences(docs, none):
     for name, text in licences.TEMPLATES:
         found = known.find("words before\n" + text.replace(", ", ",\n") + "\nwords after it")
         assert any(f[3] >= licences.LEAST for f in found), (name, found)
+    assert known.find("\n" * 300_000 + "Released under the MIT\n" + "\n" * 300_000 + "License.\n") == [
+        (300_000, 600_002, "MIT", 1.0)]
     assert known.find("nothing of the kind\nis in here") == [] and licences.find_licences(none).count() == 0
 
 
