@@ -1,4 +1,4 @@
-"""Event-time windows: tumbling, sliding, session, running (per-key) aggregates.
+"""Event-time windows: tumbling and sliding aggregates, top-1.
 
 All windowed aggregates are plain ``groupBy(window(...), keys)`` so Spark runs a
 partial aggregate before the shuffle and a final one after it; the window
@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -35,16 +35,6 @@ def sliding_agg(df: DataFrame, time_col: str, size: str, slide: str, keys: Seque
     return _flatten(out, keys, list(aggs))
 
 
-def session_agg(df: DataFrame, time_col: str, gap: str, keys: Sequence[str], aggs: dict[str, Column]) -> DataFrame:
-    out = _agg(df, [F.session_window(time_col, gap).alias("window"), *keys], aggs)
-    return _flatten(out, keys, list(aggs))
-
-
-def running(keys: Sequence[str], order: Sequence[Column | str]) -> Window:
-    """Frame from the first row of the key to the current row (one output per input)."""
-    return Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-
-
 def top1_per_group(df: DataFrame, group: Sequence[str], value: str, tiebreak: str, keep: Sequence[str]) -> DataFrame:
     """Row with the largest ``value`` per group; ties go to the smaller ``tiebreak``.
 

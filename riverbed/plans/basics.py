@@ -6,11 +6,11 @@ Arrival order, where the reference depends on it, is ``event_id``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riverbed.operators.running import running_sum
-from riverbed.operators.windows import running, tumbling_agg
+from riverbed.operators.running import join_back, running_max_before, running_sum
+from riverbed.operators.windows import tumbling_agg
 from riverbed.plans.oracle_views import with_views
 from riverbed.plans.registry import query
 from riverbed.sources import views
@@ -77,11 +77,11 @@ SELECT event_id, sensor_id, max(ts) OVER w AS max_ts, first_value(temp) OVER w A
 FROM sensors WINDOW w AS (PARTITION BY sensor_id ORDER BY event_id ROWS UNBOUNDED PRECEDING)""")
 def rolling_reduce_max(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rolling reduce: newest timestamp so far, temperature of the key's first reading (A2)."""
-    s = views.sensors(spark, sf_dir)
-    w = running(["sensor_id"], ["event_id"])
-    first = Window.partitionBy("sensor_id")
-    return s.select("event_id", "sensor_id", F.max("ts").over(w).alias("max_ts"),
-                    F.min_by("temp", "event_id").over(first).alias("temp"))
+    s = views.sensors(spark, sf_dir).select("event_id", "sensor_id", "ts", "temp")
+    r = running_max_before(s, ["sensor_id"], ["event_id"], id_chunk(), F.col("ts"), "before")
+    first = s.groupBy("sensor_id").agg(F.min_by("temp", "event_id").alias("first_temp"))
+    return join_back(r, first, ["sensor_id"]).select(
+        "event_id", "sensor_id", F.greatest("before", "ts").alias("max_ts"), F.col("first_temp").alias("temp"))
 
 
 @query("high_temp_counts", SV + """

@@ -7,6 +7,8 @@ so a restarted driver or a lost executor resumes from the query checkpoint.
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,26 +16,27 @@ from riverbed.functions.time import to_instant
 from riverbed.session import scratch_path
 
 
-def stage_files(df: DataFrame, path: str, time_col: str, n_files: int) -> list[str]:
-    """Write ``df`` under ``path`` as ``n_files`` consecutive time ranges, one
-    append per range in time order, so a file source reading one file per
-    trigger (files are taken in modification-time order) replays the table in
-    event-time order.  Returns the data files in the order written."""
-    from riverbed.functions.time import epoch_millis
-    ms = epoch_millis(time_col)
-    cuts = df.select(ms.alias("_ms")).approxQuantile("_ms", [i / n_files for i in range(1, n_files)], 0.001)
-    bounds = [None, *sorted(set(cuts)), None]
-    jvm_files = []
-    for lo, hi in zip(bounds[:-1], bounds[1:]):
-        cond = F.lit(True)
-        if lo is not None:
-            cond = cond & (ms >= lo)
-        if hi is not None:
-            cond = cond & (ms < hi)
-        before = set(_data_files(df.sparkSession, path))
-        df.filter(cond).coalesce(1).write.mode("append").parquet(path)
-        jvm_files += sorted(set(_data_files(df.sparkSession, path)) - before)
-    return jvm_files
+def stage_files(df: DataFrame, path: str, time_col: str, least_files: int) -> list[str]:
+    """Write ``df`` under ``path`` as consecutive time ranges, one file a range, so a
+    file source reading one file per trigger replays the table in event-time order.
+
+    One range shuffle and one parallel write: as many ranges as the input has
+    splits, so files grow in number and not in size, and at least
+    ``least_files``.  A file source takes files by modification time; the
+    files' times are set in the order of their ranges, a second apart and before
+    now (metadata only).  Returns the data files in that order."""
+    spark = df.sparkSession
+    before = set(_data_files(spark, path))
+    ranges = max(least_files, df.rdd.getNumPartitions())
+    df.repartitionByRange(ranges, time_col).write.mode("append").parquet(path)
+    # part-<range>-<job>-c<n>: by range, then by file of the range
+    new = sorted(set(_data_files(spark, path)) - before,
+                 key=lambda f: (int(f.rsplit("/", 1)[1].split("-")[1]), f))
+    begin = (int(time.time()) - len(new)) * 1000
+    for i, f in enumerate(new):
+        p = spark._jvm.org.apache.hadoop.fs.Path(f)
+        p.getFileSystem(spark._jsc.hadoopConfiguration()).setTimes(p, begin + 1000 * i, -1)
+    return new
 
 
 def _data_files(spark: SparkSession, path: str) -> list[str]:
@@ -56,23 +59,6 @@ def as_event_time(df: DataFrame, *cols: str) -> DataFrame:
     return df
 
 
-def run_to_parquet(sdf: DataFrame, spark: SparkSession, name: str, mode: str = "append") -> str:
-    """Run a streaming query over everything available, exactly once into a
-    parquet folder (the built-in file sink's commit log makes it idempotent)."""
-    out, ckpt = scratch_path(spark, f"{name}-out"), scratch_path(spark, f"{name}-ckpt")
-    q = (sdf.writeStream.format("parquet").option("path", out).option("checkpointLocation", ckpt)
-         .outputMode(mode).trigger(availableNow=True).start())
-    q.awaitTermination()
-    return out
-
-
-def stream_table(spark: SparkSession, df: DataFrame, time_col: str, name: str, n_files: int = 8) -> DataFrame:
-    """Stage a derived table and return it as a stream (event-time columns as instants)."""
-    path = scratch_path(spark, f"{name}-src")
-    stage_files(df, path, time_col, n_files)
-    return file_stream(spark, path, df.schema)
-
-
 def flush_row(df: DataFrame, time_cols: list[str], **values) -> DataFrame:
     """One row far in the future: staged last, it moves the watermark past every
     real row so append-mode results are complete (the tests' final watermark).
