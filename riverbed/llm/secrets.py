@@ -7,12 +7,14 @@ partition refinement and laid out as one transition array.  A text is read
 byte by byte once; a state with an accepting rule says that a match of the rule
 is under way.  Only there a small automaton of the reversed rule walks back to
 the leftmost start (not before the end of the rule's previous match), and the
-body run is followed to its end.
+body run is followed to its end.  A rule for keys goes on over the key data that
+follows, up to the key's own END line.
 """
 
 from __future__ import annotations
 
 import hashlib
+import re
 from collections import namedtuple
 
 import numpy as np
@@ -23,8 +25,9 @@ from pyspark.sql import functions as F
 from riverbed.llm.frames import parts, ready
 
 #: kind; lead and body as regular expressions over bytes; least body bytes of a
-#: finding (a shorter match is passed over whole and not reported).
-Rule = namedtuple("Rule", "kind lead body least")
+#: finding (a shorter match is passed over whole and not reported); whether key
+#: data follows that belongs to the finding.
+Rule = namedtuple("Rule", "kind lead body least key", defaults=(False,))
 
 _KEYWORD = "(" + "|".join("".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in w)
                           for w in ("password", "passwd", "secret", "token", "api_?key")) + ")"
@@ -37,10 +40,28 @@ EXTRA = (
     Rule("github", "gh[pousr]_", "[A-Za-z0-9]", 36),
     Rule("slack", "xox[abprs]-", "[A-Za-z0-9-]", 20),
     Rule("jwt", r"eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.", "[A-Za-z0-9_-]", 16),
-    Rule("pem", r"-----BEGIN\x20([A-Z]+\x20)*PRIVATE\x20KEY", "-", 5),
+    Rule("pem", r"-----BEGIN\x20([A-Z0-9]+\x20)*PRIVATE\x20KEY(\x20BLOCK)?", "-", 5, True),
 )
 RULES = BASE + EXTRA
 
+_MARK = re.compile(rb"-----(?:BEGIN|END\x20(?:[A-Z0-9]+\x20)*PRIVATE\x20KEY(?:\x20BLOCK)?-*)").search
+#: Between lines of a key: line ends (escaped ones too), indents, quotes, comment marks.
+_GAP = rb"""(?:\\+[nrt]|[\s\\"'`>|#*+,;])*+"""
+#: A key without END: its header lines, base64 of 16 and more characters in a row, a short last line, a checksum.
+_CUT = re.compile(rb"(?:GAP(?:(?:Proc-Type|DEK-Info):\x20[^\s\\]*+|(?:Version|Comment|Hash|Charset|MessageID):\x20[^\r\n\\]*+))*+"
+                  rb"(?:(?:GAP[A-Za-z0-9+/=]{16,}+)++(?:GAP[A-Za-z0-9+/]{1,15}+=*+)?(?:GAP=[A-Za-z0-9+/]{4})?)?"
+                  .replace(b"GAP", _GAP)).match
+
+
+def key_end(data: bytes, at: int) -> int:
+    """End of the key whose header ends at ``at``: after its END line, whatever
+    stands between; without one before the next BEGIN, the end of the key data."""
+    mark = _MARK(data, at)
+    if mark and mark[0].startswith(b"-----END"):
+        return mark.end()
+    cut = _CUT(data, at, mark.start() if mark else len(data))
+    return cut.end()
+
 
 class _Parser:
     """Regular expressions of literals, escapes, classes, groups, ``|``, ``?``, ``*``, ``+``."""
@@ -257,9 +278,12 @@ class Scanner:
         body, r, end = self.body[rule], self.rules[rule], at + 1
         while end < len(data) and data[end] in body:
             end += 1
-        done[rule] = end
         # at is the first place where the rule is complete, so the body begins there (or ``least`` before)
-        if end - at >= r.least or not r.lead:
+        whole = end - at >= r.least or not r.lead
+        if whole and r.key:
+            end = key_end(data, end)
+        done[rule] = end
+        if whole:
             found.append((start, rule, end))
 
 

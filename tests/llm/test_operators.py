@@ -198,6 +198,30 @@ def test_secrets(docs, none):
     assert secrets.find_secrets(none).count() == secrets.mask_secrets(none).count() == 0
 
 
+def test_whole_private_keys_are_masked(spark):
+    r = random.Random(7)
+    line = lambda n=64: "".join(r.choice("ABCDEFabcdef0189+/") for _ in range(n))
+    want, rows = [], []
+    for label in ("RSA PRIVATE KEY", "PRIVATE KEY", "ENCRYPTED PRIVATE KEY", "PGP PRIVATE KEY BLOCK"):
+        for end in ("\n", "\r\n", "\\n", " ", "\n    ", '"\n"', "\n> "):
+            for head in ("", f"Proc-Type: 4,ENCRYPTED{end}DEK-Info: AES-128-CBC,{line(32)}{end}{end}"):
+                if head and end == " ":
+                    continue
+                key = f"-----BEGIN {label}-----{end}{head}" + "".join(line() + end for _ in range(5)) + "aB3x1=" + end
+                rows += [f"before é {key}-----END {label}----- after it", f"cut, {key}"]
+                want += ["before é [pem] after it", "cut, [pem]"]
+    two = f"-----BEGIN EC PRIVATE KEY-----\n{line()}\nand so on\n"
+    rows += [two * 2, "-----BEGIN PRIVATE KEY----- opens a key file.", "-----BEGIN CERTIFICATE-----\nMIIB\n-----END CERTIFICATE-----"]
+    want += [None, "[pem] opens a key file.", rows[-1]]
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    out = [x["text"] for x in secrets.mask_secrets(df).orderBy("doc_id").collect()]
+    for was, got, w in zip(rows, out, want, strict=True):
+        if w is None:
+            assert got.count("[pem]") == 2 and not re.search("[A-Za-z0-9+/]{16}", got), (was, got)
+        else:
+            assert got.rstrip(' \r\n\\n">') == w, (was, got)
+
+
 def test_licences(docs, none):
     out = {r["doc_id"]: r["found"] for r in licences.find_licences(docs).filter("size(found) > 0").collect()}
     assert {k: [tuple(x) for x in v] for k, v in out.items()} == {10: [(0, 1, "MIT", 1.0)]}
