@@ -210,7 +210,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
     component and its rows are kept.  Repeated rows are separate documents of
     one class and share the flag.  Columns other than the two named are
     ignored.  An empty table gives an empty result."""
-    return _components(docs, width, percent, id_col, text_col).drop("k1", "k2")
+    return _components(docs, width, percent, id_col, text_col).drop("k1", "k2", "root")
 
 
 def _components(docs: DataFrame, width: int, percent: int, id_col: str, text_col: str) -> DataFrame:
@@ -245,22 +245,27 @@ def _components(docs: DataFrame, width: int, percent: int, id_col: str, text_col
     placed = classes.select("name", "node", "least").join(label, "node", "left")
     placed = placed.withColumn("root", F.coalesce("root", "node"))
     group = placed.groupBy("root").agg(F.min("least").alias("component_id"))
-    of_class = placed.join(group, "root").select("name", "component_id")
+    of_class = placed.join(group, "root").select("name", "component_id", "root")
     linked = some.select("doc_id", "n", "name", "k1", "k2").join(of_class, "name").select(
-        "doc_id", "n", "component_id", "k1", "k2")
-    alone = rows.filter("n = 0").select("doc_id", "n", F.col("doc_id").alias("component_id"), "k1", "k2")
+        "doc_id", "n", "component_id", "k1", "k2", "root")
+    alone = rows.filter("n = 0").select("doc_id", "n", F.col("doc_id").alias("component_id"), "k1", "k2",
+                                        F.lit(None).cast("long").alias("root"))
     return linked.unionByName(alone).select(
         "doc_id", F.col("n").alias("n_shingles"), "component_id",
-        F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"), "k1", "k2")
+        F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"), "k1", "k2", "root")
 
 
 def keep_one(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id",
              text_col: str = "text") -> DataFrame:
-    """The rows of ``docs``, all columns, without near copies: of each group the
-    row with the least id stays (one row of it, if the row is repeated).  Rows
-    without words all stay, but repeated ones.  Edge cases as in ``near_duplicates``."""
+    """The rows of ``docs``, all columns, without near copies: of each group one
+    row stays, that with the least id, null ids last; of several rows with that id
+    the one with the least row key, and one row of it, if the row is repeated.
+    Rows without words all stay, but repeated ones."""
     key = fresh(docs, "_k1", "_k2")
+    # the least id of a group is what kept marks; a row without a root is a group of its own
     kept = _components(docs, width, percent, id_col, text_col).filter("kept")
-    kept = kept.select(F.col("k1").alias(key[0]), F.col("k2").alias(key[1]))
+    own = [F.when(F.col("root").isNull(), F.col(c)) for c in ("k1", "k2")]
+    kept = kept.groupBy("root", *own).agg(F.min(F.struct("k1", "k2")).alias("one")).select(
+        F.col("one.k1").alias(key[0]), F.col("one.k2").alias(key[1]))
     texts = ready(docs).withColumns(dict(zip(key, row_key(F.col(id_col), F.col(text_col)), strict=True)))
     return texts.join(kept, key, "left_semi").dropDuplicates(key).select(*docs.columns)

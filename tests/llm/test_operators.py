@@ -118,6 +118,21 @@ def test_near_duplicates_of_odd_rows(docs, none):
     assert minhash.near_duplicates(none, 4, 80).count() == minhash.keep_one(none).count() == 0
 
 
+def test_one_row_of_each_group_stays(spark):
+    """Near copies with one id, with null ids, and equal rows; rows without words are no group."""
+    r = random.Random(5)
+    base = [[f"{c}{r.randrange(900)}" for _ in range(80)] for c in "abc"]
+    near = lambda g, i: " ".join([*base[g][:-1], f"x{i}"])
+    rows = [(7, near(0, i)) for i in range(6)] + [(8, near(0, 6))] + [(None, near(1, i)) for i in range(5)]
+    rows += [(None, near(2, 0)), (9, near(2, 1)), (9, near(2, 2)), (3, ""), (4, None), (None, " "), (None, "")]
+    df = spark.createDataFrame(rows * 2, "doc_id long, text string")
+    got = minhash.keep_one(df).collect()
+    assert {(x["doc_id"], x["text"]) for x in got} <= set(rows)
+    full = sorted(((x["doc_id"], x["text"][0]) for x in got if (x["text"] or "").strip()), key=str)
+    assert full == [(7, "a"), (9, "c"), (None, "b")]
+    assert sorted(x["doc_id"] or 0 for x in got if not (x["text"] or "").strip()) == [0, 0, 3, 4]
+
+
 def test_components(spark):
     links = spark.createDataFrame([(1, 2), (2, 3), (3, 4), (4, 5), (9, 8), (7, 7), (None, 1)], "a long, b long")
     assert rows_of(components.connected_components(links)) == [(1, 1), (2, 1), (3, 1), (4, 1), (5, 1), (8, 8), (9, 8)]
