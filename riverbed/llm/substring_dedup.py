@@ -217,7 +217,9 @@ def remove_repeats(docs: DataFrame, window: int = 35, id_col: str = "doc_id", te
     twice = windows.groupBy("w1", "w2").agg(F.count("*").alias("n")).filter("n > 1").select("w1", "w2")
     single = windows.join(twice, ["w1", "w2"], "left_semi").select(
         "k1", "k2", (F.col("first") * 64 + 1).alias("place"))
-    marks = whole.unionByName(single).groupBy("k1", "k2").agg(F.collect_list("place").alias("places"))
+    # equal rows share a key and all marks, so repeated marks go before any list is made
+    marks = whole.unionByName(single).dropDuplicates(["k1", "k2", "place"]).groupBy("k1", "k2").agg(
+        F.collect_list("place").alias("places"))
     out = keyed.join(marks, ["k1", "k2"], "left").select("doc_id", "text", "places")
     return out.mapInArrow(_apply(window),
                           "doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string")

@@ -70,6 +70,25 @@ def test_repeats_removed(docs, none):
     assert substring_dedup.remove_repeats(none).count() == 0
 
 
+def test_marks_of_many_equal_rows_stay_short(spark, monkeypatch):
+    """Rows equal in id and text share one list, no longer than one text's stretches."""
+    apply, text = substring_dedup._apply, " ".join(f"w{i}" for i in range(200))
+
+    def checked(window):
+        run = apply(window)
+
+        def short(batches):
+            for batch in batches:
+                assert all(x is None or len(x) <= 200 for x in batch.column("places").to_pylist())
+                yield batch
+        return lambda batches: run(short(batches))
+    monkeypatch.setattr(substring_dedup, "_apply", checked)
+    one = spark.createDataFrame([(None, text), (1, text + " end")], "doc_id long, text string")
+    df = one.join(spark.range(2000).select(F.lit(1).alias("x"))).select("doc_id", "text")
+    out = substring_dedup.remove_repeats(df).groupBy("doc_id", "n_words", "n_removed").count()
+    assert rows_of(out) == sorted([(None, 200, 200, 2000), (1, 201, 201, 2000)], key=str)
+
+
 def linked_components(rows, width, percent):
     sets = []
     for _, text in rows:
