@@ -1,18 +1,26 @@
 """License scans: passages against licence templates by Dice coefficient.
 
 Text is normalised (lower case, letters and digits only, version numbers kept)
-and cut into lines.  A passage is a run of lines; it is compared with a template
-as a multiset of word bigrams, ``2 * common / (size + size)``.  A coefficient of
-t or more needs sizes within a factor ``t / (2 - t)`` of each other, so a
-passage meets only templates whose size lies within that bound, and only
-passages that begin with a line that shares a bigram with some template are
-formed at all (a passage that doesn't is beaten by the one without that line).
+to one sequence of words.  A passage is any run of words; it is compared with a
+template as a multiset of word bigrams, ``2 * common / (size + size)``.  A
+coefficient of t or more needs sizes within a factor ``t / (2 - t)`` of each
+other and that share of the template's bigrams in common, and the best passage
+begins and ends with a bigram of its template (without another one at its rim
+it is better).  So runs are formed only where a template's bigrams lie close
+enough, from one of them to another, with the counts updated step by step.
+
+The best passage of a text comes first (the longer of equals, then the first),
+then the best of the words left on both sides of it.
 """
 
 from __future__ import annotations
 
+import heapq
 import re
+from bisect import bisect
 from collections import Counter
+from itertools import accumulate
+from math import ceil
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -68,47 +76,80 @@ class Templates:
         self.least = least
         self.names = [n for n, _ in templates]
         self.grams = [bigrams(t) for _, t in templates]
-        self.bounds = [(g.total() * least / (2 - least), g.total() * (2 - least) / least) for g in self.grams]
-        self.most = max((high for _, high in self.bounds), default=0)
-        self.known = set().union(*self.grams) if self.grams else set()
-
-    def best(self, grams: Counter) -> tuple[float, int]:
-        """Highest coefficient and its template (the first of equals) among those of possible size."""
-        size, top = grams.total(), (0.0, -1)
-        for i, (low, high) in enumerate(self.bounds):
-            if low <= size <= high:
-                d = dice(grams, self.grams[i])
-                if d >= self.least and d > top[0]:
-                    top = (d, i)
-        return top
+        self.sizes = [g.total() for g in self.grams]
+        #: Most bigrams of a passage, and least in common with it.
+        self.most = [s * (2 - least) / least + 1e-9 for s in self.sizes]
+        self.must = [max(1, ceil(s * least / (2 - least) - 1e-9)) for s in self.sizes]
+        self.known: dict[tuple, list[int]] = {}
+        for i, grams in enumerate(self.grams):
+            for g in grams:
+                self.known.setdefault(g, []).append(i)
+        self.single = any(len(g) == 1 for g in self.known)
+
+    def _best(self, t: int, hits: list, k: int, stop: int):
+        """Best run from the template's k-th hit on, up to the word ``stop``: key
+        (less is better), word after its end; none: None."""
+        grams, size, most, at = self.grams[t], self.sizes[t], self.most[t], hits[k][0]
+        seen: dict[tuple, int] = {}
+        common, top = 0, None
+        for p, gram in hits[k:] if len(hits) - k <= most else hits[k:k + int(most)]:
+            if p + len(gram) > stop or p - at + 1 > most or len(gram) == 1 and p > at:
+                break
+            seen[gram] = seen.get(gram, 0) + 1
+            common += seen[gram] <= grams[gram]
+            d = 2 * common / (p - at + 1 + size)
+            if d >= self.least and (top is None or d >= top[0]):
+                top = (d, p + len(gram))
+        return top and ((-top[0], at - top[1], at, t), top[1])
+
+    def runs(self, words: list[str]) -> list[tuple[int, int, int, float]]:
+        """Passages (first word, word after the last, template, coefficient) in order."""
+        hits: dict[int, list] = {}
+        known = self.known
+        for p, g in enumerate(zip(words, words[1:], strict=False)):
+            if g in known:
+                for t in known[g]:
+                    hits.setdefault(t, []).append((p, g))
+        if self.single:
+            for p, w in enumerate(words):
+                for t in known.get((w,), ()):
+                    hits.setdefault(t, []).append((p, (w,)))
+        heap = []
+        for t, some in hits.items():
+            must, most = self.must[t], self.most[t]
+            for k in range(len(some) - must + 1):
+                if some[k + must - 1][0] - some[k][0] + 1 <= most:
+                    got = self._best(t, some, k, len(words))
+                    if got:
+                        heap.append((*got, k))
+        heapq.heapify(heap)
+        begins, ends, taken = [], [], {}
+        while heap:
+            key, end, k = heapq.heappop(heap)
+            start, t = key[2:]
+            i = bisect(begins, start)
+            if i and ends[i - 1] > start:
+                continue
+            if i < len(begins) and begins[i] < end:
+                # cut by a better passage: the best run before it
+                got = self._best(t, hits[t], k, begins[i])
+                if got:
+                    heapq.heappush(heap, (*got, k))
+                continue
+            begins.insert(i, start)
+            ends.insert(i, end)
+            taken[start] = (t, -key[0])
+        return [(a, b, *taken[a]) for a, b in zip(begins, ends, strict=True)]
 
     def find(self, text: str) -> list[tuple[int, int, str, float]]:
-        """Passages (first line, line after the last, licence, coefficient): from each
-        line on the run that matches best, the shorter of equals; runs don't overlap."""
-        lines = text.split("\n")
-        found, i = [], 0
-        while i < len(lines):
-            top, end = (0.0, -1), i + 1
-            words = _WORDS(lines[i].lower())
-            if len(words) == 1 and (words[0],) in self.known or not self.known.isdisjoint(
-                    zip(words, words[1:], strict=False)):
-                run, j = [], i
-                while j < len(lines):
-                    more = _WORDS(lines[j].lower())
-                    run += more
-                    if len(run) - 1 > self.most:
-                        break
-                    j += 1
-                    if not more:
-                        continue
-                    grams = Counter(zip(run, run[1:], strict=False)) if len(run) > 1 else Counter((w,) for w in run)
-                    got = self.best(grams)
-                    if got[0] > top[0]:
-                        top, end = got, j
-                if top[1] >= 0:
-                    found.append((i, end, self.names[top[1]], top[0]))
-            i = end
-        return found
+        """Passages (first line, line after the last, licence, coefficient) in order; two may share a line."""
+        words = _WORDS(text.lower())
+        found = self.runs(words)
+        if not found:
+            return []
+        upto = list(accumulate(len(_WORDS(x.lower())) for x in text.split("\n")))
+        return [(bisect(upto, a), bisect(upto, b - 1) + 1, self.names[t], d)
+                for a, b, t, d in found]
 
 
 _FOUND = "found array<struct<first_line:int,end_line:int,licence:string,dice:double>>"
@@ -128,8 +169,9 @@ def _scan(templates, least: float):
 
 def find_licences(docs: DataFrame, templates=TEMPLATES, least: float = LEAST, id_col: str = "doc_id",
                   text_col: str = "text") -> DataFrame:
-    """Per row ``doc_id, found``: non-overlapping runs of lines (from 0, end
-    exclusive) that reach ``least``, with licence and coefficient, in order.
+    """Per row ``doc_id, found``: non-overlapping runs of words that reach
+    ``least``, by their lines (from 0, end exclusive), with licence and
+    coefficient, in order.  Two runs may share a line.
 
     Null and empty texts have none; repeated rows and null ids are rows like any
     other; other columns are ignored.  No rows: an empty table."""

@@ -268,6 +268,35 @@ def test_licences(docs, none):
     assert known.find("nothing of the kind\nis in here") == [] and licences.find_licences(none).count() == 0
 
 
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.sampled_from("a b c d e f x y".split()), max_size=14))
+def test_licence_passages_of_all_word_runs(some):
+    templates = [("T", "a b c d"), ("U", "c d e a b c"), ("V", "f"), ("W", "a a b")]
+    known, free, want = licences.Templates(templates, 0.7), [(0, len(some))], []
+    while free:
+        lo, hi = free.pop()
+        runs = [(-licences.dice(licences.bigrams(" ".join(some[i:j])), licences.bigrams(x)), i - j, i, t)
+                for i in range(lo, hi) for j in range(i + 1, hi + 1) for t, (_, x) in enumerate(templates)]
+        d, size, i, t = min(runs, default=(0, 0, 0, 0))
+        if -d >= 0.7:
+            want.append((i, i - size, t, -d))
+            free += [(lo, i), (i - size, hi)]
+    assert known.runs(some) == sorted(want)
+
+
+@pytest.mark.parametrize("text,name", [
+    ("This file is released under the MIT License.", "MIT"),
+    ("This project is licensed under the Apache License, Version 2.0.", "Apache-2.0"),
+    ("Licensed under the Apache License, Version 2.0. Copyright 2020 the authors.", "Apache-2.0")])
+def test_licence_inside_other_words(text, name):
+    known = licences.Templates()
+    prose = "Some words that have nothing to do with it, of the kind that is in the text. " * 40
+    for around in (text, prose + text + " " + prose, f"{prose}\n{text} and more\n{prose}"):
+        assert [f[2:] for f in known.find(around)] == [(name, 1.0)], around
+    assert known.find(f"{prose}\n{text} and more\n{prose}")[0][:2] == (1, 2)
+    assert known.find(prose) == []
+
+
 def test_languages(spark, docs, none):
     table = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     profiles = langid.learn(table)
