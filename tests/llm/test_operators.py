@@ -297,6 +297,29 @@ def test_licence_inside_other_words(text, name):
     assert known.find(prose) == []
 
 
+def test_licences_of_one_family_are_told_apart():
+    known = licences.Templates()
+    name = lambda text: [f[2] for f in known.find(text)]
+    header = ("This program is free software; you can redistribute it and/or modify it under the terms of the GNU {} as published "
+              "by the Free Software Foundation; either version {} of the License, or (at your option) any later version.")
+    for kind, short in (("General", "GPL"), ("Lesser General", "LGPL"), ("Affero General", "AGPL"), ("Library General", "LGPL")):
+        for v in ("2", "2.1", "3"):
+            full = v if "." in v else v + ".0"
+            assert name(header.format(f"{kind} Public License", v)) == [f"{short}-{full}-or-later"]
+    for kind, short in (("", "GPL"), ("Lesser ", "LGPL"), ("Affero ", "AGPL")):
+        assert name(f"This work is licensed under the GNU {kind}General Public License, version 3.") == [f"{short}-3.0"]
+        assert name(f"GNU {kind}General Public License\nVersion 3, 29 June 2007\n\nCopyright (C) 2007 Free Software "
+                    "Foundation, Inc. <https://fsf.org/>\nEveryone is permitted") == [f"{short}-3.0"]
+    assert name("This work is licensed under the GNU General Public License.") == ["ambiguous"]
+    bsd, third, given_ = licences._BSD, licences._BSD_THIRD.replace("copyright holder", "University"), " THIS SOFTWARE IS PROVIDED BY"
+    assert name(bsd + given_) == ["BSD-2-Clause"] and name(f"{bsd} {third}{given_}")[0] == "BSD-3-Clause"
+    assert name(bsd.split(": 1.")[0]) == ["ambiguous"]
+    assert name("Licensed under CC BY-NC-SA 4.0.") == ["CC-BY-NC-SA-4.0"] and name("Licensed under CC BY 3.0.") == ["ambiguous"]
+    assert name("Licensed under the Apache License, Version 1.1") == ["ambiguous"]
+    for own, text in licences.TEMPLATES:
+        assert name(text) in ([own], ["ambiguous"]) or own.startswith("BSD"), (own, name(text))
+
+
 def test_languages(spark, docs, none):
     table = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     profiles = langid.learn(table)
