@@ -59,7 +59,7 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of every document and of its edited text."""
-    return fingerprints.fingerprint_documents(_table(spark, sf_dir, "documents"))
+    return fingerprints.fingerprint_documents(_table(spark, sf_dir, "documents"), spans=True)
 
 
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

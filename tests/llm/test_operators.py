@@ -424,6 +424,25 @@ def test_fingerprints(docs, none, monkeypatch):
     assert fingerprints.fingerprint_documents(docs.filter("doc_id = 6")).first()["near_next"] == 1.0
 
 
+def test_near_copies_edited_all_over_are_alike(spark):
+    r = random.Random(3)
+    body = " ".join(f"w{r.randrange(10**6)}" for _ in range(600))
+    framed = lambda c: f"{c} title\n{body}\nfooter {c}"
+    some = body.split()
+    for i in range(40, 600, 50):
+        some[i] = "changed"
+    moved = " ".join([*body.split()[300:], *body.split()[:300]])
+    like = lambda x, y: fingerprints.Fingerprint(x).prefixes.share(fingerprints.Fingerprint(y).prefixes)
+    other = " ".join(f"w{r.randrange(10**6)}" for _ in range(600))
+    for x, y, least in ((framed("A"), framed("B"), 0.98), (body, " ".join(some), 0.95), (body, moved, 0.98)):
+        assert least <= like(x, y) <= 1 and least <= like(y, x) <= 1
+    assert like(body, other) < 0.05 and like("", "") == like(body, body) == 1.0 and like("", body) == 0.0
+    for x, y in (("ab" * 500, "ba" * 300), ("a" * 900, "b" + "a" * 99), (body + body, "x" + body), ("line of text, " * 99, "z " + "of text, line " * 50)):
+        assert fingerprints.Fingerprint(x).prefixes.likeness(fingerprints.Fingerprint(y).prefixes) <= like(x, y) <= min(len(x), len(y)) / max(len(x), len(y))
+    df = spark.createDataFrame([(2, framed("A")), (1, framed("B"))], "doc_id long, text string")
+    assert fingerprints.fingerprint_documents(df, spans=True).first()["near_next"] > 0.98
+
+
 def test_mixing(docs, none):
     out = mixing.mix(docs).collect()
     size = {}
