@@ -150,5 +150,8 @@ def _known(profiles: Profiles, text: str, least: float):
 
 def keep_known(docs: DataFrame, profiles: Profiles, least: float = 0.0, text_col: str = "text") -> DataFrame:
     """The rows of ``docs``, all columns, whose language is found with a score of
-    ``least`` or more; texts without letters (null ones too) go."""
+    ``least`` or more; texts without letters (null ones too) go.  Where nothing
+    was learned, nothing can be told of any text and all rows stay."""
+    if not profiles.names:
+        return docs
     return ready(docs).mapInArrow(_known(profiles, text_col, least), docs.schema)
