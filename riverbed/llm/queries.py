@@ -9,7 +9,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from riverbed.llm import bpe, fingerprints, langid, licences, minhash, mixing, packing, secrets, substring_dedup, topk
+from riverbed.llm import (bpe, decontam, fingerprints, langid, licences, minhash, mixing, packing, ranked, secrets,
+                          substring_dedup, topk, whitening)
 
 VOCABULARY, PATTERN = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
 
@@ -73,6 +74,22 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector on the first 32 whitened components."""
+    out = whitening.whiten(_table(spark, sf_dir, "embeddings"), k=32)
+    return out.withColumn("deviation", out["deviation"].cast("long"))
+
+
+def op12_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Twenty best documents of every benchmark item."""
+    return ranked.rank_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), k=20)
+
+
+def op13_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark passages of ten words in every document."""
+    return decontam.digest(decontam.mark(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), window=10))
+
+
 _OP1_SQL = r"""
 WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
 n AS (SELECT row_number() OVER () AS rid, doc_id, w FROM d),
@@ -145,12 +162,55 @@ SELECT doc_id, size, source_size, target,
   (size * (whole + CASE WHEN p > 0 AND 2 * upto - s <= 2 * need THEN 1 ELSE 0 END))::BIGINT AS taken FROM c
 """
 
+_OP12_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+i AS (SELECT row_number() OVER () AS qid, item_id,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM (SELECT DISTINCT item_id, text FROM benchmark)),
+c AS (SELECT count(*)::BIGINT AS n_docs, sum(len(w))::BIGINT AS n_terms FROM d WHERE len(w) > 0),
+t AS (SELECT qid, t, count(*) AS times FROM (SELECT qid, unnest(w) AS t FROM i) GROUP BY ALL),
+p AS (SELECT rid, t, count(*)::BIGINT AS tf FROM (SELECT rid, unnest(w) AS t FROM d) SEMI JOIN t USING (t) GROUP BY ALL),
+f AS (SELECT t, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS weight
+  FROM p, c GROUP BY t, n_docs),
+m AS (SELECT rid, doc_id, 100 - 25 + (25 * len(w)::BIGINT * n_docs) // n_terms AS m FROM d, c WHERE len(w) > 0),
+s AS (SELECT qid, rid, sum(times * weight * ((1000000000 * tf) // (1000 * tf + 12 * m)))::BIGINT AS score
+  FROM t JOIN f USING (t) JOIN p USING (t) JOIN m USING (rid) GROUP BY ALL),
+r AS (SELECT item_id, doc_id, score,
+    row_number() OVER (PARTITION BY qid ORDER BY score DESC, doc_id NULLS LAST)::INTEGER AS rank
+  FROM s JOIN m USING (rid) JOIN i USING (qid) WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM r WHERE rank <= 20
+"""
+
+_OP13_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (SELECT item_id,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+p AS (SELECT DISTINCT item_id, array_to_string(list_slice(w, i, i + 9), ' ') AS t, least(len(w), 10)::BIGINT AS n
+  FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 8, 2))) AS i FROM b WHERE len(w) > 0)),
+g AS (SELECT rid, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, (SELECT DISTINCT n FROM p) WHERE len(w) >= n),
+o AS (SELECT g.rid, g.i, g.n, array_to_string(list_slice(d.w, g.i, g.i + g.n - 1), ' ') AS t FROM g JOIN d USING (rid)),
+h AS (SELECT rid, i, n, t FROM o SEMI JOIN p USING (t, n)),
+c AS (SELECT rid, count(DISTINCT j) AS n_hit FROM (SELECT rid, i + unnest(range(0, n)) AS j FROM h) GROUP BY rid),
+k AS (SELECT rid, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT rid, item_id::VARCHAR AS item FROM h JOIN p USING (t, n)) WHERE item IS NOT NULL GROUP BY rid)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN c USING (rid) LEFT JOIN k USING (rid)
+"""
+
 QUERIES = {f.__name__: f for f in (
     op1_substring_dedup, op2_topk, op3_packing, op4_secrets, op5_licences, op6_langid, op7_bpe, op8_fingerprints,
-    op9_mixing, op10_minhash)}
+    op9_mixing, op10_minhash, op11_whitening, op12_ranked, op13_decontamination)}
 ORACLE = {
     "op1_substring_dedup": _OP1_SQL,
     "op2_topk": _OP2_SQL,
     "op9_mixing": _OP9_SQL,
     "op10_minhash": _OP10_SQL,
+    "op12_ranked": _OP12_SQL,
+    "op13_decontamination": _OP13_SQL,
 }
