@@ -2,31 +2,40 @@
 
 A document's set holds the distinct ``width``-word shingles of its lower-cased
 text (A-Z only), as 64-bit names.  A first permutation (an invertible scrambling
-of the names, cut to a circle of 65,536 places) sends the set to places of the
-circle; a second permutation of the circle, shifted by k places, gives
-coordinate k of the signature as the least value over the set.  Two
-permutations thus make every coordinate.  Rows of four coordinates form bands;
-24 bands miss a pair at similarity 0.8 with probability (1 - 0.8**4)**24 = 3e-6,
-and at 0.85 with 2e-8.
+of the names, cut to a circle of 2**32 places) sends the set to places of the
+circle; a second permutation of the circle, applied to the places shifted by k,
+gives coordinate k of the signature as the least value over the set.  Two
+permutations thus make every coordinate.  Six coordinates form a band; 50 bands
+miss a pair at similarity 0.8 with probability (1 - 0.8**6)**50 = 3e-7, and meet
+a pair at 0.3 with 4 %.  Sets without a common shingle meet as rarely as two
+64-bit names collide, however large they are.
 
 Links are confirmed on the full sets.  Equal sets are one *class* from the
 start, so copies cost one partial aggregate.  Inside a bucket not all pairs are
-formed.  Each bucket has a hub, its class with the most bucket mates; every
-member is compared with it (a *star*), which joins most of a group of copies.
-Of two members that are still in different components, only pairs that can
-possibly be linked are compared.  Relative to the hub, member x has ``common``
-elements and some additions; additions that more than ``MANY`` members of the
-star share count as common too.  Two members then share at most
-``min(common) + shared additions``.  So a linked pair either
-
-* reaches the threshold with ``min(common)`` alone: it is found by joining on
-  star and size, as the bound leaves a narrow range of sizes; or
-* shares a rare addition: it is found by joining on star and addition, each
-  member with its rarest additions only, as many as a link must hit once
-  (prefix filtering); such an addition has at most ``MANY`` members.
-
-Both bounds are exact, so no link that could join two components is skipped and
-the work stays linear in the size of a group.
+formed:
+
+1. every class is compared with one hub, the class with the most bucket mates
+   that it meets in any bucket; this joins most of a group of copies;
+2. buckets whose classes are all in one component are done.  In the others the
+   classes outside of the bucket's largest component are compared with that
+   component's hub, its class with the most mates; a component has one hub for
+   all its buckets, so a group of copies has one, whatever its size;
+3. buckets that are still open form a *star* around that hub.  Of two members in
+   different components only pairs that can possibly be linked are compared.
+   Relative to the hub, member x has ``common`` elements and some additions;
+   additions that more than ``MANY`` members of the star share count as common
+   too.  Two members then share at most ``min(common) + shared additions``.  So a
+   linked pair either
+
+   * reaches the threshold with ``min(common)`` alone: it is found by joining on
+     star and size, as the bound leaves a narrow range of sizes; or
+   * shares a rare addition: it is found by joining on star and addition, each
+     member with its rarest additions only, as many as a link must hit once
+     (prefix filtering); such an addition has at most ``MANY`` members.
+
+Both bounds are exact, so no link between classes of one bucket that could join
+two components is skipped.  Additions are stored and exploded for the members of
+open buckets only, once per hub.
 """
 
 from __future__ import annotations
@@ -42,16 +51,13 @@ from riverbed.llm.components import connected_components
 from riverbed.llm.frames import fresh, materialize, ready, row_key
 from riverbed.llm.words import U64, Words, mix, row_slices, text_bytes
 
-BANDS, ROWS = 24, 4
-PLACES = 1 << 16
+BANDS, ROWS = 50, 6
 #: An addition that more members of a star share counts as part of its hub.
 MANY = 64
-#: Keys sent to every executor instead of shuffling whole texts; beyond it the texts are shuffled.
-BROADCAST_KEYS = 1_000_000
-_CIRCLE = np.random.Generator(np.random.PCG64(977)).permutation(PLACES).astype(np.uint16)
-#: Row i holds the values that place i has under the shifts 0, 1, ... of the second permutation.
-_SHIFTS = np.lib.stride_tricks.sliding_window_view(
-    np.concatenate((_CIRCLE, _CIRCLE[:BANDS * ROWS])), BANDS * ROWS)
+#: Bytes of keys sent to every executor instead of shuffling whole texts; beyond it the texts are shuffled.
+BROADCAST_BYTES = 32 << 20
+_U32 = np.uint32
+_SHIFT = np.arange(BANDS * ROWS, dtype=_U32)
 
 
 def shingle_sets(words: Words, width: int):
@@ -69,19 +75,26 @@ def shingle_sets(words: Words, width: int):
 
 def signature(names: np.ndarray) -> np.ndarray:
     """All coordinates of a non-empty set."""
-    place = (mix(names ^ U64(0x5851F42D4C957F2D)) >> U64(48)).astype(np.int64)
-    out = np.full(BANDS * ROWS, PLACES - 1, np.uint16)
-    for i in range(0, len(place), 4096):
-        np.minimum(out, _SHIFTS[place[i:i + 4096]].min(axis=0), out=out)
+    place = (mix(names ^ U64(0x5851F42D4C957F2D)) >> U64(32)).astype(_U32)
+    out = np.full(BANDS * ROWS, np.iinfo(_U32).max, _U32)
+    for i in range(0, len(place), 256):
+        # the second permutation of the circle: products with odd numbers and a folded shift are invertible
+        x = place[i:i + 256, None] + _SHIFT
+        x *= _U32(0x9E3779B1)
+        x ^= x >> _U32(15)
+        x *= _U32(0x85EBCA77)
+        x ^= x >> _U32(13)
+        x *= _U32(0xC2B2AE3D)
+        np.minimum(out, x.min(axis=0), out=out)
     return out
 
 
 def band_names(sig: np.ndarray) -> np.ndarray:
     rows = sig.reshape(BANDS, ROWS).astype(U64)
-    packed = rows[:, 0]
-    for k in range(1, ROWS):
-        packed = packed << U64(16) | rows[:, k]
-    return mix(mix(packed) + np.arange(BANDS, dtype=U64))
+    name = np.arange(BANDS, dtype=U64)
+    for k in range(0, ROWS, 2):
+        name = mix(name ^ (rows[:, k] << U64(32) | rows[:, k + 1]))
+    return name
 
 
 def _each(batch: pa.RecordBatch, text: str, width: int):
@@ -123,49 +136,48 @@ def _sets(width: int):
     return run
 
 
-def _small(keys: DataFrame) -> DataFrame:
-    """A table of keys, broadcast if its rows are counted to be few."""
-    return F.broadcast(keys) if keys.count() <= BROADCAST_KEYS else keys
+def _small(keys: DataFrame, width: int) -> DataFrame:
+    """A table of keys, ``width`` bytes a row at most, broadcast if its rows are counted to be few."""
+    return F.broadcast(keys) if keys.count() * width <= BROADCAST_BYTES else keys
 
 
-def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs a, b whose full sets have 100 * intersection >= percent * union."""
+def _met(pairs: DataFrame, sets: DataFrame, *more) -> DataFrame:
+    """``pairs`` (a, b and other columns) with the sizes n and m of their sets, the
+    number ``both`` of common elements, and columns made of the sets x and y."""
+    pairs = materialize(pairs, "pairs")
     one = sets.select(F.col("node").alias("a"), F.col("items").alias("x"))
     two = sets.select(F.col("node").alias("b"), F.col("items").alias("y"))
-    both = F.size(F.array_intersect("x", "y"))
-    pairs = materialize(pairs, "pairs")
-    return (_small(pairs).join(one, "a").join(two.join(_small(pairs.select("b").distinct()), "b", "left_semi"), "b")
-            .filter(100 * both >= percent * (F.size("x") + F.size("y") - both)).select("a", "b"))
+    two = two.join(_small(pairs.select("b").distinct(), 16), "b", "left_semi")
+    return _small(pairs, 16 * len(pairs.columns)).join(one, "a").join(two, "b").select(
+        *pairs.columns, F.size("x").alias("n"), F.size("y").alias("m"),
+        F.size(F.array_intersect("x", "y")).alias("both"), *more)
 
 
-def _stars(members: DataFrame, sets: DataFrame) -> DataFrame:
-    """Every member of a bucket against the bucket's hub: ``hub, node, n, hub_n,
-    common, added``, each pair once."""
-    score = members.groupBy("node").agg(F.sum("mates").alias("score"))
-    hubs = members.join(score, "node").groupBy("band").agg(F.max(F.struct("score", "node", "n")).alias("top"))
-    hubs = materialize(hubs.select("band", F.col("top.node").alias("hub"), F.col("top.n").alias("hub_n")), "hubs")
-    pairs = members.join(hubs, "band").filter("node <> hub").select("hub", "node", "n", "hub_n").distinct()
-    pairs = materialize(pairs, "pairs")
-    one = sets.select("node", F.col("items").alias("x"))
-    two = sets.select(F.col("node").alias("hub"), F.col("items").alias("y"))
-    two = two.join(_small(pairs.select("hub").distinct()), "hub", "left_semi")
-    return materialize(_small(pairs).join(one, "node").join(two, "hub").select(
-        "hub", "node", "n", "hub_n", F.size(F.array_intersect("x", "y")).alias("common"),
-        F.array_except("x", "y").alias("added")), "stars")
+def _linked(met: DataFrame, percent: int) -> DataFrame:
+    """Pairs with 100 * intersection >= percent * union."""
+    return met.filter(100 * F.col("both") >= percent * (F.col("n") + F.col("m") - F.col("both"))).select("a", "b")
 
 
-def _possible(stars: DataFrame, label: DataFrame, percent: int) -> DataFrame:
+def _open_buckets(members: DataFrame, label: DataFrame) -> DataFrame:
+    """``band, node, root, hub, hub_root`` of the buckets with more than one
+    component: the hub is the class with the most mates of the largest component."""
+    rows = members.join(label, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    rows = materialize(rows.select("band", "node", "score", "root"), "labelled")
+    hubs = rows.groupBy("root").agg(F.max(F.struct("score", "node")).alias("top")).select("root", F.col("top.node").alias("hub"))
+    most = rows.groupBy("band", "root").agg(F.count("*").alias("size")).groupBy("band").agg(
+        F.count("*").alias("roots"), F.max(F.struct("size", "root")).alias("top"))
+    most = most.filter("roots > 1").select("band", F.col("top.root").alias("root")).join(hubs, "root")
+    most = most.select("band", "hub", F.col("root").alias("hub_root"))
+    return rows.drop("score").join(most, "band")
+
+
+def _possible(stars: DataFrame, percent: int) -> DataFrame:
     """Pairs a, b of one star, in different components, that can be linked."""
-    own = label.select("node", "root")
-    other = label.select(F.col("node").alias("hub"), F.col("root").alias("hub_root"))
-    rows = stars.join(own, "node", "left").join(other, "hub", "left").select(
-        "hub", "node", "n", "common", "added", F.coalesce("root", "node").alias("root"),
-        F.coalesce("hub_root", "hub").alias("hub_root"))
-    rows = materialize(rows, "placed")
-    open_ = materialize(rows.filter("root <> hub_root").select("hub").distinct(), "open")
-    rows = rows.join(open_, "hub", "left_semi")
-    items = rows.select("hub", "node", F.explode("added").alias("item"))
-    often = items.groupBy("hub", "item").agg(F.count("*").alias("f")).filter("f > 1")
+    rows = materialize(stars, "stars")
+    # two members in different components: at least one is not in the hub's, so only what such a member holds counts
+    items = rows.select("hub", "node", (F.col("root") != F.col("hub_root")).alias("apart"), F.explode("added").alias("item"))
+    often = items.groupBy("hub", "item").agg(F.count("*").alias("f"), F.max("apart").alias("apart")).filter(
+        "f > 1 and apart").drop("apart")
     known = items.join(often, ["hub", "item"]).groupBy("hub", "node").agg(
         F.sum((F.col("f") > MANY).cast("int")).alias("hot"),
         F.sort_array(F.collect_list(F.when(F.col("f") <= MANY, F.struct("f", "item")))).alias("rare"))
@@ -224,23 +236,34 @@ def _components(docs: DataFrame, width: int, percent: int, id_col: str, text_col
     classes = materialize(some.groupBy("name").agg(
         F.first("n").alias("n"), F.first("bands").alias("bands"), F.min(F.struct("k1", "k2")).alias("one"),
         F.min("doc_id").alias("least")).withColumn("node", F.monotonically_increasing_id()), "classes")
-    bucketed = classes.select("node", "n", F.explode("bands").alias("band"))
+    bucketed = classes.select("node", F.explode("bands").alias("band"))
     shared = bucketed.groupBy("band").agg(F.count("*").alias("mates")).filter("mates > 1")
-    members = materialize(bucketed.join(shared, "band"), "buckets")
+    members = bucketed.join(shared, "band")
+    score = members.groupBy("node").agg(F.sum("mates").alias("score"))
+    members = materialize(members.select("band", "node").join(score, "node"), "buckets")
 
     again = some.groupBy("k1", "k2").agg(F.count("*").alias("times"))
     wanted = classes.join(members.select("node").distinct(), "node", "left_semi").select("node", "one.*")
     wanted = materialize(wanted.join(again, ["k1", "k2"]).select("node", "k1", "k2", (F.col("times") > 1).alias("again")),
                          "wanted")
-    sets = materialize(base.select("k1", "k2", "text").join(_small(wanted), ["k1", "k2"]).select("node", "again", "text")
+    sets = materialize(base.select("k1", "k2", "text").join(_small(wanted, 32), ["k1", "k2"]).select("node", "again", "text")
                        .mapInArrow(_sets(width), "node long, again boolean, items array<long>"), "sets")
     sets = sets.filter("not again").unionByName(sets.filter("again").dropDuplicates(["node"])).drop("again")
 
-    stars = _stars(members, sets)
-    first = stars.filter(100 * F.col("common") >= percent * (F.col("n") + F.col("hub_n") - F.col("common")))
-    first = first.select(F.col("hub").alias("a"), F.col("node").alias("b"))
-    pairs = _possible(stars, connected_components(first), percent)
-    label = connected_components(first.unionByName(_confirmed(pairs, sets, percent)))
+    best = members.groupBy("band").agg(F.max(F.struct("score", "node")).alias("top"))
+    best = members.join(best, "band").groupBy("node").agg(F.max("top").alias("top")).select(
+        F.col("node").alias("a"), F.col("top.node").alias("b")).filter("a <> b")
+    links = materialize(_linked(_met(best, sets), percent), "links")
+    outside = _open_buckets(members, connected_components(links)).filter("root <> hub_root")
+    outside = outside.select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct()
+    links = materialize(links.unionByName(_linked(_met(outside, sets), percent)), "links")
+    # the hub too, if it lies in the bucket: it may be another than the one compared before
+    open_ = _open_buckets(members, connected_components(links))
+    open_ = open_.select(F.col("node").alias("a"), F.col("hub").alias("b"), "root", "hub_root").distinct()
+    stars = _met(open_, sets, F.array_except("x", "y").alias("added")).select(
+        F.col("b").alias("hub"), F.col("a").alias("node"), "n", F.col("both").alias("common"), "added", "root", "hub_root")
+    pairs = _possible(stars, percent)
+    label = connected_components(links.unionByName(_linked(_met(pairs, sets), percent)))
 
     placed = classes.select("name", "node", "least").join(label, "node", "left")
     placed = placed.withColumn("root", F.coalesce("root", "node"))
