@@ -102,10 +102,16 @@ on_way AS (
 @query("geo_cells_on_way", ON_WAY_SQL + """
 SELECT cell, CAST(sum(len(ride_ids)) AS BIGINT) AS n_rides FROM on_way GROUP BY cell""")
 def geo_cells_on_way(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rides passing through each grid cell, from the cells on each ride's straight path."""
+    """Rides passing through each grid cell, from the cells on each ride's straight path.
+
+    The path depends on the two end cells only: rides are counted per pair of end
+    cells first (a partial aggregate), and a path is built once per pair."""
     r = views.rides(spark, sf_dir).filter("is_start")
-    cells = r.select(F.explode(geo.cells_on_way("start_lon", "start_lat", "end_lon", "end_lat")).alias("cell"))
-    return cells.groupBy("cell").agg(F.count(F.lit(1)).alias("n_rides"))
+    ends = ["start_lon", "start_lat", "end_lon", "end_lat"]
+    pairs = r.groupBy(geo.grid_cell("start_lon", "start_lat").alias("c1"), geo.grid_cell("end_lon", "end_lat").alias("c2")).agg(
+        F.count(F.lit(1)).alias("n"), F.min(F.struct(*ends)).alias("p"))
+    cells = pairs.select("n", F.explode(geo.cells_on_way(*[F.col(f"p.{c}") for c in ends])).alias("cell"))
+    return cells.groupBy("cell").agg(F.sum("n").alias("n_rides"))
 
 
 POPULAR_THRESHOLD = 2
