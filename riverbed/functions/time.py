@@ -29,6 +29,15 @@ def epoch_millis(ts) -> Column:
     return F.timestamp_diff("MILLISECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), _c(ts).cast("timestamp_ntz"))
 
 
+def epoch_micros(ts) -> Column:
+    """Microseconds since the epoch of a UTC wall-clock timestamp."""
+    return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), _c(ts).cast("timestamp_ntz"))
+
+
+def from_epoch_micros(us) -> Column:
+    return F.timestamp_add("MICROSECOND", _c(us), F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
+
+
 def from_epoch_millis(ms) -> Column:
     return F.timestamp_add("MILLISECOND", _c(ms), F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
 

@@ -33,6 +33,7 @@ _PLAN_MODULES = (
     "riverbed.plans.travel",
     "riverbed.plans.stream_plans",
     "riverbed.plans.stream_io",
+    "riverbed.plans.stream_state",
 )
 
 
@@ -47,6 +48,11 @@ def query(key: str, sql: str | None = None):
     return deco
 
 
+def oracle_sql_of(key: str) -> str:
+    """The SQL of a query registered before, for another form of the same answer."""
+    return _ORACLE[key]
+
+
 def _load() -> None:
     for m in _PLAN_MODULES:
         importlib.import_module(m)

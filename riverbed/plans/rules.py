@@ -64,13 +64,18 @@ def _held_batches(batches):
         yield b[keep]
 
 
+def entity_clicks(clicks: DataFrame) -> DataFrame:
+    """Each click as three rows, one per entity type, with a null entity id as 0."""
+    return clicks.select("event_id", "ts", "client_id", F.expr(
+        "stack(3, 1, coalesce(publisher_id, 0), 2, coalesce(offer_id, 0), 3, coalesce(campaign_id, 0))"
+        " AS (entity_type_id, entity_id)"))
+
+
 def active_matches(clicks: DataFrame, rules: DataFrame) -> DataFrame:
     """Each click fans out to its three (entity type, id) pairs (null id → 0) and
     meets the rule its key holds at that time: an as-of join with the held
     rules, which don't overlap, then the rule's end checked."""
-    u = clicks.select("event_id", "ts", "client_id", F.expr(
-        "stack(3, 1, coalesce(publisher_id, 0), 2, coalesce(offer_id, 0), 3, coalesce(campaign_id, 0))"
-        " AS (entity_type_id, entity_id)"))
+    u = entity_clicks(clicks)
     r = held_rules(rules.withColumn("entity_type_id", F.col("entity_type_id").cast("int")))
     j = asof_join(u, r, RULE_KEY, "ts", "begin_ts", ["alert_use_id", "end_ts"], how="inner")
     return j.filter(F.col("ts") < F.col("end_ts")).select(
