@@ -4,7 +4,7 @@ micro-batches, see ``streaming.replay``)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riverbed.functions.time import (epoch_micros, epoch_millis, from_epoch_micros, from_epoch_millis, minutes_between,
@@ -13,7 +13,9 @@ from riverbed.plans import alerts, basics, ride_state, rules  # noqa: F401  (the
 from riverbed.plans.oracle_views import with_views
 from riverbed.plans.registry import oracle_sql_of, query
 from riverbed.sources import views
-from riverbed.streaming.keyed_state import KEY, early_fire_stream, held_rule_stream, late_window_stream, threshold_stream
+from riverbed.sources.tables import table
+from riverbed.streaming.keyed_state import (KEY, early_fire_stream, held_rule_stream, late_window_stream, retry_join_stream,
+                                             threshold_stream)
 from riverbed.streaming.replay import by_volume, replay, state, state_of_key
 
 
@@ -74,7 +76,7 @@ def latest_max_of_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 # readings of the whole table brought close together: half a second of the table is a millisecond here
 DENSE, DISORDER_MS, BATCHES = 500, 60_000, 4
 DENSE_SQL = f"""
-, dense AS (SELECT event_id, user_id % 5 AS key, CAST(floor(epoch_ms(ts) / {DENSE}e0) AS BIGINT) AS ms FROM events),
+, dense AS (SELECT event_id, user_id, event_type, user_id % 5 AS key, CAST(floor(epoch_ms(ts) / {DENSE}e0) AS BIGINT) AS ms FROM events),
 arr AS (SELECT *, ms + (event_id * 7919) % {DISORDER_MS} AS arrival_ms FROM dense),
 batch AS (SELECT *, (arrival_ms - min(arrival_ms) OVER ()) * {BATCHES} // (max(arrival_ms) OVER () - min(arrival_ms) OVER () + 1) AS b FROM arr),
 tops AS (SELECT b, max(max(ms)) OVER (ORDER BY b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - {alerts.DISORDER_MS} AS wm_ms
@@ -85,12 +87,17 @@ kind AS (SELECT *, end_ms <= wm AS late, end_ms + {alerts.LATENESS_MS} <= wm AS
 
 
 def dense_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``event_id, key, ts, arrival_ms``: every reading, times divided by ``DENSE``, five
-    keys, arriving up to ``DISORDER_MS`` after its time."""
-    s = views.sensors(spark, sf_dir)
+    """Every event with its time divided by ``DENSE``, arriving up to ``DISORDER_MS`` after it."""
+    ev = table(spark, sf_dir, "events")
     ms = F.floor(epoch_millis("ts") / DENSE).cast("long")
-    return s.select("event_id", (F.col("sensor_id") % 5).alias("key"), from_epoch_millis(ms).alias("ts"),
-                    (ms + (F.col("event_id") * 7919) % DISORDER_MS).alias("arrival_ms"))
+    return ev.select("event_id", "user_id", "event_type", from_epoch_millis(ms).alias("ts"),
+                     (ms + (F.col("event_id") * 7919) % DISORDER_MS).alias("arrival_ms"))
+
+
+def arrival_batch(rows: DataFrame) -> Column:
+    """``BATCHES`` micro-batches of equal arrival time."""
+    low, high = rows.agg(F.min("arrival_ms"), F.max("arrival_ms")).first()
+    return F.expr(f"(arrival_ms - {low or 0}) * {BATCHES} div {(high or 0) - (low or 0) + 1}")
 
 
 @query("late_updates_stream", with_views("sensors") + DENSE_SQL + """
@@ -108,18 +115,45 @@ def late_updates_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ST9 as a stream: 10 s windows that live 5 s past their end, fire at their end
     and for each late row within those 5 s; rows behind them are dropped, and shown
     as such.  The arrivals come in four micro-batches of equal time."""
-    rows = dense_arrivals(spark, sf_dir)
+    rows = dense_arrivals(spark, sf_dir).withColumn("key", F.col("user_id") % 5)
 
     def build(s: DataFrame) -> DataFrame:
         s = s.withColumn("ts", to_instant("ts"))
         return late_window_stream(s, f"{alerts.DISORDER_MS} milliseconds", alerts.WIN_MS, alerts.LATENESS_MS)
 
-    low, high = rows.agg(F.min("arrival_ms"), F.max("arrival_ms")).first()
-    batch = F.expr(f"(arrival_ms - {low or 0}) * {BATCHES} div {(high or 0) - (low or 0) + 1}")
-    out, _ = replay(rows, batch, build, "late-updates", flush_time="ts")
+    out, _ = replay(rows, arrival_batch(rows), build, "late-updates", flush_time="ts")
     return out.select("key", from_epoch_millis("end_ms").alias("window_end"), "cnt", "mark")
 
 
+@query("arrival_enrich_retry", with_views("sensors") + DENSE_SQL + """
+, tops2 AS (SELECT b, max(max(ms)) OVER (ORDER BY b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - 5000 AS wm_ms
+          FROM batch WHERE event_type IN ('purchase', 'view') GROUP BY b),
+u AS (SELECT batch.*, event_type = 'purchase' AS is_trade, coalesce(wm_ms, 0) AS wm FROM batch JOIN tops2 USING (b)
+      WHERE event_type IN ('purchase', 'view')),
+first_ask AS (
+  SELECT t.event_id, t.user_id, t.ms, t.b, t.wm, (SELECT arg_max(c.event_id, (c.arrival_ms, c.event_id)) FROM u c
+    WHERE NOT c.is_trade AND c.user_id = t.user_id AND (c.arrival_ms, c.event_id) < (t.arrival_ms, t.event_id)) AS cust
+  FROM u t WHERE is_trade),
+due AS (SELECT f.*, (SELECT min(b) FROM tops2 WHERE wm_ms >= f.ms) AS due_b FROM first_ask f WHERE cust IS NULL AND ms > wm),
+second_ask AS (
+  SELECT d.event_id, d.user_id, (SELECT arg_max(c.event_id, (c.arrival_ms, c.event_id)) FROM u c
+    WHERE NOT c.is_trade AND c.user_id = d.user_id AND (d.due_b IS NULL OR c.b < d.due_b)) AS cust FROM due d)
+SELECT user_id AS customer_id, event_id AS trade_id, 'info-' || cust AS customer_info, 'at once' AS answered
+FROM first_ask WHERE cust IS NOT NULL
+UNION ALL SELECT user_id, event_id, 'info-' || cust, 'waited' FROM second_ask
+UNION ALL SELECT user_id, event_id, NULL, 'late' FROM first_ask WHERE cust IS NULL AND ms <= wm""")
+def arrival_enrich_retry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J8 with its second try: trades meet the customer row that arrived last; a trade
+    without one waits for the watermark to reach its time and asks again."""
+    rows = dense_arrivals(spark, sf_dir).filter(F.col("event_type").isin("purchase", "view")).select(
+        F.col("user_id").alias("customer_id"), "ts", "arrival_ms", "event_id", (F.col("event_type") == "purchase").alias("is_trade"),
+        F.concat(F.lit("info-"), F.col("event_id").cast("string")).alias("info"))
+    batch = arrival_batch(dense_arrivals(spark, sf_dir))
+    out, _ = replay(rows, batch, lambda s: retry_join_stream(
+        s.withColumn("ts", to_instant("ts")), f"{alerts.DISORDER_MS} milliseconds"), "retry", flush_time="ts")
+    return out
+
+
 @query("dynamic_threshold_stream", oracle_sql_of("dynamic_threshold_alerts"))
 def dynamic_threshold_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """J9, U7 as a stream: rule updates and readings of a sensor meet in one keyed state."""

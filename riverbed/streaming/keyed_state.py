@@ -255,3 +255,63 @@ def early_fire_stream(rows: DataFrame, size_ms: int, step_ms: int = 1000, delay:
         statefulProcessor=EarlyFireProcessor(size_ms, step_ms),
         outputStructType=f"sensor_id long, {FLUSH} boolean, end_ms long, tick_ms long, cnt long",
         outputMode="Append", timeMode="EventTime")
+
+
+class RetryJoinProcessor(StatefulProcessor):
+    """A trade is joined with the customer row that arrived last; one that finds
+    none waits, and is asked again when the watermark reaches its time, by which
+    the row may have come.  A trade already behind the watermark does not wait."""
+
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.customer = handle.getValueState("customer", "info string")
+        self.waiting = handle.getMapState("waiting", "trade_id long", "ts_ms long")
+
+    def _answer(self, key, wm: int, info: str | None) -> list[tuple]:
+        due = sorted((k[0], v[0]) for k, v in self.waiting.iterator() if v[0] <= wm)
+        for trade, _ in due:
+            self.waiting.removeKey((trade,))
+        return [(*key, trade, info, "waited") for trade, _ in due]
+
+    def handleInputRows(self, key, rows, timerValues):
+        wm = timerValues.getCurrentWatermarkInMs()
+        info = self.customer.get()[0] if self.customer.exists() else None
+        # what the watermark has reached is answered before the rows of this batch
+        out, had = self._answer(key, wm, info), info
+        columns = ["arrival_ms", "event_id", "is_trade", "ts_ms", "info"]
+        for _, event, is_trade, ts, new in _sorted_rows((b[columns] for b in rows), ["arrival_ms", "event_id"]):
+            if not is_trade:
+                info = new
+            elif info is not None:
+                out.append((*key, event, info, "at once"))
+            elif ts > wm:
+                self.waiting.updateValue((int(event),), (int(ts),))
+                self.handle.registerTimer(int(ts))
+            else:
+                out.append((*key, event, None, "late"))
+        if info is not None and info != had:
+            self.customer.update((info,))
+        return iter([_joined(out)] if out else [])
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        info = self.customer.get()[0] if self.customer.exists() else None
+        out = self._answer(key, timerValues.getCurrentWatermarkInMs(), info)
+        return iter([_joined(out)] if out else [])
+
+    def close(self) -> None:
+        pass
+
+
+def _joined(out):
+    return pd.DataFrame(out, columns=["customer_id", FLUSH, "trade_id", "customer_info", "answered"])
+
+
+def retry_join_stream(rows: DataFrame, delay: str) -> DataFrame:
+    """``rows``: stream of ``customer_id, _flush, ts`` (instant), ``arrival_ms, event_id,
+    is_trade, info``."""
+    r = rows.withWatermark("ts", delay).select("customer_id", FLUSH, "arrival_ms", "event_id", "is_trade",
+                                               F.unix_millis("ts").alias("ts_ms"), "info")
+    return r.groupBy("customer_id", FLUSH).transformWithStateInPandas(
+        statefulProcessor=RetryJoinProcessor(),
+        outputStructType=f"customer_id long, {FLUSH} boolean, trade_id long, customer_info string, answered string",
+        outputMode="Append", timeMode="EventTime")

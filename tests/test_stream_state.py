@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from riverbed.functions.time import epoch_millis, to_instant
 from riverbed.plans import alerts, rules, stream_state
 from riverbed.sources import views
-from riverbed.streaming.keyed_state import KEY, early_fire_stream, held_rule_stream, late_window_stream, threshold_stream
+from riverbed.streaming.keyed_state import (KEY, early_fire_stream, held_rule_stream, late_window_stream, retry_join_stream,
+                                             threshold_stream)
 from riverbed.streaming.replay import by_volume, replay, state, state_of_key
 from tests.conftest import SF_SMALL
 
@@ -90,3 +91,17 @@ def test_point_lookup_opens_one_partition(spark):
         one = state_of_key(spark, ckpt, F.lit(sensor).cast("long"))
         assert one.rdd.getNumPartitions() == 1 and every.rdd.getNumPartitions() > 1
         assert one.collect() == every.filter(F.col("key.sensor_id") == sensor).collect()
+
+
+def test_waiting_trades_are_answered(spark):
+    """Customer 1's row arrives after the trade but before the watermark reaches it; customer 2's never; a null id is a customer."""
+    rows = [(0, 1, None, True, 10, None), (0, 2, 1, True, 10, None), (0, 3, 2, True, 10, None), (0, 4, 1, False, 4, "a"),
+            (1, 5, None, False, 5, "n"), (1, 6, 1, True, 30, None), (2, 7, 9, True, 12, None), (2, 8, None, True, 40, None)]
+    df = spark.createDataFrame([(b, c, at(t), i, i, x, info) for b, i, c, x, t, info in rows],
+                               "b int, customer_id long, ts timestamp_ntz, arrival_ms long, event_id long, is_trade boolean, info string")
+    out, ckpt = replay(df, F.col("b"), lambda s: retry_join_stream(s.withColumn("ts", to_instant("ts")), "5 seconds"),
+                       "retry", flush_time="ts")
+    got = sorted((r["trade_id"], r["customer_id"], r["customer_info"], r["answered"]) for r in out.collect())
+    assert got == [(1, None, "n", "waited"), (2, 1, "a", "waited"), (3, 2, None, "waited"), (6, 1, "a", "at once"),
+                   (7, 9, None, "late"), (8, None, "n", "at once")]
+    assert left(spark, ckpt, "waiting") == 0
