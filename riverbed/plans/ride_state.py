@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from riverbed.functions import geo
-from riverbed.functions.time import minutes_between
+from riverbed.functions.time import epoch_millis, minutes_between
+from riverbed.operators.adhoc import adhoc_rules
 from riverbed.operators.running import running_sum
 from riverbed.plans.geo_places import D_DIST, D_IN_NYC, cleansed
 from riverbed.plans.oracle_views import with_views
@@ -242,3 +243,58 @@ def adhoc_predicates(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("is_start"), F.col("start_lat")).otherwise(F.col("end_lat")).alias("lat"))
     met = F.array(*[F.when(F.expr(text), F.lit(rid)) for rid, text in sorted(ADHOC_RULES.items())])
     return r.select(F.explode(F.array_compact(met)).alias("rule_id"), "ride_id", "is_start", "event_time")
+
+
+# fixed values: the shapes of the rule table's predicates; {x} and {y} place the second one's centre
+RULE_TEXTS = ["is_start",
+              "110.25D * sqrt((40.51D + 0.04D * {y} - lat) * (40.51D + 0.04D * {y} - lat) + ((-74.04D + 0.02D * {x} - lon) * cos(lat))"
+              " * ((-74.04D + 0.02D * {x} - lon) * cos(lat))) < 5.0D",
+              "is_start AND watermark - start_ms > 7200000"]
+RULE_DELAY_MS = 60_000
+
+
+def rule_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``rule_id, arrives, predicate``: the first error event of each day brings a rule,
+    of the kind event id modulo 3."""
+    ev = table(spark, sf_dir, "events").filter(F.col("event_type") == "error")
+    day = ev.groupBy(F.to_date("ts").alias("day")).agg(F.min(F.struct("ts", "event_id")).alias("first"))
+    eid = F.col("first.event_id")
+    place = F.replace(F.replace(F.lit(RULE_TEXTS[1]), F.lit("{x}"), ((eid * 7) % 20).cast("string")),
+                      F.lit("{y}"), ((eid * 11) % 14).cast("string"))
+    text = F.when(eid % 3 == 0, F.lit(RULE_TEXTS[0])).when(eid % 3 == 1, place).otherwise(F.lit(RULE_TEXTS[2]))
+    return day.select(eid.alias("rule_id"), F.col("first.ts").alias("arrives"), text.alias("predicate"))
+
+
+def placed_rides(rides: DataFrame) -> DataFrame:
+    """Ride events as ad-hoc rules see them: the event's own place, and epoch milliseconds."""
+    at = lambda c: F.when(F.col("is_start"), F.col(f"start_{c}")).otherwise(F.col(f"end_{c}")).alias(c)
+    return rides.select("ride_id", "taxi_id", "driver_id", "passenger_cnt", "is_start", "event_time", at("lon"), at("lat"),
+                        epoch_millis("start_time").alias("start_ms"), epoch_millis("event_time").alias("event_ms"))
+
+
+@query("adhoc_rule_table", with_views("rides") + f"""
+, first_error AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY CAST(ts AS DATE) ORDER BY ts, event_id) AS rn
+                 FROM events WHERE event_type = 'error') WHERE rn = 1),
+rules AS (SELECT event_id AS rule_id, ts AS arrives, event_id % 3 AS kind, -74.04e0 + 0.02e0 * ((event_id * 7) % 20) AS x,
+  40.51e0 + 0.04e0 * ((event_id * 11) % 14) AS y, lead(ts) OVER (ORDER BY ts, event_id) AS until FROM first_error),
+ev AS (SELECT ride_id, taxi_id, is_start, event_time, epoch_ms(start_time) AS start_ms,
+  CASE WHEN is_start THEN start_lon ELSE end_lon END AS lon, CASE WHEN is_start THEN start_lat ELSE end_lat END AS lat FROM rides),
+asked AS (
+  SELECT rule_id, kind, x, y, ev.*, 'row' AS asked, epoch_ms(event_time) - {RULE_DELAY_MS} AS watermark
+  FROM ev JOIN rules ON event_time >= arrives AND (until IS NULL OR event_time < until)
+  UNION ALL
+  SELECT * EXCLUDE (rn) FROM (
+    SELECT rule_id, kind, x, y, ev.*, 'rule' AS asked, epoch_ms(arrives) - {RULE_DELAY_MS} AS watermark,
+      row_number() OVER (PARTITION BY rule_id, taxi_id ORDER BY event_time DESC, NOT is_start DESC, ride_id DESC) AS rn
+    FROM ev JOIN rules ON event_time < arrives) WHERE rn = 1)
+SELECT rule_id, asked, ride_id, is_start, event_time, watermark FROM asked
+WHERE CASE kind WHEN 0 THEN is_start
+  WHEN 1 THEN 110.25e0 * sqrt((y - lat) * (y - lat) + ((x - lon) * cos(lat)) * ((x - lon) * cos(lat))) < 5e0
+  ELSE is_start AND watermark - start_ms > 7200000 END""")
+def adhoc_rule_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """PF12 with rules as rows: each holds from its arrival to the next one's, is asked of
+    every ride event then, and on arrival of every taxi's newest event."""
+    order = [(~F.col("is_start")).alias("is_end"), F.col("ride_id")]
+    out = adhoc_rules(placed_rides(views.rides(spark, sf_dir)), rule_table(spark, sf_dir), "taxi_id", "event_time", order, RULE_DELAY_MS)
+    return out.select("rule_id", "asked", "ride_id", "is_start", "event_time", "watermark")
