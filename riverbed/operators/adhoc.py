@@ -65,4 +65,6 @@ def adhoc_rules(rows: DataFrame, rules: DataFrame, key: str, time: str, order: S
     asked = asked.select("_row.*", F.explode(F.sequence(F.col("_rule") + 1, F.col("_until"))).alias("_rule"))
     asked = asked.join(table, "_rule").withColumn("watermark", F.col("_rule_ms") - delay_ms).filter(_holds(found, F.col("_rule")))
     asked = asked.withColumn("asked", F.lit("rule"))
-    return own.unionByName(asked.select(*own.columns)).drop("_rule", "_rule_ms")
+    # as structs: constraints of a union can't follow a scan column that stands behind two output columns
+    columns = [c for c in own.columns if c not in ("_rule", "_rule_ms")]
+    return own.select(F.struct(*columns).alias("_o")).unionAll(asked.select(F.struct(*columns).alias("_o"))).select("_o.*")

@@ -116,7 +116,11 @@ def rising_run_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Temperature rose and did not fall for 1 s of event time (ST19, re-aimed
     from processing time).  Falls cut a sensor's readings into segments; a
     segment's first rise arms a 1 s timer that the next fall cancels."""
-    s = views.sensors(spark, sf_dir).select("event_id", "sensor_id", "ts", "temp")
+    return rising_runs(views.sensors(spark, sf_dir).select("event_id", "sensor_id", "ts", "temp"))
+
+
+def rising_runs(s: DataFrame) -> DataFrame:
+    """``rising_run_alerts`` of any readings; a null sensor is a sensor."""
     d = previous_value(s, ["sensor_id"], ["ts", "event_id"], F.date_trunc("day", "ts"), F.col("temp"), "last_temp")
     d = d.withColumn("is_dec", F.coalesce(F.col("temp") < F.col("last_temp"), F.lit(False))) \
          .withColumn("is_rise", F.coalesce(F.col("temp") > F.col("last_temp"), F.lit(False)))
@@ -124,8 +128,9 @@ def rising_run_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("is_dec").cast("bigint"), "seg")
     segs = d.groupBy("sensor_id", "seg").agg(F.min("ts").alias("seg_start"),
                                              F.min(F.when(F.col("is_rise"), F.col("ts"))).alias("rise_ts"))
-    nxt = segs.select("sensor_id", (F.col("seg") - 1).alias("seg"), F.col("seg_start").alias("next_start"))
-    j = segs.filter(F.col("rise_ts").isNotNull()).join(nxt, ["sensor_id", "seg"], "left")
+    nxt = segs.select(F.col("sensor_id").alias("next_id"), (F.col("seg") - 1).alias("next_seg"), F.col("seg_start").alias("next_start"))
+    j = segs.filter(F.col("rise_ts").isNotNull()).join(
+        nxt, F.col("sensor_id").eqNullSafe(F.col("next_id")) & (F.col("seg") == F.col("next_seg")), "left")
     alert = F.timestamp_add("SECOND", F.lit(1), F.col("rise_ts"))
     return j.filter(F.col("next_start").isNull() | (alert < F.col("next_start"))).select(
         "sensor_id", "rise_ts", alert.alias("alert_ts"))

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riverbed.operators.late import disordered_arrival, is_late, with_watermark_seen
-from riverbed.operators.running import gap_sessions, running_sum
+from riverbed.operators.running import gap_sessions, join_back, running_sum
 from riverbed.plans.oracle_views import with_views
 from riverbed.plans.registry import query
 from riverbed.sources import views
@@ -60,13 +60,17 @@ def driving_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return segment_measures(c, ["car_id", "session"]).drop("session")
 
 
-def _stop_numbered(c: DataFrame) -> DataFrame:
-    """Each row gets ``stops_so_far`` (stops up to and including it) and the car's total stops."""
-    is_stop = (F.col("speed") == 0.0).cast("bigint")
-    c = c.withColumn("is_stop", F.col("speed") == 0.0)
-    c = running_sum(c, ["car_id"], ["event_time", "id"], _day(), is_stop, "stops_so_far")
-    totals = c.groupBy("car_id").agg(F.sum(is_stop).alias("total_stops"))
-    return c.join(totals, "car_id")
+def closed_segments(cars: DataFrame, least_stops: int) -> DataFrame:
+    """Measures of the moving events between two stops of a car, or also before its
+    first one (``least_stops`` 0).  Rows are numbered by the stops so far and reduced
+    to segments; only those meet their car's number of stops, so a hot car's rows
+    are never joined, and a null car is a car."""
+    is_stop = F.coalesce(F.col("speed") == 0.0, F.lit(False))
+    c = running_sum(cars, ["car_id"], ["event_time", "id"], _day(), is_stop.cast("bigint"), "stops_so_far")
+    totals = cars.groupBy("car_id").agg(F.sum(is_stop.cast("bigint")).alias("total_stops"))
+    segments = segment_measures(c.filter((F.col("speed") != 0.0) & (F.col("stops_so_far") >= least_stops)), ["car_id", "stops_so_far"])
+    closed = join_back(segments, totals, ["car_id"]).filter(F.col("stops_so_far") < F.col("total_stops"))
+    return closed.drop("stops_so_far", "total_stops")
 
 
 STOPS_SQL = CV + """
@@ -82,9 +86,7 @@ SELECT car_id, {D_MEASURES} FROM n WHERE NOT is_stop AND stops_so_far < total_st
 def driving_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A stop event closes the car's current segment of moving events; the last,
     still open segment is not emitted (ST15: global window + trigger + evictor)."""
-    c = _stop_numbered(views.cars(spark, sf_dir))
-    moving = c.filter(~F.col("is_stop") & (F.col("stops_so_far") < F.col("total_stops")))
-    return segment_measures(moving, ["car_id", "stops_so_far"]).drop("stops_so_far")
+    return closed_segments(views.cars(spark, sf_dir), 0)
 
 
 @query("cep_driving_segments", STOPS_SQL + f"""
@@ -93,9 +95,7 @@ GROUP BY car_id, stops_so_far""")
 def cep_driving_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pattern stop, one or more moving events, stop — strict contiguity (ST16):
     every run of moving events with a stop on both sides."""
-    c = _stop_numbered(views.cars(spark, sf_dir))
-    moving = c.filter(~F.col("is_stop") & (F.col("stops_so_far") >= 1) & (F.col("stops_so_far") < F.col("total_stops")))
-    return segment_measures(moving, ["car_id", "stops_so_far"]).drop("stops_so_far")
+    return closed_segments(views.cars(spark, sf_dir), 1)
 
 
 SORT_DELAY_MS = 30000

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riverbed.functions.time import epoch_millis
-from riverbed.operators.running import running_max_before
+from riverbed.operators.running import join_back, running_max_before
 from riverbed.plans.oracle_views import with_views
 from riverbed.plans.registry import query
 from riverbed.sources import views
@@ -54,8 +54,12 @@ FROM sessions s JOIN f USING (product_id) GROUP BY ALL""")
 def product_session_time(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per product, session seconds summed over 10 s periods that start at the
     product's first session row (the timer 10 s after the first, re-armed)."""
-    s = instance_sessions_df(views.beats(spark, sf_dir))
+    return product_periods(instance_sessions_df(views.beats(spark, sf_dir)))
+
+
+def product_periods(s: DataFrame) -> DataFrame:
+    """``instance_sessions_df`` summed per product and period; a null product is a product."""
     first = s.groupBy("product_id").agg(F.min("ts_s").alias("first_s"))
-    p = s.join(first, "product_id").withColumn(
+    p = join_back(s, first, ["product_id"]).withColumn(
         "period_start_s", F.col("first_s") + PERIOD_S * F.floor((F.col("ts_s") - F.col("first_s")) / PERIOD_S))
     return p.groupBy("product_id", "period_start_s").agg(F.sum("session_s").cast("bigint").alias("total_session_s"))

@@ -278,14 +278,14 @@ def placed_rides(rides: DataFrame) -> DataFrame:
                  FROM events WHERE event_type = 'error') WHERE rn = 1),
 rules AS (SELECT event_id AS rule_id, ts AS arrives, event_id % 3 AS kind, -74.04e0 + 0.02e0 * ((event_id * 7) % 20) AS x,
   40.51e0 + 0.04e0 * ((event_id * 11) % 14) AS y, lead(ts) OVER (ORDER BY ts, event_id) AS until FROM first_error),
-ev AS (SELECT ride_id, taxi_id, is_start, event_time, epoch_ms(start_time) AS start_ms,
+ev AS (SELECT ride_id, taxi_id, is_start, event_time, epoch_us(start_time) // 1000 AS start_ms,
   CASE WHEN is_start THEN start_lon ELSE end_lon END AS lon, CASE WHEN is_start THEN start_lat ELSE end_lat END AS lat FROM rides),
 asked AS (
-  SELECT rule_id, kind, x, y, ev.*, 'row' AS asked, epoch_ms(event_time) - {RULE_DELAY_MS} AS watermark
+  SELECT rule_id, kind, x, y, ev.*, 'row' AS asked, epoch_us(event_time) // 1000 - {RULE_DELAY_MS} AS watermark
   FROM ev JOIN rules ON event_time >= arrives AND (until IS NULL OR event_time < until)
   UNION ALL
   SELECT * EXCLUDE (rn) FROM (
-    SELECT rule_id, kind, x, y, ev.*, 'rule' AS asked, epoch_ms(arrives) - {RULE_DELAY_MS} AS watermark,
+    SELECT rule_id, kind, x, y, ev.*, 'rule' AS asked, epoch_us(arrives) // 1000 - {RULE_DELAY_MS} AS watermark,
       row_number() OVER (PARTITION BY rule_id, taxi_id ORDER BY event_time DESC, NOT is_start DESC, ride_id DESC) AS rn
     FROM ev JOIN rules ON event_time < arrives) WHERE rn = 1)
 SELECT rule_id, asked, ride_id, is_start, event_time, watermark FROM asked

@@ -13,10 +13,11 @@ from riverbed.plans.codecs_io import RIDES_BACK_SQL
 from riverbed.plans.geo_places import POPULAR_SQL, popular_places_df
 from riverbed.plans.oracle_views import with_views
 from riverbed.plans.registry import query
-from riverbed.plans.stream_plans import N_FILES, SENTINEL, _run, _staged_stream
+from riverbed.plans.stream_plans import N_FILES, _real, _run, _staged_stream
 from riverbed.session import scratch_path
 from riverbed.sources import codecs, views
 from riverbed.streaming.files import file_stream, flush_row, stage_files
+from riverbed.streaming.processors import FLUSH
 
 
 def _topic_messages(rides: DataFrame) -> DataFrame:
@@ -33,7 +34,7 @@ def topic_decode_popular(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = views.rides(spark, sf_dir)
     # an in-box START at Penn Station: it survives the cleansing filter (which
     # Catalyst pushes below the watermark) and stays below the popularity threshold
-    flush = flush_row(r, ["event_time", "start_time"], ride_id=SENTINEL, is_start=True,
+    flush = flush_row(r, ["event_time", "start_time"], ride_id=0, is_start=True,
                       start_lon=-73.9947, start_lat=40.750626, end_lon=-73.9947, end_lat=40.750626)
     msgs = _staged_stream(spark, _topic_messages(r.unionByName(flush)), "timestamp", "topic-popular")
     rides = codecs.parse_ride_lines(msgs.select(F.decode("value", "UTF-8").alias("value")))
@@ -62,8 +63,8 @@ def topic_encode_cleansed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _window_avg_stream(s: DataFrame) -> DataFrame:
     s = s.withColumn("ts", to_instant("ts")).withWatermark("ts", "5 seconds")
-    return s.groupBy(F.window("ts", "1 second")).agg(F.avg("temp").alias("avg_temp")).select(
-        F.col("window.end").alias("we"), "avg_temp")
+    return s.groupBy(F.window("ts", "1 second"), FLUSH).agg(F.avg("temp").alias("avg_temp")).select(
+        F.col("window.end").alias("we"), FLUSH, "avg_temp")
 
 
 @query("transactional_file_sink", with_views("sensors") + """
@@ -73,8 +74,8 @@ FROM sensors GROUP BY time_bucket(INTERVAL '1 second', ts)""")
 def transactional_file_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     """IO14: un-keyed 1 s averages into the exactly-once file sink; the query is
     then started again on the same checkpoint and sink, and must add nothing."""
-    s = views.sensors(spark, sf_dir).select("ts", "temp")
-    flush = flush_row(s, ["ts"], temp=0.0)
+    s = views.sensors(spark, sf_dir).select("ts", "temp", F.lit(False).alias(FLUSH))
+    flush = flush_row(s, ["ts"], **{FLUSH: True})
     path = scratch_path(spark, "txn-src")
     stage_files(s, path, "ts", N_FILES)
     flush.write.mode("append").parquet(path)
@@ -84,7 +85,7 @@ def transactional_file_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
              .option("path", out).option("checkpointLocation", ckpt).outputMode("append")
              .trigger(availableNow=True).start())
         q.awaitTermination()
-    back = spark.read.parquet(out).filter(F.year(to_wall_clock("we")) < 2200)
+    back = _real(spark.read.parquet(out))
     return back.select(F.date_format(to_wall_clock("we"), "yyyy-MM-dd'T'HH:mm:ss").alias("window_end_text"),
                        F.round("avg_temp", 6).alias("avg_temp"))
 
@@ -97,7 +98,7 @@ def restart_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
     """IO17/ST26: the job runs on the first half of the input and stops; the rest
     arrives; the job restarts from its checkpoint — file offsets and window
     state — and the final output equals one uninterrupted run."""
-    f = views.fares(spark, sf_dir).select("driver_id", "start_time", "tip")
+    f = views.fares(spark, sf_dir).select("driver_id", "start_time", "tip", F.lit(False).alias(FLUSH))
     mid = f.select(F.percentile_approx(epoch_millis("start_time"), 0.5, 10000)).first()[0]
     first, rest = f.filter(epoch_millis("start_time") < mid), f.filter(epoch_millis("start_time") >= mid)
     path = scratch_path(spark, "resume-src")
@@ -106,8 +107,8 @@ def restart_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
     def run() -> None:
         s = file_stream(spark, path, f.schema).withColumn("start_time", to_instant("start_time"))
         agg = (s.withWatermark("start_time", "1 minute")
-               .groupBy(F.window("start_time", "1 hour"), "driver_id").agg(F.sum("tip").alias("total_tips")))
-        q = (agg.select(F.col("window.end").alias("we"), "driver_id", "total_tips").writeStream.format("parquet")
+               .groupBy(F.window("start_time", "1 hour"), "driver_id", FLUSH).agg(F.sum("tip").alias("total_tips")))
+        q = (agg.select(F.col("window.end").alias("we"), "driver_id", FLUSH, "total_tips").writeStream.format("parquet")
              .option("path", out).option("checkpointLocation", ckpt).outputMode("append")
              .trigger(availableNow=True).start())
         q.awaitTermination()
@@ -115,9 +116,9 @@ def restart_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
     stage_files(first, path, "start_time", N_FILES // 2)
     run()
     stage_files(rest, path, "start_time", N_FILES // 2)
-    flush_row(f, ["start_time"], driver_id=SENTINEL).write.mode("append").parquet(path)
+    flush_row(f, ["start_time"], **{FLUSH: True}).write.mode("append").parquet(path)
     run()
-    back = spark.read.parquet(out).filter(F.col("driver_id") != SENTINEL)
+    back = _real(spark.read.parquet(out))
     return back.select(to_wall_clock("we").alias("window_end"), "driver_id", F.round("total_tips", 6).alias("total_tips"))
 
 

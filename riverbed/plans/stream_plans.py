@@ -14,22 +14,31 @@ from riverbed.plans.registry import query
 from riverbed.session import scratch_path
 from riverbed.sources import views
 from riverbed.streaming.files import file_stream, flush_row, stage_files
-from riverbed.streaming.processors import long_rides_stream
+from riverbed.streaming.processors import FLUSH, long_rides_stream
 from riverbed.streaming.sinks import latest_snapshot, replay_safe_writer, upsert_writer
 
 #: Least time ranges, and so micro-batches, of a staged table.
 N_FILES = 4
-SENTINEL = -1
 
 
-def _staged_stream(spark: SparkSession, df: DataFrame, time_col: str, name: str, flush: dict | None = None):
+def _staged_stream(spark: SparkSession, df: DataFrame, time_col: str, name: str, flush: list[dict] | None = None,
+                   times: tuple[str, ...] = ()):
+    """``df`` staged as a stream.  With ``flush``, rows carry ``_flush``, true on the last
+    rows, far in the future, that move the watermark past all others."""
     path = scratch_path(spark, f"{name}-src")
-    stage_files(df, path, time_col, N_FILES)
     if flush is not None:
-        flush_row(df, [time_col], **flush).write.mode("append").parquet(path)
+        df = df.withColumn(FLUSH, F.lit(False))
+    stage_files(df, path, time_col, N_FILES)
+    for values in flush or []:
+        flush_row(df, [time_col, *times], **values, **{FLUSH: True}).write.mode("append").parquet(path)
     return file_stream(spark, path, df.schema)
 
 
+def _real(df: DataFrame) -> DataFrame:
+    """Rows of the table, whatever their keys, without the flush rows."""
+    return df.filter(~F.col(FLUSH)).drop(FLUSH)
+
+
 def _run(sdf: DataFrame, spark: SparkSession, name: str, mode: str = "append", foreach=None) -> str:
     out, ckpt = scratch_path(spark, f"{name}-out"), scratch_path(spark, f"{name}-ckpt")
     w = sdf.writeStream.option("checkpointLocation", ckpt).outputMode(mode).trigger(availableNow=True)
@@ -46,13 +55,12 @@ SELECT ride_id, date_trunc('millisecond', start_time) AS start_time FROM rides s
   SELECT 1 FROM rides e WHERE NOT e.is_start AND e.ride_id = s.ride_id AND e.event_time <= s.start_time + INTERVAL '2 hours')""")
 def long_rides_stream_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ST18 as a stream: keyed state + event-time timeouts (applyInPandasWithState).
-    A final far-future END of a sentinel ride closes every timer."""
+    A final far-future END, marked as such, closes every timer."""
     r = views.rides(spark, sf_dir).select("ride_id", "is_start", "event_time")
-    s = _staged_stream(spark, r, "event_time", "long-rides", flush={"ride_id": SENTINEL, "is_start": False})
+    s = _staged_stream(spark, r, "event_time", "long-rides", flush=[{"is_start": False}])
     s = s.withColumn("event_time", to_instant("event_time"))
     out = _run(long_rides_stream(s), spark, "long-rides")
-    res = spark.read.parquet(out)
-    return res.filter(F.col("ride_id") != SENTINEL).select("ride_id", from_epoch_millis("start_ms").alias("start_time"))
+    return _real(spark.read.parquet(out)).select("ride_id", from_epoch_millis("start_ms").alias("start_time"))
 
 
 @query("hourly_tips_stream", with_views("fares") + """
@@ -63,13 +71,12 @@ FROM fares GROUP BY ALL""")
 def hourly_tips_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A11/ST5 as a stream: watermark 1 min, tumbling hour per driver, append mode."""
     f = views.fares(spark, sf_dir).select("driver_id", "start_time", "tip")
-    s = _staged_stream(spark, f, "start_time", "tips", flush={"driver_id": SENTINEL})
+    s = _staged_stream(spark, f, "start_time", "tips", flush=[{}])
     s = s.withColumn("start_time", to_instant("start_time")).withWatermark("start_time", "1 minute")
-    agg = s.groupBy(F.window("start_time", "1 hour"), "driver_id").agg(F.sum("tip").alias("total_tips"))
-    out = _run(agg.select(F.col("window.start").alias("ws"), F.col("window.end").alias("we"), "driver_id", "total_tips"),
+    agg = s.groupBy(F.window("start_time", "1 hour"), "driver_id", FLUSH).agg(F.sum("tip").alias("total_tips"))
+    out = _run(agg.select(F.col("window.start").alias("ws"), F.col("window.end").alias("we"), "driver_id", FLUSH, "total_tips"),
                spark, "tips")
-    res = spark.read.parquet(out).filter(F.col("driver_id") != SENTINEL)
-    return res.select(to_wall_clock("ws").alias("window_start"), to_wall_clock("we").alias("window_end"), "driver_id",
+    return _real(spark.read.parquet(out)).select(to_wall_clock("ws").alias("window_start"), to_wall_clock("we").alias("window_end"), "driver_id",
                       F.round("total_tips", 6).alias("total_tips"))
 
 
@@ -106,16 +113,11 @@ def cep_long_rides_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ST17 as a built-in stream-stream left outer join: a START meets its END
     only if the END comes within two hours; once the watermark passes that
     bound Spark emits the START with a null partner — the timed-out pattern.
-    JVM-side state, no Python.  Sentinel START and END rows at a far time move
+    JVM-side state, no Python.  A marked START and a marked END at a far time move
     both sides' watermarks (each side's filter is pushed below its watermark)."""
     r = views.rides(spark, sf_dir)
     times = ["event_time", "start_time", "end_time"]
-    flush = flush_row(r, times, ride_id=SENTINEL, is_start=True).unionByName(
-        flush_row(r, times, ride_id=SENTINEL - 1, is_start=False))
-    path = scratch_path(spark, "cep-src")
-    stage_files(r, path, "event_time", N_FILES)
-    flush.write.mode("append").parquet(path)
-    s = file_stream(spark, path, r.schema)
+    s = _staged_stream(spark, r, "event_time", "cep", flush=[{"is_start": True}, {"is_start": False}], times=("start_time", "end_time"))
     for c in times:
         s = s.withColumn(c, to_instant(c))
     s = s.withWatermark("event_time", "1 minute")
@@ -125,5 +127,5 @@ def cep_long_rides_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
             & (F.col("e_time") < F.col("event_time") + F.expr("INTERVAL 2 HOURS")))
     timed_out = starts.join(ends, cond, "left_outer").filter(F.col("e_id").isNull()).drop("e_id", "e_time")
     out = _run(timed_out, spark, "cep")
-    back = spark.read.parquet(out).filter(F.col("ride_id") >= 0)
+    back = _real(spark.read.parquet(out))
     return back.select(*[to_wall_clock(c).alias(c) if c in times else F.col(c) for c in r.columns])

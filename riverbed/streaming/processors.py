@@ -24,17 +24,20 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor
 
 TWO_HOURS_MS = 2 * 3600 * 1000
 
+FLUSH = "_flush"
 OUT_SCHEMA = "ride_id long, start_ms long"
 STATE_SCHEMA = "start_ms long, end_ms long"
 
 
 def _long_rides(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    (ride_id,) = key
+    def out(start):
+        return pd.DataFrame([(*key, start)], columns=["ride_id", *([FLUSH] if len(key) > 1 else []), "start_ms"])
+
     if state.hasTimedOut:
         start_ms, end_ms = state.get
         state.remove()
         if start_ms is not None and (end_ms is None or end_ms - start_ms > TWO_HOURS_MS):
-            yield pd.DataFrame({"ride_id": [ride_id], "start_ms": [start_ms]})
+            yield out(start_ms)
         return
     start_ms, end_ms = state.get if state.exists else (None, None)
     for pdf in pdfs:
@@ -53,7 +56,7 @@ def _long_rides(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterato
     if deadline <= wm:
         state.remove()
         if start_ms is not None:
-            yield pd.DataFrame({"ride_id": [ride_id], "start_ms": [start_ms]})
+            yield out(start_ms)
         return
     state.update((start_ms, end_ms))
     # a START waits for its END until start + 2 h; an END that came first is kept
@@ -62,12 +65,14 @@ def _long_rides(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterato
 
 
 def long_rides_stream(rides: DataFrame, delay: str = "1 minute") -> DataFrame:
-    """``rides`` is a stream with instant ``event_time`` (see ``as_event_time``)."""
+    """``rides`` is a stream with instant ``event_time`` (see ``as_event_time``); a
+    ``_flush`` column, if there, is part of the key and of the result."""
     # the watermark column must stay in the plan; the logic reads epoch millis
+    flush = [FLUSH] if FLUSH in rides.columns else []
     r = rides.withWatermark("event_time", delay).select(
-        "ride_id", "is_start", "event_time", (F.unix_micros("event_time") / 1000).cast("long").alias("event_ms"))
-    return r.groupBy("ride_id").applyInPandasWithState(
-        _long_rides, OUT_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.EventTimeTimeout)
+        "ride_id", *flush, "is_start", "event_time", (F.unix_micros("event_time") / 1000).cast("long").alias("event_ms"))
+    return r.groupBy("ride_id", *flush).applyInPandasWithState(
+        _long_rides, OUT_SCHEMA.replace(",", f", {FLUSH} boolean,") if flush else OUT_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.EventTimeTimeout)
 
 
 class AsOfJoinProcessor(StatefulProcessor):
