@@ -54,17 +54,18 @@ def adhoc_rules(rows: DataFrame, rules: DataFrame, key: str, time: str, order: S
     table = F.broadcast(spark.createDataFrame([(i, r["rule_id"], r["ms"]) for i, r in enumerate(found, 1)],
                                               "_rule int, rule_id long, _rule_ms long"))
     arrivals = F.array(*[F.lit(r["us"]) for r in found]).cast("array<long>")
-    rows = rows.filter(F.col(time).isNotNull())
-    came = rows.withColumn("_rule", F.size(F.filter(arrivals, lambda a: a <= epoch_micros(time))))
+    # the rules that have come by then: the place of the next microsecond among the arrivals
+    after = epoch_micros(time) + 1
+    came = rows.withColumn("_rule", F.coalesce(F.array_position(F.sort_array(F.array_append(arrivals, after)), after) - 1, F.lit(0))
+                           .cast("int"))
     own = came.withColumn("watermark", epoch_millis(time) - delay_ms).filter(_holds(found, F.col("_rule")))
     own = own.join(table, "_rule").withColumn("asked", F.lit("row"))
 
     newest = came.groupBy(key, "_rule").agg(F.max_by(F.struct(*rows.columns), F.struct(time, *order)).alias("_row"))
+    newest = newest.filter(F.col("_row")[time].isNotNull())
     until = F.coalesce(F.lead("_rule").over(Window.partitionBy(key).orderBy("_rule")), F.lit(len(found)))
     asked = newest.withColumn("_until", until).filter(F.col("_until") > F.col("_rule"))
     asked = asked.select("_row.*", F.explode(F.sequence(F.col("_rule") + 1, F.col("_until"))).alias("_rule"))
     asked = asked.join(table, "_rule").withColumn("watermark", F.col("_rule_ms") - delay_ms).filter(_holds(found, F.col("_rule")))
     asked = asked.withColumn("asked", F.lit("rule"))
-    # as structs: constraints of a union can't follow a scan column that stands behind two output columns
-    columns = [c for c in own.columns if c not in ("_rule", "_rule_ms")]
-    return own.select(F.struct(*columns).alias("_o")).unionAll(asked.select(F.struct(*columns).alias("_o"))).select("_o.*")
+    return own.unionByName(asked.select(*own.columns)).drop("_rule", "_rule_ms")

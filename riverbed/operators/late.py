@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riverbed.functions.time import epoch_millis
-from riverbed.operators.running import running_max_before
+from riverbed.operators.running import running_max_before, volume_chunk
 
 
 def disordered_arrival(df: DataFrame, ts: str = "ts", id_col: str = "event_id", max_shift_ms: int = 7000) -> DataFrame:
@@ -27,13 +27,13 @@ def with_watermark_seen(df: DataFrame, delay_ms: int, ts: str = "ts", arrival: s
     """Add ``out`` = (max event time over earlier arrivals) − ``delay_ms`` in epoch ms.
 
     ``marker`` restricts which rows advance the watermark (punctuated marks).
-    The running max runs by one-hour arrival chunks (see ``running_max_before``):
-    with no key, the chunk is what spreads the work, so it is kept fine.
+    The running max runs by chunks of arrival time (see ``running_max_before``):
+    with no key, the chunk is what spreads the work, so its length follows the volume.
     """
     v = epoch_millis(ts)
     if marker is not None:
         v = F.when(marker, v)
-    chunk = F.floor(F.col(arrival) / (3600 * 1000))
+    chunk = volume_chunk(df, F.col(arrival))
     d = running_max_before(df, [], [arrival, id_col], chunk, v, "_max_seen")
     return d.withColumn(out, F.col("_max_seen") - delay_ms).drop("_max_seen")
 

@@ -31,6 +31,18 @@ def join_back(detail: DataFrame, small: DataFrame, on: Sequence[str]) -> DataFra
     return detail.join(other, cond, "inner").drop(*[f"_on_{c}" for c in on])
 
 
+#: Rows that a chunk holds on average.
+CHUNK_ROWS = 1 << 16
+
+
+def volume_chunk(df: DataFrame, value: Column, rows: int = CHUNK_ROWS) -> Column:
+    """Chunk numbers that rise with ``value`` (integers: times, ids): equal parts of its
+    range, as many as give about ``rows`` rows each.  One aggregate over ``df``."""
+    low, high, n = df.agg(F.min(value), F.max(value), F.count(value)).first()
+    width = max(1, -(-((high or 0) - (low or 0) + 1) * rows // max(n, 1)))
+    return F.floor((value - F.lit(low or 0)) / F.lit(width))
+
+
 def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str], chunk: Column, value: Column,
                 out: str) -> DataFrame:
     """Add column ``out`` = sum of ``value`` over rows of the same keys up to and

@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 from riverbed.functions.time import epoch_millis, from_epoch_millis
 from riverbed.operators.joins import asof_join, band_join
 from riverbed.operators.late import disordered_arrival, is_late, with_watermark_seen
-from riverbed.operators.running import previous_value, running_sum
+from riverbed.operators.running import join_back, previous_value, running_sum
 from riverbed.operators.windows import tumbling_agg
-from riverbed.plans.oracle_views import with_views
+from riverbed.plans.oracle_views import DENSE_EVENTS, with_views
 from riverbed.plans.registry import query
 from riverbed.sources import views
 from riverbed.sources.tables import table
@@ -145,19 +145,20 @@ def freezing_side_output(spark: SparkSession, sf_dir: str) -> DataFrame:
         "event_id", "sensor_id", "temp", F.concat(F.lit("Freezing Alarm for "), F.col("sensor_id").cast("string")).alias("alarm"))
 
 
-DISORDER_MS = 5000
+DISORDER_MS, SHIFT_MS, MARKED_SHIFT_MS = 5000, 20_000, 120_000
+DV = with_views("sensors", dense=True)
 ARRIVAL_SQL = """
-, arr AS (SELECT *, (epoch_us(ts) // 1000) + (event_id * 7919) % 7000 AS arrival_ms FROM sensors),
+, arr AS (SELECT *, (epoch_us(ts) // 1000) + (event_id * 7919) % 20000 AS arrival_ms FROM sensors),
 wm AS (SELECT *, max((epoch_us(ts) // 1000)) OVER (ORDER BY arrival_ms, event_id
                  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - {delay} AS wm_ms FROM arr)"""
 
 
-def _arrivals(spark: SparkSession, sf_dir: str, delay_ms: int = DISORDER_MS, marker=None) -> DataFrame:
-    s = disordered_arrival(views.sensors(spark, sf_dir))
+def _arrivals(spark: SparkSession, sf_dir: str, delay_ms: int = DISORDER_MS, marker=None, shift_ms: int = SHIFT_MS) -> DataFrame:
+    s = disordered_arrival(views.sensors(spark, sf_dir, dense=True), max_shift_ms=shift_ms)
     return with_watermark_seen(s, delay_ms, marker=marker)
 
 
-@query("late_side_output", SV + ARRIVAL_SQL.format(delay=DISORDER_MS) + """
+@query("late_side_output", DV + ARRIVAL_SQL.format(delay=DISORDER_MS) + """
 SELECT event_id, sensor_id, ts, wm_ms FROM wm WHERE (epoch_us(ts) // 1000) < wm_ms""")
 def late_side_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows behind the watermark at their arrival, routed to a side output (ST8)."""
@@ -165,15 +166,15 @@ def late_side_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return a.filter(is_late()).select("event_id", "sensor_id", "ts", "wm_ms")
 
 
-@query("punctuated_late_split", SV + """
-, arr AS (SELECT *, (epoch_us(ts) // 1000) + (event_id * 7919) % 7000 AS arrival_ms FROM sensors),
+@query("punctuated_late_split", DV + """
+, arr AS (SELECT *, (epoch_us(ts) // 1000) + (event_id * 7919) % 120000 AS arrival_ms FROM sensors),
 wm AS (SELECT *, max(CASE WHEN sensor_id = 1 THEN (epoch_us(ts) // 1000) END) OVER (ORDER BY arrival_ms, event_id
                  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - 60000 AS wm_ms FROM arr)
 SELECT event_id, sensor_id, ts, coalesce((epoch_us(ts) // 1000) < wm_ms, FALSE) AS late FROM wm""")
 def punctuated_late_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Watermark advanced only by marker rows (sensor 1), 60 s behind them; every
     row is tagged late or on time (ST3)."""
-    a = _arrivals(spark, sf_dir, 60000, marker=F.col("sensor_id") == 1)
+    a = _arrivals(spark, sf_dir, 60000, marker=F.col("sensor_id") == 1, shift_ms=MARKED_SHIFT_MS)
     return a.select("event_id", "sensor_id", "ts", is_late().alias("late"))
 
 
@@ -187,7 +188,7 @@ def _windowed_arrivals(spark, sf_dir):
     return a.withColumn("window_end_ms", end_ms).withColumn("window_end", from_epoch_millis(end_ms))
 
 
-@query("late_window_counts", SV + ARRIVAL_SQL.format(delay=DISORDER_MS) + f"""
+@query("late_window_counts", DV + ARRIVAL_SQL.format(delay=DISORDER_MS) + f"""
 SELECT sensor_id, time_bucket(INTERVAL '10 seconds', ts) + INTERVAL '10 seconds' AS window_end,
   CAST(sum(CASE WHEN coalesce(wm_ms >= epoch_ms(time_bucket(INTERVAL '10 seconds', ts)) + {WIN_MS}, FALSE) THEN 0 ELSE 1 END) AS BIGINT) AS cnt,
   CAST(sum(CASE WHEN coalesce(wm_ms >= epoch_ms(time_bucket(INTERVAL '10 seconds', ts)) + {WIN_MS}, FALSE) THEN 1 ELSE 0 END) AS BIGINT) AS late_cnt
@@ -202,7 +203,7 @@ def late_window_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sum(F.when(late, 1).otherwise(0)).cast("bigint").alias("late_cnt"))
 
 
-@query("late_updates", SV + ARRIVAL_SQL.format(delay=DISORDER_MS) + f"""
+@query("late_updates", DV + ARRIVAL_SQL.format(delay=DISORDER_MS) + f"""
 , tagged AS (
   SELECT *, epoch_ms(time_bucket(INTERVAL '10 seconds', ts)) + {WIN_MS} AS end_ms,
          coalesce(wm_ms >= epoch_ms(time_bucket(INTERVAL '10 seconds', ts)) + {WIN_MS}, FALSE) AS late FROM wm),
@@ -228,11 +229,13 @@ def late_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
     accepted = a.filter(F.col("late") & (F.col("wm_ms") < F.col("window_end_ms") + LATENESS_MS))
     from pyspark.sql import Window
     w = Window.partitionBy(*keys).orderBy("arrival_ms", "event_id")
-    upd = accepted.select(*keys, F.row_number().over(w).alias("k")).join(on_time, keys, "left").select(
+    upd = accepted.select(*keys, F.row_number().over(w).alias("k")).join(
+        on_time.withColumnsRenamed({c: f"_on_{c}" for c in keys}),
+        [F.col(c).eqNullSafe(F.col(f"_on_{c}")) for c in keys], "left").select(
         *keys, "k", (F.coalesce(F.col("base"), F.lit(0)) + F.col("k")).alias("cnt"))
     fires = on_time.select(*keys, F.lit(0).alias("k"), F.col("base").alias("cnt")).unionByName(upd)
     first_k = fires.groupBy(*keys).agg(F.min("k").alias("first_k"))
-    return fires.join(first_k, keys).select(
+    return join_back(fires, first_k, keys).select(
         "sensor_id", from_epoch_millis("window_end_ms").alias("window_end"), F.col("cnt").cast("bigint").alias("cnt"),
         F.when(F.col("k") == F.col("first_k"), "first").otherwise("update").alias("mark"))
 
@@ -249,8 +252,8 @@ def dedup_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.groupBy("h").agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("copies")).drop("h")
 
 
-def trades_customers(spark: SparkSession, sf_dir: str):
-    ev = table(spark, sf_dir, "events")
+def trades_customers(spark: SparkSession, sf_dir: str, dense: bool = False):
+    ev = views.events(spark, sf_dir, dense)
     trades = ev.filter(F.col("event_type") == "purchase").select(
         F.col("event_id").alias("trade_id"), F.col("user_id").alias("customer_id"), F.col("ts").alias("trade_ts"))
     customers = ev.filter(F.col("event_type") == "view").select(
@@ -265,6 +268,8 @@ customers AS (SELECT user_id AS customer_id, ts AS cust_ts, 'info-' || event_id
               FROM events WHERE event_type = 'view')
 """
 
+DENSE_TC_SQL = TC_SQL.replace("FROM events", "FROM dense_events").replace("WITH ", f"WITH {DENSE_EVENTS}, ", 1)
+
 
 @query("asof_enrich", TC_SQL + """
 SELECT t.trade_id, t.customer_id, t.trade_ts, c.customer_info, c.cust_ts AS matched_at
@@ -306,23 +311,25 @@ def switch_forward(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("lookup_enrich", SV + """
 SELECT s.event_id, s.sensor_id, s.temp, coalesce(c.c_name, 'UNKNOWN ROOM') AS room
-FROM sensors s LEFT JOIN customer c ON c.c_custkey = s.sensor_id""")
+FROM sensors s LEFT JOIN customer c ON c.c_custkey = s.sensor_id * 20""")
 def lookup_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Readings enriched with a room from a dimension table; a miss gives
     UNKNOWN ROOM (J15: the async look-up re-aimed as a join)."""
     s = views.sensors(spark, sf_dir)
-    c = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("sensor_id"), F.col("c_name").alias("room"))
-    return s.join(c, "sensor_id", "left").select(
+    c = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("room_id"), F.col("c_name").alias("room"))
+    # sensors are numbered densely, rooms are every twentieth customer; many sensors have none
+    s = s.withColumn("room_id", F.col("sensor_id") * 20)
+    return s.join(c, "room_id", "left").select(
         "event_id", "sensor_id", "temp", F.coalesce(F.col("room"), F.lit("UNKNOWN ROOM")).alias("room"))
 
 
 ASOF_LATE_MS = 5000
 
 
-@query("asof_enrich_late", TC_SQL + f"""
+@query("asof_enrich_late", DENSE_TC_SQL + f"""
 , u AS (SELECT trade_id AS event_id, trade_ts AS ts, TRUE AS is_trade FROM trades
         UNION ALL SELECT event_id, cust_ts, FALSE FROM customers),
-arr AS (SELECT *, (epoch_us(ts) // 1000) + (event_id * 7919) % 7000 AS arrival_ms FROM u),
+arr AS (SELECT *, (epoch_us(ts) // 1000) + (event_id * 7919) % 20000 AS arrival_ms FROM u),
 wm AS (SELECT *, max(epoch_us(ts) // 1000) OVER (ORDER BY arrival_ms, event_id
                  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - {ASOF_LATE_MS} AS wm_ms FROM arr)
 SELECT t.trade_id, t.customer_id, t.trade_ts, c.customer_info, c.cust_ts AS matched_at,
@@ -333,10 +340,10 @@ def asof_enrich_late(spark: SparkSession, sf_dir: str) -> DataFrame:
     """J7, first goal: trades behind the watermark (trades and customer updates
     share one disordered arrival order, 5 s bound) are still enriched with the
     event-time-correct customer instead of being dropped, and flagged late."""
-    trades, customers = trades_customers(spark, sf_dir)
+    trades, customers = trades_customers(spark, sf_dir, dense=True)
     u = trades.select(F.col("trade_id").alias("event_id"), F.col("trade_ts").alias("ts"), F.lit(True).alias("is_trade")) \
         .unionByName(customers.select("event_id", F.col("cust_ts").alias("ts"), F.lit(False).alias("is_trade")))
-    seen = with_watermark_seen(disordered_arrival(u), ASOF_LATE_MS)
+    seen = with_watermark_seen(disordered_arrival(u, max_shift_ms=SHIFT_MS), ASOF_LATE_MS)
     flags = seen.filter("is_trade").select(F.col("event_id").alias("trade_id"), is_late().alias("late"))
     j = asof_join(trades, customers, ["customer_id"], "trade_ts", "cust_ts", ["customer_info"])
     return j.join(flags, "trade_id").select("trade_id", "customer_id", "trade_ts", "customer_info", "matched_at", "late")
@@ -345,7 +352,7 @@ def asof_enrich_late(spark: SparkSession, sf_dir: str) -> DataFrame:
 REVISE_BOUND_MS = 7000   # arrival lags event time by less than this (the disorder of the input)
 
 
-@query("asof_enrich_revise", TC_SQL + """
+@query("asof_enrich_revise", DENSE_TC_SQL + """
 , ta AS (SELECT *, (epoch_us(trade_ts) // 1000) + (trade_id * 7919) % 7000 AS arr FROM trades),
 ca AS (SELECT *, (epoch_us(cust_ts) // 1000) + (event_id * 7919) % 7000 AS arr FROM customers),
 r0 AS (SELECT t.trade_id, arg_max(c.customer_info, (c.cust_ts, c.event_id)) AS info,
@@ -366,7 +373,7 @@ def asof_enrich_revise(spark: SparkSession, sf_dir: str) -> DataFrame:
     newer of an as-of match at trade time − 7 s and the newest row inside the
     last 7 s that arrived before the trade (a keyed 7 s band join) — exact
     without comparing every pair of a key."""
-    return asof_revise_df(*trades_customers(spark, sf_dir))
+    return asof_revise_df(*trades_customers(spark, sf_dir, dense=True))
 
 
 def asof_revise_df(trades: DataFrame, customers: DataFrame) -> DataFrame:

@@ -98,11 +98,11 @@ def cep_driving_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return closed_segments(views.cars(spark, sf_dir), 1)
 
 
-SORT_DELAY_MS = 30000
+SORT_DELAY_MS, SORT_SHIFT_MS = 30_000, 60_000
 
 
-@query("car_event_sort", CV + f"""
-, arr AS (SELECT *, (epoch_us(event_time) // 1000) + (id * 7919) % 7000 AS arrival_ms FROM cars),
+@query("car_event_sort", with_views("cars", dense=True) + f"""
+, arr AS (SELECT *, (epoch_us(event_time) // 1000) + (id * 7919) % 60000 AS arrival_ms FROM cars),
 wm AS (SELECT *, max(epoch_us(event_time) // 1000) OVER (ORDER BY arrival_ms, id
                  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - {SORT_DELAY_MS} AS wm_ms FROM arr)
 SELECT car_id, id, event_time,
@@ -111,7 +111,7 @@ FROM wm WHERE NOT coalesce(epoch_us(event_time) // 1000 < wm_ms, FALSE)""")
 def car_event_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per car, events in event-time order from disordered arrival; rows behind
     the 30 s watermark are dropped, ties kept; ``seq`` numbers the output (SO1)."""
-    c = disordered_arrival(views.cars(spark, sf_dir), ts="event_time", id_col="id")
+    c = disordered_arrival(views.cars(spark, sf_dir, dense=True), ts="event_time", id_col="id", max_shift_ms=SORT_SHIFT_MS)
     c = with_watermark_seen(c, SORT_DELAY_MS, ts="event_time", id_col="id")
     ok = c.filter(~is_late("event_time")).select("car_id", "id", "event_time")
     r = running_sum(ok, ["car_id"], ["event_time", "id"], _day(), F.lit(1).cast("bigint"), "seq")

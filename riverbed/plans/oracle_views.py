@@ -26,7 +26,8 @@ SELECT event_id AS ride_id, user_id AS taxi_id, user_id % 40 AS driver_id, ts AS
 SELECT event_id AS id, user_id AS car_id, ts AS event_time,
  CASE WHEN event_type IN ('error','signup') THEN 0e0 ELSE value END AS speed, event_id % 20 AS throttle FROM events""",
     "beats": """
-SELECT user_id AS instance_id, event_type AS product_id, user_id % 10 AS customer_id, event_id, ts FROM events""",
+SELECT user_id AS instance_id, event_type AS product_id, user_id % 10 AS customer_id, event_id,
+ make_timestamp(epoch_us(ts) // 500 + (event_id * 7919) % 600000 * 1000) AS ts FROM events""",
     "sensors": """
 SELECT event_id, user_id AS sensor_id, ts, value AS temp FROM events""",
     "mails": """
@@ -50,9 +51,16 @@ SELECT user_id AS id, event_id AS rule_id, 0.5e0 + (event_id % 5) AS threshold,
 }
 
 
-def with_views(*names: str, extra: dict[str, str] | None = None) -> str:
-    """``WITH v1 AS (...), v2 AS (...)`` for the named views, plus extra CTEs in order."""
+#: Half a second of the tables is a millisecond (``views.DENSE``).
+DENSE_EVENTS = "dense_events AS (SELECT * REPLACE (make_timestamp(epoch_us(ts) // 500) AS ts) FROM events)"
+
+
+def with_views(*names: str, extra: dict[str, str] | None = None, dense: bool = False) -> str:
+    """``WITH v1 AS (...), v2 AS (...)`` for the named views, plus extra CTEs in order;
+    ``dense``: the views over ``dense_events``."""
     parts = [f"{n} AS ({VIEWS[n]}\n)" for n in names]
+    if dense:
+        parts = [DENSE_EVENTS, *(p.replace("FROM events", "FROM dense_events") for p in parts)]
     for k, v in (extra or {}).items():
         parts.append(f"{k} AS ({v}\n)")
     return "WITH " + ",\n".join(parts) + "\n" if parts else ""

@@ -12,19 +12,19 @@ from riverbed.plans.registry import query
 from riverbed.sources import views
 
 
-def _prepare(spark: SparkSession, sf_dir: str, *names: str) -> None:
+def _prepare(spark: SparkSession, sf_dir: str, *names: str, dense: bool = False) -> None:
     for n in names:
-        getattr(views, n)(spark, sf_dir).createOrReplaceTempView(n)
+        getattr(views, n)(spark, sf_dir, dense).createOrReplaceTempView(n)
     register_sql_functions(spark)
 
 
-@query("sql_hourly_tips_having", with_views("fares") + """
+@query("sql_hourly_tips_having", with_views("fares", dense=True) + """
 SELECT time_bucket(INTERVAL '1 hour', start_time) + INTERVAL '1 hour' AS window_end, driver_id,
        round(sum(tip), 6) AS total_tips
 FROM fares GROUP BY ALL HAVING sum(tip) > 50e0""")
 def sql_hourly_tips_having(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tumbling hour per driver with a post-aggregate filter SUM(tip) > 50 (ST5, PF10)."""
-    _prepare(spark, sf_dir, "fares")
+    _prepare(spark, sf_dir, "fares", dense=True)
     return spark.sql("""
         SELECT window(start_time, '1 hour').end AS window_end, driver_id, round(sum(tip), 6) AS total_tips
         FROM fares GROUP BY window(start_time, '1 hour'), driver_id HAVING sum(tip) > 50""")
@@ -70,7 +70,7 @@ def sql_avg_duration(spark: SparkSession, sf_dir: str) -> DataFrame:
         FROM rides WHERE NOT is_start GROUP BY passenger_cnt""")
 
 
-@query("popular_places_sql", with_views("rides") + f"""
+@query("popular_places_sql", with_views("rides", dense=True) + f"""
 , pts AS (
   SELECT CASE WHEN is_start THEN {D_CELL.format(lon="start_lon", lat="start_lat")}
               ELSE {D_CELL.format(lon="end_lon", lat="end_lat")} END AS cell, is_start, event_time FROM rides
@@ -83,7 +83,7 @@ FROM win GROUP BY cell, is_start, window_end HAVING count(*) > {POPULAR_THRESHOL
 def popular_places_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sliding 15/5 min counts per (cell, is_start) in SQL with the registered grid
     functions, HAVING cnt > threshold (the SQL form uses '>', the stream '>=') (ST6, F7)."""
-    _prepare(spark, sf_dir, "rides")
+    _prepare(spark, sf_dir, "rides", dense=True)
     return spark.sql(f"""
         SELECT c.lon AS lon, c.lat AS lat, window_end, is_start, pop_cnt FROM (
           SELECT to_coords(cell) AS c, w.end AS window_end, is_start, count(*) AS pop_cnt FROM (

@@ -12,9 +12,22 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from riverbed.functions.time import epoch_micros, from_epoch_micros
 from riverbed.sources.tables import table
 
 
+#: In dense views half a second of the tables is a millisecond: gaps of minutes become
+#: fractions of a second, so windows of seconds hold many rows and rows can come late.
+DENSE = 500
+BEAT_SHIFT_MS = 600_000
+
+
+def events(spark: SparkSession, sf_dir: str, dense: bool = False) -> DataFrame:
+    ev = table(spark, sf_dir, "events")
+    us = F.expr(f"epoch_us div {DENSE}")
+    return ev.withColumn("epoch_us", epoch_micros("ts")).withColumn("ts", from_epoch_micros(us)).drop("epoch_us") if dense else ev
+
+
 def _ride_geo(eid: Column) -> list[Column]:
     # fixed values: synthetic coordinate lattice of the rides view (FIXTURES.md)
     return [
@@ -46,12 +59,12 @@ def rides_from_events(ev: DataFrame) -> DataFrame:
     return starts.unionByName(ends)
 
 
-def rides(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rides_from_events(table(spark, sf_dir, "events"))
+def rides(spark: SparkSession, sf_dir: str, dense: bool = False) -> DataFrame:
+    return rides_from_events(events(spark, sf_dir, dense))
 
 
-def fares(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = table(spark, sf_dir, "events")
+def fares(spark: SparkSession, sf_dir: str, dense: bool = False) -> DataFrame:
+    ev = events(spark, sf_dir, dense)
     eid = F.col("event_id")
     return ev.filter(eid % 37 != 0).select(
         eid.alias("ride_id"), F.col("user_id").alias("taxi_id"), (F.col("user_id") % 40).alias("driver_id"),
@@ -60,8 +73,8 @@ def fares(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("value") / 10).alias("tip"), F.lit(0.0).alias("tolls"), F.col("value").alias("total_fare"))
 
 
-def cars(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = table(spark, sf_dir, "events")
+def cars(spark: SparkSession, sf_dir: str, dense: bool = False) -> DataFrame:
+    ev = events(spark, sf_dir, dense)
     return ev.select(
         F.col("event_id").alias("id"), F.col("user_id").alias("car_id"), F.col("ts").alias("event_time"),
         F.when(F.col("event_type").isin("error", "signup"), F.lit(0.0)).otherwise(F.col("value")).alias("speed"),
@@ -69,15 +82,17 @@ def cars(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def beats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = table(spark, sf_dir, "events")
+    """Heartbeats in the order of their event id; times run up to ten minutes ahead, so some are not newer than those before."""
+    ev = events(spark, sf_dir, dense=True)
+    ahead = F.timestamp_add("MILLISECOND", (F.col("event_id") * 7919) % BEAT_SHIFT_MS, F.col("ts"))
     return ev.select(
         F.col("user_id").alias("instance_id"), F.col("event_type").alias("product_id"),
-        (F.col("user_id") % 10).alias("customer_id"), "event_id", "ts")
+        (F.col("user_id") % 10).alias("customer_id"), "event_id", ahead.alias("ts"))
 
 
-def sensors(spark: SparkSession, sf_dir: str) -> DataFrame:
+def sensors(spark: SparkSession, sf_dir: str, dense: bool = False) -> DataFrame:
     """``events`` read as sensor readings: (sensor id, time, temperature)."""
-    ev = table(spark, sf_dir, "events")
+    ev = events(spark, sf_dir, dense)
     return ev.select("event_id", F.col("user_id").alias("sensor_id"), "ts", F.col("value").alias("temp"))
 
 
