@@ -300,13 +300,17 @@ SWITCH_MS = HOUR_MS
 SELECT event_id, sensor_id, ts, temp FROM sensors s WHERE EXISTS (
   SELECT 1 FROM switches w WHERE w.sensor_id = s.sensor_id AND s.ts BETWEEN w.switch_ts AND w.switch_ts + INTERVAL '1 hour')""")
 def switch_forward(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Readings pass for one hour after a switch event of the same sensor (J16),
-    as a keyed left-semi band join."""
-    s = views.sensors(spark, sf_dir)
-    sw = table(spark, sf_dir, "events").filter(F.col("event_type") == "click").select(
-        F.col("user_id").alias("sensor_id"), F.col("ts").alias("switch_ts"))
-    return band_join(s, sw, ["sensor_id"], "ts", "switch_ts", -SWITCH_MS, 0, how="left_semi", left_id="event_id").select(
-        "event_id", "sensor_id", "ts", "temp")
+    """Readings pass for one hour after a switch event of the same sensor (J16): the
+    newest switch at or before a reading decides, so an as-of join is enough."""
+    s = views.sensors(spark, sf_dir).select("event_id", "sensor_id", "ts", "temp")
+    j = asof_join(s, switch_events(spark, sf_dir), ["sensor_id"], "ts", "switch_ts", ["switch_id"], how="inner")
+    open_ = F.timestamp_add("MILLISECOND", F.lit(SWITCH_MS), F.col("matched_at"))
+    return j.filter(F.col("ts") <= open_).select("event_id", "sensor_id", "ts", "temp")
+
+
+def switch_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "events").filter(F.col("event_type") == "click").select(
+        F.col("user_id").alias("sensor_id"), F.col("ts").alias("switch_ts"), F.col("event_id").alias("switch_id"))
 
 
 @query("lookup_enrich", SV + """

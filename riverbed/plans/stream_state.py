@@ -14,8 +14,8 @@ from riverbed.plans.oracle_views import with_views
 from riverbed.plans.registry import oracle_sql_of, query
 from riverbed.sources import views
 from riverbed.sources.tables import table
-from riverbed.streaming.keyed_state import (KEY, early_fire_stream, held_rule_stream, late_window_stream, retry_join_stream,
-                                             threshold_stream)
+from riverbed.streaming.keyed_state import (KEY, early_fire_stream, expiring_jump_stream, held_rule_stream, late_window_stream,
+                                             retry_join_stream, switch_stream, threshold_stream)
 from riverbed.streaming.replay import by_volume, replay, state, state_of_key
 
 
@@ -192,3 +192,28 @@ def early_fire_stream_query(spark: SparkSession, sf_dir: str) -> DataFrame:
         r.withColumn("ts", to_instant("ts")), rules.FIRE_WINDOW_S * 1000), "early-fire", flush_time="ts")
     return out.select("sensor_id", from_epoch_millis("end_ms").alias("window_end"),
                       from_epoch_millis("tick_ms").alias("tick"), "cnt")
+
+
+def _readings(s: DataFrame) -> DataFrame:
+    return s.select("sensor_id", "ts", F.lit(1).alias("is_row"), F.col("event_id").alias("seq"), F.col("temp").cast("double").alias("value"))
+
+
+@query("switch_forward_stream", oracle_sql_of("switch_forward"))
+def switch_forward_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J16 as a stream: switch events open a sensor's gate for an hour, a timer closes it."""
+    switches = alerts.switch_events(spark, sf_dir).select(
+        "sensor_id", F.col("switch_ts").alias("ts"), F.lit(0).alias("is_row"), F.lit(None).cast("long").alias("seq"),
+        F.lit(None).cast("double").alias("value"))
+    both = _readings(views.sensors(spark, sf_dir)).unionByName(switches)
+    out, _ = replay(both, by_volume(both, epoch_millis("ts")), lambda s: switch_stream(
+        s.withColumn("ts", to_instant("ts")), alerts.SWITCH_MS * 1000), "switch", flush_time="ts")
+    return out.select("event_id", "sensor_id", from_epoch_micros("ts_us").alias("ts"), "temp")
+
+
+@query("temp_jump_ttl_stream", oracle_sql_of("temp_jump_alerts_ttl"))
+def temp_jump_ttl_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ST20 as a stream: a sensor's last reading is forgotten after an hour, by a timer if it stays silent."""
+    rows = _readings(views.sensors(spark, sf_dir))
+    out, _ = replay(rows, by_volume(rows, epoch_millis("ts")), lambda s: expiring_jump_stream(
+        s.withColumn("ts", to_instant("ts")), alerts.HOUR_MS * 1000, alerts.JUMP), "jump-ttl", flush_time="ts")
+    return out.select("sensor_id", "event_id", "temp", "last_temp")

@@ -315,3 +315,88 @@ def retry_join_stream(rows: DataFrame, delay: str) -> DataFrame:
         statefulProcessor=RetryJoinProcessor(),
         outputStructType=f"customer_id long, {FLUSH} boolean, trade_id long, customer_info string, answered string",
         outputMode="Append", timeMode="EventTime")
+
+
+class SwitchProcessor(StatefulProcessor):
+    """A switch row opens a key's gate for ``open_us``, a later one prolongs it, and
+    an event-time timer closes it; rows pass while it is open, its last instant too."""
+
+    def __init__(self, open_us: int):
+        self.open_us = open_us
+
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.until = handle.getValueState("until", "until_us long")
+
+    def handleInputRows(self, key, rows, timerValues):
+        until, out = self.until.get()[0] if self.until.exists() else None, []
+        was = until
+        for ts, is_row, seq, value in _sorted_rows((b[["ts_us", "is_row", "seq", "value"]] for b in rows), ["ts_us", "is_row", "seq"]):
+            if not is_row:
+                until = int(ts) + self.open_us
+            elif until is not None and ts <= until:
+                out.append((*key, seq, ts, value))
+        if until is not None and until != was:
+            self.until.update((until,))
+            self.handle.registerTimer(until // 1000 + 1)
+        return iter([pd.DataFrame(out, columns=["sensor_id", FLUSH, "event_id", "ts_us", "temp"])] if out else [])
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        if self.until.exists() and self.until.get()[0] < timerValues.getCurrentWatermarkInMs() * 1000:
+            self.until.clear()
+        return iter([])
+
+    def close(self) -> None:
+        pass
+
+
+class ExpiringJumpProcessor(StatefulProcessor):
+    """ST20: a reading is compared with the one before it unless that is older than
+    ``ttl_us``; a timer forgets a key that stays silent."""
+
+    def __init__(self, ttl_us: int, ratio: float):
+        self.ttl_us, self.ratio = ttl_us, ratio
+
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.last = handle.getValueState("last", "temp double, ts_us long")
+
+    def handleInputRows(self, key, rows, timerValues):
+        last, out = self.last.get() if self.last.exists() else None, []
+        for ts, _, seq, value in _sorted_rows((b[["ts_us", "is_row", "seq", "value"]] for b in rows), ["seq"]):
+            if ts is None:
+                continue
+            if last is not None and last[0] is not None and last[0] > 0 and value is not None and ts - last[1] < self.ttl_us:
+                if value / last[0] > self.ratio:
+                    out.append((*key, seq, ts, value, last[0]))
+            last = (value, int(ts))
+        if last is not None:
+            self.last.update(tuple(last))
+            self.handle.registerTimer((last[1] + self.ttl_us) // 1000 + 1)
+        return iter([pd.DataFrame(out, columns=["sensor_id", FLUSH, "event_id", "ts_us", "temp", "last_temp"])] if out else [])
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        if self.last.exists() and self.last.get()[1] + self.ttl_us < timerValues.getCurrentWatermarkInMs() * 1000:
+            self.last.clear()
+        return iter([])
+
+    def close(self) -> None:
+        pass
+
+
+def _readings(rows: DataFrame, delay: str, processor: StatefulProcessor, schema: str) -> DataFrame:
+    r = rows.withWatermark("ts", delay).select("sensor_id", FLUSH, F.unix_micros("ts").alias("ts_us"), "is_row", "seq", "value")
+    return r.groupBy("sensor_id", FLUSH).transformWithStateInPandas(
+        statefulProcessor=processor, outputStructType=f"sensor_id long, {FLUSH} boolean, event_id long, ts_us long, {schema}",
+        outputMode="Append", timeMode="EventTime")
+
+
+def switch_stream(rows: DataFrame, open_us: int, delay: str = "0 seconds") -> DataFrame:
+    """``rows``: stream of ``sensor_id, _flush, ts`` (instant), ``is_row, seq, value``:
+    readings (is_row 1, seq the event id, value) and switches (is_row 0)."""
+    return _readings(rows, delay, SwitchProcessor(open_us), "temp double")
+
+
+def expiring_jump_stream(rows: DataFrame, ttl_us: int, ratio: float, delay: str = "0 seconds") -> DataFrame:
+    """``rows`` as in ``switch_stream``, readings only."""
+    return _readings(rows, delay, ExpiringJumpProcessor(ttl_us, ratio), "temp double, last_temp double")

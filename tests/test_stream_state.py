@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 from riverbed.functions.time import epoch_millis, to_instant
 from riverbed.plans import alerts, rules, stream_state
 from riverbed.sources import views
-from riverbed.streaming.keyed_state import (KEY, early_fire_stream, held_rule_stream, late_window_stream, retry_join_stream,
-                                             threshold_stream)
+from riverbed.streaming.keyed_state import (KEY, early_fire_stream, expiring_jump_stream, held_rule_stream, late_window_stream,
+                                             retry_join_stream, switch_stream, threshold_stream)
 from riverbed.streaming.replay import by_volume, replay, state, state_of_key
 from tests.conftest import SF_SMALL
 
@@ -105,3 +105,21 @@ def test_waiting_trades_are_answered(spark):
     assert got == [(1, None, "n", "waited"), (2, 1, "a", "waited"), (3, 2, None, "waited"), (6, 1, "a", "at once"),
                    (7, 9, None, "late"), (8, None, "n", "at once")]
     assert left(spark, ckpt, "waiting") == 0
+
+
+def test_gate_closes_and_last_reading_expires(spark):
+    """The gate opened at 0 and again at 5 is open until 15; readings 9 seconds apart are compared, 11 apart are not."""
+    rows = [(0, 0, None, None), (4, 1, 1, 10.0), (5, 0, None, None), (13, 1, 2, 30.0), (15, 1, 3, 60.0), (16, 1, 4, 70.0),
+            (27, 1, 5, 700.0), (36, 1, 6, 9000.0)]
+    df = spark.createDataFrame([(k, at(t), r, i, v) for k in (None, -1) for t, r, i, v in rows],
+                               "sensor_id long, ts timestamp_ntz, is_row int, seq long, value double")
+    instant = lambda s: s.withColumn("ts", to_instant("ts"))
+    out, ckpt = replay(df, epoch_millis("ts"), lambda s: switch_stream(instant(s), 10 * 10**6), "gate", flush_time="ts")
+    assert sorted(((r["sensor_id"], r["event_id"]) for r in out.collect()), key=str) == sorted(
+        [(k, e) for k in (None, -1) for e in (1, 2, 3)], key=str)
+    assert left(spark, ckpt, "until") == 0
+    only = df.filter("is_row = 1")
+    out, ckpt = replay(only, epoch_millis("ts"), lambda s: expiring_jump_stream(instant(s), 10 * 10**6, 1.7), "ttl", flush_time="ts")
+    assert sorted(((r["sensor_id"], r["event_id"]) for r in out.collect()), key=str) == sorted(
+        [(k, e) for k in (None, -1) for e in (2, 3, 6)], key=str)
+    assert left(spark, ckpt, "last") == 0
