@@ -143,3 +143,18 @@ def output_modes(spark: SparkSession, sf_dir: str) -> DataFrame:
     back = spark.read.parquet(out)
     latest = back.groupBy("we").agg(F.max_by("cnt", "batch_id").alias("cnt"))
     return latest.select(to_wall_clock("we").alias("window_end"), "cnt")
+
+
+@query("output_modes_complete", with_views("rides") + """
+SELECT time_bucket(INTERVAL '1 hour', event_time) + INTERVAL '1 hour' AS window_end, count(*) AS cnt
+FROM rides GROUP BY ALL""")
+def output_modes_complete(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """IO21 in complete mode: every micro-batch emits the whole table anew; the last one is it."""
+    r = views.rides(spark, sf_dir).select("ride_id", "event_time")
+    s = _staged_stream(spark, r, "event_time", "complete").withColumn("event_time", to_instant("event_time"))
+    agg = s.groupBy(F.window("event_time", "1 hour")).agg(F.count(F.lit(1)).alias("cnt")).select(
+        F.col("window.end").alias("we"), "cnt")
+    out = _run(agg, spark, "complete", mode="complete", foreach=_update_writer)
+    back = spark.read.parquet(out)
+    last = back.agg(F.max("batch_id")).first()[0]
+    return back.filter(F.col("batch_id") == last).select(to_wall_clock("we").alias("window_end"), "cnt")
