@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riverbed.functions import geo
-from riverbed.operators.joins import band_join
+from riverbed.functions.time import epoch_micros, from_epoch_micros
+from riverbed.operators.joins import asof_join
+from riverbed.operators.nearest import nearest_so_far, nearest_with_reset
+from riverbed.operators.running import CHUNK_ROWS
 from riverbed.operators.windows import sliding_agg
 from riverbed.plans.oracle_views import with_views
 from riverbed.plans.registry import query
@@ -183,16 +186,21 @@ pairs AS (
          {D_DIST.format(lon1="q_lon", lat1="q_lat", lon2="end_lon", lat2="end_lat")} AS distance
   FROM q JOIN rides ON NOT is_start AND event_time BETWEEN q_time AND q_time + INTERVAL '15 minutes')
 """
-BAND_MS = 15 * 60 * 1000
+LIFE_US = 15 * 60 * 1_000_000
+RETENTION_US = 8 * 3600 * 1_000_000
 
 
-def taxi_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(query, END ride) pairs with the ride ending within 15 min after the query (J13 band)."""
-    ends = views.rides(spark, sf_dir).filter(~F.col("is_start")).select(
-        "ride_id", "taxi_id", "event_time", "end_lon", "end_lat")
-    pairs = band_join(taxi_queries(spark, sf_dir), ends, [], "q_time", "event_time", 0, BAND_MS)
-    return pairs.select("query_id", "ride_id", "taxi_id", "event_time",
-                        geo.distance("q_lon", "q_lat", "end_lon", "end_lat").alias("distance"))
+def taxi_ends(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ends of rides as points in time and place."""
+    return views.rides(spark, sf_dir).filter(~F.col("is_start")).select(
+        "ride_id", "taxi_id", epoch_micros("event_time").alias("us"), F.col("end_lon").alias("lon"), F.col("end_lat").alias("lat"))
+
+
+def nearest_taxis(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every nearer taxi of a request's 15 minutes, through numbers and cells instead of pairs."""
+    q = taxi_queries(spark, sf_dir).withColumn("from_us", epoch_micros("q_time"))
+    q = q.select("query_id", F.col("q_lon").alias("lon"), F.col("q_lat").alias("lat"), "from_us", (F.col("from_us") + LIFE_US).alias("upto_us"))
+    return nearest_so_far(q, taxi_ends(spark, sf_dir), "query_id", "ride_id")
 
 
 @query("nearest_taxi", TAXI_SQL + """
@@ -202,11 +210,7 @@ SELECT query_id, ride_id, taxi_id, round(distance, 6) AS distance FROM (
 WHERE prev_min IS NULL OR distance < prev_min""")
 def nearest_taxi(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per request, each ending ride that is closer than every earlier one (J12 + W4)."""
-    p = taxi_pairs(spark, sf_dir)
-    w = Window.partitionBy("query_id").orderBy("event_time", "ride_id").rowsBetween(Window.unboundedPreceding, -1)
-    p = p.withColumn("prev_min", F.min("distance").over(w))
-    return p.filter(F.col("prev_min").isNull() | (F.col("distance") < F.col("prev_min"))).select(
-        "query_id", "ride_id", "taxi_id", F.round("distance", 6).alias("distance"))
+    return nearest_taxis(spark, sf_dir).select("query_id", "ride_id", "taxi_id", F.round("distance", 6).alias("distance"))
 
 
 @query("nearest_taxi_expiring", TAXI_SQL + """
@@ -215,8 +219,54 @@ SELECT query_id, arg_min(ride_id, (distance, event_time, ride_id)) AS ride_id,
 FROM pairs GROUP BY query_id""")
 def nearest_taxi_expiring(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per request, the closest taxi ending within the request's 15 min lifetime (J13, ST21)."""
-    p = taxi_pairs(spark, sf_dir)
-    best = F.min_by(F.struct("ride_id", "taxi_id", "distance"), F.struct("distance", "event_time", "ride_id"))
-    return p.groupBy("query_id").agg(best.alias("b")).select(
+    best = F.max_by(F.struct("ride_id", "taxi_id", "distance"), F.struct("us", "ride_id"))
+    return nearest_taxis(spark, sf_dir).groupBy("query_id").agg(best.alias("b")).select(
         "query_id", F.col("b.ride_id").alias("ride_id"), F.col("b.taxi_id").alias("taxi_id"),
         F.round("b.distance", 6).alias("distance"))
+
+
+# the steps of a request's rides in order: (best, when) goes after 8 h without a nearer one
+CLEANUP_SQL = RV + f"""
+, q AS (SELECT event_id AS query_id, ts AS q_time, CASE WHEN event_id % 3 = 0 THEN 0e0 ELSE -74.04e0 + 0.02e0 * ((event_id * 13) % 20) END AS q_lon,
+               40.51e0 + 0.04e0 * ((event_id * 17) % 14) AS q_lat FROM events WHERE event_type = 'signup'),
+life AS (SELECT *, (SELECT min(n.q_time) FROM q n WHERE n.q_time > q.q_time + INTERVAL '15 minutes') AS gone FROM q WHERE q_lon <> 0),
+pairs AS (
+  SELECT query_id, ride_id, taxi_id, event_time,
+         {D_DIST.format(lon1="q_lon", lat1="q_lat", lon2="end_lon", lat2="end_lat")} AS distance,
+         row_number() OVER (PARTITION BY query_id ORDER BY event_time, ride_id) AS n
+  FROM life JOIN rides ON NOT is_start AND event_time >= q_time AND (gone IS NULL OR event_time < gone)),
+step AS (
+  SELECT query_id, ride_id, taxi_id, event_time, distance, n, distance AS best, event_time AS since, TRUE AS nearer FROM pairs WHERE n = 1
+  UNION ALL
+  SELECT p.query_id, p.ride_id, p.taxi_id, p.event_time, p.distance, p.n,
+         CASE WHEN p.distance < s.best OR p.event_time > s.since + INTERVAL '8 hours' THEN p.distance ELSE s.best END,
+         CASE WHEN p.distance < s.best OR p.event_time > s.since + INTERVAL '8 hours' THEN p.event_time ELSE s.since END,
+         p.distance < s.best OR p.event_time > s.since + INTERVAL '8 hours'
+  FROM step s JOIN pairs p ON p.query_id = s.query_id AND p.n = s.n + 1)
+SELECT query_id, ride_id, taxi_id, event_time, round(distance, 6) AS distance FROM step WHERE nearer
+"""
+
+
+@query("nearest_taxi_cleanup", CLEANUP_SQL.replace("WITH ", "WITH RECURSIVE ", 1))
+def nearest_taxi_cleanup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lazy form (J13, ST21): a request stays open until the first request that comes
+    over 15 minutes later; one of longitude 0 only cleans up.  A request that saw no
+    nearer taxi for 8 hours forgets its best."""
+    q = taxi_queries(spark, sf_dir).withColumn("q_lon", F.when(F.col("query_id") % 3 == 0, 0.0).otherwise(F.col("q_lon")))
+    q = q.select("query_id", F.col("q_lon").alias("lon"), F.col("q_lat").alias("lat"), epoch_micros("q_time").alias("from_us"))
+    ends = taxi_ends(spark, sf_dir)
+    return nearest_with_reset(open_until_cleanup(q, ends, LIFE_US), ends, "query_id", "ride_id", RETENTION_US).select(
+        "query_id", "ride_id", "taxi_id", from_epoch_micros("us").alias("event_time"), F.round("distance", 6).alias("distance"))
+
+
+def open_until_cleanup(requests: DataFrame, points: DataFrame, life_us: int) -> DataFrame:
+    """Requests with a place, open until the first request over ``life_us`` later (its instant
+    no longer belongs to them); without one, to the end of ``points``."""
+    # the next one in time is the newest one in reversed time
+    asked = requests.filter(F.col("lon") != 0).withColumn("back", -(F.col("from_us") + (life_us + 1)))
+    gone = requests.select((-F.col("from_us")).alias("gone_back"), F.col("from_us").alias("gone_us"))
+    low, high, n = gone.agg(F.min("gone_back"), F.max("gone_back"), F.count("*")).first()
+    width = max(1, ((high or 0) - (low or 0)) * CHUNK_ROWS // max(n, 1))
+    last = points.agg(F.max("us")).first()[0]
+    open_ = asof_join(asked, gone, [], "back", "gone_back", ["gone_us"], chunk_fn=lambda t: F.floor(t / width))
+    return open_.select("query_id", "lon", "lat", "from_us", F.coalesce(F.col("gone_us") - 1, F.lit(last)).alias("upto_us"))
