@@ -5,7 +5,7 @@ than all before it is a result.  The points are numbered by time, so a span is a
 range of numbers however the points crowd in time, and the range is asked in
 slices that double:
 
-* the first slice holds at most ``FIRST`` points, met through their numbers;
+* the first slice is the rest of the query's own block of ``FIRST`` points, met as one array;
 * a later slice is one or two aligned blocks of numbers.  Only points nearer than
   the query's best so far can matter, so points are met through (block, grid cell)
   with a cell side from the query's own radius: powers of two, at least the
@@ -25,8 +25,8 @@ from pyspark.sql import functions as F
 from riverbed.functions.geo import DEG_LEN, distance
 from riverbed.session import materialize
 
-#: Points of a query's first slice, at the most; a power of two.
-FIRST = 8
+#: Points of a query's first slice, at the most.
+FIRST = 64
 #: Radii are padded by this share against rounding; cells have at least this exponent.
 PAD = 1 + 1e-9
 LEAST_LEVEL = -40
@@ -34,7 +34,7 @@ LEAST_LEVEL = -40
 
 def _in_time_order(queries: DataFrame, points: DataFrame, query_id: str, point_id: str) -> tuple[DataFrame, DataFrame]:
     """Points with their number ``p`` in the order of (us, id), queries with the numbers
-    ``s`` (first point of the span) and ``e`` (first one after it); written tables."""
+    ``s`` (first point of the span) and ``e`` (first one after it), from one written table."""
     point = F.struct(*points.columns)
     none = F.lit(None).cast(points.select(point.alias("r")).schema["r"].dataType)
     q = F.struct(F.col(query_id), "lon", "lat")
@@ -55,11 +55,20 @@ def _in_time_order(queries: DataFrame, points: DataFrame, query_id: str, point_i
     before = sizes.select("part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
     upto = Window.partitionBy("part").orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
     placed = placed.withColumn("own", F.coalesce(F.sum(is_point).over(upto), F.lit(0))).join(before, "part")
-    placed = placed.withColumn("p", F.col("before") + F.col("own"))
-    pts = materialize(placed.filter("kind = 1").select("p", "r"), "nearest-points")
+    placed = materialize(placed.select("kind", (F.col("before") + F.col("own")).alias("p"), "q", "r"), "nearest-numbers")
     spans = placed.filter("kind <> 1").groupBy("q").agg(
         F.max(F.when(F.col("kind") == 0, F.col("p"))).alias("s"), F.max(F.when(F.col("kind") == 2, F.col("p"))).alias("e"))
-    return pts, materialize(spans.filter("s < e"), "nearest-queries")
+    return placed.filter("kind = 1").select("p", "r"), spans.filter("s < e")
+
+
+def _nearer(query_rows: DataFrame) -> DataFrame:
+    """Per query with an array ``ps`` of the points of its block: those of its span nearer than all before."""
+    seen = F.transform(F.filter("ps", lambda x: (x["p"] >= F.col("s")) & (x["p"] < F.col("e"))), lambda x: F.struct(
+        x["p"].alias("p"), x["r"].alias("r"), distance(F.col("q.lon"), F.col("q.lat"), x["r"]["lon"], x["r"]["lat"]).alias("distance")))
+    query_rows = query_rows.select("q", seen.alias("seen"))
+    falling = F.aggregate("seen", F.slice("seen", 1, 0), lambda acc, x: F.when(
+        (F.size(acc) == 0) | (x["distance"] < F.try_element_at(acc, F.lit(-1))["distance"]), F.concat(acc, F.array(x))).otherwise(acc))
+    return query_rows.select("q", F.explode(falling).alias("f")).select("q", "f.p", "f.r", "f.distance")
 
 
 def nearest_so_far(queries: DataFrame, points: DataFrame, query_id: str, point_id: str) -> DataFrame:
@@ -79,8 +88,8 @@ def nearest_so_far(queries: DataFrame, points: DataFrame, query_id: str, point_i
     squeeze = max(pts.agg(F.min(F.abs(F.cos("r.lat")))).first()[0] or 0.0, 1e-12)
 
     start = f"(s div {FIRST} + 1) * {FIRST}"
-    first = spans.withColumn("p", F.explode(F.expr(f"sequence(s, least(e, {start}) - 1)"))).join(pts, "p")
-    found = materialize(first.withColumn("distance", far).select(*out), "nearest-found")
+    blocks = pts.groupBy(F.expr(f"p div {FIRST}").alias("block")).agg(F.sort_array(F.collect_list(F.struct("p", "r"))).alias("ps"))
+    found = materialize(_nearer(spans.withColumn("block", F.expr(f"s div {FIRST}")).join(blocks, "block")), "nearest-found")
     width = FIRST
     while True:
         stop = f"({start} div {2 * width} + 1) * {2 * width}"
