@@ -15,7 +15,7 @@ from riverbed.session import scratch_path
 from riverbed.sources import views
 from riverbed.streaming.files import file_stream, flush_row, stage_files
 from riverbed.streaming.processors import FLUSH, long_rides_stream
-from riverbed.streaming.sinks import latest_snapshot, replay_safe_writer, upsert_writer
+from riverbed.streaming.sinks import latest_rows, replay_safe_writer, upsert_writer
 
 #: Least time ranges, and so micro-batches, of a staged table.
 N_FILES = 4
@@ -85,11 +85,11 @@ SELECT sensor_id, ts, event_id, temp FROM (
   SELECT *, row_number() OVER (PARTITION BY sensor_id ORDER BY ts DESC, event_id DESC) AS rn FROM sensors) WHERE rn = 1""")
 def upsert_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """IO13: idempotent keyed upsert of the newest reading per sensor, batch by
-    batch; the table is read ordered by its key (SO3)."""
+    batch, in buckets by key; the table is read ordered by its key (SO3)."""
     s = views.sensors(spark, sf_dir).select("event_id", "sensor_id", "ts", "temp")
     st = _staged_stream(spark, s, "ts", "upsert")
     out = _run(st, spark, "upsert", foreach=lambda p: upsert_writer(p, "sensor_id", ["ts", "event_id"], ["temp"]))
-    return latest_snapshot(spark, out).select("sensor_id", "ts", "event_id", "temp").orderBy("sensor_id")
+    return latest_rows(spark, out, s.schema).select("sensor_id", "ts", "event_id", "temp").orderBy("sensor_id")
 
 
 @query("replay_safe_sink", with_views("sensors") + "SELECT event_id, sensor_id, ts, temp FROM sensors")

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riverbed.functions.time import (epoch_micros, epoch_millis, from_epoch_micros, from_epoch_millis, minutes_between,
-                                     to_instant)
+                                     to_instant, to_wall_clock)
 from riverbed.plans import alerts, basics, ride_state, rules  # noqa: F401  (their SQL is shared)
 from riverbed.plans.oracle_views import with_views
 from riverbed.plans.registry import oracle_sql_of, query
@@ -16,7 +16,10 @@ from riverbed.sources import views
 from riverbed.sources.tables import table
 from riverbed.streaming.keyed_state import (KEY, early_fire_stream, expiring_jump_stream, held_rule_stream, late_window_stream,
                                              retry_join_stream, switch_stream, threshold_stream)
-from riverbed.streaming.replay import by_volume, replay, state, state_of_key
+from riverbed.operators.late import disordered_arrival
+from riverbed.session import scratch_path
+from riverbed.streaming.replay import FLUSH, by_volume, replay, state, state_of_key
+from riverbed.streaming.sinks import late_split_writer
 
 
 def latest_ride_checkpoint(rides: DataFrame) -> str:
@@ -217,3 +220,61 @@ def temp_jump_ttl_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     out, _ = replay(rows, by_volume(rows, epoch_millis("ts")), lambda s: expiring_jump_stream(
         s.withColumn("ts", to_instant("ts")), alerts.HOUR_MS * 1000, alerts.JUMP), "jump-ttl", flush_time="ts")
     return out.select("sensor_id", "event_id", "temp", "last_temp")
+
+
+MARK_BATCH_MS, MARK_DELAY_MS = 600_000, 60_000
+
+
+@query("punctuated_split_stream", with_views("sensors", dense=True) + f"""
+, arr AS (SELECT *, epoch_us(ts) // 1000 AS ms, ((epoch_us(ts) // 1000) + (event_id * 7919) % {alerts.MARKED_SHIFT_MS}) // {MARK_BATCH_MS} AS batch FROM sensors),
+top AS (SELECT batch, max(CASE WHEN sensor_id = 1 THEN ms END) AS top FROM arr GROUP BY batch),
+wm AS (SELECT batch, max(top) OVER (ORDER BY batch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - {MARK_DELAY_MS} AS wm_ms FROM top)
+SELECT event_id, sensor_id, ts, coalesce(ms < wm_ms, FALSE) AS late FROM arr JOIN wm USING (batch)""")
+def punctuated_split_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ST3 as a stream: only marker rows (sensor 1) move the watermark.  The engine has
+    no hook for that, so the batch writer keeps the markers' time per batch in the
+    shared folder; both outputs are named by the batch, so a replayed one changes
+    nothing.  A batch is ten minutes of arrivals."""
+    s = disordered_arrival(views.sensors(spark, sf_dir, dense=True), max_shift_ms=alerts.MARKED_SHIFT_MS)
+    on_time, late, marks = (scratch_path(spark, f"punctuated-{n}") for n in ("main", "late", "marks"))
+    replay(s, F.floor(F.col("arrival_ms") / MARK_BATCH_MS), lambda rows: rows.filter(~F.col(FLUSH)), "punctuated",
+           foreach=late_split_writer(on_time, late, marks, "ts", MARK_DELAY_MS, marker=F.col("sensor_id") == 1))
+    sides = [spark.read.schema(s.schema).parquet(p).withColumn("late", F.lit(b)) for p, b in ((on_time, False), (late, True))]
+    return sides[0].unionByName(sides[1]).select("event_id", "sensor_id", "ts", "late")
+
+
+RULE_LAG_HOURS = 48
+
+
+@query("hourly_tips_slow_rules", with_views("fares", "thresholds") + f"""
+SELECT 'fare' AS kind, time_bucket(INTERVAL '1 hour', start_time) AS at, driver_id AS id, round(sum(tip), 6) AS value
+FROM fares GROUP BY ALL
+UNION ALL SELECT 'rule', set_at - INTERVAL '{RULE_LAG_HOURS} hours', id, threshold FROM thresholds""")
+def hourly_tips_slow_rules(spark: SparkSession, sf_dir: str, policy: str = "max") -> DataFrame:
+    """ST4: fares in hourly windows beside a rule stream that runs two days behind.  With
+    the watermark policy ``max`` the fares' clock closes the windows; with ``min`` the
+    rules hold back every window of the last two days."""
+    fares = views.fares(spark, sf_dir).select(F.lit("fare").alias("kind"), F.col("start_time").alias("at"),
+                                              F.col("driver_id").alias("id"), F.col("tip").alias("value"))
+    rules_ = views.thresholds(spark, sf_dir).select(
+        F.lit("rule").alias("kind"), F.timestamp_add("HOUR", F.lit(-RULE_LAG_HOURS), F.col("set_at")).alias("at"), "id",
+        F.col("threshold").cast("double").alias("value"))
+    rows = fares.withColumn("sent", F.col("at")).unionByName(
+        rules_.withColumn("sent", F.timestamp_add("HOUR", F.lit(RULE_LAG_HOURS), F.col("at"))))
+
+    def build(s: DataFrame) -> DataFrame:
+        s = s.withColumn("at", to_instant("at"))
+        # the last row, which has no kind, moves the fares' clock only
+        of_fares = s.filter(~F.col("kind").eqNullSafe("rule")).withWatermark("at", "1 minute")
+        hourly = of_fares.groupBy(F.window("at", "1 hour"), "id", FLUSH).agg(F.sum("value").alias("value"))
+        hourly = hourly.select(F.lit("fare").alias("kind"), F.col("window.start").alias("at"), "id", "value", FLUSH)
+        return hourly.unionByName(s.filter("kind = 'rule'").withWatermark("at", "1 minute").select("kind", "at", "id", "value", FLUSH))
+
+    conf = "spark.sql.streaming.multipleWatermarkPolicy"
+    before = spark.conf.get(conf)
+    spark.conf.set(conf, policy)
+    try:
+        out, _ = replay(rows, by_volume(rows, epoch_millis("sent")), build, "slow-rules", flush_time="at")
+    finally:
+        spark.conf.set(conf, before)
+    return out.select("kind", to_wall_clock("at").alias("at"), "id", F.round("value", 6).alias("value"))

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import udtf
 
+from riverbed.operators.whole import rise_of_piece, rise_of_pieces, RISE_PIECE, whole_window
 from riverbed.functions.geo import CORNER, DELTA_LAT, DELTA_LON, LAT_NORTH, LON_WEST, SLOPE_EPS
 from riverbed.plans import basics  # noqa: F401  (registers flatmap_split, whose oracle U2 shares)
 from riverbed.plans.geo_places import ON_WAY_SQL
@@ -123,3 +124,20 @@ def udf_group_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
     return part.groupBy("sensor_id", "window_end").agg(F.min("lo").alias("min_temp"), F.max("hi").alias("max_temp")).select(
         "sensor_id", "min_temp", "max_temp", "window_end")
 
+
+@query("whole_window_rise", with_views("sensors", dense=True) + """
+, x AS (SELECT *, time_bucket(INTERVAL '10 minutes', ts) AS ws FROM sensors WHERE temp IS NOT NULL),
+steps AS (SELECT *, lag(temp) OVER (PARTITION BY sensor_id, ws ORDER BY ts, event_id) AS prev FROM x),
+runs AS (SELECT *, sum(CASE WHEN prev IS NULL OR temp <= prev THEN 1 ELSE 0 END)
+                   OVER (PARTITION BY sensor_id, ws ORDER BY ts, event_id) AS run FROM steps),
+sized AS (SELECT sensor_id, ws, run, count(*) AS len, sum(CASE WHEN temp > prev THEN temp - prev ELSE 0 END) AS climb
+          FROM runs GROUP BY ALL)
+SELECT sensor_id, ws AS window_start, CAST(sum(len) AS BIGINT) AS n_rows, max(len) AS longest_rise, round(sum(climb), 6) AS climb
+FROM sized GROUP BY ALL""")
+def whole_window_rise(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A function of a whole window's rows in their order (A19, U4): its longest strictly
+    rising run and the sum of its rises, as a fold of ordered pieces."""
+    s = views.sensors(spark, sf_dir, dense=True).filter(F.col("temp").isNotNull())
+    rows = s.select("sensor_id", F.window("ts", "10 minutes").start.alias("window_start"), "ts", "event_id", "temp")
+    return whole_window(rows, ["sensor_id", "window_start"], "ts", ["event_id"], rise_of_piece, RISE_PIECE, rise_of_pieces,
+                        "n_rows long, longest_rise long, climb double").withColumn("climb", F.round("climb", 6))

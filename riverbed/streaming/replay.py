@@ -24,12 +24,13 @@ FAR = "2200-01-01 00:00:00"
 
 
 def replay(df: DataFrame, batch: Column, build: Callable[[DataFrame], DataFrame], name: str, flush_time: str | None = None,
-           mode: str = "append", restarts: bool = True) -> tuple[DataFrame | None, str]:
+           mode: str = "append", foreach: Callable[[DataFrame, int], None] | None = None) -> tuple[DataFrame | None, str]:
     """Run ``build`` over ``df`` as a stream, one micro-batch per value of ``batch``
     in rising order, and return what its file sink holds and the checkpoint.
 
     ``flush_time`` names the time column of a last row, all else null, that closes
-    every window.  In update mode the rows go nowhere: the state is the result."""
+    every window.  In update mode the rows go nowhere: the state is the result; with
+    ``foreach`` they go where that batch writer puts them."""
     spark = df.sparkSession
     conf = "spark.sql.streaming.stateStore.providerClass"
     if spark.conf.get(conf, "") != ROCKSDB_PROVIDER:
@@ -49,9 +50,12 @@ def replay(df: DataFrame, batch: Column, build: Callable[[DataFrame], DataFrame]
         step.write.mode("append").parquet(src)
         stream = build(spark.readStream.schema(rows.schema).parquet(src))
         writer = stream.writeStream.option("checkpointLocation", ckpt).outputMode(mode).trigger(availableNow=True)
-        writer = writer.format("noop") if mode == "update" else writer.format("parquet").option("path", out)
+        if foreach is not None:
+            writer = writer.foreachBatch(foreach)
+        else:
+            writer = writer.format("noop") if mode == "update" else writer.format("parquet").option("path", out)
         writer.start().awaitTermination()
-    if mode == "update":
+    if mode == "update" or foreach is not None:
         return None, ckpt
     back = spark.read.parquet(out)
     return (back.filter(~F.col(FLUSH)).drop(FLUSH) if FLUSH in back.columns else back), ckpt

@@ -6,9 +6,8 @@ every writer here is idempotent per batch id:
 * ``replay_safe_writer``: each batch overwrites its own ``batch_id=N`` folder —
   a replay replaces the first copy instead of adding a second (IO14, IO15).
 * ``upsert_writer``: keyed upsert (IO13).  The batch is reduced to its newest
-  row per key (``max_by``, a partial aggregate), merged with the current
-  snapshot (newest wins), and written as a new snapshot version; a pointer
-  file names the live version, so a replayed batch rewrites the same version.
+  row per key (``max_by``, a partial aggregate) and merged with the buckets that
+  hold its keys; other buckets aren't touched.
 * ``split_writer``: main output plus side output by a predicate (ST22, ST8).
 """
 
@@ -26,21 +25,50 @@ def replay_safe_writer(path: str):
     return write
 
 
-def upsert_writer(path: str, key: str, order: list[str], value_cols: list[str]):
-    """Newest row per ``key`` by ``order`` across all batches, as versioned snapshots."""
+def upsert_writer(path: str, key: str, order: list[str], value_cols: list[str], buckets: int = 64):
+    """Newest row per ``key`` by ``order`` across all batches, in ``buckets`` by hash of the key.
+
+    A batch reads and writes only the buckets that hold its keys, each as a new version
+    named by the batch (``bucket=B/v=N``), so its bytes follow the batch and not the table.
+    A replayed batch reads the versions before its own and replaces its own.  A bucket's
+    versions before the one just read go once the new one is written."""
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         cols = [*order, *value_cols]
-        newest = batch.groupBy(key).agg(F.max_by(F.struct(*cols), F.struct(*order)).alias("r")).select(key, "r.*")
-        prev = os.path.join(path, f"v={batch_id - 1}")
-        if batch_id > 0 and _exists(spark, prev):
-            old = spark.read.parquet(prev)
-            both = old.unionByName(newest)
-            newest = both.groupBy(key).agg(F.max_by(F.struct(*cols), F.struct(*order)).alias("r")).select(key, "r.*")
-        newest.write.mode("overwrite").parquet(os.path.join(path, f"v={batch_id}"))
+
+        def newest(rows: DataFrame) -> DataFrame:
+            return rows.groupBy("bucket", key).agg(F.max_by(F.struct(*cols), F.struct(*order)).alias("r")).select("bucket", key, "r.*")
+        mine = newest(batch.withColumn("bucket", F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")))
+        # at most ``buckets`` numbers
+        touched = {r[0] for r in mine.select("bucket").distinct().collect()}
+        if not touched:
+            return
+        held = {b: [v for v in vs if v < batch_id] for b, vs in bucket_versions(spark, path).items() if b in touched}
+        old = [f"{path}/bucket={b}/v={max(vs)}" for b, vs in sorted(held.items()) if vs]
+        if old:
+            before = spark.read.option("basePath", path).parquet(*old)
+            mine = newest(mine.unionByName(before.select(*mine.columns)))
+        (mine.withColumn("v", F.lit(batch_id)).repartition("bucket").write.partitionBy("bucket", "v").mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").parquet(path))
+        for b, vs in held.items():
+            for v in sorted(vs)[:-1]:
+                fs, p = _fs(spark, f"{path}/bucket={b}/v={v}")
+                fs.delete(p, True)
     return write
 
 
+def bucket_versions(spark, path: str) -> dict[int, list[int]]:
+    """Versions held of each bucket, from the folder's names."""
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return {}
+    found: dict[int, list[int]] = {}
+    for st in fs.globStatus(_fs(spark, f"{path}/bucket=*/v=*")[1]):
+        f = st.getPath()
+        found.setdefault(int(f.getParent().getName().split("=")[1]), []).append(int(f.getName().split("=")[1]))
+    return found
+
+
 def _fs(spark, path: str):
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
@@ -51,13 +79,10 @@ def _exists(spark, path: str) -> bool:
     return bool(fs.exists(p))
 
 
-def latest_snapshot(spark, path: str) -> DataFrame:
-    """The newest ``v=N`` snapshot (listed through the Hadoop file system, so the
-    shared folder may be HDFS or an object store)."""
-    fs, p = _fs(spark, path)
-    names = [st.getPath().getName() for st in fs.listStatus(p)]
-    versions = sorted(int(n.split("=")[1]) for n in names if n.startswith("v="))
-    return spark.read.parquet(os.path.join(path, f"v={versions[-1]}"))
+def latest_rows(spark, path: str, schema) -> DataFrame:
+    """The newest version of every bucket that ``upsert_writer`` holds; no rows before its first batch."""
+    live = [f"{path}/bucket={b}/v={max(vs)}" for b, vs in sorted(bucket_versions(spark, path).items())]
+    return spark.read.option("basePath", path).parquet(*live).drop("bucket", "v") if live else spark.createDataFrame([], schema)
 
 
 def split_writer(main_path: str, side_path: str, predicate):
@@ -67,12 +92,13 @@ def split_writer(main_path: str, side_path: str, predicate):
     return write
 
 
-def late_split_writer(main_path: str, late_path: str, state_path: str, ts_col: str, delay_ms: int):
+def late_split_writer(main_path: str, late_path: str, state_path: str, ts_col: str, delay_ms: int, marker=None):
     """ST8 on a stream: rows behind the watermark go to a side output instead of
     being dropped.  The watermark is batch-granular like Spark's own: the
     largest event time of all earlier micro-batches minus ``delay_ms``, kept as
     a one-row snapshot per batch id (``v=N``) in the shared folder, so a
-    replayed batch reads the same watermark and rewrites the same outputs."""
+    replayed batch reads the same watermark and rewrites the same outputs.
+    With ``marker`` (a condition) only rows that hold it move the watermark (ST3)."""
     from riverbed.functions.time import epoch_millis
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -80,11 +106,12 @@ def late_split_writer(main_path: str, late_path: str, state_path: str, ts_col: s
         prev_path = os.path.join(state_path, f"v={batch_id - 1}")
         prev = spark.read.parquet(prev_path).first()["max_ms"] if batch_id > 0 and _exists(spark, prev_path) else None
         ms = epoch_millis(ts_col)
-        late = (ms < F.lit(prev - delay_ms)) if prev is not None else F.lit(False)
+        # a row without a time is never late
+        late = F.coalesce(ms < F.lit(prev - delay_ms), F.lit(False)) if prev is not None else F.lit(False)
         batch.filter(~late).write.mode("overwrite").parquet(os.path.join(main_path, f"batch_id={batch_id}"))
         batch.filter(late).write.mode("overwrite").parquet(os.path.join(late_path, f"batch_id={batch_id}"))
-        top = batch.agg(F.max(ms).alias("m")).first()["m"]
-        new = max(v for v in (prev, top) if v is not None) if (prev is not None or top is not None) else None
+        top = batch.agg(F.max(ms if marker is None else F.when(marker, ms)).alias("m")).first()["m"]
+        new = max((v for v in (prev, top) if v is not None), default=None)
         spark.createDataFrame([(new,)], "max_ms long").write.mode("overwrite").parquet(
             os.path.join(state_path, f"v={batch_id}"))
     return write

@@ -10,6 +10,9 @@ BRANCHES = {
     "popular_places_sql": ["is_start", "NOT is_start"],
     "late_side_output": ["TRUE"],
     "punctuated_late_split": ["late", "NOT late"],
+    "punctuated_split_stream": ["late", "NOT late"],
+    "hourly_tips_slow_rules": ["kind = 'fare'", "kind = 'rule'"],
+    "whole_window_rise": ["longest_rise = 1", "longest_rise > 2"],
     "late_window_counts": ["late_cnt > 0 AND cnt > 0", "late_cnt = 0"],
     "late_updates": ["mark = 'first'", "mark = 'update'"],
     "late_updates_stream": ["mark = 'first'", "mark = 'update'", "mark = 'dropped'"],
