@@ -29,7 +29,7 @@ def upsert_writer(path: str, key: str, order: list[str], value_cols: list[str],
     """Newest row per ``key`` by ``order`` across all batches, in ``buckets`` by hash of the key.
 
     A batch reads and writes only the buckets that hold its keys, each as a new version
-    named by the batch (``bucket=B/v=N``), so its bytes follow the batch and not the table.
+    named by the batch (``up_bucket=B/up_version=N``), so its bytes follow the batch and not the table.
     A replayed batch reads the versions before its own and replaces its own.  A bucket's
     versions before the one just read go once the new one is written."""
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -37,22 +37,22 @@ def upsert_writer(path: str, key: str, order: list[str], value_cols: list[str],
         cols = [*order, *value_cols]
 
         def newest(rows: DataFrame) -> DataFrame:
-            return rows.groupBy("bucket", key).agg(F.max_by(F.struct(*cols), F.struct(*order)).alias("r")).select("bucket", key, "r.*")
-        mine = newest(batch.withColumn("bucket", F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")))
+            return rows.groupBy("up_bucket", key).agg(F.max_by(F.struct(*cols), F.struct(*order)).alias("r")).select("up_bucket", key, "r.*")
+        mine = newest(batch.withColumn("up_bucket", F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")))
         # at most ``buckets`` numbers
-        touched = {r[0] for r in mine.select("bucket").distinct().collect()}
+        touched = {r[0] for r in mine.select("up_bucket").distinct().collect()}
         if not touched:
             return
         held = {b: [v for v in vs if v < batch_id] for b, vs in bucket_versions(spark, path).items() if b in touched}
-        old = [f"{path}/bucket={b}/v={max(vs)}" for b, vs in sorted(held.items()) if vs]
+        old = [f"{path}/up_bucket={b}/up_version={max(vs)}" for b, vs in sorted(held.items()) if vs]
         if old:
             before = spark.read.option("basePath", path).parquet(*old)
             mine = newest(mine.unionByName(before.select(*mine.columns)))
-        (mine.withColumn("v", F.lit(batch_id)).repartition("bucket").write.partitionBy("bucket", "v").mode("overwrite")
+        (mine.withColumn("up_version", F.lit(batch_id)).repartition("up_bucket").write.partitionBy("up_bucket", "up_version").mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").parquet(path))
         for b, vs in held.items():
             for v in sorted(vs)[:-1]:
-                fs, p = _fs(spark, f"{path}/bucket={b}/v={v}")
+                fs, p = _fs(spark, f"{path}/up_bucket={b}/up_version={v}")
                 fs.delete(p, True)
     return write
 
@@ -63,7 +63,7 @@ def bucket_versions(spark, path: str) -> dict[int, list[int]]:
     if not fs.exists(p):
         return {}
     found: dict[int, list[int]] = {}
-    for st in fs.globStatus(_fs(spark, f"{path}/bucket=*/v=*")[1]):
+    for st in fs.globStatus(_fs(spark, f"{path}/up_bucket=*/up_version=*")[1]):
         f = st.getPath()
         found.setdefault(int(f.getParent().getName().split("=")[1]), []).append(int(f.getName().split("=")[1]))
     return found
@@ -81,8 +81,8 @@ def _exists(spark, path: str) -> bool:
 
 def latest_rows(spark, path: str, schema) -> DataFrame:
     """The newest version of every bucket that ``upsert_writer`` holds; no rows before its first batch."""
-    live = [f"{path}/bucket={b}/v={max(vs)}" for b, vs in sorted(bucket_versions(spark, path).items())]
-    return spark.read.option("basePath", path).parquet(*live).drop("bucket", "v") if live else spark.createDataFrame([], schema)
+    live = [f"{path}/up_bucket={b}/up_version={max(vs)}" for b, vs in sorted(bucket_versions(spark, path).items())]
+    return spark.read.option("basePath", path).parquet(*live).drop("up_bucket", "up_version") if live else spark.createDataFrame([], schema)
 
 
 def split_writer(main_path: str, side_path: str, predicate):

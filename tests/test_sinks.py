@@ -16,7 +16,7 @@ def held(spark, path):
 
 
 def size(path, batch):
-    return sum(os.path.getsize(f) for f in glob.glob(f"{path}/bucket=*/v={batch}/*.parquet"))
+    return sum(os.path.getsize(f) for f in glob.glob(f"{path}/up_bucket=*/up_version={batch}/*.parquet"))
 
 
 def test_upsert_by_buckets(spark):
