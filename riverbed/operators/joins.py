@@ -26,8 +26,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from riverbed.functions.time import epoch_millis
-from riverbed.operators.running import join_back
+from riverbed.functions.time import epoch_micros, epoch_millis
+from riverbed.operators.running import join_back, volume_chunk
 
 
 def band_join(left: DataFrame, right: DataFrame, keys: Sequence[str], left_t: str, right_t: str,
@@ -67,7 +67,7 @@ def asof_join(left: DataFrame, right: DataFrame, keys: Sequence[str], left_t: st
     ``carry`` order wins.
 
     ``how="inner"`` drops left rows with no match.  ``chunk_fn`` maps the time
-    column to a monotone chunk (default: the day of a timestamp).
+    column to a monotone chunk (default: ranges cut by volume, see ``volume_chunk``).
 
     Skew-safe: time is cut into chunks; per (key, chunk) the
     newest right row is found by a partial aggregate, carried across chunks by
@@ -84,8 +84,13 @@ def asof_join(left: DataFrame, right: DataFrame, keys: Sequence[str], left_t: st
                      F.lit(None).cast(right.select(rstruct.alias("r")).schema["r"].dataType).alias("_r"))
     r_ = right.select(*[F.lit(None).cast(left.schema[c].dataType).alias(c) for c in lcols if c not in keys],
                       *keys, F.col(right_t).alias("_t"), F.lit(0).alias("_side"), rstruct.alias("_r"))
-    chunk_fn = chunk_fn or (lambda t: F.date_trunc("day", t))
-    u = l_.unionByName(r_).withColumn("_chunk", chunk_fn(F.col("_t")))
+    u = l_.unionByName(r_)
+    if chunk_fn is None:
+        timed = dict(u.dtypes)["_t"].startswith(("timestamp", "date"))
+        chunk = volume_chunk(u, epoch_micros("_t") if timed else F.col("_t"))
+    else:
+        chunk = chunk_fn(F.col("_t"))
+    u = u.withColumn("_chunk", chunk)
     newest = u.groupBy(*keys, "_chunk").agg(F.max_by("_r", F.when(F.col("_side") == 0, F.struct("_t", "_r"))).alias("_last"))
     before = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     carry_in = newest.select(*keys, "_chunk", F.last("_last", ignorenulls=True).over(before).alias("_in"))

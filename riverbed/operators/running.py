@@ -4,7 +4,8 @@ A plain ``sum().over(partitionBy(key).orderBy(t))`` sends every row of a key to
 one task.  When one key may hold a third of the table that task becomes the
 whole job, and a global running count (no key at all) is a single-partition
 window.  ``running_sum`` splits each key's order into chunks (a monotone
-bucket of the ordering, e.g. the day), so:
+bucket of the ordering; ``volume_chunk`` cuts it so that chunks hold alike
+many rows, whatever the key and however bursty the times), so:
 
 1. per (key, chunk) totals — a partial aggregate, tiny output;
 2. per key, an exclusive prefix over the chunk totals — a window over
@@ -17,11 +18,13 @@ tasks as it has chunks; the offset join reuses that partitioning.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from riverbed.functions.time import epoch_micros
+
 
 def join_back(detail: DataFrame, small: DataFrame, on: Sequence[str]) -> DataFrame:
     """Detail rows with the columns of their (key, chunk) row.  Null keys and null
@@ -31,16 +34,43 @@ def join_back(detail: DataFrame, small: DataFrame, on: Sequence[str]) -> DataFra
     return detail.join(other, cond, "inner").drop(*[f"_on_{c}" for c in on])
 
 
-#: Rows that a chunk holds on average.
+#: Rows that a chunk holds, and the most chunks of one order; beyond 2**28 rows chunks grow.
 CHUNK_ROWS = 1 << 16
+MOST_CHUNKS = 1 << 12
 
 
 def volume_chunk(df: DataFrame, value: Column, rows: int = CHUNK_ROWS) -> Column:
-    """Chunk numbers that rise with ``value`` (integers: times, ids): equal parts of its
-    range, as many as give about ``rows`` rows each.  One aggregate over ``df``."""
-    low, high, n = df.agg(F.min(value), F.max(value), F.count(value)).first()
-    width = max(1, -(-((high or 0) - (low or 0) + 1) * rows // max(n, 1)))
-    return F.floor((value - F.lit(low or 0)) / F.lit(width))
+    """Chunk numbers that rise with ``value`` (integers: times, ids), cut at its quantiles, so
+    that about ``rows`` rows of all keys together are in each: a (key, chunk) holds no more,
+    and a burst is cut as finely as a quiet time.  Rows of one value are in one chunk; a
+    null has none.  One aggregate over ``df``, of one column."""
+    return volume_cut(df, value, rows)(value)
+
+
+def volume_cut(df: DataFrame, value: Column, rows: int = CHUNK_ROWS) -> Callable[[Column], Column]:
+    """``volume_chunk`` as a function, for other columns on the same scale: a plan that is dear
+    to compute is cut by the rows that it is made of."""
+    fractions = _numbers([i / MOST_CHUNKS for i in range(1, MOST_CHUNKS)], "double")
+    n, marks = df.agg(F.count(value), F.percentile_approx(value, fractions, 10 * MOST_CHUNKS)).first()
+    parts = min(MOST_CHUNKS, -(-n // rows))
+    bounds = sorted({marks[i * MOST_CHUNKS // parts - 1] for i in range(1, parts)})
+    return lambda v: F.when(v.isNotNull(), _below(bounds, v))
+
+
+def _numbers(values: Sequence, kind: str) -> Column:
+    """A literal array; one text is sent to the JVM instead of a literal per value."""
+    return F.split(F.lit(",".join(map(str, values))), ",").cast(f"array<{kind}>")
+
+
+def _below(bounds: Sequence[int], value: Column) -> Column:
+    """How many of the rising ``bounds`` are smaller than ``value``, by binary search."""
+    steps = [1 << i for i in reversed(range(len(bounds).bit_length()))]
+    if not steps:
+        return F.lit(0).cast("long")
+    held = _numbers([*bounds, *[(1 << 63) - 1] * (2 * steps[0] - 1 - len(bounds))], "bigint")
+    found = F.aggregate(F.array(*[F.lit(s) for s in steps]), F.lit(0),
+                        lambda at, step: F.when(F.get(held, at + step - 1) < value, at + step).otherwise(at))
+    return found.cast("long")
 
 
 def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str], chunk: Column, value: Column,
@@ -124,6 +154,31 @@ def running_sums_before(df: DataFrame, keys: Sequence[str], order: Sequence[str]
     return res.drop(*drop)
 
 
+def range_count(df: DataFrame, keys: Sequence[str], time_col: str, width_us: int, out: str,
+                rows: int = CHUNK_ROWS) -> DataFrame:
+    """Add ``out`` = number of rows of the same keys whose time is at most ``width_us`` before
+    the row's own and not after it: COUNT(*) over a RANGE frame, rows of the same instant
+    included.  A null time counts the rows without a time; a null key is a key.
+
+    The frame is the difference of two prefix counts, up to the row's time and before the
+    frame's start.  Rows are counted per (keys, instant) first, and each instant puts two
+    marks into the order; nothing is copied by the number of rows that a frame holds, so a
+    burst within one frame costs no more than the same rows far apart."""
+    keys = list(keys)
+    t = epoch_micros(time_col)
+    per = df.groupBy(*keys, time_col).agg(F.count(F.lit(1)).alias("_n"))
+    marks = per.select(*keys, time_col, F.explode(F.array(
+        F.struct(t.alias("_at"), F.lit(1).alias("_end"), F.col("_n")),
+        F.struct((t - width_us).alias("_at"), F.lit(0).alias("_end"), F.lit(0).cast("long").alias("_n")))).alias("_m"))
+    marks = marks.select(*keys, time_col, "_m.*")
+    # a frame's start comes before the rows of its instant; the chunks of the rows' times fit both
+    chunk = volume_chunk(df.select(t.alias("_at")), F.col("_at"), rows)
+    marks = running_sum(marks, keys, ["_at", "_end"], chunk, F.col("_n"), "_upto")
+    counts = marks.groupBy(*keys, time_col).agg(
+        F.sum(F.when(F.col("_end") == 1, F.col("_upto")).otherwise(-F.col("_upto"))).alias(out))
+    return join_back(df, counts, [*keys, time_col])
+
+
 def gap_sessions(df: DataFrame, keys: Sequence[str], order: Sequence[str], time_col: str, chunk: Column,
                  gap_ms: int, out: str = "session") -> DataFrame:
     """Add ``out`` = session number per key: a new session starts at a key's

@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riverbed.functions.time import epoch_millis, from_epoch_millis
+from riverbed.functions.time import epoch_micros, epoch_millis, from_epoch_millis
 from riverbed.operators.joins import asof_join, band_join
 from riverbed.operators.late import disordered_arrival, is_late, with_watermark_seen
-from riverbed.operators.running import join_back, previous_value, running_sum
+from riverbed.operators.running import join_back, previous_value, running_sum, volume_chunk, volume_cut
 from riverbed.operators.windows import tumbling_agg
 from riverbed.plans.oracle_views import DENSE_EVENTS, with_views
 from riverbed.plans.registry import query
@@ -21,14 +21,10 @@ DEFAULT_THRESHOLD = 4.0
 HOUR_MS = 3600 * 1000
 
 
-def id_chunk(col: str = "event_id", size: int = 4096):
-    return F.floor(F.col(col) / size)
-
-
 def with_last_temp(s: DataFrame) -> DataFrame:
     """Previous reading of the same sensor in arrival order (value state)."""
     prev = F.struct(F.col("temp").alias("t"), F.col("ts").alias("at"))
-    d = previous_value(s, ["sensor_id"], ["event_id"], id_chunk(), prev, "_prev")
+    d = previous_value(s, ["sensor_id"], ["event_id"], volume_chunk(s, F.col("event_id")), prev, "_prev")
     return d.withColumn("last_temp", F.col("_prev.t")).withColumn("last_ts", F.col("_prev.at")).drop("_prev")
 
 
@@ -94,7 +90,7 @@ FROM sensors r ASOF JOIN smoke s ON r.ts >= s.smoke_ts
 WHERE r.temp > 100e0 AND s.smoke = 'HIGH'""")
 def fire_risk_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hot reading while the latest smoke level is HIGH (J10): an as-of join
-    with no key, chunked by day so it is not a single-partition window."""
+    with no key, chunked by volume so it is not a single-partition window."""
     hot = views.sensors(spark, sf_dir).filter(F.col("temp") > 100.0).select("event_id", "sensor_id", "ts", "temp")
     j = asof_join(hot, smoke_levels(spark, sf_dir), [], "ts", "smoke_ts", ["smoke"], how="inner")
     return j.filter(F.col("smoke") == "HIGH").select("event_id", "sensor_id", "temp", F.col("matched_at").alias("smoke_at"))
@@ -121,10 +117,11 @@ def rising_run_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def rising_runs(s: DataFrame) -> DataFrame:
     """``rising_run_alerts`` of any readings; a null sensor is a sensor."""
-    d = previous_value(s, ["sensor_id"], ["ts", "event_id"], F.date_trunc("day", "ts"), F.col("temp"), "last_temp")
+    chunk = volume_chunk(s, epoch_micros("ts"))
+    d = previous_value(s, ["sensor_id"], ["ts", "event_id"], chunk, F.col("temp"), "last_temp")
     d = d.withColumn("is_dec", F.coalesce(F.col("temp") < F.col("last_temp"), F.lit(False))) \
          .withColumn("is_rise", F.coalesce(F.col("temp") > F.col("last_temp"), F.lit(False)))
-    d = running_sum(d, ["sensor_id"], ["ts", "event_id"], F.date_trunc("day", "ts"),
+    d = running_sum(d, ["sensor_id"], ["ts", "event_id"], chunk,
                     F.col("is_dec").cast("bigint"), "seg")
     segs = d.groupBy("sensor_id", "seg").agg(F.min("ts").alias("seg_start"),
                                              F.min(F.when(F.col("is_rise"), F.col("ts"))).alias("rise_ts"))
@@ -287,8 +284,7 @@ def arrival_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Processing-time enrichment (J8): the customer row that arrived last before
     the trade, arrival order being the event id."""
     trades, customers = trades_customers(spark, sf_dir)
-    j = asof_join(trades, customers, ["customer_id"], "trade_id", "event_id", ["customer_info"],
-                  chunk_fn=lambda t: F.floor(t / 4096))
+    j = asof_join(trades, customers, ["customer_id"], "trade_id", "event_id", ["customer_info"])
     return j.select("trade_id", "customer_id", "trade_ts", "customer_info")
 
 
@@ -387,8 +383,10 @@ def asof_revise_df(trades: DataFrame, customers: DataFrame) -> DataFrame:
     ta = trades.withColumn("t_arr", arr("trade_ts", "trade_id"))
     ca = customers.withColumn("c_arr", arr("cust_ts", "event_id"))
     key = lambda: F.struct("cust_ts", "event_id")
+    cut = volume_cut(trades.select("trade_ts").union(customers.select("cust_ts")), epoch_micros("trade_ts"))
+    chunk = lambda t: cut(epoch_micros(t))
     old = asof_join(ta.withColumn("t_old", F.timestamp_add("MILLISECOND", F.lit(-REVISE_BOUND_MS), F.col("trade_ts"))),
-                    customers, ["customer_id"], "t_old", "cust_ts", ["customer_info", "event_id"])
+                    customers, ["customer_id"], "t_old", "cust_ts", ["customer_info", "event_id"], chunk_fn=chunk)
     old = old.select("trade_id", F.when(F.col("event_id").isNotNull(), F.struct(
         F.col("matched_at").alias("cust_ts"), "event_id", "customer_info")).alias("c_old"))
     band = band_join(ta, ca, ["customer_id"], "trade_ts", "cust_ts", -REVISE_BOUND_MS, 0)
@@ -399,7 +397,7 @@ def asof_revise_df(trades: DataFrame, customers: DataFrame) -> DataFrame:
         "trade_id", F.when(F.col("c_new").isNull(), F.col("c_old")).when(F.col("c_old").isNull(), F.col("c_new"))
         .when(F.struct("c_new.cust_ts", "c_new.event_id") > F.struct("c_old.cust_ts", "c_old.event_id"), F.col("c_new"))
         .otherwise(F.col("c_old")).alias("r0"))
-    final = asof_join(trades, customers, ["customer_id"], "trade_ts", "cust_ts", ["customer_info", "event_id"])
+    final = asof_join(trades, customers, ["customer_id"], "trade_ts", "cust_ts", ["customer_info", "event_id"], chunk_fn=chunk)
     both = r0.join(final.select("trade_id", F.col("event_id").alias("cid1"), F.col("customer_info").alias("info1")),
                    "trade_id")
     rev0 = both.select("trade_id", F.lit(0).alias("revision"), F.col("r0.customer_info").alias("customer_info"))

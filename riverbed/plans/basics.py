@@ -9,7 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riverbed.operators.running import join_back, running_max_before, running_sum
+from riverbed.functions.time import epoch_micros
+from riverbed.operators.running import join_back, running_max_before, running_sum, volume_chunk
 from riverbed.operators.windows import tumbling_agg
 from riverbed.plans.oracle_views import with_views
 from riverbed.plans.registry import query
@@ -18,15 +19,6 @@ from riverbed.sources import views
 SV = with_views("sensors")
 
 
-def day_chunk(ts: str = "ts"):
-    """Chunk of the running-sum split: the day of the reading (monotone in time)."""
-    return F.date_trunc("day", F.col(ts))
-
-
-def id_chunk(col: str = "event_id", size: int = 4096):
-    return F.floor(F.col(col) / size)
-
-
 @query("filter_threshold", SV + "SELECT event_id, sensor_id, ts, temp FROM sensors WHERE temp >= 25e0")
 def filter_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
     return views.sensors(spark, sf_dir).filter(F.col("temp") >= 25.0)
@@ -68,7 +60,7 @@ FROM sensors""")
 def rolling_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per sensor, the sum of all readings so far, one output per reading (A1)."""
     s = views.sensors(spark, sf_dir).select("event_id", "sensor_id", "temp")
-    r = running_sum(s, ["sensor_id"], ["event_id"], id_chunk(), F.col("temp"), "running_sum")
+    r = running_sum(s, ["sensor_id"], ["event_id"], volume_chunk(s, F.col("event_id")), F.col("temp"), "running_sum")
     return r.withColumn("running_sum", F.round("running_sum", 6))
 
 
@@ -78,7 +70,7 @@ FROM sensors WINDOW w AS (PARTITION BY sensor_id ORDER BY event_id ROWS UNBOUNDE
 def rolling_reduce_max(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rolling reduce: newest timestamp so far, temperature of the key's first reading (A2)."""
     s = views.sensors(spark, sf_dir).select("event_id", "sensor_id", "ts", "temp")
-    r = running_max_before(s, ["sensor_id"], ["event_id"], id_chunk(), F.col("ts"), "before")
+    r = running_max_before(s, ["sensor_id"], ["event_id"], volume_chunk(s, F.col("event_id")), F.col("ts"), "before")
     first = s.groupBy("sensor_id").agg(F.min_by("temp", "event_id").alias("first_temp"))
     return join_back(r, first, ["sensor_id"]).select(
         "event_id", "sensor_id", F.greatest("before", "ts").alias("max_ts"), F.col("first_temp").alias("temp"))
@@ -92,14 +84,14 @@ FROM sensors""")
 def high_temp_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Running count of readings above 100 per sensor and over all sensors.
 
-    The all-sensor count is a prefix sum with no key: done by day chunks and
-    chunk offsets, never a single-partition window over the detail rows.
+    The all-sensor count is a prefix sum with no key: done by chunks cut by volume
+    and chunk offsets, never a single-partition window over the detail rows.
     """
     s = views.sensors(spark, sf_dir).select("event_id", "sensor_id", "ts", "temp")
     hot = F.when(F.col("temp") > 100.0, 1).otherwise(0).cast("bigint")
-    r = running_sum(s, ["sensor_id"], ["ts", "event_id"], day_chunk(), hot, "key_count")
-    # no key: hour chunks, so even a day holding a third of the rows is split 24 ways
-    r = running_sum(r, [], ["ts", "event_id"], F.date_trunc("hour", "ts"), hot, "total_count")
+    chunk = volume_chunk(s, epoch_micros("ts"))
+    r = running_sum(s, ["sensor_id"], ["ts", "event_id"], chunk, hot, "key_count")
+    r = running_sum(r, [], ["ts", "event_id"], chunk, hot, "total_count")
     return r.select("event_id", "sensor_id", "key_count", "total_count")
 
 

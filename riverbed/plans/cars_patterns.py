@@ -3,16 +3,17 @@ pattern, and event-time sort of disordered input.
 
 All per-car sequences are gaps-and-islands built from the chunked ``lag`` and
 running-count helpers, so one car with a third of the rows is still spread
-over its days; segment measures are partial aggregates.
+over chunks cut by volume; segment measures are partial aggregates.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from riverbed.functions.time import epoch_micros
 from riverbed.operators.late import disordered_arrival, is_late, with_watermark_seen
-from riverbed.operators.running import gap_sessions, join_back, running_sum
+from riverbed.operators.running import gap_sessions, join_back, running_sum, volume_chunk
 from riverbed.plans.oracle_views import with_views
 from riverbed.plans.registry import query
 from riverbed.sources import views
@@ -21,10 +22,6 @@ CV = with_views("cars")
 SESSION_GAP_MS = 6 * 3600 * 1000
 
 
-def _day(c: str = "event_time") -> Column:
-    return F.date_trunc("day", F.col(c))
-
-
 def segment_measures(df: DataFrame, group: list[str]) -> DataFrame:
     """Start, length, max speed (int), population stddev of throttle and its label."""
     m = df.groupBy(*group).agg(
@@ -53,10 +50,10 @@ def driving_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Same grouping as ``session_window(event_time, '6 hours')`` (rows exactly
     one gap apart stay together), written as islands so a hot car splits by
-    day: ``gap_sessions`` shuffles the detail rows once.
+    volume: ``gap_sessions`` shuffles the detail rows once.
     """
-    c = gap_sessions(views.cars(spark, sf_dir), ["car_id"], ["event_time", "id"], "event_time", _day(),
-                     SESSION_GAP_MS)
+    cars = views.cars(spark, sf_dir)
+    c = gap_sessions(cars, ["car_id"], ["event_time", "id"], "event_time", volume_chunk(cars, epoch_micros("event_time")), SESSION_GAP_MS)
     return segment_measures(c, ["car_id", "session"]).drop("session")
 
 
@@ -66,7 +63,7 @@ def closed_segments(cars: DataFrame, least_stops: int) -> DataFrame:
     to segments; only those meet their car's number of stops, so a hot car's rows
     are never joined, and a null car is a car."""
     is_stop = F.coalesce(F.col("speed") == 0.0, F.lit(False))
-    c = running_sum(cars, ["car_id"], ["event_time", "id"], _day(), is_stop.cast("bigint"), "stops_so_far")
+    c = running_sum(cars, ["car_id"], ["event_time", "id"], volume_chunk(cars, epoch_micros("event_time")), is_stop.cast("bigint"), "stops_so_far")
     totals = cars.groupBy("car_id").agg(F.sum(is_stop.cast("bigint")).alias("total_stops"))
     segments = segment_measures(c.filter((F.col("speed") != 0.0) & (F.col("stops_so_far") >= least_stops)), ["car_id", "stops_so_far"])
     closed = join_back(segments, totals, ["car_id"]).filter(F.col("stops_so_far") < F.col("total_stops"))
@@ -111,8 +108,9 @@ FROM wm WHERE NOT coalesce(epoch_us(event_time) // 1000 < wm_ms, FALSE)""")
 def car_event_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per car, events in event-time order from disordered arrival; rows behind
     the 30 s watermark are dropped, ties kept; ``seq`` numbers the output (SO1)."""
-    c = disordered_arrival(views.cars(spark, sf_dir, dense=True), ts="event_time", id_col="id", max_shift_ms=SORT_SHIFT_MS)
+    cars = views.cars(spark, sf_dir, dense=True)
+    c = disordered_arrival(cars, ts="event_time", id_col="id", max_shift_ms=SORT_SHIFT_MS)
     c = with_watermark_seen(c, SORT_DELAY_MS, ts="event_time", id_col="id")
     ok = c.filter(~is_late("event_time")).select("car_id", "id", "event_time")
-    r = running_sum(ok, ["car_id"], ["event_time", "id"], _day(), F.lit(1).cast("bigint"), "seq")
+    r = running_sum(ok, ["car_id"], ["event_time", "id"], volume_chunk(cars, epoch_micros("event_time")), F.lit(1).cast("bigint"), "seq")
     return r.select("car_id", "id", "event_time", "seq")

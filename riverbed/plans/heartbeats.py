@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riverbed.functions.time import epoch_millis
-from riverbed.operators.running import join_back, running_max_before
+from riverbed.operators.running import join_back, running_max_before, volume_chunk
 from riverbed.plans.oracle_views import with_views
 from riverbed.plans.registry import query
 from riverbed.sources import views
@@ -34,7 +34,7 @@ def instance_sessions_df(beats: DataFrame) -> DataFrame:
     # A beat is accepted exactly when it raises the key's maximum, so the
     # previous accepted beat is the running maximum of all earlier beats: one
     # chunked running max, no second pass over the accepted rows.
-    chunk = F.floor(F.col("event_id") / 4096)
+    chunk = volume_chunk(beats, F.col("event_id"))
     b = beats.withColumn("ts_s", F.floor(epoch_millis("ts") / 1000))
     b = running_max_before(b, KEYS, ["event_id"], chunk, F.col("ts_s"), "prev_max")
     return b.filter(F.col("prev_max").isNotNull() & (F.col("ts_s") > F.col("prev_max"))).select(

@@ -9,9 +9,9 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from riverbed.functions import geo
-from riverbed.functions.time import epoch_millis, minutes_between
+from riverbed.functions.time import epoch_micros, epoch_millis, minutes_between
 from riverbed.operators.adhoc import adhoc_rules
-from riverbed.operators.running import running_sum
+from riverbed.operators.running import running_sum, volume_chunk
 from riverbed.plans.geo_places import D_DIST, D_IN_NYC, cleansed
 from riverbed.plans.oracle_views import with_views
 from riverbed.plans.registry import query
@@ -146,7 +146,7 @@ FROM rides WHERE is_start""")
 def rolling_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Running number of rides started per driver, one output per START (A1)."""
     s = starts(views.rides(spark, sf_dir)).select("ride_id", "driver_id", "event_time")
-    r = running_sum(s, ["driver_id"], ["event_time", "ride_id"], F.date_trunc("day", "event_time"),
+    r = running_sum(s, ["driver_id"], ["event_time", "ride_id"], volume_chunk(s, epoch_micros("event_time")),
                     F.lit(1).cast("bigint"), "ride_count")
     return r.select("ride_id", "driver_id", "ride_count")
 

@@ -6,7 +6,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from riverbed.functions.time import epoch_micros
 from riverbed.operators.joins import asof_join
+from riverbed.operators.running import volume_cut
 from riverbed.plans.oracle_views import with_views
 from riverbed.plans.registry import query
 from riverbed.sources import views
@@ -77,7 +79,9 @@ def active_matches(clicks: DataFrame, rules: DataFrame) -> DataFrame:
     rules, which don't overlap, then the rule's end checked."""
     u = entity_clicks(clicks)
     r = held_rules(rules.withColumn("entity_type_id", F.col("entity_type_id").cast("int")))
-    j = asof_join(u, r, RULE_KEY, "ts", "begin_ts", ["alert_use_id", "end_ts"], how="inner")
+    times = clicks.select("ts").union(rules.select("begin_ts"))
+    cut = volume_cut(times, epoch_micros("ts"))
+    j = asof_join(u, r, RULE_KEY, "ts", "begin_ts", ["alert_use_id", "end_ts"], chunk_fn=lambda t: cut(epoch_micros(t)), how="inner")
     return j.filter(F.col("ts") < F.col("end_ts")).select(
         "event_id", "entity_type_id", "ts", "client_id", "alert_use_id",
         F.col("matched_at").alias("begin_ts"), "end_ts")
@@ -130,8 +134,7 @@ def rule_pair_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = it.select("color", "event_id", F.explode(F.filter(second_of, lambda x: x.isNotNull())).alias("rule_id"))
     f = f.select("rule_id", "color", F.col("event_id").alias("first_event_id"), (-F.col("event_id")).alias("neg_f"))
     s = s.select("rule_id", "color", F.col("event_id").alias("second_event_id"), (-F.col("event_id")).alias("neg_s"))
-    j = asof_join(f, s, ["rule_id", "color"], "neg_f", "neg_s", ["second_event_id"],
-                  chunk_fn=lambda t: F.floor(t / 4096), how="inner")
+    j = asof_join(f, s, ["rule_id", "color"], "neg_f", "neg_s", ["second_event_id"], how="inner")
     return j.select("rule_id", "color", "first_event_id", "second_event_id")
 
 

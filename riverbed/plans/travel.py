@@ -7,8 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riverbed.functions import geo
-from riverbed.functions.time import minutes_between
-from riverbed.operators.running import running_sums_before
+from riverbed.functions.time import epoch_micros, minutes_between
+from riverbed.operators.running import running_sums_before, volume_chunk
 from riverbed.plans.geo_places import D_CELL, D_DIST, D_IN_NYC, cleansed
 from riverbed.plans.oracle_views import with_views
 from riverbed.plans.registry import query
@@ -31,7 +31,7 @@ def travel_time_df(rides: DataFrame) -> DataFrame:
     is_end = ~F.col("is_start")
     s = running_sums_before(
         r.withColumn("is_end", is_end), ["cell", "bucket"], ["event_time", "is_end", "ride_id"],
-        F.date_trunc("day", "event_time"),
+        volume_chunk(r, epoch_micros("event_time")),
         {"sxy": F.when(is_end, F.col("x") * F.col("y")).otherwise(0.0),
          "sxx": F.when(is_end, F.col("x") * F.col("x")).otherwise(0.0),
          "n": F.when(is_end, 1).otherwise(0).cast("bigint")})
