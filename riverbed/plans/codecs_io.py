@@ -8,7 +8,7 @@ result must equal the table it started from (up to what the format keeps).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riverbed.functions.time import epoch_millis
@@ -165,10 +165,12 @@ SELECT 'temperature,key=' || sensor_id || ' value=' || CAST(temp AS VARCHAR) ||
 FROM sensors""")
 def timeseries_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Readings as time-series points: measurement, tag ``key``, field, millis (IO12)."""
-    s = views.sensors(spark, sf_dir)
-    line = F.concat(F.lit("temperature,key="), F.col("sensor_id").cast("string"), F.lit(" value="),
+    return views.sensors(spark, sf_dir).select(point_line().alias("line"))
+
+
+def point_line() -> Column:
+    return F.concat(F.lit("temperature,key="), F.col("sensor_id").cast("string"), F.lit(" value="),
                     F.col("temp").cast("string"), F.lit(" "), epoch_millis("ts").cast("string"))
-    return s.select(line.alias("line"))
 
 
 @query("heartbeat_parse", with_views("beats") + """

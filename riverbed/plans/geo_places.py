@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riverbed.functions import geo
@@ -158,13 +158,15 @@ SELECT '{"time":"' || CAST(epoch_ms(window_end) AS VARCHAR) || '","location":"'
        || '"}' AS doc FROM popular""")
 def popular_places_json_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Search-index documents: every value a string, location as "lat,lon" (IO11)."""
+    return popular_places_df(views.rides(spark, sf_dir)).select(place_document().alias("doc"))
+
+
+def place_document() -> Column:
     from riverbed.functions.time import epoch_millis
-    p = popular_places_df(views.rides(spark, sf_dir))
-    doc = F.to_json(F.struct(
+    return F.to_json(F.struct(
         epoch_millis("window_end").cast("string").alias("time"),
         F.concat_ws(",", F.col("lat").cast("string"), F.col("lon").cast("string")).alias("location"),
         F.col("is_start").cast("string").alias("isStart"), F.col("cnt").cast("string").alias("cnt")))
-    return p.select(doc.alias("doc"))
 
 
 def taxi_queries(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -34,6 +34,7 @@ _PLAN_MODULES = (
     "riverbed.plans.stream_plans",
     "riverbed.plans.stream_io",
     "riverbed.plans.stream_state",
+    "riverbed.plans.stream_writers",
 )
 
 

@@ -8,6 +8,8 @@ every writer here is idempotent per batch id:
 * ``upsert_writer``: keyed upsert (IO13).  The batch is reduced to its newest
   row per key (``max_by``, a partial aggregate) and merged with the buckets that
   hold its keys; other buckets aren't touched.
+* ``lines_writer``: text lines in flushes of a set number (IO12); the same number is
+  ``upsert_writer``'s, which holds documents by id (IO11).
 * ``split_writer``: main output plus side output by a predicate (ST22, ST8).
 """
 
@@ -15,7 +17,7 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -25,20 +27,44 @@ def replay_safe_writer(path: str):
     return write
 
 
-def upsert_writer(path: str, key: str, order: list[str], value_cols: list[str], buckets: int = 64):
+def lines_writer(path: str, line: Column, flush_rows: int):
+    """Each batch as text files of at most ``flush_rows`` lines in a folder of its own,
+    which a batch delivered again replaces.  A row without a line is left out."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        lines = batch.select(line.alias("value")).filter("value IS NOT NULL")
+        lines.write.mode("overwrite").option("maxRecordsPerFile", flush_rows).text(os.path.join(path, f"batch_id={batch_id}"))
+    return write
+
+
+def write_sorted_lines(df: DataFrame, order: list[str], line: Column, path: str) -> None:
+    """Text files whose names, in their order, hold the lines sorted by ``order``: ranges
+    are cut by a sample, so a file is a range and none holds everything (SO2)."""
+    df.orderBy(*order).select(line.alias("value")).write.mode("error").text(path)
+
+
+def upsert_writer(path: str, key: str, order: list[str], value_cols: list[str], buckets: int = 64, flush_rows: int = 0):
     """Newest row per ``key`` by ``order`` across all batches, in ``buckets`` by hash of the key.
 
     A batch reads and writes only the buckets that hold its keys, each as a new version
     named by the batch (``up_bucket=B/up_version=N``), so its bytes follow the batch and not the table.
+    ``flush_rows`` bounds the rows of a file (0: no bound).
     A replayed batch reads the versions before its own and replaces its own.  A bucket's
     versions before the one just read go once the new one is written."""
-    def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        cols = [*order, *value_cols]
+    cols = [*order, *value_cols]
 
-        def newest(rows: DataFrame) -> DataFrame:
-            return rows.groupBy("up_bucket", key).agg(F.max_by(F.struct(*cols), F.struct(*order)).alias("r")).select("up_bucket", key, "r.*")
-        mine = newest(batch.withColumn("up_bucket", F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")))
+    def newest(rows: DataFrame) -> DataFrame:
+        return rows.groupBy("up_bucket", key).agg(F.max_by(F.struct(*cols), F.struct(*order)).alias("r")).select("up_bucket", key, "r.*")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        # kept for the two passes over it, or a stateful batch would be worked out twice
+        mine = newest(batch.withColumn("up_bucket", F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int"))).persist()
+        try:
+            merge(mine, batch_id)
+        finally:
+            mine.unpersist()
+
+    def merge(mine: DataFrame, batch_id: int) -> None:
+        spark = mine.sparkSession
         # at most ``buckets`` numbers
         touched = {r[0] for r in mine.select("up_bucket").distinct().collect()}
         if not touched:
@@ -49,7 +75,7 @@ def upsert_writer(path: str, key: str, order: list[str], value_cols: list[str],
             before = spark.read.option("basePath", path).parquet(*old)
             mine = newest(mine.unionByName(before.select(*mine.columns)))
         (mine.withColumn("up_version", F.lit(batch_id)).repartition("up_bucket").write.partitionBy("up_bucket", "up_version").mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").parquet(path))
+         .option("partitionOverwriteMode", "dynamic").option("maxRecordsPerFile", flush_rows).parquet(path))
         for b, vs in held.items():
             for v in sorted(vs)[:-1]:
                 fs, p = _fs(spark, f"{path}/up_bucket={b}/up_version={v}")
