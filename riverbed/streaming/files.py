@@ -15,6 +15,9 @@ from pyspark.sql import functions as F
 from riverbed.functions.time import to_instant
 from riverbed.session import scratch_path
 
+#: Rows of a micro-batch, about; they are spread over the state's partitions.
+BATCH_ROWS = 4_000_000
+
 
 def stage_files(df: DataFrame, path: str, time_col: str, least_files: int) -> list[str]:
     """Write ``df`` under ``path`` as consecutive time ranges, one file a range, so a
@@ -39,6 +42,14 @@ def stage_files(df: DataFrame, path: str, time_col: str, least_files: int) -> li
     return new
 
 
+def files_per_trigger(spark: SparkSession, files: list[str], least_batches: int) -> int:
+    """How many of the staged ``files``, in their order, make a micro-batch: about
+    ``BATCH_ROWS`` rows, but at least ``least_batches`` batches of all.  A batch so is read
+    by many tasks, and batches grow in number with the rows and not with the splits."""
+    batches = max(least_batches, -(-spark.read.parquet(*files).count() // BATCH_ROWS))
+    return max(1, len(files) // batches)
+
+
 def _data_files(spark: SparkSession, path: str) -> list[str]:
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     fs = p.getFileSystem(spark._jsc.hadoopConfiguration())

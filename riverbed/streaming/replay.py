@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riverbed.session import ROCKSDB_PROVIDER, scratch_path
+from riverbed.streaming.files import BATCH_ROWS
 
 FLUSH = "_flush"
 FAR = "2200-01-01 00:00:00"
@@ -66,9 +67,11 @@ def _ddl(df: DataFrame) -> str:
 
 
 def by_volume(df: DataFrame, time_ms: Column, least: int = 4) -> Column:
-    """Batch numbers for ``replay``: consecutive time ranges of about equal size, as
-    many as the input has splits, at least ``least``.  One aggregate gives the bounds."""
-    n = max(least, df.rdd.getNumPartitions())
+    """Batch numbers for ``replay``: consecutive time ranges of about equal size, one for
+    every ``BATCH_ROWS`` rows, at least ``least``.  Not one for every split of the input: a
+    union or a larger cluster has more of these for the same rows, and a batch costs its
+    start however few rows it has.  A count and an aggregate give the bounds."""
+    n = max(least, -(-df.count() // BATCH_ROWS))
     bounds = df.select(F.percentile_approx(time_ms, [i / n for i in range(1, n)], 10_000)).first()[0] or []
     return F.size(F.filter(F.array(*[F.lit(b) for b in bounds]), lambda b: b < time_ms)) if bounds else F.lit(0)
 
