@@ -7,8 +7,9 @@ store.
 
 ``long_rides_stream``: per ride id, a START waits for its END; an event-time
 timeout at start + 2 h emits the START if no END came in time (an END may
-arrive first).  State per key is one small row; a key is removed as soon as it
-is resolved, and the watermark bounds how long unresolved state lives.
+arrive first).  Ride ids are dealt to buckets (see ``keyed_state``): a bucket's
+state is a row of its unresolved rides, a ride is removed as soon as it is
+resolved, and the watermark bounds how long unresolved state lives.
 """
 
 from __future__ import annotations
@@ -22,46 +23,38 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor
 
+from riverbed.streaming.keyed_state import bucket_of, keys_back
+
 TWO_HOURS_MS = 2 * 3600 * 1000
 
 FLUSH = "_flush"
-OUT_SCHEMA = "ride_id long, start_ms long"
-STATE_SCHEMA = "start_ms long, end_ms long"
+STATE_SCHEMA = "key array<string>, start_ms array<long>, end_ms array<long>"
 
 
 def _long_rides(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    def out(start):
-        return pd.DataFrame([(*key, start)], columns=["ride_id", *([FLUSH] if len(key) > 1 else []), "start_ms"])
-
-    if state.hasTimedOut:
-        start_ms, end_ms = state.get
-        state.remove()
-        if start_ms is not None and (end_ms is None or end_ms - start_ms > TWO_HOURS_MS):
-            yield out(start_ms)
-        return
-    start_ms, end_ms = state.get if state.exists else (None, None)
-    for pdf in pdfs:
-        for is_start, t in zip(pdf["is_start"], pdf["event_ms"]):
-            if is_start:
-                start_ms = int(t)
-            else:
-                end_ms = int(t)
-    if start_ms is not None and end_ms is not None and end_ms - start_ms <= TWO_HOURS_MS:
-        state.remove()          # resolved: a short ride
-        return
-    # Spark hands a key its new rows before firing its due timeout; a deadline
-    # already behind the watermark is treated as fired first, as in the reference.
-    wm = state.getCurrentWatermarkMs()
-    deadline = (start_ms if start_ms is not None else end_ms) + TWO_HOURS_MS
-    if deadline <= wm:
+    wm, out = state.getCurrentWatermarkMs(), []
+    rides = {k: (start, end) for k, start, end in zip(*state.get, strict=True)} if state.exists else {}
+    for pdf in () if state.hasTimedOut else pdfs:
+        for k, is_start, t in zip(pdf["key"], pdf["is_start"], pdf["event_ms"], strict=True):
+            start, end = rides.get(k, (None, None))
+            rides[k] = (int(t), end) if is_start else (start, int(t))
+    waiting = []
+    for k, (start, end) in rides.items():
+        if start is not None and end is not None and end - start <= TWO_HOURS_MS:
+            continue            # resolved: a short ride
+        # a START waits for its END until start + 2 h; an END that came first is kept
+        # until its START could no longer count as long
+        if (start if start is not None else end) + TWO_HOURS_MS > wm:
+            waiting.append((k, start, end))
+        elif start is not None:
+            out.append((k, *key[1:], start))
+    if waiting:
+        state.update(tuple(list(c) for c in zip(*waiting, strict=True)))
+        state.setTimeoutTimestamp(min(start if start is not None else end for _, start, end in waiting) + TWO_HOURS_MS)
+    elif state.exists:
         state.remove()
-        if start_ms is not None:
-            yield out(start_ms)
-        return
-    state.update((start_ms, end_ms))
-    # a START waits for its END until start + 2 h; an END that came first is kept
-    # until its START could no longer count as long
-    state.setTimeoutTimestamp(deadline)
+    if out:
+        yield pd.DataFrame(out, columns=["key", *([FLUSH] if len(key) > 1 else []), "start_ms"])
 
 
 def long_rides_stream(rides: DataFrame, delay: str = "1 minute") -> DataFrame:
@@ -70,9 +63,11 @@ def long_rides_stream(rides: DataFrame, delay: str = "1 minute") -> DataFrame:
     # the watermark column must stay in the plan; the logic reads epoch millis
     flush = [FLUSH] if FLUSH in rides.columns else []
     r = rides.withWatermark("event_time", delay).select(
-        "ride_id", *flush, "is_start", "event_time", (F.unix_micros("event_time") / 1000).cast("long").alias("event_ms"))
-    return r.groupBy("ride_id", *flush).applyInPandasWithState(
-        _long_rides, OUT_SCHEMA.replace(",", f", {FLUSH} boolean,") if flush else OUT_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.EventTimeTimeout)
+        *bucket_of(["ride_id"]), *flush, "is_start", "event_time", (F.unix_micros("event_time") / 1000).cast("long").alias("event_ms"))
+    out = r.groupBy("bucket", *flush).applyInPandasWithState(
+        _long_rides, f"key string, {FLUSH} boolean, start_ms long" if flush else "key string, start_ms long", STATE_SCHEMA, "append",
+        GroupStateTimeout.EventTimeTimeout)
+    return out.select(*keys_back({"ride_id": "long"}), *flush, "start_ms")
 
 
 class AsOfJoinProcessor(StatefulProcessor):
