@@ -16,7 +16,7 @@ from riverbed.plans.registry import query
 from riverbed.plans.stream_plans import N_FILES, _real, _run, _staged_stream
 from riverbed.session import scratch_path
 from riverbed.sources import codecs, views
-from riverbed.streaming.files import file_stream, flush_row, stage_files
+from riverbed.streaming.files import file_stream, files_per_trigger, flush_row, stage_files
 from riverbed.streaming.processors import FLUSH
 
 
@@ -77,11 +77,11 @@ def transactional_file_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = views.sensors(spark, sf_dir).select("ts", "temp", F.lit(False).alias(FLUSH))
     flush = flush_row(s, ["ts"], **{FLUSH: True})
     path = scratch_path(spark, "txn-src")
-    stage_files(s, path, "ts", N_FILES)
+    at_once = files_per_trigger(spark, stage_files(s, path, "ts", N_FILES), N_FILES)
     flush.write.mode("append").parquet(path)
     out, ckpt = scratch_path(spark, "txn-out"), scratch_path(spark, "txn-ckpt")
     for _ in range(2):   # second start: restart after completion, nothing new to commit
-        q = (_window_avg_stream(file_stream(spark, path, s.schema)).writeStream.format("parquet")
+        q = (_window_avg_stream(file_stream(spark, path, s.schema, at_once)).writeStream.format("parquet")
              .option("path", out).option("checkpointLocation", ckpt).outputMode("append")
              .trigger(availableNow=True).start())
         q.awaitTermination()
@@ -104,8 +104,9 @@ def restart_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "resume-src")
     out, ckpt = scratch_path(spark, "resume-out"), scratch_path(spark, "resume-ckpt")
 
-    def run() -> None:
-        s = file_stream(spark, path, f.schema).withColumn("start_time", to_instant("start_time"))
+    def run(files: list[str]) -> None:
+        at_once = files_per_trigger(spark, files, N_FILES // 2)
+        s = file_stream(spark, path, f.schema, at_once).withColumn("start_time", to_instant("start_time"))
         agg = (s.withWatermark("start_time", "1 minute")
                .groupBy(F.window("start_time", "1 hour"), "driver_id", FLUSH).agg(F.sum("tip").alias("total_tips")))
         q = (agg.select(F.col("window.end").alias("we"), "driver_id", FLUSH, "total_tips").writeStream.format("parquet")
@@ -113,11 +114,10 @@ def restart_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
              .trigger(availableNow=True).start())
         q.awaitTermination()
 
-    stage_files(first, path, "start_time", N_FILES // 2)
-    run()
-    stage_files(rest, path, "start_time", N_FILES // 2)
+    run(stage_files(first, path, "start_time", N_FILES // 2))
+    files = stage_files(rest, path, "start_time", N_FILES // 2)
     flush_row(f, ["start_time"], **{FLUSH: True}).write.mode("append").parquet(path)
-    run()
+    run(files)
     back = _real(spark.read.parquet(out))
     return back.select(to_wall_clock("we").alias("window_end"), "driver_id", F.round("total_tips", 6).alias("total_tips"))
 

@@ -13,7 +13,7 @@ from riverbed.plans.oracle_views import with_views
 from riverbed.plans.registry import query
 from riverbed.session import scratch_path
 from riverbed.sources import views
-from riverbed.streaming.files import file_stream, flush_row, stage_files
+from riverbed.streaming.files import file_stream, files_per_trigger, flush_row, stage_files
 from riverbed.streaming.processors import FLUSH, long_rides_stream
 from riverbed.streaming.sinks import latest_rows, replay_safe_writer, upsert_writer
 
@@ -28,10 +28,10 @@ def _staged_stream(spark: SparkSession, df: DataFrame, time_col: str, name: str,
     path = scratch_path(spark, f"{name}-src")
     if flush is not None:
         df = df.withColumn(FLUSH, F.lit(False))
-    stage_files(df, path, time_col, N_FILES)
+    at_once = files_per_trigger(spark, stage_files(df, path, time_col, N_FILES), N_FILES)
     for values in flush or []:
         flush_row(df, [time_col, *times], **values, **{FLUSH: True}).write.mode("append").parquet(path)
-    return file_stream(spark, path, df.schema)
+    return file_stream(spark, path, df.schema, at_once)
 
 
 def _real(df: DataFrame) -> DataFrame:
