@@ -319,16 +319,16 @@ class RetryJoinProcessor(StatefulProcessor):
         self.customer = handle.getValueState("customer", "key array<string>, info array<string>")
         self.waiting = handle.getValueState("waiting", "key array<string>, trade_id array<long>, ts_ms array<long>")
 
-    def _answer(self, key, wm: int, info: dict) -> tuple[list[tuple], list[tuple]]:
-        """What the watermark has reached, answered, and what goes on waiting."""
-        waiting = _load(self.waiting)
-        out = [(k, key[1], trade, info.get(k), "waited") for k, trade, ts in waiting if ts <= wm]
-        return out, [w for w in waiting if w[2] > wm]
-
-    def _wait(self, waiting: list[tuple]) -> None:
-        _store(self.waiting, waiting)
+    def _answer(self, key, wm: int, info: dict) -> tuple[list[tuple], dict]:
+        """What the watermark has reached, answered, and what goes on waiting; a trade waits once."""
+        waiting = {(k, trade): ts for k, trade, ts in _load(self.waiting)}
+        out = [(k, key[1], trade, info.get(k), "waited") for (k, trade), ts in waiting.items() if ts <= wm]
+        return out, {w: ts for w, ts in waiting.items() if ts > wm}
+
+    def _wait(self, waiting: dict) -> None:
+        _store(self.waiting, [(*w, ts) for w, ts in waiting.items()])
         if waiting:
-            self.handle.registerTimer(min(w[2] for w in waiting))
+            self.handle.registerTimer(min(waiting.values()))
 
     def handleInputRows(self, key, rows, timerValues):
         wm, info = timerValues.getCurrentWatermarkInMs(), dict(_load(self.customer))
@@ -344,7 +344,7 @@ class RetryJoinProcessor(StatefulProcessor):
             elif k in info:
                 out.append((k, key[1], event, info[k], "at once"))
             elif ts > wm:
-                waiting.append((k, int(event), int(ts)))
+                waiting[(k, int(event))] = int(ts)
             else:
                 out.append((k, key[1], event, None, "late"))
         _store(self.customer, info.items())

@@ -4,11 +4,12 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from riverbed.functions.time import to_instant
 from riverbed.operators.whole import RISE_PIECE, rise_of_piece, rise_of_pieces, whole_window
 from riverbed.plans import alerts
 from riverbed.streaming import replay as replays
 from riverbed.streaming.files import files_per_trigger, stage_files
-from riverbed.streaming.keyed_state import BUCKETS, threshold_stream
+from riverbed.streaming.keyed_state import BUCKETS, retry_join_stream, threshold_stream
 from riverbed.streaming.replay import by_volume, replay, state
 
 T0 = dt.datetime(2024, 1, 1)
@@ -57,3 +58,11 @@ def test_small_windows_share_a_batch(spark):
         spark.conf.set(conf, before)
     assert got == {None: (10, 3), big: (25, 4), big + 1: (50, 50), **{k: (2, 2) for k in range(40)}}
     assert "FlatMapGroupsInPandas" not in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_trade_that_comes_twice_waits_once(spark):
+    rows = [(0, 1, 2, True, 10), (0, 1, 2, True, 10), (1, 2, 9, True, 30)]
+    df = spark.createDataFrame([(b, c, T0 + dt.timedelta(seconds=t), i, i, x, None) for b, i, c, x, t in rows],
+                               "b int, customer_id long, ts timestamp_ntz, arrival_ms long, event_id long, is_trade boolean, info string")
+    out, _ = replay(df, F.col("b"), lambda s: retry_join_stream(s.withColumn("ts", to_instant("ts")), "5 seconds"), "twice", flush_time="ts")
+    assert sorted((r["trade_id"], r["answered"]) for r in out.collect()) == [(1, "waited"), (2, "waited")]
