@@ -1,7 +1,8 @@
 """Training-corpus pipeline over ``documents``: five stages, each over all rows
 the one before kept, written as Parquet in the shared folder and read again.
 
-1. language: texts whose language can't be told (no letters) go;
+1. language: texts whose language can't be told (no letters, or n-grams far from those
+   of every learned language) go;
 2. near_duplicates: of each group of near copies (five-word shingles,
    similarity 0.8) the document with the least id stays;
 3. secrets: found secrets are masked in the text, no document goes;
