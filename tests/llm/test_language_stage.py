@@ -9,7 +9,7 @@ import corpus_pipeline
 
 def test_texts_of_no_learned_language_go(spark, tmp_path):
     table = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
-    noise = "".join(random.Random(1).choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(300))
+    noise = "".join(random.Random(1).choices("abcdefghijklmnopqrstuvwxyz ", k=300))
     odd = spark.createDataFrame([(10**6, "привет мир как дела"), (10**6 + 1, noise), (10**6 + 2, "12 34")], "doc_id long, text string")
     docs = table.select("doc_id", "text", "lang").unionByName(odd.withColumn("lang", F.lit(None).cast("string")))
     kept = corpus_pipeline.language(spark, docs, str(tmp_path))
