@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riverbed.functions.time import epoch_micros, epoch_millis
+from riverbed.operators.running import below
 
 MAX_RULES = 1000
 
@@ -53,11 +54,10 @@ def adhoc_rules(rows: DataFrame, rules: DataFrame, key: str, time: str, order: S
     # at most MAX_RULES rows
     table = F.broadcast(spark.createDataFrame([(i, r["rule_id"], r["ms"]) for i, r in enumerate(found, 1)],
                                               "_rule int, rule_id long, _rule_ms long"))
-    arrivals = F.array(*[F.lit(r["us"]) for r in found]).cast("array<long>")
-    # the rules that have come by then: the place of the next microsecond among the arrivals
-    after = epoch_micros(time) + 1
-    came = rows.withColumn("_rule", F.coalesce(F.array_position(F.sort_array(F.array_append(arrivals, after)), after) - 1, F.lit(0))
-                           .cast("int"))
+    # the rules that have come by then; exploded, so that it is found once a row: as a plain column
+    # its expression would be copied into each branch that asks for a rule's number
+    by_then = below([r["us"] for r in found], epoch_micros(time) + 1).cast("int")
+    came = rows.withColumn("_rule", F.explode(F.array(by_then)))
     own = came.withColumn("watermark", epoch_millis(time) - delay_ms).filter(_holds(found, F.col("_rule")))
     own = own.join(table, "_rule").withColumn("asked", F.lit("row"))
 

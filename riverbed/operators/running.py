@@ -54,7 +54,7 @@ def volume_cut(df: DataFrame, value: Column, rows: int = CHUNK_ROWS) -> Callable
     n, marks = df.agg(F.count(value), F.percentile_approx(value, fractions, 10 * MOST_CHUNKS)).first()
     parts = min(MOST_CHUNKS, -(-n // rows))
     bounds = sorted({marks[i * MOST_CHUNKS // parts - 1] for i in range(1, parts)})
-    return lambda v: F.when(v.isNotNull(), _below(bounds, v))
+    return lambda v: F.when(v.isNotNull(), below(bounds, v))
 
 
 def _numbers(values: Sequence, kind: str) -> Column:
@@ -62,7 +62,7 @@ def _numbers(values: Sequence, kind: str) -> Column:
     return F.split(F.lit(",".join(map(str, values))), ",").cast(f"array<{kind}>")
 
 
-def _below(bounds: Sequence[int], value: Column) -> Column:
+def below(bounds: Sequence[int], value: Column) -> Column:
     """How many of the rising ``bounds`` are smaller than ``value``, by binary search."""
     steps = [1 << i for i in reversed(range(len(bounds).bit_length()))]
     if not steps:

@@ -55,3 +55,15 @@ def test_no_rules_and_too_many(spark, monkeypatch):
     monkeypatch.setattr(adhoc, "MAX_RULES", 1)
     with pytest.raises(ValueError):
         ask(spark, ride, [(1, 0, "is_start"), (2, 1, "is_start")])
+
+
+def test_the_number_of_rules_is_found_once_a_row(spark):
+    """Forty rules: the search among their arrivals isn't copied into the branch of each."""
+    rides = spark.createDataFrame([(i, True, at(i), T0, *PENN, *MOMA, i % 2, 0, 1) for i in range(50)], RIDES)
+    rules = spark.createDataFrame([(i, at(i), f"ride_id % 40 = {i}") for i in range(40)], "rule_id long, arrives timestamp_ntz, predicate string")
+    out = adhoc.adhoc_rules(placed_rides(rides), rules, "taxi_id", "event_time", [F.col("ride_id")], 0)
+    asked = sorted((x["rule_id"], x["asked"], x["ride_id"]) for x in out.collect())
+    assert asked == [(i, "row", i) for i in range(40)]
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    # once for rows that come, once for the newest rows
+    assert plan.count("lambdafunction") <= 4 and "array_position" not in plan
