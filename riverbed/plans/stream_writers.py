@@ -15,7 +15,7 @@ from riverbed.plans.registry import oracle_sql_of, query
 from riverbed.plans.ride_state import TRIPS_SQL, trips_to_events
 from riverbed.session import scratch_path
 from riverbed.sources import views
-from riverbed.streaming.replay import FLUSH, by_volume, replay
+from riverbed.streaming.replay import FLUSH, by_volume, replay, volume_batches
 from riverbed.streaming.sinks import latest_rows, lines_writer, upsert_writer, write_sorted_lines
 
 # fixed value: actions between two flushes of the index writer
@@ -25,16 +25,20 @@ POINTS_FLUSH = 100_000
 
 def index_places(rides: DataFrame, path: str, flush_rows: int = INDEX_FLUSH, buckets: int = 64) -> None:
     """Popular places of a ride table, streamed in update mode into an index of documents:
-    a place whose count grew is sent again and replaces its document."""
+    a place whose count grew is sent again and replaces its document.  The index is cut by
+    the batches' times, so a batch meets the documents of its own time and not all of them;
+    a request to it holds at most ``flush_rows`` documents."""
+    batch = volume_batches(rides, epoch_millis("event_time"))
+
     def build(s: DataFrame) -> DataFrame:
         s = s.withColumn("event_time", to_instant("event_time")).withWatermark("event_time", "60 seconds")
         p = popular_places_df(s)
         place = F.concat_ws("/", F.col("lon").cast("string"), F.col("lat").cast("string"), F.col("is_start").cast("string"),
                             epoch_millis("window_end").cast("string"))
-        return p.select(place.alias("id"), "cnt", place_document().alias("doc"))
+        return p.select(place.alias("id"), "cnt", place_document().alias("doc"), epoch_millis("window_end").alias("end_ms"))
 
-    replay(rides, by_volume(rides, epoch_millis("event_time")), build, "places-index", mode="update",
-           foreach=upsert_writer(path, "id", ["cnt"], ["doc"], buckets=buckets, flush_rows=flush_rows))
+    replay(rides, batch(epoch_millis("event_time")), build, "places-index", mode="update",
+           foreach=upsert_writer(path, "id", ["cnt"], ["doc"], buckets=buckets, slot=batch(F.col("end_ms")), request_rows=flush_rows))
 
 
 @query("popular_places_index", oracle_sql_of("popular_places_json_docs"))

@@ -71,9 +71,14 @@ def by_volume(df: DataFrame, time_ms: Column, least: int = 4) -> Column:
     every ``BATCH_ROWS`` rows, at least ``least``.  Not one for every split of the input: a
     union or a larger cluster has more of these for the same rows, and a batch costs its
     start however few rows it has.  A count and an aggregate give the bounds."""
+    return volume_batches(df, time_ms, least)(time_ms)
+
+
+def volume_batches(df: DataFrame, time_ms: Column, least: int = 4) -> Callable[[Column], Column]:
+    """``by_volume`` as a function, for other times on the same scale."""
     n = max(least, -(-df.count() // BATCH_ROWS))
     bounds = df.select(F.percentile_approx(time_ms, [i / n for i in range(1, n)], 10_000)).first()[0] or []
-    return F.size(F.filter(F.array(*[F.lit(b) for b in bounds]), lambda b: b < time_ms)) if bounds else F.lit(0)
+    return lambda ms: F.size(F.filter(F.array(*[F.lit(b) for b in bounds]), lambda b: b < ms)) if bounds else F.lit(0)
 
 
 def state(spark: SparkSession, checkpoint: str, variable: str | None = None) -> DataFrame:

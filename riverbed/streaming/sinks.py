@@ -8,18 +8,21 @@ every writer here is idempotent per batch id:
 * ``upsert_writer``: keyed upsert (IO13).  The batch is reduced to its newest
   row per key (``max_by``, a partial aggregate) and merged with the buckets that
   hold its keys; other buckets aren't touched.
-* ``lines_writer``: text lines in flushes of a set number (IO12); the same number is
-  ``upsert_writer``'s, which holds documents by id (IO11).
+* ``lines_writer``: text lines in flushes of a set number (IO12); ``upsert_writer``, which
+  holds documents by id, has requests of a set number (IO11).
 * ``split_writer``: main output plus side output by a predicate (ST22, ST8).
 """
 
 from __future__ import annotations
 
 import os
+from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+REQUEST = "up_request"
+
 
 def replay_safe_writer(path: str):
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -42,12 +45,18 @@ def write_sorted_lines(df: DataFrame, order: list[str], line: Column, path: str)
     df.orderBy(*order).select(line.alias("value")).write.mode("error").text(path)
 
 
-def upsert_writer(path: str, key: str, order: list[str], value_cols: list[str], buckets: int = 64, flush_rows: int = 0):
+def upsert_writer(path: str, key: str, order: list[str], value_cols: list[str], buckets: int = 64, flush_rows: int = 0,
+                  slot: Column | None = None, request_rows: int = 0):
     """Newest row per ``key`` by ``order`` across all batches, in ``buckets`` by hash of the key.
 
+    ``slot``, a number from 0 that follows from the key, gives each of its values buckets of
+    their own: with slots of time a batch in time order doesn't touch what older ones wrote.
+
     A batch reads and writes only the buckets that hold its keys, each as a new version
     named by the batch (``up_bucket=B/up_version=N``), so its bytes follow the batch and not the table.
-    ``flush_rows`` bounds the rows of a file (0: no bound).
+    ``flush_rows`` bounds the rows of a file (0: no bound).  With ``request_rows`` the rows of a
+    bucket go out in requests of at most so many: a row of a file is a request, and holds its
+    rows as an array, so files grow with the buckets and not with the requests.
     A replayed batch reads the versions before its own and replaces its own.  A bucket's
     versions before the one just read go once the new one is written."""
     cols = [*order, *value_cols]
@@ -57,7 +66,9 @@ def upsert_writer(path: str, key: str, order: list[str], value_cols: list[str],
 
     def write(batch: DataFrame, batch_id: int) -> None:
         # kept for the two passes over it, or a stateful batch would be worked out twice
-        mine = newest(batch.withColumn("up_bucket", F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int"))).persist()
+        bucket = F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+        bucket = bucket if slot is None else (F.coalesce(slot, F.lit(0)) * buckets + bucket).cast("int")
+        mine = newest(batch.withColumn("up_bucket", bucket)).persist()
         try:
             merge(mine, batch_id)
         finally:
@@ -65,16 +76,21 @@ def upsert_writer(path: str, key: str, order: list[str], value_cols: list[str],
 
     def merge(mine: DataFrame, batch_id: int) -> None:
         spark = mine.sparkSession
-        # at most ``buckets`` numbers
+        # at most ``buckets`` numbers a slot
         touched = {r[0] for r in mine.select("up_bucket").distinct().collect()}
         if not touched:
             return
-        held = {b: [v for v in vs if v < batch_id] for b, vs in bucket_versions(spark, path).items() if b in touched}
+        held = {b: [v for v in vs if v < batch_id] for b, vs in bucket_versions(spark, path, touched).items()}
         old = [f"{path}/up_bucket={b}/up_version={max(vs)}" for b, vs in sorted(held.items()) if vs]
         if old:
-            before = spark.read.option("basePath", path).parquet(*old)
+            before = _single_rows(spark.read.option("basePath", path).parquet(*old))
             mine = newest(mine.unionByName(before.select(*mine.columns)))
-        (mine.withColumn("up_version", F.lit(batch_id)).repartition("up_bucket").write.partitionBy("up_bucket", "up_version").mode("overwrite")
+        mine = mine.repartition("up_bucket")
+        if request_rows:
+            number = F.floor((F.row_number().over(Window.partitionBy("up_bucket").orderBy(key)) - 1) / request_rows)
+            rows = F.collect_list(F.struct(key, *cols)).alias(REQUEST)
+            mine = mine.withColumn("_n", number).groupBy("up_bucket", "_n").agg(rows).drop("_n")
+        (mine.withColumn("up_version", F.lit(batch_id)).write.partitionBy("up_bucket", "up_version").mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").option("maxRecordsPerFile", flush_rows).parquet(path))
         for b, vs in held.items():
             for v in sorted(vs)[:-1]:
@@ -83,15 +99,21 @@ def upsert_writer(path: str, key: str, order: list[str], value_cols: list[str],
     return write
 
 
-def bucket_versions(spark, path: str) -> dict[int, list[int]]:
-    """Versions held of each bucket, from the folder's names."""
+def _single_rows(held: DataFrame) -> DataFrame:
+    """Rows as they came, out of requests too."""
+    return held.select("up_bucket", "up_version", F.inline(REQUEST)) if REQUEST in held.columns else held
+
+
+def bucket_versions(spark, path: str, buckets: Iterable[int] | None = None) -> dict[int, list[int]]:
+    """Versions held of each bucket (of all, or of ``buckets``), from the folder's names."""
     fs, p = _fs(spark, path)
     if not fs.exists(p):
         return {}
     found: dict[int, list[int]] = {}
-    for st in fs.globStatus(_fs(spark, f"{path}/up_bucket=*/up_version=*")[1]):
-        f = st.getPath()
-        found.setdefault(int(f.getParent().getName().split("=")[1]), []).append(int(f.getName().split("=")[1]))
+    for b in ["*"] if buckets is None else buckets:
+        for st in fs.globStatus(_fs(spark, f"{path}/up_bucket={b}/up_version=*")[1]) or []:
+            f = st.getPath()
+            found.setdefault(int(f.getParent().getName().split("=")[1]), []).append(int(f.getName().split("=")[1]))
     return found
 
 
@@ -108,7 +130,8 @@ def _exists(spark, path: str) -> bool:
 def latest_rows(spark, path: str, schema) -> DataFrame:
     """The newest version of every bucket that ``upsert_writer`` holds; no rows before its first batch."""
     live = [f"{path}/up_bucket={b}/up_version={max(vs)}" for b, vs in sorted(bucket_versions(spark, path).items())]
-    return spark.read.option("basePath", path).parquet(*live).drop("up_bucket", "up_version") if live else spark.createDataFrame([], schema)
+    held = _single_rows(spark.read.option("basePath", path).parquet(*live)) if live else spark.createDataFrame([], schema)
+    return held.drop("up_bucket", "up_version")
 
 
 def split_writer(main_path: str, side_path: str, predicate):

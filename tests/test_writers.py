@@ -12,7 +12,7 @@ from riverbed.plans.geo_places import popular_places_df
 from riverbed.plans.stream_writers import index_places
 from riverbed.session import scratch_path
 from riverbed.sources import views
-from riverbed.streaming.sinks import latest_rows, lines_writer, upsert_writer, write_sorted_lines
+from riverbed.streaming.sinks import bucket_versions, latest_rows, lines_writer, upsert_writer, write_sorted_lines
 from tests.conftest import SF_SMALL
 
 T0 = dt.datetime(2024, 1, 1)
@@ -69,3 +69,19 @@ def test_upsert_files_hold_at_most_a_flush(spark):
     write(spark.range(100).select(F.col("id").cast("string"), F.lit(1).cast("long").alias("cnt"), F.lit("d").alias("doc")), 0)
     sizes = [spark.read.parquet(f).count() for f in glob.glob(f"{path}/up_bucket=*/up_version=0/*.parquet")]
     assert sum(sizes) == 100 and max(sizes) == 10
+
+
+def test_index_requests_are_rows_and_old_slots_stay(spark):
+    """Requests of ten documents share a file; a batch of later times leaves the earlier documents' buckets alone."""
+    path = scratch_path(spark, "requests-test")
+    write = upsert_writer(path, "id", ["cnt"], ["doc"], buckets=2, slot=F.floor(F.col("id") / 100), request_rows=10)
+    docs = lambda a, b, c: spark.range(a, b).select("id", F.lit(c).cast("long").alias("cnt"), F.lit("d").alias("doc"))
+    write(docs(0, 105, 1), 0)
+    write(docs(100, 200, 2), 1)
+    write(docs(100, 200, 2), 1)  # delivered again
+    got = {r.id: r.cnt for r in latest_rows(spark, path, "id long, cnt long, doc string").collect()}
+    assert got == {i: 1 if i < 100 else 2 for i in range(200)}
+    assert {b: sorted(v) for b, v in bucket_versions(spark, path).items() if b < 2} == {0: [0], 1: [0]}
+    files = [f for f in glob.glob(f"{path}/up_bucket=*/up_version=*/*.parquet")]
+    sizes = [[len(r[0]) for r in spark.read.parquet(f).select("up_request").collect()] for f in files]
+    assert len(files) <= 6 and max(len(s) for s in sizes) > 3 and all(max(s) <= 10 for s in sizes)
