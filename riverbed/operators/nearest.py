@@ -3,16 +3,16 @@
 A query sees the points of its time span in order; every point that is nearer
 than all before it is a result.  The points are numbered by time, so a span is a
 range of numbers however the points crowd in time, and the range is asked in
-slices that double:
+slices that grow ``GROW``-fold (the second one is short):
 
 * the first slice is the rest of the query's own block of ``FIRST`` points, met as one array;
-* a later slice is one or two aligned blocks of numbers.  Only points nearer than
+* a later slice is one to ``GROW`` aligned blocks of numbers.  Only points nearer than
   the query's best so far can matter, so points are met through (block, grid cell)
   with a cell side from the query's own radius: powers of two, at least the
   radius twice, so a query looks into at most four cells of a block.  Of points at
   one place a block keeps the first: no later one can be nearer.
 
-With points in no special order a slice adds about one nearer point, so a query
+With points in no special order a slice adds about ``GROW`` - 1 nearer points, so a query
 meets a number of points that grows with the logarithm of its span.  Where many
 points crowd in one cell outside the best distance they are still compared.
 """
@@ -27,6 +27,10 @@ from riverbed.session import materialize
 
 #: Points of a query's first slice, at the most.
 FIRST = 64
+#: How much longer each slice is than the one before: a round reads all points once.
+GROW = 4
+#: Stretches of time that a query's span is cut into, at the most, to find the points it can see.
+STRETCHES = 64
 #: Radii are padded by this share against rounding; cells have at least this exponent.
 PAD = 1 + 1e-9
 LEAST_LEVEL = -40
@@ -62,13 +66,16 @@ def _in_time_order(queries: DataFrame, points: DataFrame, query_id: str, point_i
 
 
 def _nearer(query_rows: DataFrame) -> DataFrame:
-    """Per query with an array ``ps`` of the points of its block: those of its span nearer than all before."""
-    seen = F.transform(F.filter("ps", lambda x: (x["p"] >= F.col("s")) & (x["p"] < F.col("e"))), lambda x: F.struct(
-        x["p"].alias("p"), x["r"].alias("r"), distance(F.col("q.lon"), F.col("q.lat"), x["r"]["lon"], x["r"]["lat"]).alias("distance")))
+    """Per query with an array ``ps`` of the points of its block: those of its span nearer than all before.
+    Numbers have no gaps, so the span is a slice of the block."""
+    first = F.col("ps")[0]["p"]
+    mine = F.slice("ps", (F.col("s") - first + 1).cast("int"), F.least(F.col("e") - F.col("s"), F.lit(FIRST)).cast("int"))
+    seen = F.transform(mine, lambda x: F.struct(
+        x["p"].alias("p"), distance(F.col("q.lon"), F.col("q.lat"), x["x"], x["y"]).alias("distance")))
     query_rows = query_rows.select("q", seen.alias("seen"))
     falling = F.aggregate("seen", F.slice("seen", 1, 0), lambda acc, x: F.when(
         (F.size(acc) == 0) | (x["distance"] < F.try_element_at(acc, F.lit(-1))["distance"]), F.concat(acc, F.array(x))).otherwise(acc))
-    return query_rows.select("q", F.explode(falling).alias("f")).select("q", "f.p", "f.r", "f.distance")
+    return query_rows.select("q", F.explode(falling).alias("f")).select("q", "f.p", "f.distance")
 
 
 def nearest_so_far(queries: DataFrame, points: DataFrame, query_id: str, point_id: str) -> DataFrame:
@@ -82,21 +89,26 @@ def nearest_so_far(queries: DataFrame, points: DataFrame, query_id: str, point_i
     for c in ("lon", "lat"):
         queries, points = queries.filter(F.col(c).isNotNull()), points.filter(F.col(c).isNotNull())
     pts, spans = _in_time_order(queries, points, query_id, point_id)
-    far = distance("q.lon", "q.lat", "r.lon", "r.lat")
-    out = ["q", "p", "r", "distance"]
+    # a search carries numbers and places; the other columns come in at the end
+    placed = pts.select("p", F.col("r.lon").alias("x"), F.col("r.lat").alias("y"))
+    far = distance("q.lon", "q.lat", "x", "y")
     # no degree of longitude is shorter than this share of a degree of latitude
-    squeeze = max(pts.agg(F.min(F.abs(F.cos("r.lat")))).first()[0] or 0.0, 1e-12)
+    squeeze = max(placed.agg(F.min(F.abs(F.cos("y")))).first()[0] or 0.0, 1e-12)
 
     start = f"(s div {FIRST} + 1) * {FIRST}"
-    blocks = pts.groupBy(F.expr(f"p div {FIRST}").alias("block")).agg(F.sort_array(F.collect_list(F.struct("p", "r"))).alias("ps"))
-    found = materialize(_nearer(spans.withColumn("block", F.expr(f"s div {FIRST}")).join(blocks, "block")), "nearest-found")
-    width = FIRST
+    blocks = placed.groupBy(F.expr(f"p div {FIRST}").alias("block")).agg(F.sort_array(F.collect_list(F.struct("p", "x", "y"))).alias("ps"))
+    more = materialize(_nearer(spans.withColumn("block", F.expr(f"s div {FIRST}")).join(blocks, "block")), "nearest-found")
+    found, asking = more, spans.withColumn("best", F.lit(None).cast("double"))
+    # a query sees but a part of its own block, half on average: the slice after it is short
+    width, wider = FIRST, 2 * FIRST
     while True:
-        stop = f"({start} div {2 * width} + 1) * {2 * width}"
-        best = found.groupBy("q").agg(F.min("distance").alias("best"))
-        alive = spans.filter(F.expr(f"{start} < e")).join(best, "q").filter("best > 0")
+        stop = f"({start} div {wider} + 1) * {wider}"
+        best = more.groupBy("q").agg(F.min("distance").alias("nearer"))
+        alive = asking.filter(F.expr(f"{start} < e")).join(best, "q", "left")
+        alive = alive.withColumn("best", F.coalesce("nearer", "best")).drop("nearer").filter("best > 0")
+        asking = materialize(alive, "nearest-asking")
         r = F.col("best") * (PAD / DEG_LEN)
-        alive = alive.withColumn("r0", r).withColumn(
+        alive = asking.withColumn("r0", r).withColumn(
             "level", F.greatest(F.ceil(F.log2(2 * F.col("r0"))).cast("int"), F.lit(LEAST_LEVEL)))
         # at most one level for each exponent of a double
         levels = sorted(row[0] for row in alive.select("level").distinct().collect())
@@ -107,27 +119,26 @@ def nearest_so_far(queries: DataFrame, points: DataFrame, query_id: str, point_i
         asked = alive.select("q", "e", "best", "r0", "level", F.explode(F.expr(
             f"sequence({start} div {width}, (least({stop}, e) - 1) div {width})")).alias("block"))
         asked = asked.withColumn("gx", F.explode(cells(F.col("q.lon"), squeeze)))
-        asked = asked.withColumn("gy", F.explode(cells(F.col("q.lat"), 1.0)))
-        held = pts.groupBy(F.expr(f"p div {width}").alias("block"), F.col("r.lon").alias("x"), F.col("r.lat").alias("y")).agg(
-            F.min_by(F.struct("p", "r"), "p").alias("f"))
-        held = held.select("block", F.explode(F.array(*[F.lit(v) for v in levels])).alias("level"), "x", "y", "f.p", "f.r")
+        asked = asked.withColumn("gy", F.explode(cells(F.col("q.lat"), 1.0))).drop("r0")
+        held = placed.groupBy(F.expr(f"p div {width}").alias("block"), "x", "y").agg(F.min("p").alias("p"))
+        held = held.select("block", F.explode(F.array(*[F.lit(v) for v in levels])).alias("level"), "x", "y", "p")
         held = held.select("block", "level", F.floor(F.col("x") * squeeze / side).alias("gx"),
-                           F.floor(F.col("y") / side).alias("gy"), "p", "r")
+                           F.floor(F.col("y") / side).alias("gy"), "p", "x", "y")
         met = asked.join(held, ["block", "level", "gx", "gy"]).filter("p < e").withColumn("distance", far)
-        more = met.filter(F.col("distance") < F.col("best")).select(*out)
-        found = found.unionByName(materialize(more, "nearest-found"))
-        start, width = stop, 2 * width
+        more = materialize(met.filter(F.col("distance") < F.col("best")).select("q", "p", "distance"), "nearest-found")
+        found = found.unionByName(more)
+        start, width, wider = stop, wider, GROW * wider
     earlier = Window.partitionBy("q").orderBy("p").rowsBetween(Window.unboundedPreceding, -1)
     found = found.withColumn("least", F.min("distance").over(earlier))
-    found = found.filter(F.col("least").isNull() | (F.col("distance") < F.col("least")))
+    found = found.filter(F.col("least").isNull() | (F.col("distance") < F.col("least"))).join(pts, "p")
     return found.select(f"q.{query_id}", *[F.col("r")[c].alias(c) for c in points.columns if c not in ("lon", "lat")], "distance")
 
 
 def nearest_with_reset(queries: DataFrame, points: DataFrame, query_id: str, point_id: str, retention_us: int) -> DataFrame:
     """``nearest_so_far`` whose memory of the best goes once no nearer point came for more
     than ``retention_us``; the next point then is nearest again.  One search a generation
-    of resets; only queries with time left go on."""
-    kept, spans = None, queries
+    of resets; only queries with time left go on, among the points they can still see."""
+    kept, spans = None, materialize(queries, "nearest-queries")
     while True:
         found = materialize(nearest_so_far(spans, points, query_id, point_id), "nearest-generation")
         found = found.join(spans.select(query_id, F.col("upto_us").alias("_upto")), query_id)
@@ -142,3 +153,14 @@ def nearest_with_reset(queries: DataFrame, points: DataFrame, query_id: str, poi
         spans = materialize(spans.drop("from_us").join(again, query_id), "nearest-queries")
         if spans.isEmpty():
             return kept
+        points = materialize(near_in_time(spans, points), "nearest-points")
+
+
+def near_in_time(queries: DataFrame, points: DataFrame) -> DataFrame:
+    """The points in stretches of time that the span of a query touches: all that any query
+    sees, and few others.  A stretch is as long as the longest span's share of ``STRETCHES``."""
+    longest = queries.agg(F.max(F.col("upto_us") - F.col("from_us"))).first()[0]
+    width = max(1, -(-(longest or 0) // STRETCHES))
+    touched = queries.select(F.explode(F.expr(f"sequence(floor(from_us / {width}), floor(upto_us / {width}))")).alias("_stretch"))
+    return points.withColumn("_stretch", F.expr(f"floor(us / {width})")).join(
+        touched.distinct(), "_stretch", "left_semi").drop("_stretch")

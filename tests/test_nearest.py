@@ -83,6 +83,43 @@ def test_reset(spark, monkeypatch):
     assert len(got) > len(plain(qs, ps))
 
 
+def test_later_generations_read_what_is_still_seen(spark, monkeypatch):
+    """One query of 40 outlives its best; its next search orders the points of its span, not all."""
+    sizes = []
+    write = nearest.materialize
+
+    def counting(df, name):
+        out = write(df, name)
+        if name == "nearest-order":
+            sizes.append(out.filter("kind = 1").count())
+        return out
+    monkeypatch.setattr(nearest, "materialize", counting)
+    ps = [(i, 1, 10 * i if i < 1000 else 100_000 + i, -74.0 + i % 7 / 100, 40.7) for i in range(2000)]
+    qs = [(i, -73.9, 40.6, 10 * i, 10 * i + 300) for i in range(39)] + [(100, -73.9, 40.6, 9_000, 100_050 + 1000)]
+    found = nearest.nearest_with_reset(spark.createDataFrame(qs, Q), spark.createDataFrame(ps, P), "query_id", "ride_id", 50_000).collect()
+    got = [(r.query_id, r.ride_id) for r in found]
+    assert len(got) == len(set(got)) and set(got) == plain(qs, ps, 50_000)
+    assert sizes[0] == len(ps) and len(sizes) > 1
+    qs = [(i, -73.9, 40.6, 10 * i, 10 * i + 300) for i in range(39)] + [(100, -73.9, 40.6, 0, 9_000)]
+    sizes.clear()
+    found = nearest.nearest_with_reset(spark.createDataFrame(qs, Q), spark.createDataFrame(ps, P), "query_id", "ride_id", 5_000).collect()
+    assert {(r.query_id, r.ride_id) for r in found} == plain(qs, ps, 5_000)
+    assert sizes[0] == len(ps) and all(0 < n < len(ps) // 3 for n in sizes[1:]) and len(sizes) > 1
+
+
+def test_rounds_follow_the_span_slowly(spark, monkeypatch):
+    """A span of 4,000 points is asked in at most five searches, each of which reads all points."""
+    searches = []
+    write = nearest.materialize
+    monkeypatch.setattr(nearest, "materialize", lambda df, name: searches.append(name) or write(df, name))
+    rng = random.Random(6)
+    ps = [(i, 1, i, rng.uniform(-74.05, -73.7), rng.uniform(40.5, 41.0)) for i in range(4000)]
+    qs = [(i, rng.uniform(-74.05, -73.7), rng.uniform(40.5, 41.0), i, 4000) for i in range(50)]
+    found = nearest.nearest_so_far(spark.createDataFrame(qs, Q), spark.createDataFrame(ps, P), "query_id", "ride_id").collect()
+    assert {(r.query_id, r.ride_id) for r in found} == plain(qs, ps)
+    assert searches.count("nearest-found") <= 5
+
+
 def test_empty(spark):
     qs, ps = rows(random.Random(1), 20, 3, 0.0)
     for a, b in (([], ps), (qs, []), ([], [])):
