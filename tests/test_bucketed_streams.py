@@ -1,6 +1,7 @@
 """Micro-batches follow the rows, and a call of Python is for many keys."""
 
 import datetime as dt
+import os
 
 from pyspark.sql import functions as F
 
@@ -66,3 +67,35 @@ def test_a_trade_that_comes_twice_waits_once(spark):
                                "b int, customer_id long, ts timestamp_ntz, arrival_ms long, event_id long, is_trade boolean, info string")
     out, _ = replay(df, F.col("b"), lambda s: retry_join_stream(s.withColumn("ts", to_instant("ts")), "5 seconds"), "twice", flush_time="ts")
     assert sorted((r["trade_id"], r["answered"]) for r in out.collect()) == [(1, "waited"), (2, "waited")]
+
+
+def test_state_partitions_follow_rows_and_cores(spark, monkeypatch):
+    conf, cores = "spark.sql.shuffle.partitions", spark.sparkContext.defaultParallelism
+    before = spark.conf.get(conf)
+    spark.conf.set(conf, str(4 * cores))
+    df = spark.range(0, 1000).select("id", (F.col("id") % 7).alias("key"))
+    parts = lambda ckpt: spark.read.format("state-metadata").load(ckpt).first()["numPartitions"]
+    try:
+        for rows, want in ((10**6, cores), (-(-1000 // (2 * cores)), 2 * cores), (1, 4 * cores)):
+            monkeypatch.setattr(replays, "STATE_ROWS", rows)
+            _, ckpt = replay(df, F.col("id") % 2, lambda s: s.groupBy("key").agg(F.max("id").alias("top")), "parts", mode="update")
+            assert parts(ckpt) == want and spark.conf.get(conf) == str(4 * cores)
+            assert state(spark, ckpt).count() == 7
+    finally:
+        spark.conf.set(conf, before)
+
+
+def test_windows_close_without_idle_batches(spark):
+    """Rows in the order of their time: the same counts from fewer batches."""
+    df = spark.createDataFrame([(b, k, T0 + dt.timedelta(seconds=s)) for b, k, s in
+                                [(0, 1, 1), (0, None, 2), (0, 1, 30), (1, 1, 30), (1, 1, 31), (1, None, 60), (2, 1, 60), (2, 1, 71)]],
+                               "b int, key long, ts timestamp_ntz")
+    count = lambda s: (s.withColumn("ts", to_instant("ts")).withWatermark("ts", "5 seconds")
+                       .groupBy(F.window("ts", "10 seconds"), "key", replays.FLUSH).agg(F.count("*").alias("n")))
+    rows, commits = {}, {}
+    for idle in (True, False):
+        out, ckpt = replay(df, F.col("b"), count, "idle", flush_time="ts", idle_batches=idle)
+        rows[idle] = sorted(((r["window"]["start"], r["key"], r["n"]) for r in out.collect()), key=str)
+        commits[idle] = sum(f.isdigit() for f in os.listdir(os.path.join(ckpt, "commits")))
+    assert rows[True] == rows[False] and len(rows[True]) == 6
+    assert commits[False] == 5 < commits[True]
