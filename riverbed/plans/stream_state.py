@@ -274,7 +274,7 @@ def hourly_tips_slow_rules(spark: SparkSession, sf_dir: str, policy: str = "max"
     before = spark.conf.get(conf)
     spark.conf.set(conf, policy)
     try:
-        out, _ = replay(rows, by_volume(rows, epoch_millis("sent")), build, "slow-rules", flush_time="at")
+        out, _ = replay(rows, by_volume(rows, epoch_millis("sent")), build, "slow-rules", flush_time="at", idle_batches=False)
     finally:
         spark.conf.set(conf, before)
     return out.select("kind", to_wall_clock("at").alias("at"), "id", F.round("value", 6).alias("value"))
