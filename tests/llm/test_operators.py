@@ -7,10 +7,12 @@ import re
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark import TaskContext
 from pyspark.sql import functions as F
 
 from riverbed.llm import (bpe, components, fingerprints, langid, licences, minhash, mixing, packing, secrets,
@@ -193,6 +195,56 @@ def test_top_k_of_many_equal_rows(spark, monkeypatch):
         *((100, k, 7, 4) for k in range(1, 6)), *((104, k, 104 + 5 * k, 17) for k in range(1, 6))]
 
 
+def test_top_k_sends_each_vector_once(spark, monkeypatch):
+    """Python gets every vector once and every query once for each cell, not a
+    block of vectors with each block of queries."""
+    monkeypatch.setattr(topk, "BLOCK", 50)
+    monkeypatch.setattr(topk, "QUERY_BLOCK", 5)
+    vectors = spark.createDataFrame([(i, [i % 7 - 3, i % 11, 40 + i % 3, 1]) for i in range(800)], "vec_id long, vec array<long>")
+
+    def sizes(*_):
+        def run(batches):
+            n = sum(b.nbytes for b in batches)
+            at = TaskContext.get().partitionId()
+            yield pa.RecordBatch.from_arrays([pa.array([x]) for x in (at, at, 0, n)],
+                                             names=["qkey", "query_id", "vec_id", "score"])
+        return run
+    monkeypatch.setattr(topk, "_search", sizes)
+    got = topk.top_k(vectors, vectors.filter("vec_id % 4 = 0")).agg(F.sum("score")).first()[0]
+    assert got < 80 * (800 + 16 * 200)
+
+
+def test_top_k_in_many_cells(spark, monkeypatch):
+    """Small blocks and cells, ties over all of them, ids that come often, vectors of nothing but zeros."""
+    r = np.random.default_rng(3)
+    rows = [(int(i), r.integers(-3, 4, int(r.integers(0, 6))).tolist()) for i in r.integers(0, 150, 400)]
+    rows += [(i, [0, 0, 0]) for i in range(200, 230)] + [(300, [10 ** 6, 1, -10 ** 6]), (301, [-40000, 2, 5])]
+    want = []
+    for i, v in {(i, tuple(v)) for i, v in rows if i % 10 == 0}:
+        near = sorted((-sum(a * b for a, b in zip(v, x)), j) for j, x in rows if j != i)[:7]
+        want += [(i, rank + 1, j, -s) for rank, (s, j) in enumerate(near)]
+    vectors = spark.createDataFrame(rows, "vec_id long, vec array<long>")
+    for block, cell in ((400, 1 << 24), (16, 1 << 24), (16, 200)):
+        monkeypatch.setattr(topk, "BLOCK", block)
+        monkeypatch.setattr(topk, "QUERY_BLOCK", block)
+        monkeypatch.setattr(topk, "CELL", cell)
+        assert rows_of(topk.top_k(vectors, vectors.filter("vec_id % 10 = 0"), k=7)) == sorted(want, key=str)
+
+
+def test_top_k_index_knows_what_others_reach():
+    """With a score that others reach, all rows as good or better are found, and few else."""
+    r = np.random.default_rng(4)
+    for scale in (1, 100, 1 << 20):
+        vectors = r.integers(-9 * scale, 9 * scale, (600, 24))
+        queries = vectors[::100]
+        exact = queries @ vectors.T
+        least = np.sort(exact, axis=1)[:, -5].astype(float)
+        at, who, score = topk.ImpactIndex(vectors).search(queries, 5, None, least)
+        assert {*zip(*np.nonzero(exact >= least[:, None]))} <= {*zip(at, who)}
+        assert (exact[at, who] == score).all()
+        assert len(at) < 600
+
+
 def test_top_k_index_stops_early_and_right():
     r = np.random.default_rng(2)
     vectors = np.vstack((r.integers(-30, 30, (500, 16)), r.integers(-200, 200, (3, 16))))
